@@ -1,0 +1,101 @@
+"""Lookups in reference tables, by equal keys or by bands, and draws from looked-up rates."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabwright.functions import average_rates, hash01, nan_to_null, scale_by_ratio
+from tabwright.sources.durable import SMALL_ROWS, pin_small
+
+CELLS = 4096  # groups of neighbouring bands, where the bands are too many to broadcast
+
+
+def lookup(
+    df: DataFrame, rates: DataFrame, on: dict[str, Column], small_rows: int = SMALL_ROWS
+) -> DataFrame:
+    """Left join to a reference table: ``on`` maps each of its key columns to an expression of ``df``.
+
+    Its keys must be unique (else ValueError) and are not part of the result; a row without a match
+    gets NULL. The reference table is broadcast if it has at most ``small_rows`` rows.
+    """
+    side, rows = pin_small(rates, small_rows)
+    if rows is not None:
+        repeated = len({tuple(r[k] for k in on) for r in rows}) < len(rows)
+    else:
+        repeated = bool(side.groupBy(*on).count().filter("count > 1").take(1))
+    if repeated:
+        raise ValueError(f"the reference table repeats a key of {list(on)}")
+    side = side.withColumnsRenamed({k: f"__key_{k}" for k in on})
+    condition = None
+    for k, expression in on.items():
+        equal = expression == F.col(f"__key_{k}")
+        condition = equal if condition is None else condition & equal
+    joined = df.join(F.broadcast(side) if rows is not None else side, condition, "left")
+    return joined.drop(*[f"__key_{k}" for k in on])
+
+
+def band_lookup(
+    df: DataFrame, bands: DataFrame, value: str, small_rows: int = SMALL_ROWS
+) -> DataFrame:
+    """Left join on ``lo <= value < hi``; a NULL ``hi`` is open. Bands must not overlap.
+
+    Few bands (at most ``small_rows``) are broadcast and compared directly. More are cut into cells that
+    hold about equally many of them, so that a row meets only the bands of its cell in an equi-join
+    whose hot cells adaptive execution splits.
+    """
+    side, rows = pin_small(bands.withColumns({c: F.col(c).cast("double") for c in ("lo", "hi")}), small_rows)
+    side = side.withColumnsRenamed({"lo": "__lo", "hi": "__hi"})
+    x = F.col(value).cast("double")
+    inside = (x >= F.col("__lo")) & (F.col("__hi").isNull() | (x < F.col("__hi")))
+    if rows is not None:
+        return df.join(F.broadcast(side), inside, "left").drop("__lo", "__hi")
+
+    starts = side.approxQuantile("__lo", [i / CELLS for i in range(1, CELLS)], 0.2 / CELLS)
+    cuts = [float("-inf"), *sorted(set(starts)), float("inf")]
+
+    def with_cell(frame: DataFrame, at: Column, name: str) -> DataFrame:
+        placed = frame.withColumn("__point", F.coalesce(at, F.lit(float("inf"))))
+        cell = Bucketizer(splits=cuts, inputCol="__point", outputCol=name)
+        return cell.transform(placed).withColumn(name, F.col(name).cast("int")).drop("__point")
+
+    pieces = with_cell(with_cell(side, F.col("__lo"), "__first"), F.col("__hi"), "__last").withColumn(
+        "__cell", F.explode(F.sequence("__first", "__last"))
+    ).drop("__first", "__last")
+    keyed = with_cell(df, nan_to_null(x), "__at")
+    joined = keyed.join(pieces, (F.col("__at") == F.col("__cell")) & inside, "left")
+    return joined.drop("__lo", "__hi", "__cell", "__at")
+
+
+def key_grid(spark: SparkSession, ages: int = 76) -> DataFrame:
+    """(sex, age) for both sexes and ages 0 to ``ages - 1``: 152 rows by default."""
+    age = spark.range(ages).select(F.col("id").cast("int").alias("age"))
+    return age.select(F.explode(F.array(F.lit(0), F.lit(1))).alias("sex"), "age")
+
+
+def rate_grid(grid: DataFrame, bands: DataFrame, men_ratio: DataFrame) -> DataFrame:
+    """(sex, age, smoke_rate): the mean of a band's two rates, times the one-row ratio for sex 1.
+
+    ``bands`` has (lo, hi, rate1, rate2); an age outside every band has rate 0. ``men_ratio`` has one
+    row with the column ``ratio``.
+    """
+    placed = band_lookup(grid, bands, "age")
+    mean = average_rates(F.col("rate1"), F.col("rate2"))
+    return placed.crossJoin(F.broadcast(men_ratio.select("ratio").limit(1))).select(
+        "sex", "age", scale_by_ratio(mean, F.col("sex"), F.col("ratio")).alias("smoke_rate"),
+    )
+
+
+def prob_impute(
+    df: DataFrame, rates: DataFrame, on: dict[str, Column], key: list[str], seed: int = 42,
+    rate: str = "smoke_rate", out: str = "smoke",
+) -> DataFrame:
+    """Add ``out`` = 1 with the looked-up probability (in percent), else 0; NULL without a match.
+
+    The draw is a hash of the seed and the row's ``key``, so it is the same on every run.
+    """
+    joined = lookup(df, rates.select(*on, rate), on)
+    draw = hash01(seed, *key) * F.lit(100.0)
+    hit = F.when(F.col(rate).isNotNull(), F.when(F.col(rate) <= draw, 0).otherwise(1))
+    return joined.withColumn(out, hit.cast("int")).drop(rate)
