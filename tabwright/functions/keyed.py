@@ -1,7 +1,8 @@
 """Randomness keyed by a row identity.
 
 ``rand`` and ``randomSplit`` draw per partition, so a retried task or another file layout gives
-another answer. A hash of (seed, key) gives every row the same draw wherever it runs.
+another answer. A hash of (seed, key) gives every row the same draw wherever it runs. Steps that
+follow each other on the same rows need different seeds, or the second one repeats the first's draws.
 """
 
 from __future__ import annotations

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions import is_missing
-from tabwright.operators.profile import by_type, value_groups
+from tabwright.operators.profile import typed_value, value_groups, value_kind
 from tabwright.sources.durable import SMALL_ROWS, pin_small
 
 
 class TargetEncode(Estimator):
     """Add ``<column>_target`` and drop the column, for columns with enough categories.
 
-    A missing value counts as a category but gets no encoding. One partial aggregation per column
-    type gives the means of all columns. They are broadcast while all categories together number at
-    most ``small_rows``; beyond that each column's means stay a table and the join is a shuffle
-    whose hot keys adaptive execution splits.
+    A missing value counts as a category but gets no encoding. One partial aggregation gives the means
+    of all columns. They are broadcast while all categories together number at most ``small_rows``;
+    beyond that each column's means stay a table and the join is a shuffle whose hot keys adaptive
+    execution splits.
     """
 
     def __init__(
@@ -30,19 +31,22 @@ class TargetEncode(Estimator):
         self.small_rows = small_rows
 
     def _fit(self, df: DataFrame) -> TargetEncodeModel:
-        means: dict[str, tuple[DataFrame, bool]] = {}
-        for names in by_type(df, [c for c in self.cols if c in df.columns]).values():
-            groups, rows = pin_small(value_groups(df, names, self.label), self.small_rows)
-            if rows is None:
-                counted = groups.groupBy("col_name").agg(F.count(F.lit(1)).alias("n")).collect()
-                sizes = {r["col_name"]: r["n"] for r in counted}
-            else:
-                sizes = {c: sum(r["col_name"] == c for r in rows) for c in names}
-            for c in names:
-                if sizes.get(c, 0) >= self.min_categories:
-                    table = groups.filter((F.col("col_name") == c) & F.col("value").isNotNull())
-                    means[c] = (table.select("value", "label_mean"), sizes[c] <= self.small_rows)
-        return TargetEncodeModel({c: means[c] for c in self.cols if c in means})
+        cols = [c for c in self.cols if c in df.columns]
+        if not cols:
+            return TargetEncodeModel({})
+        groups, rows = pin_small(value_groups(df, cols, self.label), self.small_rows)
+        if rows is None:
+            counted = groups.groupBy("col_name").agg(F.count(F.lit(1)).alias("n")).collect()
+            sizes = {r["col_name"]: r["n"] for r in counted}
+        else:
+            sizes = Counter(r["col_name"] for r in rows)
+        means = {}
+        for c in cols:
+            if sizes.get(c, 0) >= self.min_categories:
+                kind = value_kind(df.schema[c].dataType)
+                table = groups.filter((F.col("col_name") == c) & F.col(kind).isNotNull())
+                means[c] = (table.select(F.col(kind).alias("value"), "label_mean"), sizes[c] <= self.small_rows)
+        return TargetEncodeModel(means)
 
 
 class TargetEncodeModel(Model):
@@ -56,6 +60,5 @@ class TargetEncodeModel(Model):
         kept = [c for c in df.columns if c not in self.means]
         for c, (table, small) in self.means.items():
             side = table.select(F.col("value").alias(f"{c}__value"), F.col("label_mean").alias(f"{c}_target"))
-            key = F.when(~is_missing(c, df.schema[c].dataType), F.col(c))
-            df = df.join(F.broadcast(side) if small else side, key == F.col(f"{c}__value"), "left")
+            df = df.join(F.broadcast(side) if small else side, typed_value(df, c) == F.col(f"{c}__value"), "left")
         return df.select(*kept, *[f"{c}_target" for c in self.means])

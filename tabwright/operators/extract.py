@@ -9,6 +9,7 @@ both ways give the same rows. ``tree_only`` forces the helper, for tests.
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -21,9 +22,9 @@ from tabwright.functions import list_slice
 # Executors need not have this package installed: the helper below travels with the query.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""  # of a tag, after its name: quoted text may hold '>'
+REST = r"""(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""  # of a tag, after its name; quoted text may hold '>'
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-ANY_TAG = rf"(?is)</?[a-z!]{REST}"
+ANY_TAG = r"""(?is)</?[a-z!](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 
 # Character references resolved natively; '&' comes last.
 REFERENCES = {
@@ -36,33 +37,41 @@ VOID = {
 }
 
 
-# --- native side -----------------------------------------------------------------------------
+# --- native side: an item is an array of its text fields ---------------------------------------
 
 def _visible(html: Column) -> Column:
     return F.regexp_replace(html, HIDDEN, "")
 
 
-def _plain(markup: Column) -> Column:
-    text = F.regexp_replace(markup, ANY_TAG, "")
+def _inner(markup: Column, tag: str) -> Column:
+    return F.regexp_extract_all(markup, F.lit(rf"(?is)<{tag}{REST}(.*?)</{tag}\s*>"), 1)
+
+
+def _stripped(markup: Column) -> Column:
+    return F.regexp_replace(markup, ANY_TAG, "")
+
+
+def _decoded(text: Column) -> Column:
     for ref, char in REFERENCES.items():
         text = F.replace(text, F.lit(ref), F.lit(char))
     return text
 
 
-def _inner(markup: Column, tag: str) -> Column:
-    return F.regexp_extract_all(markup, F.lit(rf"(?is)<{tag}\b{REST}(.*?)</{tag}\s*>"), 1)
+def _alternating(visible: Column, tag: str) -> Column:
+    """True if openings and closings of the tag take turns: "" and "/" joined by dots read ./../../ ."""
+    marks = F.regexp_extract_all(visible, F.lit(rf"(?is)<(/?){tag}{REST}"), 1)
+    pairs = F.floor(F.size(marks) / 2).cast("int")
+    return F.array_join(marks, ".") == F.substr(F.repeat(F.lit("./."), pairs), F.lit(1), pairs * 3 - 1)
 
 
-def _flat(visible: Column, tags: list[str]) -> Column:
-    """True if each tag's openings and closings strictly alternate and all text can be decoded."""
+def _flat(visible: Column, raw: Column, tags: list[str]) -> Column:
+    """True if cutting by tags gives what the element tree gives, and all cut text can be decoded."""
     known = "|".join(ref[1:] for ref in REFERENCES)
-    ok = ~visible.rlike(r"<!--|(?is)<(script|style)\b") & ~visible.rlike(rf"&(?!(?:{known}))[A-Za-z#]")
+    strange = rf"&(?!(?:{known}))[A-Za-z#]"
+    ok = ~visible.rlike(r"<!--|(?is)<(script|style)\b")
     for tag in tags:
-        pieces = F.split(visible, rf"(?i)</{tag}\s*>")
-        opened = F.transform(pieces, lambda p, t=tag: F.size(F.regexp_extract_all(p, F.lit(rf"(?i)<{t}\b"), 0)))
-        n = F.size(opened)
-        ok = ok & F.forall(F.slice(opened, 1, n - 1), lambda x: x == 1) & (F.element_at(opened, -1) == 0)
-    return ok
+        ok = ok & _alternating(visible, tag)
+    return ok & ~F.exists(raw, lambda item: F.exists(item, lambda t: F.coalesce(t, F.lit("")).rlike(strange)))
 
 
 # --- tree side -------------------------------------------------------------------------------
@@ -116,26 +125,24 @@ def _has_class(e: dict, name: str) -> bool:
     return name == e["class"] or name in e["class"].split()
 
 
-def _tree_table(html: str, n: int) -> list[tuple[str | None, str]]:
+def _tree_table(html: str, n: int) -> list[list[str | None]]:
     page = _Elements(html)
     out = []
     for table in page.below(None, "table")[n:n + 1]:
         for row in page.below(table, "tr"):
             cells, heads = page.below(row, "td"), page.below(row, "th")
             if cells:
-                out.append((page.content(heads[0]) if heads else None, page.content(cells[0])))
+                out.append([page.content(heads[0]) if heads else None, page.content(cells[0])])
     return out
 
 
-def _tree_list(html: str, n: int | None) -> list[str]:
+def _tree_list(html: str, n: int | None) -> list[list[str]]:
     page = _Elements(html)
-    lists = page.below(None, "ul")
-    if n is None:
-        return [page.content(e) for e in page.below(None, "li")]
-    return [page.content(e) for one in lists[n:n + 1] for e in page.below(one, "li")]
+    within = [None] if n is None else page.below(None, "ul")[n:n + 1]
+    return [[page.content(e)] for one in within for e in page.below(one, "li")]
 
 
-def _tree_class(html: str, tag: str, cls: str, inner: str | None, within: str | None) -> list[str]:
+def _tree_class(html: str, tag: str, cls: str, inner: str | None, within: str | None) -> list[list[str]]:
     page = _Elements(html)
     found = page.below(None, tag)
     if within is not None:
@@ -148,21 +155,40 @@ def _tree_class(html: str, tag: str, cls: str, inner: str | None, within: str |
                 x for x in page.below(e, tag) if x["class"].split()[:1] == [inner]
             ]
             out += [page.content(x) for x in picked]
-    return [t for t in out if t != ""]
+    return [[t] for t in out if t != ""]
 
 
-def _tree_udf(extract, returns: str):
-    @F.pandas_udf(returns)
+def _tree_udf(extract: Callable[[str], list[list[str | None]]]):
+    @F.pandas_udf("array<array<string>>")
     def run(pages: pd.Series) -> pd.Series:
         return pages.map(lambda html: None if html is None else extract(html))
     return run
 
 
-def _either(html: Column, native: Column | None, flat: Column | None, tree) -> Column:
-    """The native array where the page is flat, the helper's array elsewhere."""
+def _items(
+    pages: DataFrame, html: str, key: str, tags: list[str], native: Callable[[Column], Column] | None,
+    tree: Callable[[str], list[list[str | None]]],
+) -> DataFrame:
+    """(page_id, found): the native items of flat pages and the helper's of all others.
+
+    Each stage is a projection of its own, so that no expression is evaluated twice, and only the
+    text of pages that are not flat crosses to Python.
+    """
+    df = pages.select(F.col(key).alias("page_id"), F.col(html).alias("html"))
+    helper = _tree_udf(tree)
     if native is None:
-        return tree(html)
-    return F.coalesce(tree(F.when(~flat, html)), native)
+        return df.select("page_id", helper("html").alias("found"))
+    df = df.withColumn("visible", _visible(F.col("html"))).withColumn("raw", native(F.col("visible")))
+    df = df.withColumn("flat", F.coalesce(_flat(F.col("visible"), F.col("raw"), tags), F.lit(False)))
+    df = df.select("page_id", "raw", "flat", helper(F.when(~F.col("flat"), F.col("html"))).alias("tree"))
+    decoded = F.transform("raw", lambda item: F.transform(item, _decoded))
+    return df.select("page_id", F.when(F.col("flat"), decoded).otherwise(F.col("tree")).alias("found"))
+
+
+def _exploded(items: DataFrame, column: str) -> DataFrame:
+    """(page_id, idx, item). The outer form keeps the optimizer from evaluating the items a second time
+    in a filter on their number."""
+    return items.select("page_id", F.posexplode_outer(column).alias("idx", "item")).filter(F.col("idx").isNotNull())
 
 
 # --- operators -------------------------------------------------------------------------------
@@ -171,19 +197,16 @@ def table_rows(
     pages: DataFrame, n: int = 0, html: str = "html", key: str = "page_id", tree_only: bool = False
 ) -> DataFrame:
     """(page_id, idx, key, value): first header and first data cell of the n-th table's data rows."""
-    shape = "array<struct<key:string,value:string>>"
-    visible = _visible(F.col(html))
-    markup = F.get(_inner(visible, "table"), F.lit(n))
-    rows = F.filter(_inner(markup, "tr"), lambda r: r.rlike(r"(?i)<td\b"))
-    native = F.transform(rows, lambda r: F.struct(
-        _plain(F.get(_inner(r, "th"), F.lit(0))).alias("key"),
-        _plain(F.get(_inner(r, "td"), F.lit(0))).alias("value"),
-    ))
-    flat = _flat(visible, ["table", "tr", "th", "td"])
-    tree = _tree_udf(lambda text: [{"key": k, "value": v} for k, v in _tree_table(text, n)], shape)
-    got = _either(F.col(html), None if tree_only else native, flat, tree)
-    return pages.select(F.col(key).alias("page_id"), F.posexplode(got).alias("idx", "row")).select(
-        "page_id", "idx", "row.key", "row.value",
+    def native(visible: Column) -> Column:
+        rows = _inner(F.get(_inner(visible, "table"), F.lit(n)), "tr")
+        rows = F.filter(rows, lambda r: r.rlike(r"(?i)<td[\s/>]"))
+        return F.transform(rows, lambda r: F.array(*[
+            _stripped(F.get(_inner(r, cell), F.lit(0))) for cell in ("th", "td")
+        ]))
+    tags = ["table", "tr", "th", "td"]
+    found = _items(pages, html, key, tags, None if tree_only else native, lambda text: _tree_table(text, n))
+    return _exploded(found, "found").select(
+        "page_id", "idx", F.col("item")[0].alias("key"), F.col("item")[1].alias("value"),
     )
 
 
@@ -191,18 +214,17 @@ def page_lists(
     pages: DataFrame, n: int | None = None, html: str = "html", key: str = "page_id", tree_only: bool = False
 ) -> DataFrame:
     """(page_id, items): texts of the n-th list's items, or of all list items, as an array."""
-    visible = _visible(F.col(html))
-    markup = visible if n is None else F.get(_inner(visible, "ul"), F.lit(n))
-    native = F.transform(_inner(markup, "li"), _plain)
-    flat = _flat(visible, ["li"] if n is None else ["ul", "li"])
-    tree = _tree_udf(lambda text: _tree_list(text, n), "array<string>")
-    got = _either(F.col(html), None if tree_only else native, flat, tree)
-    return pages.select(F.col(key).alias("page_id"), got.alias("items"))
+    def native(visible: Column) -> Column:
+        markup = visible if n is None else F.get(_inner(visible, "ul"), F.lit(n))
+        return F.transform(_inner(markup, "li"), lambda item: F.array(_stripped(item)))
+    tags = ["li"] if n is None else ["ul", "li"]
+    found = _items(pages, html, key, tags, None if tree_only else native, lambda text: _tree_list(text, n))
+    return found.select("page_id", F.flatten("found").alias("items"))
 
 
 def list_items(pages: DataFrame, n: int | None = None, **options) -> DataFrame:
     """(page_id, idx, item): one row per list item; see ``page_lists``."""
-    return page_lists(pages, n, **options).select("page_id", F.posexplode("items").alias("idx", "item"))
+    return _exploded(page_lists(pages, n, **options), "items")
 
 
 def by_class(
@@ -215,24 +237,24 @@ def by_class(
     tag below it whose first class is ``inner``: always a nesting, so always the helper's work, as
     is ``within``, which looks only inside the first element of that class.
     """
-    tree = _tree_udf(lambda text: _tree_class(text, tag, cls, inner, within), "array<string>")
-    if tree_only or inner or within:
-        got = tree(F.col(html))
-    else:
-        visible = _visible(F.col(html))
-        whole = F.regexp_extract_all(visible, F.lit(rf"(?is)<{tag}\b{REST}.*?</{tag}\s*>"), 0)
-        classes = rf"""(?is)^<{tag}\b[^>]*?\sclass\s*=\s*["']?([^"'>]*)"""
-        mine = F.filter(whole, lambda e: (F.regexp_extract(e, classes, 1) == cls) | F.array_contains(
-            F.split(F.trim(F.regexp_extract(e, classes, 1)), r"\s+"), cls
+    def native(visible: Column) -> Column:
+        whole = F.regexp_extract_all(visible, F.lit(rf"(?is)<{tag}{REST}.*?</{tag}\s*>"), 0)
+        named = rf"""(?is)^<{tag}\s(?:[^>]*?\s)?class\s*=\s*["']?([^"'>]*)"""
+        mine = F.filter(whole, lambda e: (F.regexp_extract(e, named, 1) == cls) | F.array_contains(
+            F.split(F.trim(F.regexp_extract(e, named, 1)), r"\s+"), cls
         ))
-        texts = F.filter(F.transform(mine, _plain), lambda t: t != "")
-        got = _either(F.col(html), texts, _flat(visible, [tag]), tree)
-    return pages.select(F.col(key).alias("page_id"), got.alias("texts"))
+        return F.filter(F.transform(mine, lambda e: F.array(_stripped(e))), lambda item: item[0] != "")
+    use_tree = tree_only or inner is not None or within is not None
+    found = _items(
+        pages, html, key, [tag], None if use_tree else native,
+        lambda text: _tree_class(text, tag, cls, inner, within),
+    )
+    return found.select("page_id", F.flatten("found").alias("texts"))
 
 
 def class_items(pages: DataFrame, tag: str, cls: str, **options) -> DataFrame:
     """(page_id, idx, txt): one row per element; see ``by_class``."""
-    return by_class(pages, tag, cls, **options).select("page_id", F.posexplode("texts").alias("idx", "txt"))
+    return _exploded(by_class(pages, tag, cls, **options), "texts").withColumnRenamed("item", "txt")
 
 
 def list_tail(lists: DataFrame, lo: int | None, hi: int | None, items: str = "items") -> DataFrame:

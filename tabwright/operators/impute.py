@@ -57,18 +57,23 @@ class Impute(Estimator):
         by_mode = [c for c in chosen if self.strategies[c] == "mode"]
         if by_mode:
             fills.update(column_modes(df, by_mode))
-        return ImputeModel({c: fills[c] for c in chosen}, dropped, self.prefix)
+        return ImputeModel({c: fills[c] for c in chosen}, self.strategies, dropped, self.prefix)
 
 
 class ImputeModel(Model):
-    def __init__(self, fills: dict[str, object], dropped: list[str], prefix: str):
+    def __init__(self, fills: dict[str, object], kinds: dict[str, str], dropped: list[str], prefix: str):
         super().__init__()
         self.fills = fills
+        self.kinds = kinds
         self.dropped = dropped
         self.prefix = prefix
 
     def _transform(self, df: DataFrame) -> DataFrame:
         def filled(c: str):
             present = F.when(~is_missing(c, df.schema[c].dataType), F.col(c))
-            return present if self.fills[c] is None else F.coalesce(present, F.lit(self.fills[c]))
+            fill = self.fills[c]
+            if fill is None:
+                return present
+            same = self.kinds[c] == "mode"
+            return F.coalesce(present, F.lit(fill).cast(df.schema[c].dataType) if same else F.lit(fill))
         return df.withColumns({self.prefix + c: filled(c) for c in self.fills}).drop(*self.dropped)

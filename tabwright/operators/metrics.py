@@ -11,7 +11,8 @@ from pyspark.sql import Window
 
 from tabwright.functions import nan_to_null
 
-SCORE_RANGES = 4096  # ranges that scores are cut into before they are ranked
+MOST_RANGES = 4096  # ranges that scores are cut into before they are ranked
+RANGE_ROWS = 1_000_000  # rows wanted per range
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -73,9 +74,8 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     scored = df.select(
         nan_to_null(F.col(score).cast("double")).alias("score"), (F.col(label) == 1).alias("hit")
     ).filter(F.col("score").isNotNull() & F.col("hit").isNotNull())
-    inner = scored.approxQuantile(
-        "score", [i / SCORE_RANGES for i in range(1, SCORE_RANGES)], 0.2 / SCORE_RANGES
-    )
+    ranges = min(MOST_RANGES, 8 + scored.count() // RANGE_ROWS)
+    inner = scored.approxQuantile("score", [i / ranges for i in range(1, ranges)], 0.2 / ranges)
     splits = [float("-inf"), *sorted(set(inner)), float("inf")]
     if len(splits) < 3:
         splits.insert(1, 0.0)
@@ -84,14 +84,18 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     )
     ranged = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(per_score)
 
-    totals = ranged.groupBy("range").agg(F.sum("neg").alias("range_neg"))
-    before = Window.partitionBy(F.lit(0)).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    below = totals.select("range", F.coalesce(F.sum("range_neg").over(before), F.lit(0)).alias("below"))
+    totals = ranged.groupBy("range").agg(F.sum("neg").alias("range_neg"), F.sum("pos").alias("range_pos"))
+    everywhere = Window.partitionBy(F.lit(0))  # over at most MOST_RANGES rows
+    before = everywhere.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    below = totals.select(
+        "range", F.coalesce(F.sum("range_neg").over(before), F.lit(0)).alias("below"),
+        (F.sum("range_pos").over(everywhere) * F.sum("range_neg").over(everywhere).cast("double")).alias("pairs"),
+    )
     within = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     ranked = ranged.withColumn("passed", F.coalesce(F.sum("neg").over(within), F.lit(0)))
     return ranked.join(F.broadcast(below), "range").agg(
         F.sum(F.col("pos") * (F.col("below") + F.col("passed") + F.col("neg") / 2)).alias("wins"),
-        (F.sum("pos") * F.sum("neg")).alias("pairs"),
+        F.max("pairs").alias("pairs"),
     ).select(F.try_divide("wins", "pairs").alias("auc"))
 
 

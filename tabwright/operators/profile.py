@@ -65,54 +65,60 @@ def skew_profile(df: DataFrame, cols: list[str], cutoff: float = 0.5) -> DataFra
     ).withColumn("is_skewed", F.coalesce(F.abs("skewness") > cutoff, F.lit(False)))
 
 
-def by_type(df: DataFrame, cols: list[str]) -> dict[T.DataType, list[str]]:
-    """Columns grouped by type, the unit that can be unpivoted without changing values."""
-    groups: dict[T.DataType, list[str]] = {}
-    for c in cols:
-        groups.setdefault(df.schema[c].dataType, []).append(c)
-    return groups
+# Where a column's values go when several columns share one long table: by kind of type, so that
+# values keep their order and equality.
+KINDS = {"whole": "bigint", "real": "double", "text": "string"}
+
+
+def value_kind(dtype: T.DataType) -> str:
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "whole"
+    return "real" if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)) else "text"
+
+
+def typed_value(df: DataFrame, name: str) -> Column:
+    """A column as its kind's type, with every way of missing as NULL."""
+    dtype = df.schema[name].dataType
+    return F.when(~is_missing(name, dtype), F.col(name).cast(KINDS[value_kind(dtype)]))
 
 
 def value_groups(df: DataFrame, cols: list[str], label: str | None = None) -> DataFrame:
-    """(col_name, value, n[, label_mean]) for columns of one type, missing values forming one group.
+    """(col_name, whole, real, text, n[, label_mean]) per column and distinct value.
 
-    The unpivot happens inside the scan's stage and is followed by a partial aggregation, so a
-    value held by a third of all rows leaves each task as one row.
+    A value is in the field of its column's kind; all fields are NULL for the group of missing values.
+    Columns are laid out long inside the scan's stage and aggregated there first, so one pass does
+    for all columns, and a value held by a third of all rows leaves each task as one row.
     """
+    def entry(c: str) -> Column:
+        kind = value_kind(df.schema[c].dataType)
+        return F.struct(F.lit(c).alias("col_name"), *[
+            (typed_value(df, c) if k == kind else F.lit(None).cast(KINDS[k])).alias(k) for k in KINDS
+        ])
     keep = [] if label is None else [F.col(label).cast("double").alias("label")]
-    tidy = [F.when(~is_missing(c, df.schema[c].dataType), F.col(c)).alias(c) for c in cols]
-    long = df.select(*keep, *tidy).unpivot(
-        [] if label is None else ["label"], list(cols), "col_name", "value"
-    )
+    long = df.select(*keep, F.inline(F.array(*[entry(c) for c in cols])))
     aggs = [F.count(F.lit(1)).alias("n")]
     if label is not None:
         aggs.append(F.avg("label").alias("label_mean"))
-    return long.groupBy("col_name", "value").agg(*aggs)
+    return long.groupBy("col_name", *KINDS).agg(*aggs)
+
+
+def has_value() -> Column:
+    """True for the rows of ``value_groups`` that are not a column's group of missing values."""
+    return F.col("whole").isNotNull() | F.col("real").isNotNull() | F.col("text").isNotNull()
 
 
 def cardinality_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """(col_name, n_values, n_categories): distinct values without and with missing as a category."""
-    parts = [
-        value_groups(df, names).groupBy("col_name").agg(
-            F.count("value").alias("n_values"), F.count(F.lit(1)).alias("n_categories"),
-        )
-        for names in by_type(df, list(cols)).values()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return value_groups(df, list(cols)).groupBy("col_name").agg(
+        F.count_if(has_value()).alias("n_values"),
+        F.count(F.lit(1)).alias("n_categories"),
+    )
 
 
 def column_modes(df: DataFrame, cols: list[str]) -> dict[str, object]:
     """The most frequent value of each column; the smallest one on a tie; None if all are missing."""
-    modes: dict[str, object] = dict.fromkeys(cols)
-    for names in by_type(df, list(cols)).values():
-        best = (
-            value_groups(df, names).filter(F.col("value").isNotNull())
-            .groupBy("col_name")
-            .agg(F.min(F.struct((-F.col("n")).alias("rank"), F.col("value"))).alias("top"))
-            .select("col_name", "top.value")
-        )
-        modes.update({r["col_name"]: r["value"] for r in best.collect()})
-    return modes
+    best = value_groups(df, list(cols)).filter(has_value()).groupBy("col_name").agg(
+        F.min(F.struct((-F.col("n")).alias("rank"), *KINDS)).alias("top")
+    ).select("col_name", "top.*")
+    found = {r["col_name"]: r[value_kind(df.schema[r["col_name"]].dataType)] for r in best.collect()}
+    return {c: found.get(c) for c in cols}

@@ -7,90 +7,68 @@ prefix) that read nothing but the key and group columns.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import ceil
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions import hash01, keyed_md5
-from tabwright.sources.durable import SMALL_ROWS
 
-STEP = 4  # hex digits resolved per aggregation: at most 65,536 prefixes per open cut
+STEP = 3  # hex digits resolved per aggregation: at most 4,096 prefixes per group or open cut
 HASH_DIGITS = 32
+MOST_GROUPS = 100
 
 
 class DuplicateKeys(ValueError):
     """An exact cut is impossible because several rows share the key it falls on."""
 
 
-def _open_prefixes(level: int, cuts: dict[tuple, tuple[str, int]]) -> dict[object, set[str]]:
-    wanted: dict[object, set[str]] = {}
-    for (group, _), (prefix, _) in cuts.items():
-        if len(prefix) == level:
-            wanted.setdefault(group, set()).add(prefix)
-    return wanted
+def _prefix_counts(df: DataFrame, digits: int) -> pd.DataFrame:
+    """Rows and last hash per (group, hash prefix), in order; bounded by groups and digits."""
+    most = MOST_GROUPS * 16 ** STEP
+    counted = df.groupBy("group", F.substring("hash", 1, digits).alias("prefix")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("hash").alias("last"),
+    ).limit(most + 1).toPandas()
+    if len(counted) > most:
+        raise ValueError("too many groups to cut each of them exactly")
+    return counted.sort_values("prefix")
 
 
-def _cut_hashes(df: DataFrame, ranks: dict[object, list[int]]) -> dict[tuple, str]:
-    """The hash at each 1-based rank of its group, for a frame (group, hash).
+def _cut_hashes(df: DataFrame, ranks: Callable[[int], list[int]]) -> dict[object, dict[int, str]]:
+    """The hash at each wanted 1-based rank, per group of a frame (group, hash).
 
-    A radix selection: per level, rows under a still open prefix are counted by their next digits,
-    and each wanted rank moves into the prefix that contains it. Prefixes with one row are done.
+    ``ranks`` names the wanted ranks of a group of n rows. This is a radix selection: rows are counted
+    by hash prefix, each rank moves into the prefix that holds it, and only rows under such a prefix
+    are counted by their next digits. A prefix with exactly as many rows as are still wanted ends at
+    the hash sought; with unique keys every rank gets there.
     """
-    cuts = {(g, r): ("", r) for g, wanted in ranks.items() for r in wanted}
-    done: dict[tuple, str] = {}
-    for level in range(0, HASH_DIGITS, STEP):
-        wanted = _open_prefixes(level, cuts)
-        if not wanted:
-            break
-        head = F.substring("hash", 1, level)
-        tests = [
-            F.col("group").eqNullSafe(F.lit(g)) & head.isin(sorted(p)) if level
-            else F.col("group").eqNullSafe(F.lit(g))
-            for g, p in wanted.items()
-        ]
-        keep = tests[0]
-        for t in tests[1:]:
-            keep = keep | t
-        counted = (
-            df.filter(keep).groupBy("group", F.substring("hash", 1, level + STEP).alias("prefix"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("first"), F.max("hash").alias("last"))
-            .collect()
-        )
-        buckets: dict[tuple, list] = {}
-        for row in counted:
-            buckets.setdefault((row["group"], row["prefix"][:level]), []).append(row)
-        for name, (prefix, rank) in list(cuts.items()):
-            before = 0
-            for b in sorted(buckets[(name[0], prefix)], key=lambda b: b["prefix"]):
-                if before + b["n"] >= rank:
-                    break
-                before += b["n"]
-            rank -= before
-            if rank == b["n"]:
-                done[name] = b["last"]
-            elif rank == 1 and b["first"] != b["last"]:
-                done[name] = b["first"]
+    counted = _prefix_counts(df, STEP)
+    groups = {None if pd.isna(g) else g: part for g, part in counted.groupby("group", dropna=False)}
+    cuts: dict[object, dict[int, str]] = {g: {} for g in groups}
+    todo = {(g, r): ("", r) for g, part in groups.items() for r in ranks(int(part["n"].sum()))}
+    for digits in range(STEP, HASH_DIGITS + STEP, STEP):
+        for (g, r), (prefix, left) in list(todo.items()):
+            inside = groups[g][groups[g]["prefix"].str.startswith(prefix)]
+            upto = inside["n"].cumsum()
+            at = int((upto >= left).argmax())
+            left -= int(upto.iloc[at] - inside["n"].iloc[at])
+            if left == inside["n"].iloc[at]:
+                cuts[g][r] = inside["last"].iloc[at]
+                del todo[(g, r)]
             else:
-                cuts[name] = (b["prefix"], rank)
-                continue
-            del cuts[name]
-    if cuts:
-        raise DuplicateKeys("the key must be unique for an exact split")
-    return done
-
-
-def _check_cuts(df: DataFrame, ranks: dict[object, list[int]], cuts: dict[tuple, str]) -> None:
-    """Rows up to each cut must be exactly as many as its rank (they are more if keys repeat there)."""
-    names = [(g, r) for g, wanted in ranks.items() for r in wanted]
-    if not names:
-        return
-    row = df.agg(*[
-        F.count_if(F.col("group").eqNullSafe(F.lit(g)) & (F.col("hash") <= cuts[(g, r)])).alias(str(i))
-        for i, (g, r) in enumerate(names)
-    ]).first()
-    if any(row[str(i)] != r for i, (_, r) in enumerate(names)):
-        raise DuplicateKeys("the key must be unique for an exact split")
+                todo[(g, r)] = (inside["prefix"].iloc[at], left)
+        if not todo:
+            return cuts
+        open_ = {g: sorted({p for (h, _), (p, _) in todo.items() if h == g}) for g in {g for g, _ in todo}}
+        keep = F.lit(False)
+        for g, prefixes in open_.items():
+            same = F.col("group").eqNullSafe(F.lit(g))
+            keep = keep | (same & F.substring("hash", 1, digits).isin(prefixes))
+        counted = _prefix_counts(df.filter(keep), digits + STEP)
+        groups = {None if pd.isna(g) else g: part for g, part in counted.groupby("group", dropna=False)}
+    raise DuplicateKeys("the key must be unique for an exact split")
 
 
 def exact_test_flag(df: DataFrame, key: list[str], test: float = 0.2, seed: int = 42) -> Column:
@@ -99,12 +77,9 @@ def exact_test_flag(df: DataFrame, key: list[str], test: float = 0.2, seed: int
     They are the rows with the smallest keyed hashes. Keys must be unique.
     """
     hashed = df.select(F.lit(0).alias("group"), keyed_md5(seed, *key).alias("hash"))
-    n = ceil(round(df.count() * test, 9))
-    if n == 0:
-        return F.lit(False)
-    cuts = _cut_hashes(hashed, {0: [n]})
-    _check_cuts(hashed, {0: [n]}, cuts)
-    return keyed_md5(seed, *key) <= F.lit(cuts[(0, n)])
+    cuts = _cut_hashes(hashed, lambda n: [ceil(round(n * test, 9))] if test > 0 else [])
+    found = [h for by_rank in cuts.values() for h in by_rank.values()]
+    return keyed_md5(seed, *key) <= F.lit(found[0]) if found else F.lit(False)
 
 
 def exact_split(
@@ -136,23 +111,16 @@ def stratified_folds(
     Within a label the rows are ordered by keyed hash and cut into k runs, the first ``n mod k`` of
     them one longer. Keys must be unique. The label must have few values.
     """
-    counts = df.groupBy(label).count().limit(SMALL_ROWS + 1).collect()
-    if len(counts) * k > SMALL_ROWS:
-        raise ValueError(f"{label} has too many values to stratify by")
-    ranks = {}
-    for row in counts:
-        size, extra = divmod(row["count"], k)
-        ends = [size * (i + 1) + min(i + 1, extra) for i in range(k - 1)]
-        ranks[row[label]] = sorted({e for e in ends if e > 0})
-    hashed = df.select(F.col(label).alias("group"), keyed_md5(seed, *key).alias("hash"))
-    cuts = _cut_hashes(hashed, ranks)
-    _check_cuts(hashed, ranks, cuts)
+    def ends(n: int) -> list[int]:
+        size, extra = divmod(n, k)
+        return sorted({size * i + min(i, extra) for i in range(1, k)} - {0})
 
+    hashed = df.select(F.col(label).alias("group"), keyed_md5(seed, *key).alias("hash"))
     digest = keyed_md5(seed, *key)
     fold = F.lit(None).cast("int")
-    for group, wanted in ranks.items():
+    for group, cuts in _cut_hashes(hashed, ends).items():
         above = F.lit(0)
-        for r in wanted:
-            above = above + F.when(digest > F.lit(cuts[(group, r)]), 1).otherwise(0)
+        for h in cuts.values():
+            above = above + F.when(digest > F.lit(h), 1).otherwise(0)
         fold = F.when(F.col(label).eqNullSafe(F.lit(group)), above).otherwise(fold)
     return df.withColumn(out, fold.cast("int"))

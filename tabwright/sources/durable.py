@@ -33,13 +33,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, list | None]:
+def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, list[dict] | None]:
     """(frame, rows): a local copy and its rows if it has at most ``max_rows``, else (a table, None).
 
     The first ``max_rows + 1`` rows are all that ever reaches the driver. Either way the plan that
     made the frame is not run again by whoever uses the result.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema), rows
+    local = df.limit(max_rows + 1).toArrow()
+    if local.num_rows <= max_rows:
+        return df.sparkSession.createDataFrame(local, df.schema), local.to_pylist()
     return materialise(df), None
