@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = 8, memory: str = "12g", app: str = "tabwright") -> SparkSession:
+def local_session(
+    cpus: int | str = 8, memory: str = "12g", app: str = "tabwright", settings: dict[str, str] | None = None
+) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own settings."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.driver.memory", memory)
@@ -16,5 +18,7 @@ def local_session(cpus: int | str = 8, memory: str = "12g", app: str = "tabwrigh
         .config("spark.sql.shuffle.partitions", str(cpus).replace("*", "8"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .getOrCreate()
     )
+    for name, value in (settings or {}).items():
+        builder = builder.config(name, value)
+    return builder.getOrCreate()

@@ -12,13 +12,13 @@ SMALL_ROWS = 10_000  # most rows that may be pinned in the driver and broadcast
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one in local mode only."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tabwright-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tabwright-"))
+        folder = sc.getCheckpointDir()
     return folder
 
 
