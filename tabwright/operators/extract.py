@@ -61,7 +61,8 @@ def _alternating(visible: Column, tag: str) -> Column:
     """True if openings and closings of the tag take turns: "" and "/" joined by dots read ./../../ ."""
     marks = F.regexp_extract_all(visible, F.lit(rf"(?is)<(/?){tag}{REST}"), 1)
     pairs = F.floor(F.size(marks) / 2).cast("int")
-    return F.array_join(marks, ".") == F.substr(F.repeat(F.lit("./."), pairs), F.lit(1), pairs * 3 - 1)
+    even = F.size(marks) == pairs * 2
+    return even & (F.array_join(marks, ".") == F.substr(F.repeat(F.lit("./."), pairs), F.lit(1), pairs * 3 - 1))
 
 
 def _flat(visible: Column, raw: Column, tags: list[str]) -> Column:

@@ -1,0 +1,95 @@
+"""Readers, writers, tables and steps."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tabwright import sources
+from tabwright.sources import durable
+
+
+@pytest.fixture
+def tables(spark):
+    t = sources.Tables(spark, "steps")
+    yield t
+    spark.sql("DROP DATABASE steps CASCADE")
+
+
+def test_csv_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("1", "a,b"), (None, 'q"x')], "n string, t string")
+    sources.export_csv(df, str(tmp_path / "x"))
+    sources.export_csv(df, str(tmp_path / "x"))
+    back = sources.read_csv(spark, str(tmp_path / "x"), df.schema)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+
+
+def test_patient_schema():
+    assert len(sources.PATIENT_SCHEMA) == 56 and sources.PATIENT_COLUMNS[55] == "target"
+    assert sources.PATIENT_SCHEMA[18].name == "ekgday(day" and sources.PATIENT_COLUMNS[37] == "oldpeak"
+
+
+def test_jdbc_read_is_partitioned():
+    class Reader:
+        def jdbc(self, **options):
+            self.options = options
+            return "frame"
+
+    class Session:
+        read = Reader()
+
+    assert sources.read_jdbc(Session, "jdbc:x", "heart", "id", 0, 100, 8) == "frame"
+    assert Session.read.options == {
+        "url": "jdbc:x", "table": "heart", "column": "id", "lowerBound": 0, "upperBound": 100,
+        "numPartitions": 8, "properties": {},
+    }
+
+
+def test_step_with_one_and_many_tables(spark, tables):
+    tables.write({"a": spark.range(3), "b": spark.range(5)})
+    done = sources.run_step(tables, ["a", "b"], lambda a, b: {"c": a.union(b), "d": b.limit(1)})
+    assert done == ["c", "d"] and tables.read("c").count() == 8 and tables.read("d").count() == 1
+    sources.run_step(tables, "a", lambda a: {"c": a})
+    assert tables.read("c").count() == 3
+
+
+def test_step_may_replace_its_inputs(spark, tables):
+    tables.write({"a": spark.range(3), "b": spark.range(5)})
+    sources.run_step(tables, ["a", "b"], lambda a, b: {"a": b, "b": a})
+    assert tables.read("a").count() == 5 and tables.read("b").count() == 3
+
+
+def test_step_errors_and_drops(spark, tables):
+    tables.write({"a": spark.range(3), "old": spark.range(1)})
+    with pytest.raises(ValueError):
+        sources.run_step(tables, [], lambda: {})
+    with pytest.raises(ValueError):
+        sources.run_step(tables, "a", lambda a: {}, drop_first=["a"])
+    sources.run_step(tables, "a", lambda a: {}, drop_first=["old", "never_there"])
+    assert not spark.catalog.tableExists("steps.old")
+
+
+def test_metrics_store(spark, tmp_path):
+    path = str(tmp_path / "m")
+    rows = "model string, branch string, metric string, value double"
+    for value in (0.1, 0.2):
+        sources.write_metrics(spark.createDataFrame([("rf", "spark", "f1_score", value)], rows), path)
+    sources.write_metrics(spark.createDataFrame([("lr", "spark", "f1_score", 0.9), ("lr", "spark", "recall", 0.8)], rows), path)
+    assert sources.read_metrics(spark, path).count() == 3
+    assert sources.read_metrics(spark, path, ["rf"]).first()["value"] == 0.2
+    sources.write_best(spark.createDataFrame([("lr", "spark", 0.9)], "model string, branch string, value double"), str(tmp_path / "b"))
+    assert sources.read_best(spark, str(tmp_path / "b")) == "lr"
+
+
+def test_materialise_uses_the_named_folder(spark):
+    df = durable.materialise(spark.range(10).withColumn("x", F.lit(None).cast("double")))
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert all(folder in f for f in df.inputFiles()) and df.count() == 10
+    assert df.schema["x"].dataType.simpleString() == "double"
+
+
+def test_pin_small(spark):
+    local, rows = durable.pin_small(spark.range(5), 5)
+    assert len(rows) == 5 and local.count() == 5
+    stored, none = durable.pin_small(spark.range(6), 5)
+    assert none is None and stored.count() == 6 and stored.inputFiles()
