@@ -6,9 +6,9 @@ from tabwright.operators.clean import (
 from tabwright.operators.encode import TargetEncode
 from tabwright.operators.extract import by_class, class_items, list_items, list_tail, page_lists, table_rows
 from tabwright.operators.impute import Impute
-from tabwright.operators.lookup import band_lookup, key_grid, lookup, prob_impute, rate_grid
+from tabwright.operators.reference import band_lookup, key_grid, lookup, prob_impute, rate_grid
 from tabwright.operators.metrics import (
-    best_model, binary_metrics, fold_accuracy, mean_fold_accuracy, metrics_long, roc_auc, route, stack,
+    best_model, binary_metrics, compare_models, fold_accuracy, mean_fold_accuracy, metrics_long, roc_auc, route, stack,
     weighted_metrics,
 )
 from tabwright.operators.profile import (
@@ -21,13 +21,13 @@ from tabwright.operators.train import (
     FOREST_GRID, LOGISTIC_GRID, RECIPES, FourierFeatures, Recipe, cross_validate, final_test, fit_recipe,
     param_grid, train_and_evaluate,
 )
-from tabwright.operators.transform import ZScoreLog, feature_matrix, log1p_columns, log_abs_columns
+from tabwright.operators.transform import LogAbs, ZScoreLog, feature_matrix, log1p_columns, log_abs_columns
 from tabwright.operators.trim import SigmaTrim
 
 __all__ = [
-    "DropSparse", "DuplicateKeys", "FOREST_GRID", "FourierFeatures", "Impute", "LOGISTIC_GRID", "RECIPES",
+    "DropSparse", "DuplicateKeys", "FOREST_GRID", "FourierFeatures", "Impute", "LOGISTIC_GRID", "LogAbs", "RECIPES",
     "Recipe", "SigmaTrim", "TargetEncode", "ZScoreLog", "add_null", "band_lookup", "best_model",
-    "binary_metrics", "by_class", "cardinality_profile", "cast_numeric", "class_items", "column_modes",
+    "binary_metrics", "by_class", "cardinality_profile", "cast_numeric", "class_items", "column_modes", "compare_models",
     "cross_validate", "drop_columns", "exact_split", "exact_test_flag", "feature_matrix", "final_test",
     "fit_recipe", "fold_accuracy", "hash_folds", "hash_split", "invalidate", "key_grid", "list_items",
     "list_tail", "log1p_columns", "log_abs_columns", "lookup", "mean_fold_accuracy", "metrics_long",

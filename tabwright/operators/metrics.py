@@ -24,19 +24,39 @@ def _f1(precision: Column, recall: Column) -> Column:
     return _ratio(F.lit(2.0) * precision * recall, precision + recall)
 
 
-def binary_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row (precision, recall, f1_score) with 1 as the positive class."""
+def _hits(label: str, prediction: str) -> dict[str, Column]:
     hit, said = F.col(label) == 1, F.col(prediction) == 1
-    counts = df.agg(
-        F.count_if(hit & said).alias("tp"), F.count_if(~hit & said).alias("fp"),
-        F.count_if(hit & ~said).alias("fn"),
-    )
+    return {"tp": F.count_if(hit & said), "fp": F.count_if(~hit & said), "fn": F.count_if(hit & ~said)}
+
+
+def _binary_scores(counts: DataFrame, *keep: str) -> DataFrame:
     return counts.select(
+        *keep,
         _ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         _ratio(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"),
     ).withColumn("f1_score", _f1(F.col("precision"), F.col("recall")))
 
 
+def binary_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """One row (precision, recall, f1_score) with 1 as the positive class."""
+    return _binary_scores(df.agg(*[c.alias(name) for name, c in _hits(label, prediction).items()]))
+
+
+def compare_models(df: DataFrame, label: str, predictions: dict[str, str]) -> DataFrame:
+    """(model, branch, metric, value) for several models' prediction columns, from one pass.
+
+    ``predictions`` maps a model's name, which tells its branch, to its column.
+    """
+    hits = {m: _hits(label, column) for m, column in predictions.items()}
+    counted = df.agg(*[c.alias(f"{i}:{n}") for i, m in enumerate(hits) for n, c in hits[m].items()])
+    rows = F.array(*[
+        F.struct(F.lit(m).alias("model"), *[F.col(f"{i}:{n}").alias(n) for n in hits[m]]) for i, m in enumerate(hits)
+    ])
+    scores = _binary_scores(counted.select(F.inline(rows)), "model")
+    long = scores.unpivot("model", ["precision", "recall", "f1_score"], "metric", "value")
+    return long.select("model", route(F.col("model")).alias("branch"), "metric", "value")
+
+
 def weighted_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """One row (precision, recall, f1_score): the per-class scores weighted by class size.
 

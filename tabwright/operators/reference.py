@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tabwright.functions import average_rates, hash01, nan_to_null, scale_by_ratio
 from tabwright.sources.durable import SMALL_ROWS, pin_small
 
+NESTED_BANDS = 64  # most bands that every row is compared with
 CELLS = 4096  # groups of neighbouring bands, where the bands are too many to broadcast
 
 
@@ -41,15 +42,15 @@ def band_lookup(
 ) -> DataFrame:
     """Left join on ``lo <= value < hi``; a NULL ``hi`` is open. Bands must not overlap.
 
-    Few bands (at most ``small_rows``) are broadcast and compared directly. More are cut into cells that
-    hold about equally many of them, so that a row meets only the bands of its cell in an equi-join
-    whose hot cells adaptive execution splits.
+    Up to ``NESTED_BANDS`` are broadcast and compared with every row. More are cut into cells that hold
+    about equally many of them, so that a row meets only the bands of its cell. That is an equi-join:
+    broadcast up to ``small_rows`` bands, beyond that a shuffle whose hot cells adaptive execution splits.
     """
     side, rows = pin_small(bands.withColumns({c: F.col(c).cast("double") for c in ("lo", "hi")}), small_rows)
     side = side.withColumnsRenamed({"lo": "__lo", "hi": "__hi"})
     x = F.col(value).cast("double")
     inside = (x >= F.col("__lo")) & (F.col("__hi").isNull() | (x < F.col("__hi")))
-    if rows is not None:
+    if rows is not None and len(rows) <= NESTED_BANDS:
         return df.join(F.broadcast(side), inside, "left").drop("__lo", "__hi")
 
     starts = side.approxQuantile("__lo", [i / CELLS for i in range(1, CELLS)], 0.2 / CELLS)
@@ -64,7 +65,7 @@ def band_lookup(
         "__cell", F.explode(F.sequence("__first", "__last"))
     ).drop("__first", "__last")
     keyed = with_cell(df, nan_to_null(x), "__at")
-    joined = keyed.join(pieces, (F.col("__at") == F.col("__cell")) & inside, "left")
+    joined = keyed.join(F.broadcast(pieces) if rows is not None else pieces, (F.col("__at") == F.col("__cell")) & inside, "left")
     return joined.drop("__lo", "__hi", "__cell", "__at")
 
 

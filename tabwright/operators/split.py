@@ -116,11 +116,11 @@ def stratified_folds(
         return sorted({size * i + min(i, extra) for i in range(1, k)} - {0})
 
     hashed = df.select(F.col(label).alias("group"), keyed_md5(seed, *key).alias("hash"))
-    digest = keyed_md5(seed, *key)
+    digest = F.col("__digest")  # a column of its own: hashed once per row, compared with many cuts
     fold = F.lit(None).cast("int")
     for group, cuts in _cut_hashes(hashed, ends).items():
         above = F.lit(0)
         for h in cuts.values():
             above = above + F.when(digest > F.lit(h), 1).otherwise(0)
         fold = F.when(F.col(label).eqNullSafe(F.lit(group)), above).otherwise(fold)
-    return df.withColumn(out, fold.cast("int"))
+    return df.withColumn("__digest", keyed_md5(seed, *key)).withColumn(out, fold.cast("int")).drop("__digest")

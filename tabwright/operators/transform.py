@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,17 @@ def log_abs_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     ])
 
 
+class LogAbs(Transformer):
+    """``log_abs_columns`` as a stage."""
+
+    def __init__(self, cols: list[str]):
+        super().__init__()
+        self.cols = list(cols)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return log_abs_columns(df, self.cols)
+
+
 def log1p_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.log1p(c) for c in cols})
 

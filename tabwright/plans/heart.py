@@ -7,15 +7,16 @@ a table.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import replace
 
-from pyspark.ml import Model, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright import operators as op
 from tabwright.functions import clamp, to_double
 from tabwright.operators.train import RECIPES, Recipe
+from tabwright.plans import clean
 from tabwright.plans.rates import smoking_rates
 from tabwright.sources import (
     Tables, materialise, read_best, read_metrics, run_step, write_best, write_metrics,
@@ -28,6 +29,7 @@ KEY = "patient_key"
 # The roles of the patient columns.
 NUMERIC = "age trestbps chol thaldur thalach thalrest tpeakbps tpeakbpd dummy trestbpd oldpeak".split()
 CATEGORICAL = "sex cp htn restecg ekgmo ekgday ekgyr dig prop nitr pro diuretic exang xhypo cmo cday cyr".split()
+ROLES = clean.Roles(LABEL, KEY, NUMERIC, CATEGORICAL)
 
 # The columns of the second branch, what is impossible in them, and how each is filled.
 SELECTED = (
@@ -87,16 +89,8 @@ def numbers(patients: DataFrame) -> DataFrame:
 
 
 def fit_clean(patients: DataFrame) -> PipelineModel:
-    """Learn the first branch's cleaning: fill or drop gappy columns, trim outliers, encode categories."""
-    df = numbers(patients)
-    columns = [c for c in df.columns if c not in (KEY, LABEL)]
-    impute = op.Impute(
-        {c: "mean" if c in NUMERIC else "mode" for c in columns}, fill_under=0.1, drop_over=0.1
-    ).fit(df)
-    filled = materialise(impute.transform(df))
-    trim = op.SigmaTrim(NUMERIC, 2.0).fit(filled)
-    encode = op.TargetEncode(CATEGORICAL, LABEL).fit(trim.transform(filled))
-    return PipelineModel([impute, trim, encode])
+    """Learn the first branch's cleaning."""
+    return clean.fit_clean(numbers(patients), ROLES)
 
 
 def clean_tabular(patients: DataFrame, model: PipelineModel | None = None) -> DataFrame:
@@ -104,30 +98,11 @@ def clean_tabular(patients: DataFrame, model: PipelineModel | None = None) -> Da
     return (model or fit_clean(patients)).transform(numbers(patients))
 
 
-@dataclass(frozen=True)
-class Features:
-    """Fitted transforms of the first and third branch; oldpeak to its log, chol to its z-score's log."""
-
-    zscore: Model
-
-    @classmethod
-    def fit(cls, train: DataFrame, drop_source: bool = True) -> Features:
-        present = [c for c in ["chol"] if c in train.columns]
-        return cls(op.ZScoreLog(present, drop_source).fit(train)) if present else cls(PipelineModel([]))
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.zscore.transform(op.log_abs_columns(df, ["oldpeak"]))
-
-
 def split_and_transform(
-    clean: DataFrame, drop_source: bool = True, refit_test: bool = False, seed: int = 42
+    table: DataFrame, drop_source: bool = True, refit_test: bool = False, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test) features. The test rows use what was learned on the train rows, or with
-    ``refit_test`` their own mean and deviation."""
-    train, test = op.exact_split(clean, [KEY], 0.2, seed)
-    features = Features.fit(train, drop_source)
-    tested = Features.fit(test, drop_source) if refit_test else features
-    return features.transform(train), tested.transform(test)
+    """(train, test) features of the first and third branch; see ``clean.split_and_transform``."""
+    return clean.split_and_transform(table, [KEY], ["oldpeak"], ["chol"], drop_source, refit_test, seed)
 
 
 def clean_selected(patients: DataFrame) -> DataFrame:
@@ -138,16 +113,16 @@ def clean_selected(patients: DataFrame) -> DataFrame:
     return op.Impute(FILLED, prefix="imp_").fit(df).transform(df)
 
 
-def split_selected(clean: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def split_selected(table: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(train, test) of the second branch, both with the logged columns."""
-    train, test = op.hash_split(clean, [KEY], 0.8, seed)
+    train, test = op.hash_split(table, [KEY], 0.8, seed)
     return op.log1p_columns(train, LOGGED), op.log1p_columns(test, LOGGED)
 
 
-def merge_smoking(clean: DataFrame, rates: DataFrame, seed: int = 7) -> DataFrame:
+def merge_smoking(table: DataFrame, rates: DataFrame, seed: int = 7) -> DataFrame:
     """The clean table with a ``smoke`` column drawn from the rate for a patient's sex and age; above 75 counts as 75."""
     on = {"sex": F.col("sex").cast("int"), "age": clamp(F.col("age"), 75)}
-    return op.prob_impute(clean.drop("smoke"), rates, on, [KEY], seed)
+    return op.prob_impute(table.drop("smoke"), rates, on, [KEY], seed)
 
 
 def trainable(recipe: Recipe, df: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -191,16 +166,16 @@ def run(
     tables.write({RAW: ingest(raw, key), RATES: smoking_rates(*pages, documented=documented)})
     run_step(tables, RAW, lambda df: {CLEAN: clean_tabular(df), SPARK_CLEAN: clean_selected(df)})
 
-    def first_branch(clean: DataFrame) -> dict[str, DataFrame]:
-        train, test = split_and_transform(clean)
+    def first_branch(table: DataFrame) -> dict[str, DataFrame]:
+        train, test = split_and_transform(table)
         return {TRAIN: train, TEST: test}
 
-    def third_branch(clean: DataFrame, rates: DataFrame) -> dict[str, DataFrame]:
-        train, test = split_and_transform(merge_smoking(clean, rates))
+    def third_branch(table: DataFrame, rates: DataFrame) -> dict[str, DataFrame]:
+        train, test = split_and_transform(materialise(merge_smoking(table, rates)))
         return {MERGED: train, MERGED_TEST: test}
 
-    def second_branch(clean: DataFrame) -> dict[str, DataFrame]:
-        train, test = split_selected(clean)
+    def second_branch(table: DataFrame) -> dict[str, DataFrame]:
+        train, test = split_selected(table)
         return {SPARK_TRAIN: train, SPARK_TEST: test}
 
     run_step(tables, CLEAN, first_branch)

@@ -95,6 +95,19 @@ ITEMS = """items AS (
       lambda x: replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&amp;', '&')) AS items
   FROM pages)"""
 
+FIRST_LIST = """l AS (SELECT page_id, regexp_extract(html, '(?s)<ul[^>]*>(.*?)</ul>', 1) AS html FROM pages),
+items AS (
+  SELECT page_id, list_transform(
+      regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1),
+      lambda x: replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&amp;', '&')) AS items
+  FROM l)"""
+
+
+def _trimmed(source: str, target: str, col: str) -> str:
+    stats = f"(SELECT avg({col}) {{}} 1.6 * stddev_samp({col}) FROM {source})"
+    return f"{target} AS (SELECT * FROM {source} WHERE {col} BETWEEN {stats.format('-')} AND {stats.format('+')})"
+
+
 ORACLES = {
     "table_scan": "SELECT * FROM nation",
     "multi_table_step": """
@@ -165,11 +178,32 @@ ORACLES = {
                  l_linenumber AS line FROM gappy)
         SELECT l_orderkey, l_linenumber, label, cheap, {_target("line")}, {_target("l_quantity")},
                {_target("flag")} FROM d""",
-    "text_slice": """
-        SELECT doc_id, substr(text, 4, 5) AS part, substr(text, 11, 2) || '+' AS open_band FROM documents""",
     "feature_matrix": """
         SELECT l_orderkey, l_linenumber, (l_returnflag = 'R')::int AS label, round(l_quantity, 4) AS f0,
                round(l_extendedprice, 4) AS f1, round(l_discount, 4) AS f2 FROM lineitem""",
+    "clean_table": f"""
+        WITH d AS (
+          SELECT o_orderkey, o_orderpriority AS priority, (o_orderstatus = 'F')::int AS target,
+                 CASE WHEN o_totalprice <= 480000 THEN o_totalprice END AS price,
+                 ((year(o_orderdate) - 1992) * 12 + month(o_orderdate))::double AS months,
+                 nullif(c_nationkey, 7) AS nation, CASE WHEN c_acctbal >= -500 THEN c_acctbal END AS balance
+          FROM orders JOIN customer ON o_custkey = c_custkey),
+        filled AS (
+          SELECT o_orderkey, priority, target, months, coalesce(price, (SELECT avg(price) FROM d)) AS price,
+                 coalesce(balance, (SELECT avg(balance) FROM d)) AS balance,
+                 coalesce(nation, {_mode("nation", "d")}) AS nation FROM d),
+        {_trimmed("filled", "t1", "price")}, {_trimmed("t1", "t2", "balance")}, {_trimmed("t2", "t3", "months")}
+        SELECT o_orderkey, target, months, round(price, 6) AS price, round(balance, 6) AS balance,
+               round(avg(target) OVER (PARTITION BY priority), 6) AS priority_target,
+               round(avg(target) OVER (PARTITION BY nation), 6) AS nation_target FROM t3""",
+    "split_features": f"""
+        WITH r AS (
+          SELECT o_orderkey, o_totalprice, CASE WHEN row_number() OVER (ORDER BY {_md5(42, "o_orderkey")})
+                 <= ceil(0.2 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS part FROM orders),
+        s AS (SELECT avg(o_totalprice) m, stddev_samp(o_totalprice) s FROM r WHERE part = 'train')
+        SELECT o_orderkey, o_totalprice, part, round(ln(abs(o_totalprice) + 1), 6) AS log_price,
+               round((o_totalprice - m) / s, 6) AS o_totalprice_z,
+               round(ln(abs((o_totalprice - m) / s) + 1), 6) AS o_totalprice_z_log FROM r, s""",
     "lookup_join": f"""
         WITH {AGED}, rates AS (
           SELECT sex, months AS age, round(avg((l_returnflag = 'R')::int) * 100, 6) AS smoke_rate
@@ -198,14 +232,16 @@ ORACLES = {
     "html_items": f"""
         WITH {ITEMS}
         SELECT page_id, (generate_subscripts(items, 1) - 1)::int AS idx, unnest(items) AS item FROM items""",
-    "html_first_list": """
-        WITH l AS (SELECT page_id, regexp_extract(html, '(?s)<ul[^>]*>(.*?)</ul>', 1) AS html FROM pages),
-        items AS (
-          SELECT page_id, list_transform(
-              regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1),
-              lambda x: replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&amp;', '&')) AS items
-          FROM l)
+    "html_first_list": f"""
+        WITH {FIRST_LIST}
         SELECT page_id, (generate_subscripts(items, 1) - 1)::int AS idx, unnest(items) AS item FROM items""",
+    "text_slice": f"""
+        WITH {FIRST_LIST}, i AS (
+          SELECT page_id, (generate_subscripts(items, 1) - 1)::int AS idx, unnest(items) AS t FROM items)
+        SELECT page_id, idx,
+               CASE idx WHEN 0 THEN substr(t, 1, 3) WHEN 1 THEN substr(t, 2, 3) ELSE substr(t, 1, 2) || '+' END AS key,
+               CASE idx WHEN 0 THEN substr(t, 4, 3) WHEN 1 THEN substr(t, 1, 2) ELSE substr(t, 3, 7) END AS value
+        FROM i""",
     "html_by_class": """
         WITH t AS (
           SELECT page_id, list_transform(

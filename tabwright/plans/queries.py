@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright import operators as op
-from tabwright.functions import average_rates, clamp, hash01, list_slice, number_in, text_slice, to_double
-from tabwright.plans.rates import BANDS_AS_CODED, bands_frame, with_rates
+from tabwright.functions import average_rates, clamp, hash01, list_slice, number_in, to_double
+from tabwright.plans import clean
+from tabwright.plans.rates import BANDS_AS_CODED, bands_frame, sliced_items, with_rates
 from tabwright.sources import read_parquet_table
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -38,11 +39,12 @@ def table_scan(spark, folder):
 
 def multi_table_step(spark, folder):
     def step(orders, customers):
-        joined = orders.join(customers, orders.o_custkey == customers.c_custkey)
-        spent = joined.groupBy("c_mktsegment", "o_orderstatus").agg(
-            F.count(F.lit(1)).alias("n_orders"), F.round(F.avg("o_totalprice"), 4).alias("mean_price"),
-        )
-        return {"spent": spent}
+        # per customer first, so that a customer with very many orders crosses the join as three rows
+        spent = orders.groupBy("o_custkey", "o_orderstatus").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("price"))
+        joined = spent.join(customers, spent.o_custkey == customers.c_custkey)
+        return {"spent": joined.groupBy("c_mktsegment", "o_orderstatus").agg(
+            F.sum("n").alias("n_orders"), F.round(F.sum("price") / F.sum("n"), 4).alias("mean_price"))}
     frames = [_read(spark, folder, t) for t in ("orders", "customer")]
     return step(*frames)["spent"]
 
@@ -156,12 +158,6 @@ def target_encode(spark, folder):
     return _rounded(out, 6, "line_target", "l_quantity_target", "flag_target")
 
 
-def text_slice_query(spark, folder):
-    text = F.col("text")
-    return _read(spark, folder, "documents", "doc_id", text_slice(text, 3, 8).alias("part"),
-                 text_slice(text, 10, 12, "+").alias("open_band"))
-
-
 def feature_matrix(spark, folder):
     df = _read(spark, folder, "lineitem", "l_orderkey", "l_linenumber", *MEASURES,
                _flag(F.col("l_returnflag") == "R").alias("label"))
@@ -171,6 +167,35 @@ def feature_matrix(spark, folder):
     )
 
 
+def _gappy_orders(spark, folder) -> DataFrame:
+    """Orders with their customer: three columns with few gaps, one with many, one without."""
+    orders = _read(
+        spark, folder, "orders", "o_orderkey", "o_custkey", F.nullif("o_orderpriority", F.lit("?")).alias("priority"),
+        F.when(F.col("o_totalprice") <= 480000, F.col("o_totalprice")).alias("price"),
+        ((F.year("o_orderdate") - 1992) * 12 + F.month("o_orderdate")).cast("double").alias("months"),
+        _flag(F.col("o_orderstatus") == "F").alias("target"),
+    )
+    customers = _read(
+        spark, folder, "customer", "c_custkey", F.nullif("c_nationkey", F.lit(7)).alias("nation"),
+        F.when(F.col("c_acctbal") >= -500, F.col("c_acctbal")).alias("balance"),
+        F.when(~F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), F.col("c_mktsegment")).alias("segment"),
+    )
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey", "c_custkey")
+
+
+def clean_table(spark, folder):
+    roles = clean.Roles("target", "o_orderkey", ["price", "balance", "months"], ["priority", "nation", "segment"])
+    df = _gappy_orders(spark, folder)
+    out = clean.fit_clean(df, roles, k=1.6).transform(df)
+    return _rounded(out, 6, "price", "balance", "nation_target", "priority_target")
+
+
+def split_features(spark, folder):
+    df = _read(spark, folder, "orders", "o_orderkey", "o_totalprice", F.col("o_totalprice").alias("price"))
+    parts = clean.split_and_transform(df, ["o_orderkey"], ["price"], ["o_totalprice"], drop_source=False)
+    return _rounded(clean.reunited(*parts), 6, "log_price", "o_totalprice_z", "o_totalprice_z_log")
+
+
 # --- lookups and rates ------------------------------------------------------------------------
 
 def _priority_rates(spark, folder) -> DataFrame:
@@ -250,6 +275,12 @@ def html_first_list(spark, folder):
     return op.list_items(_read(spark, folder, "pages", "page_id", "html"), 0)
 
 
+def text_slice_query(spark, folder):
+    """Every page's first list, its items cut at offsets that depend on their position."""
+    slices = [(0, 3, "", 3, 6), (1, 4, "", 0, 2), (0, 2, "+", 2, 9)]
+    return sliced_items(_read(spark, folder, "pages", "page_id", "html"), 0, slices)
+
+
 def html_by_class(spark, folder):
     return op.class_items(_read(spark, folder, "pages", "page_id", "html"), "div", "ad")
 
@@ -330,20 +361,15 @@ def fold_accuracy(spark, folder):
     return _rounded(each.crossJoin(F.broadcast(mean)), 6, "accuracy", "mean_accuracy")
 
 
-RULES = {"by_discount": "rule_sklearn", "by_quantity": "rule_scrape", "never": "rule_spark"}
+RULES = {"rule_sklearn": "by_discount", "rule_scrape": "by_quantity", "rule_spark": "never"}
 
 
 def metrics_long(spark, folder):
-    lines = _judged_lines(spark, folder)
-    frames = [
-        op.metrics_long(op.binary_metrics(lines, "label", rule), model, model.split("_")[1])
-        for rule, model in RULES.items()
-    ]
-    return _rounded(op.stack(frames), 6, "value")
+    return _rounded(op.compare_models(_judged_lines(spark, folder), "label", RULES), 6, "value")
 
 
 def best_model(spark, folder):
-    return op.best_model(metrics_long(spark, folder), list(RULES.values()))
+    return op.best_model(metrics_long(spark, folder), list(RULES))
 
 
 # --- training ---------------------------------------------------------------------------------
@@ -401,6 +427,7 @@ QUERIES = {
     "impute_mean": impute_mean, "impute_mode": impute_mode, "invalidate_impute": invalidate_impute,
     "log_abs": log_abs_query, "zscore_log": zscore_log, "log1p_columns": log1p_columns,
     "target_encode": target_encode, "text_slice": text_slice_query, "feature_matrix": feature_matrix,
+    "clean_table": clean_table, "split_features": split_features,
     "lookup_join": lookup_join, "prob_impute": prob_impute, "band_lookup": band_lookup, "rate_grid": rate_grid,
     "html_items": html_items, "html_first_list": html_first_list, "html_by_class": html_by_class,
     "html_list_tail": html_list_tail, "html_table_rows": html_table_rows,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions import list_slice, number_in, text_slice
 from tabwright.operators.extract import by_class, page_lists, table_rows
-from tabwright.operators.lookup import key_grid, rate_grid
+from tabwright.operators.reference import key_grid, rate_grid
 
 # Age bands (from, to - exclusive, rate index in source 1, rate index in source 2).
 # Ages 24, 34, 44, 54, 64, 74 and everything below 18 fall between the bands and get rate 0.

@@ -22,17 +22,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/tabwright-{spark.sparkContext.applicationId}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """The frame written once as parquet in the shared folder and read back.
 
     Later scans prune columns and push filters into the copy, and a lost executor re-reads a file
-    instead of re-running the steps that led here.
+    instead of re-running the steps that led here. ``discard`` removes the copies.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/tabwright/{uuid.uuid4().hex}"
+    path = f"{_own_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession) -> None:
+    """Delete everything ``materialise`` wrote in this application; its frames are unusable after."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, list[dict] | None]:
     """(frame, rows): a local copy and its rows if it has at most ``max_rows``, else (a table, None).
 

@@ -26,6 +26,11 @@ def read_jdbc(
     )
 
 
+def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
+    """Replace a database table, one connection per partition."""
+    df.write.jdbc(url=url, table=table, mode="overwrite", properties=properties or {})
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """One CSV file per partition with a header; an earlier export is replaced."""
     df.write.mode("overwrite").option("header", True).csv(path)

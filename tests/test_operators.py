@@ -265,8 +265,9 @@ def test_prob_impute_extremes(spark):
     assert means[0] == 0 and means[1] == 1 and 0.1 < means[2] < 0.5 and means[3] is None
 
 
-@pytest.mark.parametrize("small_rows", [100, 2])
-def test_band_lookup(spark, small_rows):
+@pytest.mark.parametrize("nested, small_rows", [(64, 100), (2, 100), (2, 2)])
+def test_band_lookup(spark, nested, small_rows, monkeypatch):
+    monkeypatch.setattr("tabwright.operators.reference.NESTED_BANDS", nested)
     bands = spark.createDataFrame([(18, 24, 1), (25, 34, 2), (34, 60, 3), (75, None, 4)], "lo int, hi int, b int")
     xs = [17.9, 18.0, 23.9, 24.0, 25.0, 33.0, 34.0, 59.0, 60.0, 75.0, 1e6, None, float("nan")]
     out = op.band_lookup(spark.createDataFrame([(x,) for x in xs], "x double"), bands, "x", small_rows)
@@ -278,10 +279,11 @@ def test_band_lookup(spark, small_rows):
     assert [b for x, b in got if x is None] == [None]
 
 
-def test_many_bands(spark):
+@pytest.mark.parametrize("small_rows", [10_000, 10])
+def test_many_bands(spark, small_rows):
     bands = spark.range(3000).selectExpr("id * 2 as lo", "id * 2 + 1 as hi", "id as b")
     df = spark.range(7000).selectExpr("cast(id as double) as x")
-    out = op.band_lookup(df, bands, "x", 10)
+    out = op.band_lookup(df, bands, "x", small_rows)
     assert out.count() == 7000
     assert out.filter("b = x / 2").count() == 3000 and out.filter("b is not null").count() == 3000
 
@@ -370,6 +372,15 @@ def test_metrics_without_positives(spark):
     assert tuple(op.binary_metrics(df, "label", "prediction").first()) == (0.0, 0.0, 0.0)
 
 
+def test_compare_models_equals_one_by_one(spark):
+    df = judged(spark).withColumn("never", F.lit(0))
+    got = {(r["model"], r["metric"]): r["value"] for r in op.compare_models(
+        df, "label", {"x_sklearn": "prediction", "y_spark": "never"}).collect()}
+    for model, column in (("x_sklearn", "prediction"), ("y_spark", "never")):
+        for metric, value in op.binary_metrics(df, "label", column).first().asDict().items():
+            assert got[model, metric] == value
+
+
 def test_best_model_ties_and_routes(spark):
     rows = [("b_spark", "spark", "f1_score", 0.5), ("a_sklearn", "sklearn", "f1_score", 0.5),
             ("c_scrape", "scrape", "f1_score", 0.4), ("c_scrape", "scrape", "recall", 0.9)]

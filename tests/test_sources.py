@@ -93,3 +93,12 @@ def test_pin_small(spark):
     assert len(rows) == 5 and local.count() == 5
     stored, none = durable.pin_small(spark.range(6), 5)
     assert none is None and stored.count() == 6 and stored.inputFiles()
+
+
+def test_discard_removes_the_copies(spark):
+    import glob
+    durable.materialise(spark.range(3))
+    folder = f"{spark.conf.get('spark.checkpoint.dir')}/tabwright-*"
+    assert glob.glob(folder)
+    durable.discard(spark)
+    assert not glob.glob(folder)
