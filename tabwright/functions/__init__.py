@@ -4,12 +4,12 @@ from tabwright.functions.columns import (
     average_rates,
     blank_to_null,
     clamp,
-    is_missing,
     list_slice,
     log_abs,
     nan_to_null,
     number_in,
     outside,
+    present,
     scale_by_ratio,
     text_slice,
     to_double,
@@ -17,6 +17,6 @@ from tabwright.functions.columns import (
 from tabwright.functions.keyed import hash01, keyed_md5
 
 __all__ = [
-    "average_rates", "blank_to_null", "clamp", "hash01", "is_missing", "keyed_md5", "list_slice",
-    "log_abs", "nan_to_null", "number_in", "outside", "scale_by_ratio", "text_slice", "to_double",
+    "average_rates", "blank_to_null", "clamp", "hash01", "keyed_md5", "list_slice",
+    "log_abs", "nan_to_null", "number_in", "outside", "present", "scale_by_ratio", "text_slice", "to_double",
 ]

@@ -24,14 +24,12 @@ def to_double(c: Column) -> Column:
     return nan_to_null(c.try_cast("double"))
 
 
-def is_missing(name: str, dtype: T.DataType) -> Column:
-    """True for NULL, and for NaN or blanks where the type allows them."""
-    c = F.col(name)
+def present(name: str, dtype: T.DataType) -> Column:
+    """The column with NaN or blanks, where its type allows them, as NULL."""
+    c = F.col(f"`{name}`")
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return c.isNull() | F.isnan(c)
-    if isinstance(dtype, T.StringType):
-        return c.isNull() | (F.trim(c) == "")
-    return c.isNull()
+        return F.nanvl(c, F.lit(None).cast(dtype))
+    return blank_to_null(c) if isinstance(dtype, T.StringType) else c
 
 
 def outside(c: Column, below: float | None = None, above: float | None = None) -> Column:

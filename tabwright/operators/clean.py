@@ -6,7 +6,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions import is_missing, outside, to_double
+from tabwright.functions import outside, present, to_double
 from tabwright.operators.profile import missing_profile
 
 
@@ -29,7 +29,7 @@ def drop_columns(df: DataFrame, cols: list[str]) -> DataFrame:
 def require(df: DataFrame, *cols: str) -> DataFrame:
     """Rows in which every given column is present (not NULL, NaN or blank)."""
     for c in cols:
-        df = df.filter(~is_missing(c, df.schema[c].dataType))
+        df = df.filter(present(c, df.schema[c].dataType).isNotNull())
     return df
 
 

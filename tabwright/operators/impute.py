@@ -6,7 +6,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions import is_missing
+from tabwright.functions import present
 from tabwright.operators.profile import column_modes
 
 
@@ -38,7 +38,7 @@ class Impute(Estimator):
     def _fit(self, df: DataFrame) -> ImputeModel:
         aggs = [F.count(F.lit(1)).alias("rows")]
         for c, strategy in self.strategies.items():
-            x = F.when(~is_missing(c, df.schema[c].dataType), F.col(c))
+            x = present(c, df.schema[c].dataType)
             aggs.append(F.count(x).alias(f"n:{c}"))
             if strategy == "mean":
                 aggs.append(F.avg(x).alias(f"v:{c}"))
@@ -70,10 +70,8 @@ class ImputeModel(Model):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         def filled(c: str):
-            present = F.when(~is_missing(c, df.schema[c].dataType), F.col(c))
-            fill = self.fills[c]
+            dtype, fill = df.schema[c].dataType, self.fills[c]
             if fill is None:
-                return present
-            same = self.kinds[c] == "mode"
-            return F.coalesce(present, F.lit(fill).cast(df.schema[c].dataType) if same else F.lit(fill))
+                return present(c, dtype)
+            return F.coalesce(present(c, dtype), F.lit(fill).cast(dtype) if self.kinds[c] == "mode" else F.lit(fill))
         return df.withColumns({self.prefix + c: filled(c) for c in self.fills}).drop(*self.dropped)

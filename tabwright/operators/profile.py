@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.functions import is_missing
+from tabwright.functions import present
 
 
 def _one_row_per_column(df: DataFrame, cols: list[str], stats: Callable[[str], dict[str, Column]]) -> DataFrame:
@@ -29,7 +29,7 @@ def _one_row_per_column(df: DataFrame, cols: list[str], stats: Callable[[str], d
 
 
 def _missing_count(df: DataFrame, name: str) -> Column:
-    return F.count_if(is_missing(name, df.schema[name].dataType))
+    return F.count_if(present(name, df.schema[name].dataType).isNull())
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -48,7 +48,7 @@ def missing_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def numeric_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """(col_name, n, mean, sd) per column, missing values skipped, sample standard deviation."""
     def stats(c: str) -> dict[str, Column]:
-        x = F.when(~is_missing(c, df.schema[c].dataType), F.col(c))
+        x = present(c, df.schema[c].dataType)
         return {"n": F.count(x), "mean": F.avg(x), "sd": F.stddev_samp(x)}
     return _one_row_per_column(df, list(cols), stats)
 
@@ -56,7 +56,7 @@ def numeric_profile(df: DataFrame, cols: list[str]) -> DataFrame:
 def skew_profile(df: DataFrame, cols: list[str], cutoff: float = 0.5) -> DataFrame:
     """(col_name, n, skewness, is_skewed): bias-corrected skewness; NULL below three values."""
     def stats(c: str) -> dict[str, Column]:
-        x = F.when(~is_missing(c, df.schema[c].dataType), F.col(c))
+        x = present(c, df.schema[c].dataType)
         return {"n": F.count(x), "biased": F.skewness(x)}
     n = F.col("n").cast("double")
     correction = F.when(n >= 3, F.sqrt(n * (n - 1)) / (n - 2))
@@ -79,7 +79,7 @@ def value_kind(dtype: T.DataType) -> str:
 def typed_value(df: DataFrame, name: str) -> Column:
     """A column as its kind's type, with every way of missing as NULL."""
     dtype = df.schema[name].dataType
-    return F.when(~is_missing(name, dtype), F.col(name).cast(KINDS[value_kind(dtype)]))
+    return present(name, dtype).cast(KINDS[value_kind(dtype)])
 
 
 def value_groups(df: DataFrame, cols: list[str], label: str | None = None) -> DataFrame:

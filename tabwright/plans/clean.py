@@ -23,18 +23,22 @@ class Roles:
     categorical: list[str]
 
 
-def fit_clean(df: DataFrame, roles: Roles, limit: float = 0.1, k: float = 2.0) -> PipelineModel:
+def fit_clean(
+    df: DataFrame, roles: Roles, limit: float = 0.1, k: float = 2.0
+) -> tuple[PipelineModel, DataFrame]:
     """Learn to fill columns with few gaps, drop those with many, trim outliers and encode categories.
 
-    The filled table is written once: each pass of the trimming then reads only the columns it needs.
+    Returns what was learned, for other rows, and the cleaned table. The filled table is written once:
+    each pass of the trimming, and the cleaned table, read only the columns and rows they need of it.
     """
     columns = [c for c in df.columns if c not in (roles.key, roles.label)]
     strategies = {c: "mean" if c in roles.numeric else "mode" for c in columns}
     impute = op.Impute(strategies, fill_under=limit, drop_over=limit).fit(df)
     filled = materialise(impute.transform(df))
     trim = op.SigmaTrim(roles.numeric, k).fit(filled)
-    encode = op.TargetEncode(roles.categorical, roles.label).fit(trim.transform(filled))
-    return PipelineModel([impute, trim, encode])
+    trimmed = trim.transform(filled)
+    encode = op.TargetEncode(roles.categorical, roles.label).fit(trimmed)
+    return PipelineModel([impute, trim, encode]), encode.transform(trimmed)
 
 
 def fit_features(train: DataFrame, logged: list[str], scored: list[str], drop_source: bool = True) -> PipelineModel:

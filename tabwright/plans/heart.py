@@ -88,14 +88,14 @@ def numbers(patients: DataFrame) -> DataFrame:
     return op.cast_numeric(patients, [c for c in patients.columns if c != KEY])
 
 
-def fit_clean(patients: DataFrame) -> PipelineModel:
-    """Learn the first branch's cleaning."""
+def fit_clean(patients: DataFrame) -> tuple[PipelineModel, DataFrame]:
+    """(what was learned, first branch's clean table)."""
     return clean.fit_clean(numbers(patients), ROLES)
 
 
 def clean_tabular(patients: DataFrame, model: PipelineModel | None = None) -> DataFrame:
-    """First branch's clean table; ``model`` learned on other rows avoids looking at these labels."""
-    return (model or fit_clean(patients)).transform(numbers(patients))
+    """First branch's clean table; a ``model`` learned on other rows avoids looking at these labels."""
+    return fit_clean(patients)[1] if model is None else model.transform(numbers(patients))
 
 
 def split_and_transform(

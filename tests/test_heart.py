@@ -85,10 +85,12 @@ def test_clean_tabular_equals_pandas(ingested, frame):
 
 def test_clean_can_learn_on_train_rows_only(ingested):
     train, test = op.hash_split(ingested, [heart.KEY])
-    model = heart.fit_clean(train)
+    model, table = heart.fit_clean(train)
     cleaned = heart.clean_tabular(test, model)
     assert 0 < cleaned.count() < test.count()
-    assert cleaned.columns == heart.clean_tabular(train, model).columns
+    again = heart.clean_tabular(train, model)
+    assert cleaned.columns == table.columns == again.columns
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, table.collect()))
 
 
 def test_features(ingested):

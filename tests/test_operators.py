@@ -207,12 +207,20 @@ def test_target_encode_missing_category(spark):
     assert values(op.TargetEncode(["k"], "y").fit(df).transform(new)) == [(1, None)]
 
 
-def test_target_encode_with_many_categories(spark):
-    df = spark.range(400).selectExpr("id % 97 as a", "cast(id % 4 as string) as b", "cast(id % 3 = 0 as int) as y", "id")
-    small = op.TargetEncode(["a", "b"], "y").fit(df).transform(df)
-    large = op.TargetEncode(["a", "b"], "y", small_rows=10).fit(df)
-    assert [fits for _, fits in large.means.values()] == [False, True]
-    assert sorted(values(large.transform(df))) == sorted(values(small))
+@pytest.mark.parametrize("literal_rows, small_rows, literal, joined", [
+    (1000, 1000, ["a", "b"], {}), (10, 1000, ["b"], {"a": True}), (2, 10, [], {"a": False, "b": True}),
+    (10, 10, ["b"], {"a": False}),
+])
+def test_target_encode_by_size(spark, literal_rows, small_rows, literal, joined):
+    df = spark.range(400).selectExpr(
+        "cast(id % 97 as double) as a", "nullif(cast(id % 4 as string), '2') as b", "cast(id % 3 = 0 as int) as y", "id")
+    model = op.TargetEncode(["a", "b"], "y", 3, literal_rows, small_rows).fit(df)
+    assert list(model.literal) == literal and {c: small for c, (_, small) in model.joined.items()} == joined
+    from pyspark.sql import Window
+    means = [F.avg("y").over(Window.partitionBy(c)) for c in ("a", "b")]
+    want = df.select("y", "id", means[0], F.when(F.col("b").isNotNull(), means[1]))
+    assert sorted(values(model.transform(df))) == [
+        tuple(pytest.approx(x) if isinstance(x, float) else x for x in r) for r in sorted(map(tuple, want.collect()))]
 
 
 def test_zscore_of_a_constant_is_missing(spark):
