@@ -30,7 +30,7 @@ def _prefix_counts(df: DataFrame, digits: int) -> pd.DataFrame:
     most = MOST_GROUPS * 16 ** STEP
     counted = df.groupBy("group", F.substring("hash", 1, digits).alias("prefix")).agg(
         F.count(F.lit(1)).alias("n"), F.max("hash").alias("last"),
-    ).limit(most + 1).toPandas()
+    ).limit(most + 1).toArrow().to_pandas()
     if len(counted) > most:
         raise ValueError("too many groups to cut each of them exactly")
     return counted.sort_values("prefix")

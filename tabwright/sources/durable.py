@@ -26,15 +26,16 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tabwright-{spark.sparkContext.applicationId}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """The frame written once as parquet in the shared folder and read back.
 
     Later scans prune columns and push filters into the copy, and a lost executor re-reads a file
-    instead of re-running the steps that led here. ``discard`` removes the copies.
+    instead of re-running the steps that led here. With ``partition_by`` a filter on that column opens
+    only the files it needs. ``discard`` removes the copies.
     """
     path = f"{_own_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
 
 
 def discard(spark: SparkSession) -> None:

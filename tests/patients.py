@@ -1,11 +1,10 @@
-"""A dirty patient table: 1,000 patients and 5 junk rows, made from key hashes."""
+"""A dirty patient table: 1,000 patients and 5 junk rows, made from hashes of a row number."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.functions import hash01
 from tabwright.sources.schema import PATIENT_COLUMNS, PATIENT_SCHEMA
 
 SHARE = {"age": 0.01, "sex": 0.01, "cp": 0.03, "slope": 0.03, "restecg": 0.03, "ca": 0.6, "thal": 0.5, "smoke": 0.7}
@@ -19,7 +18,7 @@ CHOICES = {"cp": 4, "slope": 3, "restecg": 3, "ekgmo": 12, "ekgday": 31, "ekgyr"
 
 
 def _draw(c: str, what: str) -> Column:
-    return hash01(hash_seed(c, what), "i")
+    return F.pmod(F.xxhash64(F.lit(hash_seed(c, what)), "i"), F.lit(1_000_003)) / 1_000_003
 
 
 def hash_seed(c: str, what: str) -> int:

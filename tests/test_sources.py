@@ -88,6 +88,13 @@ def test_materialise_uses_the_named_folder(spark):
     assert df.schema["x"].dataType.simpleString() == "double"
 
 
+def test_materialise_by_partition(spark):
+    df = durable.materialise(spark.range(10).selectExpr("id % 3 as fold", "id"), "fold")
+    assert df.columns == ["fold", "id"] and df.filter("fold = 1").count() == 3
+    plan = df.filter("fold = 1")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(fold" in plan
+
+
 def test_pin_small(spark):
     local, rows = durable.pin_small(spark.range(5), 5)
     assert len(rows) == 5 and local.count() == 5
