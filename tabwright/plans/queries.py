@@ -6,14 +6,14 @@ The tables hold no missing values, so rules on their own columns make some.
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabwright import operators as op
 from tabwright.functions import average_rates, clamp, hash01, list_slice, number_in, to_double
 from tabwright.plans import clean
 from tabwright.plans.rates import BANDS_AS_CODED, bands_frame, sliced_items, with_rates
-from tabwright.sources import read_parquet_table
+from tabwright.sources import pin_small, read_parquet_table
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount"]
 
@@ -238,10 +238,10 @@ def _measured_bands(spark, folder) -> DataFrame:
     """The adult bands with rates measured on the lines: returned by band 1, discounted by band 2."""
     bands = bands_frame(spark, BANDS_AS_CODED)
     placed = op.band_lookup(_aged_lines(spark, folder).filter("months >= 18"), bands, "months")
-    cells = placed.groupBy("first", "second").agg(
+    cells, _ = pin_small(placed.groupBy("first", "second").agg(  # one row per band, used twice
         F.count(F.lit(1)).alias("n"), F.sum(_flag(F.col("l_returnflag") == "R")).alias("returned"),
         F.sum(_flag(F.col("l_discount") > 0.05)).alias("discounted"),
-    )
+    ))
 
     def measured(index: str, hits: str) -> DataFrame:
         percent = F.round(F.sum(hits) * 100.0 / F.sum("n"), 6)
@@ -355,10 +355,9 @@ def fold_accuracy(spark, folder):
         spark, folder, "orders", "o_orderkey", _flag(F.col("o_orderstatus") == "F").alias("label"),
         _flag(F.col("o_totalprice") > 200000).alias("guess"),
     )
-    folded = op.hash_folds(orders, ["o_orderkey"])
-    each = op.fold_accuracy(folded, "label", "guess", "fold")
-    mean = op.mean_fold_accuracy(folded, "label", "guess", "fold")
-    return _rounded(each.crossJoin(F.broadcast(mean)), 6, "accuracy", "mean_accuracy")
+    each = op.fold_accuracy(op.hash_folds(orders, ["o_orderkey"]), "label", "guess", "fold")
+    mean = F.avg("accuracy").over(Window.partitionBy(F.lit(0)))  # over one row per fold
+    return _rounded(each.withColumn("mean_accuracy", mean), 6, "accuracy", "mean_accuracy")
 
 
 RULES = {"rule_sklearn": "by_discount", "rule_scrape": "by_quantity", "rule_spark": "never"}

@@ -380,6 +380,13 @@ def test_metrics_without_positives(spark):
     assert tuple(op.binary_metrics(df, "label", "prediction").first()) == (0.0, 0.0, 0.0)
 
 
+def test_mean_fold_accuracy_counts_folds_alike(spark):
+    df = spark.createDataFrame([(1, 1, 0), (1, 0, 1), (1, 0, 1), (1, 1, 1)], "y int, p int, fold int")
+    each = {r["fold"]: (r["n"], r["accuracy"]) for r in op.fold_accuracy(df, "y", "p", "fold").collect()}
+    assert each == {0: (1, 1.0), 1: (3, pytest.approx(1 / 3))}
+    assert op.mean_fold_accuracy(df, "y", "p", "fold").first()[0] == pytest.approx(2 / 3)
+
+
 def test_compare_models_equals_one_by_one(spark):
     df = judged(spark).withColumn("never", F.lit(0))
     got = {(r["model"], r["metric"]): r["value"] for r in op.compare_models(
