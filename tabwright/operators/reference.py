@@ -42,11 +42,12 @@ def band_lookup(
 ) -> DataFrame:
     """Left join on ``lo <= value < hi``; a NULL ``hi`` is open. Bands must not overlap.
 
-    Up to ``NESTED_BANDS`` are broadcast and compared with every row. More are cut into cells that hold
+    Up to ``NESTED_BANDS`` bands are broadcast and compared with every row. More are cut into cells that hold
     about equally many of them, so that a row meets only the bands of its cell. That is an equi-join:
     broadcast up to ``small_rows`` bands, beyond that a shuffle whose hot cells adaptive execution splits.
     """
-    side, rows = pin_small(bands.withColumns({c: F.col(c).cast("double") for c in ("lo", "hi")}), small_rows)
+    edges = {c: F.col(c).cast("double") for c in ("lo", "hi")}
+    side, rows = pin_small(bands.withColumns(edges), small_rows)
     side = side.withColumnsRenamed({"lo": "__lo", "hi": "__hi"})
     x = F.col(value).cast("double")
     inside = (x >= F.col("__lo")) & (F.col("__hi").isNull() | (x < F.col("__hi")))
