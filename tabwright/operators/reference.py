@@ -65,8 +65,12 @@ def band_lookup(
     pieces = with_cell(with_cell(side, F.col("__lo"), "__first"), F.col("__hi"), "__last").withColumn(
         "__cell", F.explode(F.sequence("__first", "__last"))
     ).drop("__first", "__last")
+    few = None
+    if rows is not None:
+        pieces, few = pin_small(pieces, small_rows + CELLS)
     keyed = with_cell(df, nan_to_null(x), "__at")
-    joined = keyed.join(F.broadcast(pieces) if rows is not None else pieces, (F.col("__at") == F.col("__cell")) & inside, "left")
+    same_cell = F.col("__at") == F.col("__cell")
+    joined = keyed.join(pieces if few is None else F.broadcast(pieces), same_cell & inside, "left")
     return joined.drop("__lo", "__hi", "__cell", "__at")
 
 
@@ -90,12 +94,13 @@ def rate_grid(grid: DataFrame, bands: DataFrame, men_ratio: DataFrame) -> DataFr
 
 
 def prob_impute(
-    df: DataFrame, rates: DataFrame, on: dict[str, Column], key: list[str], seed: int = 42,
+    df: DataFrame, rates: DataFrame, on: dict[str, Column], key: list[str], seed: int = 7,
     rate: str = "smoke_rate", out: str = "smoke",
 ) -> DataFrame:
     """Add ``out`` = 1 with the looked-up probability (in percent), else 0; NULL without a match.
 
-    The draw is a hash of the seed and the row's ``key``, so it is the same on every run.
+    The draw is a hash of the seed and the row's ``key``, so it is the same on every run. The seed must
+    not be that of a split by the same key, or the test rows would be those with low draws.
     """
     joined = lookup(df, rates.select(*on, rate), on)
     draw = hash01(seed, *key) * F.lit(100.0)

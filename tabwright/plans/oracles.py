@@ -214,7 +214,7 @@ ORACLES = {
         WITH {PRIORITY_RATES}
         SELECT o_orderkey, orders.o_orderpriority,
                CASE WHEN smoke_rate IS NULL THEN NULL
-                    WHEN smoke_rate <= {_hash01(42, "o_orderkey")} * 100 THEN 0 ELSE 1 END::int AS smoke
+                    WHEN smoke_rate <= {_hash01(7, "o_orderkey")} * 100 THEN 0 ELSE 1 END::int AS smoke
         FROM orders LEFT JOIN rates ON orders.o_orderpriority = rates.o_orderpriority""",
     "band_lookup": f"""
         WITH {BANDS}
