@@ -31,17 +31,28 @@ def materialise(df: DataFrame, partition_by: str | None = None) -> DataFrame:
 
     Later scans prune columns and push filters into the copy, and a lost executor re-reads a file
     instead of re-running the steps that led here. With ``partition_by`` a filter on that column opens
-    only the files it needs. ``discard`` removes the copies.
+    only the files it needs. ``drop_copy`` removes one copy, ``discard`` all of them.
     """
     path = f"{_own_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path, partitionBy=partition_by)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
+    copy = df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
+    copy.copy_path = path
+    return copy
+
+
+def drop_copy(copy: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for this frame; it and frames made from it are unusable after."""
+    _delete(copy.sparkSession, copy.copy_path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def discard(spark: SparkSession) -> None:
     """Delete everything ``materialise`` wrote in this application; its frames are unusable after."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _own_folder(spark))
 
 
 def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, list[dict] | None]:
