@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.tokens import shingle_hashes, word_hashes
-from tabwright.sources.durable import materialise
+from tabwright.sources.durable import drop_copy, materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -153,6 +153,7 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang",
             .where(F.col("word").isNull() | (F.col("n") >= F.col("total") * limits.common))
     references = {}
     found = rows.select("lang", "word", "class", "n").toArrow().to_pylist() if totals else []
+    drop_copy(counted)
     for name, total in totals.items():
         classes = np.zeros(len(CLASSES))
         for r in (r for r in found if r["lang"] == name and r["word"] is None):

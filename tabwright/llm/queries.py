@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.llm import divergence
+from tabwright.llm.neardup import near_duplicates
 from tabwright.sources import read_parquet_table
 
 
@@ -18,5 +19,31 @@ def op10_distribution_rules(spark: SparkSession, folder: str) -> DataFrame:
                                        "base_failed", "kept", "class_distance", "word_distance")])
 
 
-QUERIES = {f.__name__: f for f in (op10_distribution_rules,)}
-ORACLES: dict[str, str] = {}
+def op9_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(read_parquet_table(spark, folder, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op9_minhash_neardup, op10_distribution_rules)}
+
+ORACLES = {
+    "op9_minhash_neardup": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+            FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)),
+        reach AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other),
+        least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+        FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)""",
+}
