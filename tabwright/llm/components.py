@@ -34,7 +34,7 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component) of an edge list (a, b) of any ordered type; the smallest node names a component.
+    """One row (node, component) per node of an edge list (a, b); the smallest node names a component.
 
     Loops, repeated edges and edges with a null end are fine: the first two change nothing and the last
     are left out. Nodes without an edge to another node are not in the result. No edges, no rows.
@@ -49,4 +49,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         now, before, state = small, state, _state(small)
         if state == before:
             break
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return stars.union(stars.select("component", "component").distinct())

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tabwright.llm.components import connected_components
 from tabwright.llm.tokens import shingle_hashes, word_hashes
@@ -108,7 +109,7 @@ def _full_sets(text: Column, plan: Banding) -> Column:
     return full_set.asNondeterministic()(text.cast("string"))
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(DoubleType())
 def agreement(left: pa.Array, right: pa.Array) -> pa.Array:
     """Share of equal minima."""
     def matrix(column):

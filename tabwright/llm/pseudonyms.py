@@ -36,9 +36,9 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]++\.)+[A-Z
 IPV4 = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"
 DATE = r"(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w/-]|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-CARD = r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"
+CARD = r"(?<![\w-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])"
 NANP = r"(?<![\w+-])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])"
-E164 = r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,7}(?![\w-])"
+E164 = r"(?<![\w+])\+\d(?:[ .()-]{0,2}\d){7,14}(?![\w-])"
 ANY = "|".join((EMAIL, IPV4, DATE, SSN, CARD, NANP, E164))
 
 
@@ -48,11 +48,165 @@ def _round(key: str, tag: Column, number: Column, half: Column) -> Column:
     return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
 
 
+def _div(x: Column, by: Column | int) -> Column:
+    """Whole quotient; ``/`` would go through double."""
+    return F.call_function("div", x, by if isinstance(by, Column) else F.lit(by).cast("long"))
+
+
 def feistel(x: Column, a: Column, b: Column, key: str, tag: Column) -> Column:
     """A permutation of 0 .. a * b - 1, both at most 2**31; ``tag`` names the domain."""
     def step(s: Column, r: Column) -> Column:
         left, right = s["left"], s["right"]
         return F.when(r % 2 == 0, F.struct(((left + _round(key, tag, r, right) % a) % a).alias("left"), right.alias("right"))) \
             .otherwise(F.struct(left.alias("left"), ((right + _round(key, tag, r, left) % b) % b).alias("right")))
-    start = F.struct(F.floor(x / b).cast("long").alias("left"), F.pmod(x, b).cast("long").alias("right"))
+    start = F.struct(_div(x, b).alias("left"), F.pmod(x, b).cast("long").alias("right"))
     return F.aggregate(F.array(*[F.lit(r) for r in range(ROUNDS)]), start, step, lambda s: s["left"] * b + s["right"])
+
+
+def _whole_power(base: int, exponent: Column) -> Column:
+    """base ** exponent as a long, exact."""
+    return F.element_at(F.array(*[F.lit(base ** k).cast("long") for k in range(1 + (9 if base == 10 else 5))]),
+                        (exponent + 1).cast("int"))
+
+
+def _digit_string(digits: Column, key: str, kind: str) -> Column:
+    """A string of up to 18 digits, permuted among those of its length."""
+    n = F.length(digits)
+    half = F.floor(n / 2)
+    new = feistel(digits.cast("long"), _whole_power(10, n - half), _whole_power(10, half), key,
+                  F.concat(F.lit(kind), n.cast("string")))
+    return F.lpad(new.cast("string"), n, "0")
+
+
+def _letter_string(letters: Column, key: str) -> Column:
+    """A string of a-z, permuted ten letters at a time among those of its length."""
+    def part(k: Column) -> Column:
+        own = F.substr(letters, k * 10 + 1, F.lit(10))
+        n = F.length(own)
+        number = F.aggregate(F.sequence(F.lit(1), n), F.lit(0).cast("long"),
+                             lambda sum_, i: sum_ * 26 + F.ascii(F.substr(own, i, F.lit(1))) - 97)
+        half = F.floor(n / 2)
+        new = feistel(number, _whole_power(26, n - half), _whole_power(26, half), key,
+                      F.concat(F.lit("letters"), n.cast("string"), F.lit("."), k.cast("string")))
+        # written back from the last letter to the first
+        return F.aggregate(F.sequence(F.lit(1), n), F.struct(new.alias("rest"), F.lit("").alias("done")), lambda s, i: F.struct(
+            _div(s["rest"], 26).alias("rest"), F.concat(F.char(s["rest"] % 26 + 97), s["done"]).alias("done")),
+            lambda s: s["done"])
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.length(letters) - 1) / 10).cast("int")), part)
+    return F.when(F.length(letters) == 0, "").otherwise(F.array_join(parts, ""))
+
+
+def _written_over(old: Column, pattern: str, new: Column) -> Column:
+    """``old`` with its characters of a class replaced, in order, by those of ``new``; capitals stay capitals."""
+    def at(i: Column) -> Column:
+        char = F.substr(old, i, F.lit(1))
+        rank = F.length(F.regexp_replace(F.substr(old, F.lit(1), i), f"[^{pattern}]", ""))
+        fresh = F.substr(new, rank, F.lit(1))
+        return F.when(~char.rlike(f"[{pattern}]"), char).when(char.rlike("[A-Z]"), F.upper(fresh)).otherwise(fresh)
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(old)), at), "")
+
+
+def _only(value: Column, kept: str) -> Column:
+    return F.regexp_replace(value, f"[^{kept}]", "")
+
+
+def _luhn_sum(digits: Column) -> Column:
+    """Of digits before the check digit: the first from the right counts double."""
+    n = F.length(digits)
+
+    def add(total: Column, i: Column) -> Column:
+        digit = F.substr(digits, n - i + 1, F.lit(1)).cast("int")
+        return total + F.when(i % 2 == 0, digit).when(digit > 4, digit * 2 - 9).otherwise(digit * 2)
+    return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add)
+
+
+def _luhn_digit(digits: Column) -> Column:
+    return F.pmod(10 - _luhn_sum(digits) % 10, F.lit(10)).cast("string")
+
+
+def _card(value: Column, key: str) -> Column:
+    digits = _only(value, "0-9")
+    n = F.length(digits)
+    body = F.substr(digits, F.lit(1), n - 1)
+    new = F.concat(F.substr(digits, F.lit(1), F.lit(1)), _digit_string(F.substr(digits, F.lit(2), n - 2), key, "card"))
+    new = F.concat(new, _luhn_digit(new))
+    valid = _luhn_digit(body) == F.substr(digits, n, F.lit(1))
+    return F.when(valid, _written_over(value, "0-9", new)).otherwise(value)
+
+
+def _phone(value: Column, key: str) -> Column:
+    digits = _only(value, "0-9")
+    n = F.length(digits)
+    american = value.rlike(f"^(?:{NANP})$")
+    skip = F.when(american, n - 10).otherwise(2)
+    new = F.concat(F.substr(digits, F.lit(1), skip), _digit_string(F.substr(digits, skip + 1, n - skip), key, "phone"))
+    return F.when(american | n.between(8, 15), _written_over(value, "0-9", new)).otherwise(value)
+
+
+def _ssn(value: Column, key: str) -> Column:
+    digits = _only(value, "0-9")
+    area, group, serial = (F.substr(digits, F.lit(at), F.lit(n)).cast("long") for at, n in ((1, 3), (4, 2), (6, 4)))
+    # areas 1 to 899 without 666, as 0 to 897
+    x = ((area - F.when(area > 666, 2).otherwise(1)) * 99 + group - 1) * 9999 + serial - 1
+    new = feistel(x, F.lit(898), F.lit(99 * 9999), key, F.lit("ssn"))
+    index = _div(new, 99 * 9999)
+    written = F.concat(
+        F.lpad((index + F.when(index >= 665, 2).otherwise(1)).cast("string"), 3, "0"),
+        F.lpad((_div(new, 9999) % 99 + 1).cast("string"), 2, "0"), F.lpad((new % 9999 + 1).cast("string"), 4, "0"))
+    valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
+    return F.when(valid, _written_over(value, "0-9", written)).otherwise(value)
+
+
+def _ipv4(value: Column, key: str) -> Column:
+    parts = F.transform(F.split(value, r"\."), lambda p: p.cast("long"))
+    x = F.aggregate(parts, F.lit(0).cast("long"), lambda total, p: total * 256 + p)
+    new = feistel(x, F.lit(65536), F.lit(65536), key, F.lit("ipv4"))
+    octets = F.transform(F.array(*[F.lit(1 << s).cast("long") for s in (24, 16, 8, 0)]),
+                         lambda unit: (_div(new, unit) % 256).cast("string"))
+    return F.when(F.forall(parts, lambda p: p < 256), F.array_join(octets, ".")).otherwise(value)
+
+
+def _date(value: Column, key: str) -> Column:
+    first, third = F.substring(value, 1, 2), F.substring(value, 4, 2)
+    year = F.substring(value, 7, 4)
+    iso, dotted = value.rlike("-"), value.rlike(r"\.")
+    months_first = ~iso & ~dotted & first.cast("int").between(1, 12)
+    text = F.when(iso, value).when(months_first, F.concat_ws("-", year, first, third)).otherwise(F.concat_ws("-", year, third, first))
+    day = F.datediff(F.try_to_date(text, "yyyy-MM-dd"), F.lit("1900-01-01").cast("date")).cast("long")
+    new = F.date_add(F.lit("1900-01-01").cast("date"), feistel(day, *map(F.lit, DAYS), key, F.lit("date")).cast("int"))
+    written = F.when(iso, F.date_format(new, "yyyy-MM-dd")).when(dotted, F.date_format(new, "dd.MM.yyyy")) \
+        .when(months_first, F.date_format(new, "MM/dd/yyyy")).otherwise(F.date_format(new, "dd/MM/yyyy"))
+    return F.when((day >= 0) & (day < DAYS[0] * DAYS[1]), written).otherwise(value)
+
+
+def _email(value: Column, key: str) -> Column:
+    name, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
+    letters, digits = F.lower(_only(name, "A-Za-z")), _only(name, "0-9")
+    name = _written_over(name, "A-Za-z", _letter_string(letters, key))
+    long_ = F.length(digits) > 18  # the digits beyond are few and rare: they stand, the ones before change
+    new = F.when(F.length(digits) == 0, "").otherwise(
+        F.concat(_digit_string(F.when(long_, F.substring(digits, 1, 18)).otherwise(digits), key, "name"),
+                 F.when(long_, F.substring(digits, 19, 64)).otherwise("")))
+    return F.concat(_written_over(name, "0-9", new), F.lit("@"), domain)
+
+
+def _pseudonym(value: Column, key: str) -> Column:
+    def is_(pattern: str) -> Column:
+        return value.rlike(f"^(?:{pattern})$")
+    return F.when(value.contains("@"), _email(value, key)).when(is_(IPV4), _ipv4(value, key)) \
+        .when(is_(DATE), _date(value, key)).when(is_(SSN), _ssn(value, key)) \
+        .when(is_(NANP), _phone(value, key)).when(is_(CARD), _card(value, key)).otherwise(_phone(value, key))
+
+
+def found_values(text: Column) -> Column:
+    """Array of all that looks like a value, valid or not; empty for a null text."""
+    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    return F.when(text.rlike("[0-9@]"), found).otherwise(F.array().cast("array<string>"))
+
+
+def pseudonymised(text: Column, key: str) -> Column:
+    """The text with every valid value replaced by its pseudonym under ``key``."""
+    pieces = F.split(text, ANY, -1)
+    parts = F.zip_with(pieces, F.transform(found_values(text), lambda v: _pseudonym(v, key)),
+                       lambda piece, new: F.concat(piece, F.coalesce(new, F.lit(""))))
+    return F.when(text.rlike("[0-9@]"), F.array_join(parts, "")).otherwise(text)

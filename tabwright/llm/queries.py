@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import divergence
+from tabwright.llm import contamination, divergence, packing, pseudonyms, subwords, urls, wrappers
 from tabwright.llm.neardup import near_duplicates
 from tabwright.sources import read_parquet_table
 
@@ -19,11 +19,60 @@ def op10_distribution_rules(spark: SparkSession, folder: str) -> DataFrame:
                                        "base_failed", "kept", "class_distance", "word_distance")])
 
 
+# fixed values: the rules of the url query
+URL_RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+    ("block", "net/es/"), ("block", "net/fr/"),
+]
+KEY = "a key for tests; real ones come from the caller"
+
+
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_parquet_table(spark, folder, "documents").select("doc_id", "text", "source")
+    return packing.pack(docs, packing.n_words(F.col("text")), F.col("source"), packing.copy_key(F.col("text")))
+
+
+def op2_redirect_rules(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_parquet_table(spark, folder, "pages")
+    return urls.judge_urls(pages.select("page_id", "url"), urls.page_links(pages), URL_RULES).drop("url")
+
+
+def op3_wrapper_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_parquet_table(spark, folder, "pages").select("page_id", "url", "html")
+    texts = wrappers.extract(pages, urls.host_of(F.col("url")))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op4_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_parquet_table(spark, folder, "documents").select("doc_id", "text")
+    text = F.col("text")
+    return docs.select("doc_id", F.coalesce(F.size(pseudonyms.found_values(text)), F.lit(0)).alias("n_found"),
+                       pseudonyms.pseudonymised(text, KEY).alias("text"))
+
+
+def op5_subword_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_parquet_table(spark, folder, "documents").select("doc_id", "text")
+    model = subwords.train(docs, read_parquet_table(spark, folder, "labels"))
+    return docs.select("doc_id", subwords.held_out(F.col("doc_id")).alias("held_out"),
+                       subwords.score(F.col("text"), model).alias("score")) \
+        .withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
+def op8_pigeonhole_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_parquet_table(spark, folder, "documents").select("doc_id", "text")
+    found = contamination.with_hits(docs, read_parquet_table(spark, folder, "benchmark")).drop("text")
+    return found.select("doc_id", F.explode("hits").alias("hit")).select(
+        "doc_id", F.col("hit.item").alias("item_id"), "hit.distance", "hit.ends")
+
+
 def op9_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read_parquet_table(spark, folder, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op9_minhash_neardup, op10_distribution_rules)}
+QUERIES = {f.__name__: f for f in (
+    op1_best_fit_packing, op2_redirect_rules, op3_wrapper_extraction, op4_feistel_pseudonyms, op5_subword_classifier,
+    op8_pigeonhole_decontamination, op9_minhash_neardup, op10_distribution_rules,
+)}
 
 ORACLES = {
     "op9_minhash_neardup": r"""
