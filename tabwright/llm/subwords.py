@@ -35,8 +35,8 @@ PIECE = 1 << 20  # characters whose features are made at a time
 class Training:
     buckets: int = 1 << 17
     size: int = 16
-    epochs: int = 5
-    rate: float = 0.5
+    steps: int = 20_000  # documents taken, the sample over and over
+    rate: float = 8.0
     sample: int = 4000
     longest: int = 100_000
     seed: int = 5
@@ -91,10 +91,10 @@ def learn(texts: list[str], labels: list[int], training: Training = Training())
     rng = np.random.default_rng(training.seed)
     vectors = rng.uniform(-1, 1, (training.buckets, training.size)).astype(np.float32) / training.size
     out, bias = np.zeros((2, training.size), np.float32), np.zeros(2, np.float32)
-    steps, done = training.epochs * len(texts), 0
-    for _ in range(training.epochs):
-        for i in rng.permutation(len(texts)):
-            rate = training.rate * (1 - done / steps)
+    done = 0
+    while done < training.steps:
+        for i in rng.permutation(len(texts))[:training.steps - done]:
+            rate = training.rate * (1 - done / training.steps)
             done += 1
             own, counts = np.unique(features(texts[i], training.buckets), return_counts=True)
             if not len(own):
