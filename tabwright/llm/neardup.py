@@ -4,13 +4,15 @@ Documents with equal shingle sets are one node, named by their smallest id, so a
 size is a single node from the first shuffle on. Each node has ``bands * rows`` minima. Nodes with
 equal minima in a band share a bucket. Links are found in two steps:
 
-* every node of a bucket is compared with the bucket's hub (the node that shares most buckets);
-* in buckets whose nodes are not yet one component, every node outside the largest component is compared
-  with all nodes of other components, in blocks. Buckets in one piece need nothing more, since
-  further links could not change the components.
+* every node of a bucket is compared with the bucket's hub (the node that shares most buckets): they must
+  agree in enough minima, then pass the exact test on both full sets;
+* nodes that met under the same hub and are not yet one component are compared with each other, in
+  blocks: all nodes outside the largest component with all nodes of other components, by minima and
+  then on full sets. A task joins components as it finds links and returns only the links that did, since
+  others could not change the components. Its rows are bounded by a number of shingles.
 
-A compared pair must agree in enough minima, then pass the exact test on both full sets. Components
-come from large-star and small-star steps.
+Two nodes that share a bucket have met its hub, so every pair that shares a bucket and is not already
+connected is compared. Components come from large-star and small-star steps.
 
 With 25 bands of 5 minima, a pair at a similarity of 0.85 shares no bucket with a chance of 4e-7, and
 it agrees in fewer than 70 % of 125 minima with a chance of 2e-6.
@@ -40,7 +42,7 @@ from tabwright.sources.durable import materialise
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BROADCAST_IDS = 1_000_000  # most ids in a broadcast; beyond it the texts are shuffled to meet them
-BLOCK = 512  # nodes on either side of a block of comparisons
+BLOCK = 200_000  # shingles on either side of a block of comparisons
 SEED = 9
 
 
@@ -133,12 +135,17 @@ def _similar(pairs: DataFrame, nodes: DataFrame, plan: Banding) -> DataFrame:
         .where(agreement("m_a", "m_b") >= plan.agree).select("a", "b").distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, plan: Banding) -> DataFrame:
-    """Pairs (a, b) that pass the exact test on the full sets of both, out of stored pairs."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+def _stored_sets(wanted: DataFrame, docs: DataFrame, plan: Banding) -> DataFrame:
+    """(id, items) of the wanted ids: the full set of each."""
+    wanted = wanted.distinct()
     if wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    sets = materialise(docs.join(wanted, "id", "left_semi").select("id", _full_sets(F.col("text"), plan).alias("items")))
+    return materialise(docs.join(wanted, "id", "left_semi").select("id", _full_sets(F.col("text"), plan).alias("items")))
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, plan: Banding) -> DataFrame:
+    """Pairs (a, b) that pass the exact test on the full sets of both, out of stored pairs."""
+    sets = _stored_sets(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), docs, plan)
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("of_a"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("of_b"))
     both = F.size(F.array_intersect("of_a", "of_b"))
@@ -158,47 +165,78 @@ def _hub_pairs(shared: DataFrame) -> DataFrame:
     return shared.join(hubs, "bucket").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
 
 
-def _pair_blocks(plan: Banding):
+def _minima_of(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table["minima"].to_pylist()), np.uint32).reshape(len(table), -1)
+
+
+def _sets_of(table: pa.Table) -> list[np.ndarray]:
+    items = table["items"].combine_chunks()
+    items = items if isinstance(items, pa.Array) else pa.concat_arrays(items.chunks)
+    ends, values = items.offsets.to_numpy(), items.values.to_numpy()
+    return [values[i:j] for i, j in zip(ends, ends[1:])]
+
+
+def _joining_links(plan: Banding):
     def compare(outside: pa.Table, everyone: pa.Table) -> pa.Table:
-        """Pairs of different components that agree enough, told in the first band they share only."""
-        def matrix(table):
-            return np.frombuffer(b"".join(table["minima"].to_pylist()), np.uint32).reshape(len(table), plan.bands, plan.rows)
-        mine, all_, found = matrix(outside), matrix(everyone), []
-        labels, nodes = everyone["label"].to_pylist(), everyone["node"].to_pylist()
-        labels = np.unique(labels + outside["label"].to_pylist(), return_inverse=True)[1]
-        sizes = everyone["n_shingles"].to_numpy()
-        for i, (node, n, band) in enumerate(zip(*(outside[c].to_pylist() for c in ("node", "n_shingles", "band")))):
-            equal = all_ == mine[i]
-            fits = (labels[:len(nodes)] != labels[len(nodes) + i]) & (equal.mean(axis=(1, 2)) >= plan.agree) \
-                & (equal.all(axis=2).argmax(axis=1) == band) \
-                & (np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * plan.percent)
-            found += [(node, nodes[k]) for k in np.flatnonzero(fits)]
-        return pa.table({"a": pa.array([a for a, _ in found], outside["node"].type),
-                         "b": pa.array([b for _, b in found], outside["node"].type)})
+        """Links between nodes of different components, as long as they join components of this block."""
+        mine, all_ = _minima_of(outside), _minima_of(everyone)
+        my_sets, sets = _sets_of(outside), _sets_of(everyone)
+        sizes = np.array([len(x) for x in sets])
+        names, nodes = outside["node"].to_pylist(), everyone["node"].to_pylist()
+        turn = np.array([not out for out in everyone["outside"].to_pylist()])
+        codes = np.unique(everyone["label"].to_pylist() + outside["label"].to_pylist(), return_inverse=True)[1]
+        labels, my_labels, found = codes[:len(nodes)], codes[len(nodes):], []
+        for i, (name, own) in enumerate(zip(names, my_sets)):
+            n = len(own)
+            # two outside nodes meet twice, each in turn; one of the two times will do
+            fits = (labels != my_labels[i]) & (np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * plan.percent) \
+                & (turn | np.array([name < other for other in nodes]))
+            fits[fits] = (all_[fits] == mine[i]).mean(axis=1) >= plan.agree
+            places = np.flatnonzero(fits)
+            if not len(places):
+                continue
+            values = np.concatenate([sets[k] for k in places])
+            hit = own[np.minimum(np.searchsorted(own, values), n - 1)] == values
+            both = np.add.reduceat(hit.astype(np.int64), np.r_[0, np.cumsum(sizes[places])[:-1]])
+            for k in places[both * 100 >= (n + sizes[places] - both) * plan.percent]:
+                if labels[k] != my_labels[i]:
+                    found.append((name, nodes[k]))
+                    old = labels[k]
+                    labels[labels == old] = my_labels[i]
+                    my_labels[my_labels == old] = my_labels[i]
+        kind = outside["node"].type
+        return pa.table({"a": pa.array([a for a, _ in found], kind), "b": pa.array([b for _, b in found], kind)})
     return compare
 
 
-def _remaining_pairs(shared: DataFrame, nodes: DataFrame, labels: DataFrame, plan: Banding) -> DataFrame:
-    """Pairs across components within buckets that are not yet in one piece."""
-    told = shared.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-    pieces = told.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = pieces.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("pieces"), F.sum("n").alias("members"), F.max("n").alias("n")).where("pieces > 1") \
-        .join(pieces, ["bucket", "n"]).groupBy("bucket", "members", F.col("n").alias("most")).agg(F.min("label").alias("main"))
-    open_ = told.join(largest, "bucket").join(nodes.select("node", "n_shingles", "minima"), "node").select(
-        "bucket", "band", "node", "label", "n_shingles", "minima", (F.col("label") != F.col("main")).alias("outside"),
-        F.ceil((F.col("members") - F.col("most")) / BLOCK).cast("int").alias("rows"),
-        F.ceil(F.col("members") / BLOCK).cast("int").alias("columns"))
-    open_ = materialise(open_)
+def _remaining_links(met: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, plan: Banding) -> DataFrame | None:
+    """Links that join components among the nodes (a) that met the same hub (b); None if all are in one piece."""
+    told = met.select(F.col("b").alias("hub"), F.col("a").alias("node")).join(labels, "node", "left") \
+        .withColumn("label", F.coalesce("component", "node")).drop("component") \
+        .join(nodes.select("node", "n_shingles", "minima"), "node")
+    pieces = told.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("mass"))
+    main = pieces.groupBy("hub").agg(
+        F.count(F.lit(1)).alias("pieces"), F.sum("mass").alias("total"), F.max("n").alias("n")).where("pieces > 1") \
+        .join(pieces, ["hub", "n"]).groupBy("hub", "total").agg(F.min(F.struct("label", "mass")).alias("main"))
+    open_ = materialise(told.join(main, "hub").select(
+        "hub", "node", "label", "minima", (F.col("label") != F.col("main.label")).alias("outside"),
+        F.ceil((F.col("total") - F.col("main.mass")) / BLOCK).cast("int").alias("rows"),
+        F.ceil(F.col("total") / BLOCK).cast("int").alias("columns")))
+    if not open_.limit(1).count():
+        return None
+    sets = _stored_sets(open_.select(F.col("node").alias("id")), docs, plan)
+    # sets come sorted by unsigned value and are searched as signed ones
+    open_ = open_.join(sets.select(F.col("id").alias("node"), F.array_sort("items").alias("items")), "node")
     place = F.xxhash64("node")
     everyone = open_.withColumn("column", F.pmod(place, "columns").cast("int")) \
         .withColumn("row", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)))
     outside = open_.where("outside").withColumn("row", F.pmod(place, "rows").cast("int")) \
         .withColumn("column", F.explode(F.sequence(F.lit(0), F.col("columns") - 1)))
-    keys, kept = ["bucket", "row", "column"], ["band", "node", "label", "n_shingles", "minima"]
+    keys, kept = ["hub", "row", "column"], ["node", "label", "minima", "items", "outside"]
     id_type = nodes.schema["node"].dataType.simpleString()
-    return outside.select(*keys, *kept).groupBy(*keys).cogroup(everyone.select(*keys, *kept).groupBy(*keys)) \
-        .applyInArrow(_pair_blocks(plan), f"a {id_type}, b {id_type}").distinct()
+    everyone = everyone.select(*[F.col(c).alias(c) for c in keys + kept])  # columns of its own, as Spark asks for
+    return outside.select(*keys, *kept).groupBy(*keys).cogroup(everyone.groupBy(*keys)) \
+        .applyInArrow(_joining_links(plan), f"a {id_type}, b {id_type}").distinct()
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", plan: Banding = Banding()) -> DataFrame:
@@ -216,14 +254,15 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", pla
     full = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     shared = materialise(banded.join(full, "bucket"))
 
-    first = materialise(_similar(_hub_pairs(shared), nodes, plan))
+    met = materialise(_hub_pairs(shared))
     texts = named.where("id IS NOT NULL")
-    links = materialise(_confirmed(first, texts, plan))
+    links = materialise(_confirmed(materialise(_similar(met, nodes, plan)), texts, plan))
     labels = connected_components(links)
-    more = materialise(_remaining_pairs(shared, nodes, labels, plan))
-    if more.limit(1).count():
-        links = links.union(_confirmed(more, texts, plan))
-        labels = connected_components(links)
+    more = _remaining_links(met, nodes, labels, texts, plan)
+    if more is not None:
+        more = materialise(more)
+        if more.limit(1).count():
+            labels = connected_components(links.union(more))
 
     named_nodes = nodes.select("digest", "node").join(labels, "node", "left") \
         .select("digest", F.coalesce("component", "node").alias("component"))
