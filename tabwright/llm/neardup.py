@@ -25,18 +25,19 @@ an id are one document, linked by each of its texts. An empty table gives no row
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 from dataclasses import dataclass
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tabwright.llm.components import connected_components
-from tabwright.llm.tokens import shingle_hashes, word_hashes
+from tabwright.llm.tokens import free_name, shingle_hashes, word_hashes
 from tabwright.sources.durable import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -44,6 +45,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BROADCAST_IDS = 1_000_000  # most ids in a broadcast; beyond it the texts are shuffled to meet them
 BLOCK = 200_000  # shingles on either side of a block of comparisons
 SEED = 9
+SetsOf = Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -123,7 +125,8 @@ def agreement(left: pa.Array, right: pa.Array) -> pa.Array:
 
 
 def _sizes_allow(n: str, m: str, percent: int) -> Column:
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    """True where a size is not known."""
+    return F.coalesce(F.least(n, m) * 100 >= F.greatest(n, m) * percent, F.lit(True)) | F.col(n).isNull() | F.col(m).isNull()
 
 
 def _similar(pairs: DataFrame, nodes: DataFrame, plan: Banding) -> DataFrame:
@@ -135,17 +138,14 @@ def _similar(pairs: DataFrame, nodes: DataFrame, plan: Banding) -> DataFrame:
         .where(agreement("m_a", "m_b") >= plan.agree).select("a", "b").distinct()
 
 
-def _stored_sets(wanted: DataFrame, docs: DataFrame, plan: Banding) -> DataFrame:
-    """(id, items) of the wanted ids: the full set of each."""
-    wanted = wanted.distinct()
-    if wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    return materialise(docs.join(wanted, "id", "left_semi").select("id", _full_sets(F.col("text"), plan).alias("items")))
+def bounded(rows: DataFrame) -> DataFrame:
+    """Marked for a broadcast if they are few enough; else the join shuffles both sides."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else rows
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, plan: Banding) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets_of: SetsOf, plan: Banding) -> DataFrame:
     """Pairs (a, b) that pass the exact test on the full sets of both, out of stored pairs."""
-    sets = _stored_sets(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), docs, plan)
+    sets = materialise(sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()))
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("of_a"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("of_b"))
     both = F.size(F.array_intersect("of_a", "of_b"))
@@ -209,12 +209,12 @@ def _joining_links(plan: Banding):
     return compare
 
 
-def _remaining_links(met: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, plan: Banding) -> DataFrame | None:
+def _remaining_links(met: DataFrame, nodes: DataFrame, labels: DataFrame, sets_of: SetsOf, plan: Banding) -> DataFrame | None:
     """Links that join components among the nodes (a) that met the same hub (b); None if all are in one piece."""
     told = met.select(F.col("b").alias("hub"), F.col("a").alias("node")).join(labels, "node", "left") \
         .withColumn("label", F.coalesce("component", "node")).drop("component") \
         .join(nodes.select("node", "n_shingles", "minima"), "node")
-    pieces = told.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("mass"))
+    pieces = told.groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("n_shingles", F.lit(32))).alias("mass"))
     main = pieces.groupBy("hub").agg(
         F.count(F.lit(1)).alias("pieces"), F.sum("mass").alias("total"), F.max("n").alias("n")).where("pieces > 1") \
         .join(pieces, ["hub", "n"]).groupBy("hub", "total").agg(F.min(F.struct("label", "mass")).alias("main"))
@@ -224,7 +224,7 @@ def _remaining_links(met: DataFrame, nodes: DataFrame, labels: DataFrame, docs:
         F.ceil(F.col("total") / BLOCK).cast("int").alias("columns")))
     if not open_.limit(1).count():
         return None
-    sets = _stored_sets(open_.select(F.col("node").alias("id")), docs, plan)
+    sets = materialise(sets_of(open_.select(F.col("node").alias("id")).distinct()))
     # sets come sorted by unsigned value and are searched as signed ones
     open_ = open_.join(sets.select(F.col("id").alias("node"), F.array_sort("items").alias("items")), "node")
     place = F.xxhash64("node")
@@ -239,6 +239,27 @@ def _remaining_links(met: DataFrame, nodes: DataFrame, labels: DataFrame, docs:
         .applyInArrow(_joining_links(plan), f"a {id_type}, b {id_type}").distinct()
 
 
+def linked_components(nodes: DataFrame, sets_of: SetsOf, plan: Banding) -> DataFrame:
+    """(node, component) of the linked ones of stored nodes (node, n_shingles or null, minima).
+
+    ``sets_of`` takes a frame of distinct (id) and gives (id, items), the full shingle set of each node.
+    """
+    width = F.lit(4 * plan.rows)
+    bands = F.explode(F.transform(F.sequence(F.lit(0), F.lit(plan.bands - 1)), lambda k: F.struct(
+        k.alias("band"), F.xxhash64(k, F.substring("minima", k * (4 * plan.rows) + 1, width)).alias("bucket"))))
+    banded = nodes.select("node", bands.alias("x")).select("node", "x.bucket").distinct()
+    full = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    met = materialise(_hub_pairs(materialise(banded.join(full, "bucket"))))
+    links = materialise(_confirmed(materialise(_similar(met, nodes, plan)), sets_of, plan))
+    labels = connected_components(links)
+    more = _remaining_links(met, nodes, labels, sets_of, plan)
+    if more is not None:
+        more = materialise(more)
+        if more.limit(1).count():
+            labels = connected_components(links.union(more))
+    return labels
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", plan: Banding = Banding()) -> DataFrame:
     """One row per document: (id, n_shingles, component_id, kept).
 
@@ -248,25 +269,30 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", pla
     profile = materialise(named.select("id", set_profile(F.col("text"), plan).alias("p")).select("id", "p.*"))
     nodes = materialise(profile.where("id IS NOT NULL AND digest IS NOT NULL").groupBy("digest", "n_shingles", "minima")
                         .agg(F.min("id").alias("node")))
-    bands = F.explode(F.transform(F.sequence(F.lit(0), F.lit(plan.bands - 1)), lambda k: F.struct(
-        k.alias("band"), F.xxhash64(k, F.substring("minima", k * (4 * plan.rows) + 1, F.lit(4 * plan.rows))).alias("bucket"))))
-    banded = nodes.select("node", bands.alias("x")).select("node", "x.*")
-    full = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    shared = materialise(banded.join(full, "bucket"))
 
-    met = materialise(_hub_pairs(shared))
-    texts = named.where("id IS NOT NULL")
-    links = materialise(_confirmed(materialise(_similar(met, nodes, plan)), texts, plan))
-    labels = connected_components(links)
-    more = _remaining_links(met, nodes, labels, texts, plan)
-    if more is not None:
-        more = materialise(more)
-        if more.limit(1).count():
-            labels = connected_components(links.union(more))
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return named.join(bounded(wanted), "id", "left_semi").select("id", _full_sets(F.col("text"), plan).alias("items"))
 
+    labels = linked_components(nodes, sets_of, plan)
     named_nodes = nodes.select("digest", "node").join(labels, "node", "left") \
         .select("digest", F.coalesce("component", "node").alias("component"))
     return profile.join(named_nodes, "digest", "left").select(
         F.col("id").alias(id), "n_shingles",
         F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col(f"`{id}`") == F.col("component_id"), F.lit(True)))
+
+
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", plan: Banding = Banding()) -> DataFrame:
+    """The documents that ``near_duplicates`` keeps, one row of each id; rows without an id all stay."""
+    verdict = materialise(near_duplicates(docs, id, text, plan).select(F.col(f"`{id}`").alias("id__"), "kept"))
+    gone = bounded(verdict.where(~F.col("kept")).select("id__").distinct())
+    left = docs.join(gone, F.col(f"`{id}`") == F.col("id__"), "left_anti")
+    again = verdict.where("kept AND id__ IS NOT NULL").groupBy("id__").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id__")
+    if not again.limit(1).count():
+        return left
+    again = bounded(again)
+    place, order = free_name(docs, "place"), [F.xxhash64(F.col(f"`{c}`").cast("string")) for c in docs.columns]
+    first = left.join(again, F.col(f"`{id}`") == F.col("id__"), "left_semi").withColumn(
+        place, F.row_number().over(Window.partitionBy(F.col(f"`{id}`")).orderBy(F.col(f"`{text}`"), *order))) \
+        .where(F.col(place) == 1).drop(place)
+    return left.join(again, F.col(f"`{id}`") == F.col("id__"), "left_anti").unionByName(first)

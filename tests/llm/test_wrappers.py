@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import re
+from html import unescape
+
+from pyspark.sql import functions as F
+
+from tabwright.llm import wrappers as w
+from tabwright.llm.urls import host_of
+
+
+def texts(spark, rows, schema="url string, html string"):
+    pages = spark.createDataFrame(rows, schema)
+    return [r.text for r in w.extract(pages, host_of(F.col("url"))).collect()]
+
+
+def test_generated_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = w.extract(pages, host_of(F.col("url"))).collect()
+    assert len(rows) == 250
+    for r in rows:
+        article = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        blocks = (re.sub(r"\s+", " ", unescape(re.sub(r"<br>", " ", re.sub(r"</?b>", "", x)))).strip()
+                  for x in re.split(r"</?(?:p|h1)>", article))
+        assert r.text == "\n\n".join(b for b in blocks if b)
+
+
+def page(k, body, menu="<ul class=menu><li><a href=/>Home</a><li><a href=/a>About</a></ul>"):
+    return f"<html><body><div id=top>{menu}</div>{body}<div class='site-footer'>&copy; us {k}</div></body></html>"
+
+
+def test_main_element_without_a_name(spark):
+    rows = [("http://h.org/%d" % k, page(k, f"<div class=x><h2>Title {k}</h2>Some &amp; loose<p>Text of page {k}, at\n some  length "
+                                           f"and more of it.<ul><li>one {k}<li>two</ul></div><div class=y>Same on all</div>"))
+            for k in range(8)]
+    found = texts(spark, rows)
+    assert found[3] == "Title 3\n\nSome & loose\n\nText of page 3, at some length and more of it.\n\none 3\n\ntwo"
+
+
+def test_what_is_left_out(spark):
+    inner = ("<main><article class='post header-image'><h1>T</h1><p>First<br>line &lt;b&gt; x</p><aside>side</aside>"
+             "<div class='cookie-notice'>n</div><form>f<input></form><script>var x='<p>no</p>'</script><style>p{}</style>"
+             "<p>Last <b>bold</b><!-- c --> word</p><section class=comments><article><p>reply</p></article></section></article></main>")
+    rows = [("http://h.org/1", f"<body><header>head</header><nav>menu</nav>{inner}<footer>foot</footer>")]
+    assert texts(spark, rows) == ["T\n\nFirst line <b> x\n\nLast bold word"]
+
+
+def test_odd_rows(spark):
+    rows = [(None, None), ("http://a.org", ""), ("no url", "plain text"), ("http://a.org", "<p>a<p>b"), ("http://a.org", "<p>a<p>b"),
+            ("http://b.org", "<article><p>" + "long " * 200_000), ("http://c.org", "<div" * 1000), ("http://d.org", "a < b &am &amp c")]
+    found = texts(spark, rows)
+    assert found[:5] == ["", "", "plain text", "a\n\nb", "a\n\nb"]
+    assert found[5] == ("long " * 200_000).strip() and found[7] == "a < b &am & c"
+    pages = spark.createDataFrame([("http://a.org", "<p>x", "t", "r")], "url string, html string, text string, rules string")
+    assert w.extract(pages, host_of(F.col("url"))).columns == ["url", "html", "text", "rules", "text_"]
+    assert w.extract(pages.limit(0), host_of(F.col("url"))).collect() == []
+
+
+def test_pattern_is_union_free_and_does_not_depend_on_order():
+    pages = ["<ul><li>a<li>b</ul><p>x</p>", "<ul><li>c</ul><h1>t</h1><p>y</p>", "<p>z</p><ul><li>d</ul>"]
+    one = w.fold(w.read_page(pages[0]))
+    assert w.pattern(one) == "<ul>(<li>#text</li>)+</ul><p>x</p>"
+    two = w.align(one, w.fold(w.read_page(pages[1])))
+    assert w.pattern(two) == "<ul>(<li>#text</li>)+</ul>(<h1>t</h1>)?<p>#text</p>"
+    three = w.align(two, w.fold(w.read_page(pages[2])))
+    assert "|" not in w.pattern(three) and w.pattern(three).endswith(")+")
+    assert w.host_rules(three)["main"] == w.host_rules(w.align(w.fold(w.read_page(pages[2])), two))["main"]
+
+
+def test_wrapper_counts_all_pages(spark):
+    rows = [("http://h.org/%d" % k, f"<div><p>{k}</p></div>") for k in range(300)]
+    pages = spark.createDataFrame(rows, "url string, html string").repartition(9)
+    found = w.infer_wrappers(pages, host_of(F.col("url"))).collect()
+    assert len(found) == 1 and '"n": 300' in found[0].wrapper
