@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import contamination, divergence, packing, pseudonyms, subwords, urls, wrappers
+from tabwright.llm import contamination, divergence, packing, paragraphs, pseudonyms, quotes, subwords, urls, wrappers
 from tabwright.llm.neardup import near_duplicates
 from tabwright.sources import read_parquet_table
 
@@ -58,6 +58,14 @@ def op5_subword_classifier(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
 
 
+def op6_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.link_quotes(read_parquet_table(spark, folder, "conversations"))
+
+
+def op7_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeated_passages(read_parquet_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op8_pigeonhole_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_parquet_table(spark, folder, "documents").select("doc_id", "text")
     found = contamination.with_hits(docs, read_parquet_table(spark, folder, "benchmark")).drop("text")
@@ -71,7 +79,7 @@ def op9_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_redirect_rules, op3_wrapper_extraction, op4_feistel_pseudonyms, op5_subword_classifier,
-    op8_pigeonhole_decontamination, op9_minhash_neardup, op10_distribution_rules,
+    op6_quotation_linking, op7_paragraph_minhash, op8_pigeonhole_decontamination, op9_minhash_neardup, op10_distribution_rules,
 )}
 
 ORACLES = {
