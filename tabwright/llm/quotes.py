@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tabwright.sources.durable import materialise
 
-MARKS = r"^\s*((?:>[ \t]?)+)"
+MARKS = r"^[ \t]*(>[> \t]*)"
 # fixed values: how mail programs announce a quote
 ANNOUNCES = r"(?i)(?:wrote|writes|schrieb|a écrit|escribió)\s*:\s*$"
 
@@ -43,7 +43,8 @@ def lines_of(text: Column) -> Column:
 
 def own_text(lines: Column) -> Column:
     kept = F.filter(lines, lambda line: (line["level"] == 0) & ~line["announces"])
-    return F.trim(F.regexp_replace(F.array_join(F.transform(kept, lambda line: line["text"]), "\n"), r"\n{3,}", "\n\n"))
+    text = F.regexp_replace(F.array_join(F.transform(kept, lambda line: line["text"]), "\n"), r"\n{3,}", "\n\n")
+    return F.btrim(text, F.lit(" \t\r\n"))
 
 
 def passages_of(lines: Column) -> Column:

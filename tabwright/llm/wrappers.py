@@ -11,7 +11,7 @@ alternatives. It carries how much text and linked text each of its elements held
 From the wrapper come the rules of its host: the main element is the one that a tag or class names as such,
 or else the one under which most unlinked slot text gathers; menus, headers, footers, sidebars, notices,
 adverts, forms and comments are left out by tag or class, as are lists that are links on nearly all
-pages, and, outside a named main element, texts that are fixed on all of at least ``FIXED_PAGES`` pages.
+pages, and, where the whole body is the main element, texts that are fixed on all of at least ``FIXED_PAGES`` pages.
 
 Each task aligns its own pages before anything is shuffled. Partial wrappers of a host meet in
 ``SALTS`` groups first and then in one, so a host with a third of all pages is a few small rows there.
@@ -74,7 +74,7 @@ WHOLE_TAGS = MAIN_TAGS | set("html body h1 h2 h3 h4 h5 h6".split())  # left out
 MAIN_WORDS = set("article content main post entry story body text".split())
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
+    r"<!--.*?(?:-->|$)|<![^>]*+>?|<\?[^>]*+>?|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|([^<]++|<)", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 BLANKS = re.compile(r"\s+")
 
@@ -91,8 +91,14 @@ class Element:
 
 
 def _class_words(attributes: str) -> frozenset[str]:
-    words = {w for m in ATTRIBUTE.finditer(attributes) for w in re.split(r"[^a-z]+", unescape(m[2] or m[3] or m[4] or "").lower())}
-    return frozenset(words & (LEFT_OUT_WORDS | MAIN_WORDS))
+    """Class names without digits, which tell elements of a host apart, and telling words of id and role."""
+    words: set[str] = set()
+    for m in ATTRIBUTE.finditer(attributes):
+        value = unescape(m[2] or m[3] or m[4] or "").lower()
+        parts = set(re.split(r"[^a-z]+", value)) & (LEFT_OUT_WORDS | MAIN_WORDS)
+        names = {w for w in value.split() if w.isalpha() and len(w) <= 20} if m[1].lower() == "class" else set()
+        words |= parts | names
+    return frozenset(words)
 
 
 def read_page(html: str) -> Element:
@@ -285,7 +291,9 @@ def page_text(html: str | None, rules: dict) -> str:
         return ""
     blocks: list[str] = []
     line: list[str] = []
-    out, fixed = set(rules["out"]), set() if rules["named"] else set(rules["fixed"])
+    # an element of its own holds nothing but main text; only a whole body is rid of what all pages say
+    whole = not rules["named"] and rules["main"] in (None, "", "/html", "/body", "/html/body")
+    out, fixed = set(rules["out"]), set(rules["fixed"]) if whole else set()
 
     def flush():
         text = BLANKS.sub(" ", "".join(line)).strip()
