@@ -27,6 +27,8 @@ values that fail their check are left as they are.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,6 +50,11 @@ def _round(key: str, tag: Column, number: Column, half: Column) -> Column:
     return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _div(x: Column, by: Column | int) -> Column:
     """Whole quotient; ``/`` would go through double."""
     return F.call_function("div", x, by if isinstance(by, Column) else F.lit(by).cast("long"))
@@ -59,8 +66,10 @@ def feistel(x: Column, a: Column, b: Column, key: str, tag: Column) -> Column:
         left, right = s["left"], s["right"]
         return F.when(r % 2 == 0, F.struct(((left + _round(key, tag, r, right) % a) % a).alias("left"), right.alias("right"))) \
             .otherwise(F.struct(left.alias("left"), ((right + _round(key, tag, r, left) % b) % b).alias("right")))
-    start = F.struct(_div(x, b).alias("left"), F.pmod(x, b).cast("long").alias("right"))
-    return F.aggregate(F.array(*[F.lit(r) for r in range(ROUNDS)]), start, step, lambda s: s["left"] * b + s["right"])
+    def permuted(x: Column) -> Column:
+        start = F.struct(_div(x, b).alias("left"), F.pmod(x, b).cast("long").alias("right"))
+        return F.aggregate(F.array(*[F.lit(r) for r in range(ROUNDS)]), start, step, lambda s: s["left"] * b + s["right"])
+    return _let(x, permuted)
 
 
 def _whole_power(base: int, exponent: Column) -> Column:
@@ -71,17 +80,18 @@ def _whole_power(base: int, exponent: Column) -> Column:
 
 def _digit_string(digits: Column, key: str, kind: str) -> Column:
     """A string of up to 18 digits, permuted among those of its length."""
-    n = F.length(digits)
-    half = F.floor(n / 2)
-    new = feistel(digits.cast("long"), _whole_power(10, n - half), _whole_power(10, half), key,
-                  F.concat(F.lit(kind), n.cast("string")))
-    return F.lpad(new.cast("string"), n, "0")
+    def permuted(digits: Column) -> Column:
+        n = F.length(digits)
+        half = F.floor(n / 2)
+        new = feistel(digits.cast("long"), _whole_power(10, n - half), _whole_power(10, half), key,
+                      F.concat(F.lit(kind), n.cast("string")))
+        return F.lpad(new.cast("string"), n, "0")
+    return _let(digits, permuted)
 
 
 def _letter_string(letters: Column, key: str) -> Column:
     """A string of a-z, permuted ten letters at a time among those of its length."""
-    def part(k: Column) -> Column:
-        own = F.substr(letters, k * 10 + 1, F.lit(10))
+    def part(own: Column, k: Column) -> Column:
         n = F.length(own)
         number = F.aggregate(F.sequence(F.lit(1), n), F.lit(0).cast("long"),
                              lambda sum_, i: sum_ * 26 + F.ascii(F.substr(own, i, F.lit(1))) - 97)
@@ -92,18 +102,25 @@ def _letter_string(letters: Column, key: str) -> Column:
         return F.aggregate(F.sequence(F.lit(1), n), F.struct(new.alias("rest"), F.lit("").alias("done")), lambda s, i: F.struct(
             _div(s["rest"], 26).alias("rest"), F.concat(F.char(s["rest"] % 26 + 97), s["done"]).alias("done")),
             lambda s: s["done"])
-    parts = F.transform(F.sequence(F.lit(0), F.floor((F.length(letters) - 1) / 10).cast("int")), part)
-    return F.when(F.length(letters) == 0, "").otherwise(F.array_join(parts, ""))
+    def all_parts(letters: Column) -> Column:
+        pieces = F.transform(F.sequence(F.lit(0), F.floor((F.length(letters) - 1) / 10).cast("int")),
+                             lambda k: F.substr(letters, k * 10 + 1, F.lit(10)))
+        return F.when(F.length(letters) == 0, "").otherwise(F.array_join(F.transform(pieces, part), ""))
+    return _let(letters, all_parts)
 
 
 def _written_over(old: Column, pattern: str, new: Column) -> Column:
     """``old`` with its characters of a class replaced, in order, by those of ``new``; capitals stay capitals."""
-    def at(i: Column) -> Column:
-        char = F.substr(old, i, F.lit(1))
-        rank = F.length(F.regexp_replace(F.substr(old, F.lit(1), i), f"[^{pattern}]", ""))
-        fresh = F.substr(new, rank, F.lit(1))
-        return F.when(~char.rlike(f"[{pattern}]"), char).when(char.rlike("[A-Z]"), F.upper(fresh)).otherwise(fresh)
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(old)), at), "")
+    def written(both: Column) -> Column:
+        old, new = both["old"], both["new"]
+
+        def at(i: Column) -> Column:
+            char = F.substr(old, i, F.lit(1))
+            rank = F.length(F.regexp_replace(F.substr(old, F.lit(1), i), f"[^{pattern}]", ""))
+            fresh = F.substr(new, rank, F.lit(1))
+            return F.when(~char.rlike(f"[{pattern}]"), char).when(char.rlike("[A-Z]"), F.upper(fresh)).otherwise(fresh)
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(old)), at), "")
+    return _let(F.struct(old.alias("old"), new.alias("new")), written)
 
 
 def _only(value: Column, kept: str) -> Column:
@@ -125,22 +142,24 @@ def _luhn_digit(digits: Column) -> Column:
 
 
 def _card(value: Column, key: str) -> Column:
-    digits = _only(value, "0-9")
-    n = F.length(digits)
-    body = F.substr(digits, F.lit(1), n - 1)
-    new = F.concat(F.substr(digits, F.lit(1), F.lit(1)), _digit_string(F.substr(digits, F.lit(2), n - 2), key, "card"))
-    new = F.concat(new, _luhn_digit(new))
-    valid = _luhn_digit(body) == F.substr(digits, n, F.lit(1))
-    return F.when(valid, _written_over(value, "0-9", new)).otherwise(value)
+    def changed(digits: Column) -> Column:
+        n = F.length(digits)
+        body = F.substr(digits, F.lit(1), n - 1)
+        new = F.concat(F.substr(digits, F.lit(1), F.lit(1)), _digit_string(F.substr(digits, F.lit(2), n - 2), key, "card"))
+        new = _let(new, lambda body: F.concat(body, _luhn_digit(body)))
+        valid = _luhn_digit(body) == F.substr(digits, n, F.lit(1))
+        return F.when(valid, _written_over(value, "0-9", new)).otherwise(value)
+    return _let(_only(value, "0-9"), changed)
 
 
 def _phone(value: Column, key: str) -> Column:
-    digits = _only(value, "0-9")
-    n = F.length(digits)
-    american = value.rlike(f"^(?:{NANP})$")
-    skip = F.when(american, n - 10).otherwise(2)
-    new = F.concat(F.substr(digits, F.lit(1), skip), _digit_string(F.substr(digits, skip + 1, n - skip), key, "phone"))
-    return F.when(american | n.between(8, 15), _written_over(value, "0-9", new)).otherwise(value)
+    def changed(digits: Column) -> Column:
+        n = F.length(digits)
+        american = value.rlike(f"^(?:{NANP})$")
+        skip = F.when(american, n - 10).otherwise(2)
+        new = F.concat(F.substr(digits, F.lit(1), skip), _digit_string(F.substr(digits, skip + 1, n - skip), key, "phone"))
+        return F.when(american | n.between(8, 15), _written_over(value, "0-9", new)).otherwise(value)
+    return _let(_only(value, "0-9"), changed)
 
 
 def _ssn(value: Column, key: str) -> Column:
@@ -148,11 +167,12 @@ def _ssn(value: Column, key: str) -> Column:
     area, group, serial = (F.substr(digits, F.lit(at), F.lit(n)).cast("long") for at, n in ((1, 3), (4, 2), (6, 4)))
     # areas 1 to 899 without 666, as 0 to 897
     x = ((area - F.when(area > 666, 2).otherwise(1)) * 99 + group - 1) * 9999 + serial - 1
-    new = feistel(x, F.lit(898), F.lit(99 * 9999), key, F.lit("ssn"))
-    index = _div(new, 99 * 9999)
-    written = F.concat(
-        F.lpad((index + F.when(index >= 665, 2).otherwise(1)).cast("string"), 3, "0"),
-        F.lpad((_div(new, 9999) % 99 + 1).cast("string"), 2, "0"), F.lpad((new % 9999 + 1).cast("string"), 4, "0"))
+    def digits_of(new: Column) -> Column:
+        index = _div(new, 99 * 9999)
+        return F.concat(
+            F.lpad((index + F.when(index >= 665, 2).otherwise(1)).cast("string"), 3, "0"),
+            F.lpad((_div(new, 9999) % 99 + 1).cast("string"), 2, "0"), F.lpad((new % 9999 + 1).cast("string"), 4, "0"))
+    written = _let(feistel(x, F.lit(898), F.lit(99 * 9999), key, F.lit("ssn")), digits_of)
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     return F.when(valid, _written_over(value, "0-9", written)).otherwise(value)
 
@@ -160,10 +180,9 @@ def _ssn(value: Column, key: str) -> Column:
 def _ipv4(value: Column, key: str) -> Column:
     parts = F.transform(F.split(value, r"\."), lambda p: p.cast("long"))
     x = F.aggregate(parts, F.lit(0).cast("long"), lambda total, p: total * 256 + p)
-    new = feistel(x, F.lit(65536), F.lit(65536), key, F.lit("ipv4"))
-    octets = F.transform(F.array(*[F.lit(1 << s).cast("long") for s in (24, 16, 8, 0)]),
-                         lambda unit: (_div(new, unit) % 256).cast("string"))
-    return F.when(F.forall(parts, lambda p: p < 256), F.array_join(octets, ".")).otherwise(value)
+    written = _let(feistel(x, F.lit(65536), F.lit(65536), key, F.lit("ipv4")), lambda new: F.concat_ws(
+        ".", *[(_div(new, 1 << s) % 256).cast("string") for s in (24, 16, 8, 0)]))
+    return F.when(F.forall(parts, lambda p: p < 256), written).otherwise(value)
 
 
 def _date(value: Column, key: str) -> Column:
@@ -172,11 +191,16 @@ def _date(value: Column, key: str) -> Column:
     iso, dotted = value.rlike("-"), value.rlike(r"\.")
     months_first = ~iso & ~dotted & first.cast("int").between(1, 12)
     text = F.when(iso, value).when(months_first, F.concat_ws("-", year, first, third)).otherwise(F.concat_ws("-", year, third, first))
-    day = F.datediff(F.try_to_date(text, "yyyy-MM-dd"), F.lit("1900-01-01").cast("date")).cast("long")
-    new = F.date_add(F.lit("1900-01-01").cast("date"), feistel(day, *map(F.lit, DAYS), key, F.lit("date")).cast("int"))
-    written = F.when(iso, F.date_format(new, "yyyy-MM-dd")).when(dotted, F.date_format(new, "dd.MM.yyyy")) \
-        .when(months_first, F.date_format(new, "MM/dd/yyyy")).otherwise(F.date_format(new, "dd/MM/yyyy"))
-    return F.when((day >= 0) & (day < DAYS[0] * DAYS[1]), written).otherwise(value)
+    start = F.lit("1900-01-01").cast("date")
+
+    def written(new: Column) -> Column:
+        return F.when(iso, F.date_format(new, "yyyy-MM-dd")).when(dotted, F.date_format(new, "dd.MM.yyyy")) \
+            .when(months_first, F.date_format(new, "MM/dd/yyyy")).otherwise(F.date_format(new, "dd/MM/yyyy"))
+
+    def changed(day: Column) -> Column:
+        new = F.date_add(start, feistel(day, *map(F.lit, DAYS), key, F.lit("date")).cast("int"))
+        return F.when((day >= 0) & (day < DAYS[0] * DAYS[1]), _let(new, written)).otherwise(value)
+    return _let(F.datediff(F.try_to_date(text, "yyyy-MM-dd"), start).cast("long"), changed)
 
 
 def _email(value: Column, key: str) -> Column:
