@@ -12,8 +12,16 @@ from pyspark.sql import functions as F
 
 
 def keyed_md5(seed: int, *keys: str) -> Column:
-    """Hex md5 of ``seed:key1:key2…``; uniform, so its order is a shuffle of the rows."""
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    """Hex md5 of ``seed:key``; uniform, so its order is a shuffle of the rows.
+
+    In a key of several parts each is led by its length, or is ``-`` if missing, so different keys
+    never read alike.
+    """
+    parts = [F.col(k).cast("string") for k in keys]
+    if len(keys) == 1:
+        parts = [F.coalesce(parts[0], F.lit(""))]
+    else:
+        parts = [F.when(p.isNull(), "-").otherwise(F.concat_ws(":", F.length(p).cast("string"), p)) for p in parts]
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
 
 

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import reduce
 from html.parser import HTMLParser
+from operator import and_
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -25,6 +27,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 REST = r"""(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""  # of a tag, after its name; quoted text may hold '>'
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 ANY_TAG = r"""(?is)</?[a-z!](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+PLAIN_REST = r"""(?=[\s/>])(?:[^<>"']++|"[^"<>]*+"|'[^'<>]*+')*+"""  # the same without '<' and '>' in quotes, up to the '>'
+PLAIN_TAG = rf"""(?is)</?[a-z][^\s/>]*+{PLAIN_REST}>|<!doctype[^<>]*+>"""
+CLASS = (  # of an opening tag: its attributes one by one, up to the first class
+    r"""(?is)^<[a-z][^\s/>]*+(?:[\s/]+(?!class[\s=/>])[^\s=/>"'<]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+"""
+    r"""[\s/]+class\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))"""
+)
 
 # Character references resolved natively; '&' comes last.
 REFERENCES = {
@@ -57,21 +65,22 @@ def _decoded(text: Column) -> Column:
     return text
 
 
-def _alternating(visible: Column, tag: str) -> Column:
-    """True if openings and closings of the tag take turns: "" and "/" joined by dots read ./../../ ."""
-    marks = F.regexp_extract_all(visible, F.lit(rf"(?is)<(/?){tag}{REST}"), 1)
-    pairs = F.floor(F.size(marks) / 2).cast("int")
-    even = F.size(marks) == pairs * 2
-    return even & (F.array_join(marks, ".") == F.substr(F.repeat(F.lit("./."), pairs), F.lit(1), pairs * 3 - 1))
+def _flat(visible: Column, html: Column, raw: Column, levels: list[str]) -> Column:
+    """True if cutting by tags gives what the element tree gives, and all cut text can be decoded.
 
-
-def _flat(visible: Column, raw: Column, tags: list[str]) -> Column:
-    """True if cutting by tags gives what the element tree gives, and all cut text can be decoded."""
+    No tag may hold markup in its quotes. Elements of each level (outermost first, alternatives joined by
+    ``|``) may hold only those of the next, and the innermost only text and elements with only text:
+    they are taken out from the inside, and then none of their tags may be left.
+    """
     known = "|".join(ref[1:] for ref in REFERENCES)
     strange = rf"&(?!(?:{known}))[A-Za-z#]"
-    ok = ~visible.rlike(r"<!--|(?is)<(script|style)\b")
-    for tag in tags:
-        ok = ok & _alternating(visible, tag)
+    ok = ~F.regexp_replace(html, rf"{HIDDEN}|{PLAIN_TAG}", "").rlike("<[a-zA-Z/!?]")
+    own = "|".join(levels)
+    rest = visible
+    for level in reversed(levels):
+        inline = rf"(?:<(?!(?:{own})[\s/>])([a-z][a-z0-9]*){PLAIN_REST}>[^<]*+</\2\s*>[^<]*+)*+" if level == levels[-1] else ""
+        rest = F.regexp_replace(rest, rf"(?is)<({level}){PLAIN_REST}>[^<]*+{inline}</\1\s*>", "")
+    ok = ok & ~rest.rlike(rf"(?i)</?(?:{own})[\s/>]")
     return ok & ~F.exists(raw, lambda item: F.exists(item, lambda t: F.coalesce(t, F.lit("")).rlike(strange)))
 
 
@@ -167,8 +176,8 @@ def _tree_udf(extract: Callable[[str], list[list[str | None]]]):
 
 
 def _items(
-    pages: DataFrame, html: str, key: str, tags: list[str], native: Callable[[Column], Column] | None,
-    tree: Callable[[str], list[list[str | None]]],
+    pages: DataFrame, html: str, key: str, levels: list[str], native: Callable[[Column], Column] | None,
+    tree: Callable[[str], list[list[str | None]]], also: Callable[[Column], Column] = lambda visible: F.lit(True),
 ) -> DataFrame:
     """(page_id, found): the native items of flat pages and the helper's of all others.
 
@@ -180,13 +189,13 @@ def _items(
     if native is None:
         return df.select("page_id", helper("html").alias("found"))
     df = df.withColumn("visible", _visible(F.col("html"))).withColumn("raw", native(F.col("visible")))
-    df = df.withColumn("flat", F.coalesce(_flat(F.col("visible"), F.col("raw"), tags), F.lit(False)))
+    df = df.withColumn("flat", F.coalesce(_flat(F.col("visible"), F.col("html"), F.col("raw"), levels) & also(F.col("visible")), F.lit(False)))
     df = df.select("page_id", "raw", "flat", helper(F.when(~F.col("flat"), F.col("html"))).alias("tree"))
     decoded = F.transform("raw", lambda item: F.transform(item, _decoded))
     return df.select("page_id", F.when(F.col("flat"), decoded).otherwise(F.col("tree")).alias("found"))
 
 
-def _exploded(items: DataFrame, column: str) -> DataFrame:
+def exploded(items: DataFrame, column: str) -> DataFrame:
     """(page_id, idx, item). The outer form keeps the optimizer from evaluating the items a second time
     in a filter on their number."""
     return items.select("page_id", F.posexplode_outer(column).alias("idx", "item")).filter(F.col("idx").isNotNull())
@@ -204,9 +213,8 @@ def table_rows(
         return F.transform(rows, lambda r: F.array(*[
             _stripped(F.get(_inner(r, cell), F.lit(0))) for cell in ("th", "td")
         ]))
-    tags = ["table", "tr", "th", "td"]
-    found = _items(pages, html, key, tags, None if tree_only else native, lambda text: _tree_table(text, n))
-    return _exploded(found, "found").select(
+    found = _items(pages, html, key, ["table", "tr", "th|td"], None if tree_only else native, lambda text: _tree_table(text, n))
+    return exploded(found, "found").select(
         "page_id", "idx", F.col("item")[0].alias("key"), F.col("item")[1].alias("value"),
     )
 
@@ -218,14 +226,14 @@ def page_lists(
     def native(visible: Column) -> Column:
         markup = visible if n is None else F.get(_inner(visible, "ul"), F.lit(n))
         return F.transform(_inner(markup, "li"), lambda item: F.array(_stripped(item)))
-    tags = ["li"] if n is None else ["ul", "li"]
-    found = _items(pages, html, key, tags, None if tree_only else native, lambda text: _tree_list(text, n))
+    levels = ["li"] if n is None else ["ul", "li"]
+    found = _items(pages, html, key, levels, None if tree_only else native, lambda text: _tree_list(text, n))
     return found.select("page_id", F.flatten("found").alias("items"))
 
 
 def list_items(pages: DataFrame, n: int | None = None, **options) -> DataFrame:
     """(page_id, idx, item): one row per list item; see ``page_lists``."""
-    return _exploded(page_lists(pages, n, **options), "items")
+    return exploded(page_lists(pages, n, **options), "items")
 
 
 def by_class(
@@ -238,24 +246,33 @@ def by_class(
     tag below it whose first class is ``inner``: always a nesting, so always the helper's work, as
     is ``within``, which looks only inside the first element of that class.
     """
+    def class_of(e: Column) -> Column:
+        return F.concat(*[F.regexp_extract(e, CLASS, k) for k in (1, 2, 3)])
+
     def native(visible: Column) -> Column:
         whole = F.regexp_extract_all(visible, F.lit(rf"(?is)<{tag}{REST}.*?</{tag}\s*>"), 0)
-        named = rf"""(?is)^<{tag}\s(?:[^>]*?\s)?class\s*=\s*["']?([^"'>]*)"""
-        mine = F.filter(whole, lambda e: (F.regexp_extract(e, named, 1) == cls) | F.array_contains(
-            F.split(F.trim(F.regexp_extract(e, named, 1)), r"\s+"), cls
-        ))
+        mine = F.filter(whole, lambda e: (class_of(e) == cls) | F.array_contains(F.split(F.trim(class_of(e)), r"\s+"), cls))
         return F.filter(F.transform(mine, lambda e: F.array(_stripped(e))), lambda item: item[0] != "")
+
+    def plain_classes(visible: Column) -> Column:
+        """No class is given twice or holds a character reference."""
+        opened = F.regexp_extract_all(visible, F.lit(rf"(?is)<{tag}{REST}"), 0)
+        return ~F.exists(opened, lambda e: class_of(e).contains("&") | F.regexp_replace(e, CLASS, "").rlike(r"(?i)[\s/]class[\s=/>]"))
+
     use_tree = tree_only or inner is not None or within is not None
+    if use_tree:  # a page without these words has no such element: it need not be parsed
+        told = [F.col(html).contains(word) | F.col(html).contains("&") for word in {*cls.split(), inner or "", within or ""} if word]
+        pages = pages.withColumn(html, F.when(reduce(and_, told, F.lit(True)), F.col(html)).otherwise(F.when(F.col(html).isNotNull(), "")))
     found = _items(
         pages, html, key, [tag], None if use_tree else native,
-        lambda text: _tree_class(text, tag, cls, inner, within),
+        lambda text: _tree_class(text, tag, cls, inner, within), plain_classes,
     )
     return found.select("page_id", F.flatten("found").alias("texts"))
 
 
 def class_items(pages: DataFrame, tag: str, cls: str, **options) -> DataFrame:
     """(page_id, idx, txt): one row per element; see ``by_class``."""
-    return _exploded(by_class(pages, tag, cls, **options), "texts").withColumnRenamed("item", "txt")
+    return exploded(by_class(pages, tag, cls, **options), "texts").withColumnRenamed("item", "txt")
 
 
 def list_tail(lists: DataFrame, lo: int | None, hi: int | None, items: str = "items") -> DataFrame:

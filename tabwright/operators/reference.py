@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions import average_rates, hash01, nan_to_null, scale_by_ratio
@@ -40,7 +40,9 @@ def lookup(
 def band_lookup(
     df: DataFrame, bands: DataFrame, value: str, small_rows: int = SMALL_ROWS
 ) -> DataFrame:
-    """Left join on ``lo <= value < hi``; a NULL ``hi`` is open. Bands must not overlap.
+    """Left join on ``lo <= value < hi``; a NULL ``hi`` is open. Bands that overlap are a ValueError.
+
+    A missing value (NULL or NaN) is in no band.
 
     Up to ``NESTED_BANDS`` bands are broadcast and compared with every row. More are cut into cells that hold
     about equally many of them, so that a row meets only the bands of its cell. That is an equi-join:
@@ -48,8 +50,10 @@ def band_lookup(
     """
     edges = {c: F.col(c).cast("double") for c in ("lo", "hi")}
     side, rows = pin_small(bands.withColumns(edges), small_rows)
+    if _overlap(side):
+        raise ValueError("the bands overlap, so a row could match several")
     side = side.withColumnsRenamed({"lo": "__lo", "hi": "__hi"})
-    x = F.col(value).cast("double")
+    x = nan_to_null(F.col(value).cast("double"))
     inside = (x >= F.col("__lo")) & (F.col("__hi").isNull() | (x < F.col("__hi")))
     if rows is not None and len(rows) <= NESTED_BANDS:
         return df.join(F.broadcast(side), inside, "left").drop("__lo", "__hi")
@@ -68,12 +72,35 @@ def band_lookup(
     few = None
     if rows is not None:
         pieces, few = pin_small(pieces, small_rows + CELLS)
-    keyed = with_cell(df, nan_to_null(x), "__at")
+    # rows without a value match nothing: spread out, they do not meet in the open band's cell
+    nowhere = -1 - F.pmod(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in df.columns]), F.lit(CELLS)).cast("int")
+    keyed = with_cell(df, x, "__at").withColumn("__at", F.when(x.isNull(), nowhere).otherwise(F.col("__at")))
     same_cell = F.col("__at") == F.col("__cell")
     joined = keyed.join(pieces if few is None else F.broadcast(pieces), same_cell & inside, "left")
     return joined.drop("__lo", "__hi", "__cell", "__at")
 
 
+def _overlap(bands: DataFrame) -> bool:
+    """True if any band starts before the one before it ends; NULL ends are open, empty bands hold nothing.
+
+    Bands are compared with their neighbours inside ranges of starts, and the ranges by their ends.
+    """
+    real = bands.select("lo", F.coalesce("hi", F.lit(float("inf"))).alias("hi")).where("lo < hi")
+    placed = real.repartitionByRange("lo").withColumn("__range", F.spark_partition_id())
+    order = Window.partitionBy("__range").orderBy("lo", "hi")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    told = placed.withColumn("__upto", F.max("hi").over(before))
+    ranges = told.groupBy("__range").agg(
+        F.count_if(F.col("lo") < F.col("__upto")).alias("bad"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+    ).orderBy("__range").collect()  # one row per range
+    ends = [float("-inf")]
+    for r in ranges:
+        if r["bad"] or r["lo"] < ends[-1]:
+            return True
+        ends.append(max(ends[-1], r["hi"]))
+    return False
+
+
 def key_grid(spark: SparkSession, ages: int = 76) -> DataFrame:
     """(sex, age) for both sexes and ages 0 to ``ages - 1``: 152 rows by default."""
     age = spark.range(ages).select(F.col("id").cast("int").alias("age"))
@@ -84,12 +111,15 @@ def rate_grid(grid: DataFrame, bands: DataFrame, men_ratio: DataFrame) -> DataFr
     """(sex, age, smoke_rate): the mean of a band's two rates, times the one-row ratio for sex 1.
 
     ``bands`` has (lo, hi, rate1, rate2); an age outside every band has rate 0. ``men_ratio`` has one
-    row with the column ``ratio``.
+    row with the column ``ratio``; another number of rows, or no ratio in it, is a ValueError.
     """
+    ratio = men_ratio.agg(F.count(F.lit(1)).alias("n"), F.max("ratio").alias("ratio")).first()
+    if ratio["n"] != 1 or ratio["ratio"] is None:
+        raise ValueError(f"one ratio is needed, not {ratio['n']} rows with {ratio['ratio']}")
     placed = band_lookup(grid, bands, "age")
     mean = average_rates(F.col("rate1"), F.col("rate2"))
-    return placed.crossJoin(F.broadcast(men_ratio.select("ratio").limit(1))).select(
-        "sex", "age", scale_by_ratio(mean, F.col("sex"), F.col("ratio")).alias("smoke_rate"),
+    return placed.select(
+        "sex", "age", scale_by_ratio(mean, F.col("sex"), F.lit(ratio["ratio"])).alias("smoke_rate"),
     )
 
 

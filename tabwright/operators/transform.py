@@ -7,7 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions import log_abs
+from tabwright.functions import log_abs, present
 
 
 def log_abs_columns(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -35,7 +35,7 @@ def log1p_columns(df: DataFrame, cols: list[str]) -> DataFrame:
 class ZScoreLog(Estimator):
     """Add ``<c>_z`` (sample z-score) and ``<c>_z_log`` = ``ln(|z| + 1)`` for each column.
 
-    With ``drop_source`` only ``<c>_z_log`` stays. A constant column gets NULL.
+    With ``drop_source`` only ``<c>_z_log`` stays. A constant column gets NULL, and so does a missing value.
     """
 
     def __init__(self, cols: list[str], drop_source: bool = True):
@@ -44,9 +44,10 @@ class ZScoreLog(Estimator):
         self.drop_source = drop_source
 
     def _fit(self, df: DataFrame) -> ZScoreLogModel:
+        x = {c: present(c, df.schema[c].dataType) for c in self.cols}
         row = df.agg(*[
             a for c in self.cols
-            for a in (F.avg(c).alias(f"m:{c}"), F.stddev_samp(c).alias(f"s:{c}"))
+            for a in (F.avg(x[c]).alias(f"m:{c}"), F.stddev_samp(x[c]).alias(f"s:{c}"))
         ]).first()
         return ZScoreLogModel({c: (row[f"m:{c}"], row[f"s:{c}"]) for c in self.cols}, self.drop_source)
 
@@ -59,7 +60,7 @@ class ZScoreLogModel(Model):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         z = {
-            c: F.try_divide(F.col(c) - F.lit(mean).cast("double"), F.lit(sd).cast("double"))
+            c: F.try_divide(present(c, df.schema[c].dataType) - F.lit(mean).cast("double"), F.lit(sd).cast("double"))
             for c, (mean, sd) in self.stats.items()
         }
         df = df.withColumns({f"{c}_z": z[c] for c in z} | {f"{c}_z_log": log_abs(z[c]) for c in z})

@@ -6,6 +6,8 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.functions import present
+
 
 class SigmaTrim(Estimator):
     """Keep rows within ``k`` sample standard deviations of the mean, column after column.
@@ -26,9 +28,10 @@ class SigmaTrim(Estimator):
         bounds: dict[str, tuple[float | None, float | None]] = {}
         for c in (c for c in self.cols if c in df.columns):
             left = SigmaTrimModel(bounds).transform(df)
+            x = present(c, df.schema[c].dataType)
             s = left.agg(
-                F.avg(c).alias("mean"), F.stddev_samp(c).alias("sd"),
-                F.min(c).alias("min"), F.max(c).alias("max"), F.count(c).alias("n"),
+                F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"),
+                F.min(x).alias("min"), F.max(x).alias("max"), F.count(x).alias("n"),
             ).first()
             if s["n"] < 2:
                 bounds[c] = (None, None)
@@ -49,7 +52,7 @@ class SigmaTrimModel(Model):
     def _transform(self, df: DataFrame) -> DataFrame:
         def within(c: str) -> Column:
             lo, hi = (F.lit(b).cast("double") for b in self.bounds[c])
-            return (F.col(c) >= lo) & (F.col(c) <= hi)
+            return (F.col(c) >= lo) & (F.col(c) <= hi)  # NaN is above every bound
         for c in self.bounds:
             df = df.filter(within(c))
         return df

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.functions import list_slice, number_in, text_slice
-from tabwright.operators.extract import by_class, page_lists, table_rows
+from tabwright.functions import number_in, text_slice
+from tabwright.operators.extract import by_class, exploded, list_items, list_tail, table_rows
 from tabwright.operators.reference import key_grid, rate_grid
 
 # Age bands (from, to - exclusive, rate index in source 1, rate index in source 2).
@@ -35,7 +35,7 @@ def bands_frame(spark: SparkSession, bands: list[tuple]) -> DataFrame:
 
 def sliced_items(pages: DataFrame, n: int, slices: list[tuple], **options) -> DataFrame:
     """(page_id, idx, key, value): the n-th list's items, cut at the offsets for their position."""
-    items = page_lists(pages, n, **options).select("page_id", F.posexplode("items").alias("idx", "item"))
+    items = list_items(pages, n, **options)
     key = value = None
     for at, (a, b, suffix, c, d) in reversed(list(enumerate(slices))):
         k, v = text_slice(F.col("item"), a, b, suffix), text_slice(F.col("item"), c, d)
@@ -50,7 +50,7 @@ def school_rates(pages: DataFrame, **options) -> DataFrame:
     texts = by_class(
         pages, "span", "ds-data-point ds-2017", inner="dp-data-estimate", within="ds-data-table-container", **options
     )
-    return texts.select("page_id", F.posexplode(list_slice(F.col("texts"), -4, None)).alias("idx", "value"))
+    return exploded(list_tail(texts, -4, None, "texts"), "texts").withColumnRenamed("item", "value")
 
 
 def with_rates(bands: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:

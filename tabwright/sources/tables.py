@@ -36,9 +36,14 @@ class Tables:
         for table, df in frames.items():
             target = f"{table}__next" if table in inputs else table
             df.write.mode("overwrite").format("parquet").saveAsTable(self._name(target))
-        for table in staged:
-            self.drop([table])
-            self.spark.sql(f"ALTER TABLE {self._name(table + '__next')} RENAME TO {self._name(table)}")
+        for table in staged:  # a failure in between leaves the old table under ``__old``
+            self.drop([f"{table}__old"])
+            self._rename(table, f"{table}__old")
+            self._rename(f"{table}__next", table)
+            self.drop([f"{table}__old"])
+
+    def _rename(self, table: str, to: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self._name(table)} RENAME TO {self._name(to)}")
 
 
 def run_step(
