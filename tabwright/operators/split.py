@@ -11,14 +11,15 @@ from collections.abc import Callable
 from math import ceil
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions import hash01, keyed_md5
 
 STEP = 3  # hex digits resolved per aggregation: at most 4,096 prefixes per group or open cut
 HASH_DIGITS = 32
-MOST_GROUPS = 100
+MOST_GROUPS = 100  # labels that are cut by literals, and open cuts that are counted at a time
+RANKED_ROWS = 100_000
 
 
 class DuplicateKeys(ValueError):
@@ -26,14 +27,10 @@ class DuplicateKeys(ValueError):
 
 
 def _prefix_counts(df: DataFrame, digits: int) -> pd.DataFrame:
-    """Rows and last hash per (group, hash prefix), in order; bounded by groups and digits."""
-    most = MOST_GROUPS * 16 ** STEP
-    counted = df.groupBy("group", F.substring("hash", 1, digits).alias("prefix")).agg(
+    """Rows and last hash per (group, hash prefix), in order; callers bound the groups and prefixes."""
+    return df.groupBy("group", F.substring("hash", 1, digits).alias("prefix")).agg(
         F.count(F.lit(1)).alias("n"), F.max("hash").alias("last"),
-    ).limit(most + 1).toArrow().to_pandas()
-    if len(counted) > most:
-        raise ValueError("too many groups to cut each of them exactly")
-    return counted.sort_values("prefix")
+    ).toArrow().to_pandas().sort_values("prefix")
 
 
 def _cut_hashes(df: DataFrame, ranks: Callable[[int], list[int]]) -> dict[object, dict[int, str]]:
@@ -62,11 +59,14 @@ def _cut_hashes(df: DataFrame, ranks: Callable[[int], list[int]]) -> dict[object
         if not todo:
             return cuts
         open_ = {g: sorted({p for (h, _), (p, _) in todo.items() if h == g}) for g in {g for g, _ in todo}}
-        keep = F.lit(False)
-        for g, prefixes in open_.items():
-            same = F.col("group").eqNullSafe(F.lit(g))
-            keep = keep | (same & F.substring("hash", 1, digits).isin(prefixes))
-        counted = _prefix_counts(df.filter(keep), digits + STEP)
+        pairs = [(g, p) for g, prefixes in open_.items() for p in prefixes]
+        batches = []
+        for at in range(0, len(pairs), MOST_GROUPS):  # so that a count has at most MOST_GROUPS * 4,096 rows
+            keep = F.lit(False)
+            for g, p in pairs[at: at + MOST_GROUPS]:
+                keep = keep | (F.col("group").eqNullSafe(F.lit(g)) & (F.substring("hash", 1, digits) == p))
+            batches.append(_prefix_counts(df.filter(keep), digits + STEP))
+        counted = pd.concat(batches).sort_values("prefix")
         groups = {None if pd.isna(g) else g: part for g, part in counted.groupby("group", dropna=False)}
     raise DuplicateKeys("the key must be unique for an exact split")
 
@@ -109,8 +109,12 @@ def stratified_folds(
     """Folds 0 to k-1 that hold each label in equal numbers, give or take one row.
 
     Within a label the rows are ordered by keyed hash and cut into k runs, the first ``n mod k`` of
-    them one longer. Keys must be unique. The label must have few values.
+    them one longer. Keys must be unique. Up to ``MOST_GROUPS`` labels are cut by comparing hashes with the
+    cuts' own, without a shuffle; more labels are ranked by ``_ranked_folds``, with the same result.
     """
+    if df.select(label).distinct().limit(MOST_GROUPS + 1).count() > MOST_GROUPS:
+        return _ranked_folds(df, label, key, k, seed, out)
+
     def ends(n: int) -> list[int]:
         size, extra = divmod(n, k)
         return sorted({size * i + min(i, extra) for i in range(1, k)} - {0})
@@ -124,3 +128,29 @@ def stratified_folds(
             above = above + F.when(digest > F.lit(h), 1).otherwise(0)
         fold = F.when(F.col(label).eqNullSafe(F.lit(group)), above).otherwise(fold)
     return df.withColumn("__digest", keyed_md5(seed, *key)).withColumn(out, fold.cast("int")).drop("__digest")
+
+
+def _ranked_folds(df: DataFrame, label: str, key: list[str], k: int, seed: int, out: str) -> DataFrame:
+    """``stratified_folds`` for any number of labels.
+
+    Rows are ranked inside (label, hash prefix), the prefix long enough for about ``RANKED_ROWS`` rows of
+    the whole table, and the counts of the prefixes before are added; no window holds a whole label.
+    """
+    digits, total = 1, df.count()
+    while total > RANKED_ROWS * 16 ** digits:
+        digits += 1
+    rows = df.withColumn("__digest", keyed_md5(seed, *key)).withColumn("__prefix", F.substring("__digest", 1, digits))
+    counts = rows.groupBy(F.col(label).alias("__label"), F.col("__prefix").alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+    upto = Window.partitionBy("__label").orderBy("__p")
+    counts = counts.withColumns({
+        "__before": F.coalesce(F.sum("__n").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "__total": F.sum("__n").over(Window.partitionBy("__label")),
+    })
+    same = F.col(label).eqNullSafe(F.col("__label")) & (F.col("__prefix") == F.col("__p"))
+    inside = Window.partitionBy("__label", "__p").orderBy("__digest")
+    rank = F.row_number().over(inside) - 1 + F.col("__before")
+    size, extra = F.floor(F.col("__total") / k), F.col("__total") % k
+    long_ = extra * (size + 1)  # rows in the runs that are one longer
+    fold = F.when(rank < long_, F.floor(rank / (size + 1))).otherwise(extra + F.floor((rank - long_) / F.greatest(size, F.lit(1))))
+    return rows.join(counts, same).withColumn(out, fold.cast("int")).drop(
+        "__label", "__prefix", "__digest", "__p", "__n", "__before", "__total")
