@@ -179,6 +179,8 @@ def _sets_of(table: pa.Table) -> list[np.ndarray]:
 def _joining_links(plan: Banding):
     def compare(outside: pa.Table, everyone: pa.Table) -> pa.Table:
         """Links between nodes of different components, as long as they join components of this block."""
+        if not len(outside) or not len(everyone):  # a block may have rows of one side only
+            return pa.table({c: pa.array([], outside.schema.field("node").type) for c in ("a", "b")})
         mine, all_ = _minima_of(outside), _minima_of(everyone)
         my_sets, sets = _sets_of(outside), _sets_of(everyone)
         sizes = np.array([len(x) for x in sets])
