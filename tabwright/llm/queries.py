@@ -83,6 +83,46 @@ QUERIES = {f.__name__: f for f in (
 )}
 
 ORACLES = {
+    "op2_redirect_rules": r"""
+        WITH RECURSIVE rules(action, rule, name, start) AS (
+            SELECT action, rule, split_part(rule, '/', 1), substr(rule, strpos(rule, '/')) FROM (VALUES ('allow', 'com/'),
+                ('block', 'example.com/en/'), ('allow', 'www.example.com/en/'), ('block', 'net/es/'), ('block', 'net/fr/')) v(action, rule)),
+        rests AS (SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        own AS (
+            SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*(\?[^#]*)', 1) AS query FROM rests),
+        tags AS (SELECT host, path, query, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM own WHERE host <> ''),
+        links AS (
+            SELECT host, path, query, replace(CASE
+                WHEN regexp_matches(tag, '(?is)^<link\b.*\brel\s*=\s*["'']?\s*canonical\b')
+                    THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)
+                WHEN regexp_matches(tag, '(?is)^<meta\b.*\bhttp-equiv\s*=\s*["'']?\s*refresh\b')
+                    THEN regexp_extract(tag, '(?is)\bcontent\s*=\s*["'']?[^"''>]*?\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1)
+                ELSE '' END, '&amp;', '&') AS link FROM tags),
+        targets AS (
+            SELECT host || CASE WHEN path = '' THEN '/' ELSE path END || query AS a, CASE
+                WHEN regexp_matches(link, '(?i)^https?://') THEN substr(link, strpos(link, '://') + 3)
+                WHEN link LIKE '//%' THEN substr(link, 3) WHEN link LIKE '/%' THEN host || link
+                ELSE host || CASE WHEN path LIKE '%/%' THEN regexp_extract(path, '^.*/') ELSE '/' END || link END AS rest
+            FROM links WHERE link <> '' AND (regexp_matches(link, '(?i)^https?://') OR NOT regexp_matches(link, '(?i)^[a-z][a-z0-9+.-]*:'))),
+        edges AS (
+            SELECT a, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                || CASE WHEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) = '' THEN '/' ELSE regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) END
+                || regexp_extract(rest, '^[^?#]*(\?[^#]*)', 1) AS b FROM targets WHERE regexp_matches(rest, '^[^/?#]')),
+        both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+        reach AS (SELECT a, a AS b FROM both_ways UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a),
+        actions AS (
+            SELECT n.node, arg_max(action, length(rule)) AS action FROM (SELECT DISTINCT b AS node FROM reach) n JOIN rules
+                ON (split_part(node, '/', 1) = name OR ends_with(split_part(node, '/', 1), '.' || name))
+                AND starts_with(split_part(substr(node, strpos(node, '/')), '?', 1), start) GROUP BY n.node),
+        blocked AS (SELECT DISTINCT reach.a AS node FROM reach JOIN actions ON reach.b = actions.node AND action = 'block'),
+        judged AS (
+            SELECT page_id, any_value(host) AS host, any_value(path) AS path, any_value(query) AS query,
+                arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action
+            FROM own LEFT JOIN rules ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start) GROUP BY page_id)
+        SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+            coalesce(action, CASE WHEN node IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+        FROM judged LEFT JOIN blocked ON host || CASE WHEN path = '' THEN '/' ELSE path END || query = node""",
     "op9_minhash_neardup": r"""
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
