@@ -111,8 +111,12 @@ def _trimmed(source: str, target: str, col: str) -> str:
 ORACLES = {
     "table_scan": "SELECT * FROM nation",
     "multi_table_step": """
-        SELECT c_mktsegment, o_orderstatus, count(*) AS n_orders, round(avg(o_totalprice), 4) AS mean_price
-        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""",
+        WITH buyers AS (SELECT c_mktsegment, count(*) AS n_customers FROM customer
+            WHERE c_custkey IN (SELECT o_custkey FROM orders) GROUP BY 1)
+        SELECT c_mktsegment, o_orderstatus, n_orders, mean_price, n_customers FROM buyers JOIN (
+            SELECT c_mktsegment, o_orderstatus, count(*) AS n_orders, round(avg(o_totalprice), 4) AS mean_price
+            FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2) USING (c_mktsegment)""",
+    "csv_round_trip": "SELECT * FROM customer",
     "project_rename": """
         SELECT l_orderkey AS orderkey, l_linenumber AS line, l_quantity AS quantity, l_returnflag AS flag
         FROM lineitem""",
@@ -293,6 +297,12 @@ ORACLES = {
         f AS (SELECT fold, count(*) AS n, avg(hit) AS accuracy FROM d GROUP BY fold)
         SELECT fold, n, round(accuracy, 6) AS accuracy, round(avg(accuracy) OVER (), 6) AS mean_accuracy FROM f""",
     "metrics_long": f"WITH {MODELS} SELECT * FROM scores",
+    "metrics_store": f"""
+        WITH {MODELS}, stored AS (
+            SELECT model, branch, metric, CASE WHEN model = 'rule_scrape' THEN 0.0::double ELSE value END AS value
+            FROM scores WHERE model IN ('rule_sklearn', 'rule_scrape'))
+        SELECT *, (SELECT model FROM stored WHERE metric = 'f1_score'
+            ORDER BY value DESC, CASE model WHEN 'rule_sklearn' THEN 1 ELSE 2 END LIMIT 1) AS best FROM stored""",
     "best_model": f"""
         WITH {MODELS}
         SELECT model, branch, value FROM scores WHERE metric = 'f1_score'

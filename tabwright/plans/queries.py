@@ -13,7 +13,10 @@ from tabwright import operators as op
 from tabwright.functions import average_rates, clamp, hash01, list_slice, number_in, to_double
 from tabwright.plans import clean
 from tabwright.plans.rates import BANDS_AS_CODED, bands_frame, sliced_items, with_rates
-from tabwright.sources import pin_small, read_parquet_table
+from tabwright.sources import (
+    FolderTables, export_csv, pin_small, read_best, read_csv, read_metrics, read_parquet_table, run_step, scratch_folder,
+    write_best, write_metrics,
+)
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount"]
 
@@ -43,10 +46,22 @@ def multi_table_step(spark, folder):
         spent = orders.groupBy("o_custkey", "o_orderstatus").agg(
             F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("price"))
         joined = spent.join(customers, spent.o_custkey == customers.c_custkey)
-        return {"spent": joined.groupBy("c_mktsegment", "o_orderstatus").agg(
+        ordering = customers.join(orders.select(F.col("o_custkey").alias("c_custkey")).distinct(), "c_custkey", "left_semi")
+        return {"customer": ordering, "spent": joined.groupBy("c_mktsegment", "o_orderstatus").agg(
             F.sum("n").alias("n_orders"), F.round(F.sum("price") / F.sum("n"), 4).alias("mean_price"))}
-    frames = [_read(spark, folder, t) for t in ("orders", "customer")]
-    return step(*frames)["spent"]
+    store = FolderTables(spark, scratch_folder(spark))
+    store.write({t: _read(spark, folder, t) for t in ("orders", "customer")})
+    store.write({"spent": store.read("customer")})  # an output of an earlier run, dropped first
+    run_step(store, ["orders", "customer"], step, drop_first=["spent"])
+    left = store.read("customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n_customers"))
+    return store.read("spent").join(left, "c_mktsegment")
+
+
+def csv_round_trip(spark, folder):
+    customers = _read(spark, folder, "customer")
+    path = scratch_folder(spark)
+    export_csv(customers, path)
+    return read_csv(spark, path, customers.schema)
 
 
 # --- projection, filter, cleaning -------------------------------------------------------------
@@ -371,6 +386,18 @@ def best_model(spark, folder):
     return op.best_model(metrics_long(spark, folder), list(RULES))
 
 
+def metrics_store(spark, folder):
+    """Scores written per model, one model written again, read by list; the best of them stored and read back."""
+    path = scratch_folder(spark)
+    scores = metrics_long(spark, folder)
+    for _ in range(2):
+        write_metrics(scores, path)
+        scores = scores.filter("model = 'rule_scrape'").withColumn("value", F.lit(0.0))
+    known = read_metrics(spark, path, ["rule_sklearn", "rule_scrape"])
+    write_best(op.best_model(known, list(RULES)), f"{path}-best")
+    return known.withColumn("best", F.lit(read_best(spark, f"{path}-best")))
+
+
 # --- training ---------------------------------------------------------------------------------
 
 FEATURES = ["o_totalprice", "c_acctbal", "months", "priority"]
@@ -418,7 +445,7 @@ def final_test(spark, folder):
 
 
 QUERIES = {
-    "table_scan": table_scan, "multi_table_step": multi_table_step,
+    "table_scan": table_scan, "multi_table_step": multi_table_step, "csv_round_trip": csv_round_trip,
     "project_rename": project_rename, "require_not_null": require_not_null, "cast_numeric": cast_numeric,
     "invalidate_range": invalidate_range, "drop_sparse_columns": drop_sparse_columns, "sigma_trim": sigma_trim,
     "missing_profile": missing_profile, "numeric_profile": numeric_profile, "skew_profile": skew_profile,
@@ -433,6 +460,7 @@ QUERIES = {
     "exact_split": exact_split, "hash_split": hash_split, "stratified_folds": stratified_folds,
     "binary_metrics": binary_metrics, "weighted_metrics": weighted_metrics, "roc_auc": roc_auc,
     "fold_accuracy": fold_accuracy, "metrics_long": metrics_long, "best_model": best_model,
+    "metrics_store": metrics_store,
     "train_lr": train_lr, "train_lr_grid": train_lr_grid, "train_rf": train_rf, "train_svm": train_svm,
     "final_test": final_test,
 }

@@ -26,6 +26,11 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tabwright-{spark.sparkContext.applicationId}"
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder of this application in the shared one; ``discard`` removes it with the copies."""
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """The frame written once as parquet in the shared folder and read back.
 
@@ -33,7 +38,7 @@ def materialise(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     instead of re-running the steps that led here. With ``partition_by`` a filter on that column opens
     only the files it needs. ``drop_copy`` removes one copy, ``discard`` all of them.
     """
-    path = f"{_own_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = scratch_folder(df.sparkSession)
     df.write.parquet(path, partitionBy=partition_by)
     copy = df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
     copy.copy_path = path

@@ -46,8 +46,46 @@ class Tables:
         self.spark.sql(f"ALTER TABLE {self._name(table)} RENAME TO {self._name(to)}")
 
 
+class FolderTables:
+    """The same over a folder that all executors reach: one parquet folder per table."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+
+    def _path(self, table: str) -> str:
+        return f"{self.folder}/{table}"
+
+    def read(self, table: str) -> DataFrame:
+        return self.spark.read.parquet(self._path(table))
+
+    def drop(self, tables: Iterable[str]) -> None:
+        for table in tables:
+            path = self._hadoop(self._path(table))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def write(self, frames: dict[str, DataFrame], read_from: Iterable[str] = ()) -> None:
+        """Replace every named table; see ``Tables.write``."""
+        inputs = set(read_from)
+        for table, df in frames.items():
+            df.write.mode("overwrite").parquet(self._path(f"{table}__next" if table in inputs else table))
+        for table in (t for t in frames if t in inputs):
+            self.drop([f"{table}__old"])
+            self._rename(table, f"{table}__old")
+            self._rename(f"{table}__next", table)
+            self.drop([f"{table}__old"])
+
+    def _rename(self, table: str, to: str) -> None:
+        path = self._hadoop(self._path(table))
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).rename(path, self._hadoop(self._path(to))):
+            raise OSError(f"cannot rename table {table} to {to}")
+
+    def _hadoop(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
 def run_step(
-    tables: Tables,
+    tables: Tables | FolderTables,
     inputs: str | list[str],
     step: Callable[..., dict[str, DataFrame]],
     drop_first: Iterable[str] = (),
