@@ -63,7 +63,7 @@ def op6_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    return paragraphs.repeated_passages(read_parquet_table(spark, folder, "documents").select("doc_id", "text"))
+    return paragraphs.all_repeated(read_parquet_table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def op8_pigeonhole_decontamination(spark: SparkSession, folder: str) -> DataFrame:
