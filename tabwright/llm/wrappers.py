@@ -11,7 +11,9 @@ alternatives. It carries how much text and linked text each of its elements held
 From the wrapper come the rules of its host: the main element is the one that a tag or class names as such,
 or else the one under which most unlinked slot text gathers; menus, headers, footers, sidebars, notices,
 adverts, forms and comments are left out by tag or class, as are lists that are links on nearly all
-pages, and, where the whole body is the main element, texts that are fixed on all of at least ``FIXED_PAGES`` pages.
+pages, and, where the whole body is the main element, texts that are fixed on all of at least ``FIXED_PAGES`` different
+pages: copies of a page count as one, so a text keeps digests of as many pages that have it. A page that says nothing
+but fixed texts keeps them.
 
 Each task aligns its own pages before anything is shuffled. Partial wrappers of a host meet in
 ``SALTS`` groups first and then in one, so a host with a third of all pages is a few small rows there.
@@ -149,7 +151,8 @@ def _close(open_: list[Element], tags: set[str], stops: set[str]) -> None:
             return
 
 
-# --- wrappers: {sig: node}, node = {n: pages, text, linked, value: fixed text or null, groups, inside} -------
+# --- wrappers: {sig: node}, node = {n: pages, text, linked, value: fixed text or null, pages: least digests of
+# --- up to FIXED_PAGES different pages with the fixed text, groups, inside} -------
 
 def _left_out(tag: str, words: set[str] | frozenset[str], holds_main: bool) -> bool:
     """True if nothing inside is main text; a frame around the main element goes by tag or the plainest words only."""
@@ -171,8 +174,26 @@ def _wrapper_holds_main(node: dict) -> bool:
                for name, inner in node["inside"].items())
 
 
-def fold(element: Element, linked: bool = False) -> dict:
-    """The wrapper of one element's stream."""
+def _page_digest(element: Element) -> str:
+    """Equal for pages with the same elements and texts."""
+    parts: list[str] = []
+
+    def walk(element: Element) -> None:
+        for part in element.inside:
+            if isinstance(part, str):
+                parts.append(BLANKS.sub(" ", part))
+            else:
+                parts.append(f"<{part.signature}>")
+                walk(part)
+                parts.append("</>")
+
+    walk(element)
+    return xxh3_128_hexdigest("".join(parts).encode("utf-8", "surrogatepass"))[:16]
+
+
+def fold(element: Element, linked: bool = False, page: str | None = None) -> dict:
+    """The wrapper of one element's stream; ``page`` is the digest of the whole page, this one if it is not given."""
+    page = page or _page_digest(element)
     linked = linked or element.tag == "a"
     order: list[list[str]] = []  # groups of signatures; more than one, or a repeated one, is a repeated group
     repeated: list[bool] = []
@@ -183,10 +204,10 @@ def fold(element: Element, linked: bool = False) -> dict:
             text = BLANKS.sub(" ", unescape(part)).strip()
             if not text:
                 continue
-            name, node = SLOT, {"n": 1, "text": len(text), "linked": len(text) * linked, "value": _fixed_value(text), "order": [],
+            name, node = SLOT, {"n": 1, "text": len(text), "linked": len(text) * linked, "value": _fixed_value(text), "pages": [page], "order": [],
                                 "repeated": [], "inside": {}}
         else:
-            name, node = part.signature, fold(part, linked)
+            name, node = part.signature, fold(part, linked, page)
         total, link_total = total + node["text"], link_total + node["linked"]
         if name not in inside:
             inside[name] = node
@@ -197,7 +218,7 @@ def fold(element: Element, linked: bool = False) -> dict:
         at = next(k for k, group in enumerate(order) if name in group)
         order[at:] = [[x for group in order[at:] for x in group]]
         repeated[at:] = [True]
-    return {"n": 1, "text": total, "linked": link_total, "value": None, "order": order, "repeated": repeated, "inside": inside}
+    return {"n": 1, "text": total, "linked": link_total, "value": None, "pages": [], "order": order, "repeated": repeated, "inside": inside}
 
 
 def align(one: dict, two: dict, same_page: bool = False) -> dict:
@@ -220,10 +241,11 @@ def align(one: dict, two: dict, same_page: bool = False) -> dict:
         again = again or any(repeated[low:high + 1]) or high > low
         order[low:high + 1], repeated[low:high + 1] = [merged], [again]
         last = low
+    value = one["value"] if one["value"] == two["value"] else None
     return {
         "n": max(one["n"], two["n"]) if same_page else one["n"] + two["n"],
         "text": one["text"] + two["text"], "linked": one["linked"] + two["linked"],
-        "value": one["value"] if one["value"] == two["value"] else None,
+        "value": value, "pages": sorted({*one["pages"], *two["pages"]})[:FIXED_PAGES] if value is not None else [],
         "order": order, "repeated": repeated, "inside": inside,
     }
 
@@ -258,7 +280,7 @@ def host_rules(wrapper: dict) -> dict:
         own = 0
         for name, inner in node["inside"].items():
             if name == SLOT:
-                if inner["value"] is not None and inner["n"] >= FIXED_PAGES:
+                if inner["value"] is not None and len(inner["pages"]) >= FIXED_PAGES:
                     fixed.append(inner["value"])
                 else:
                     own += inner["text"] - inner["linked"]
@@ -328,6 +350,11 @@ def page_text(html: str | None, rules: dict) -> str:
         # a page that lacks its host's main element: all that is not left out
         walk(page, "", True)
         flush()
+    if not blocks and fixed:
+        # a page that says nothing else
+        fixed.clear()
+        walk(page, "", True)
+        flush()
     return "\n\n".join(blocks)
 
 

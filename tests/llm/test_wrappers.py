@@ -72,3 +72,19 @@ def test_wrapper_counts_all_pages(spark):
     pages = spark.createDataFrame(rows, "url string, html string").repartition(9)
     found = w.infer_wrappers(pages, host_of(F.col("url"))).collect()
     assert len(found) == 1 and '"n": 300' in found[0].wrapper
+
+
+def test_copies_of_a_page_keep_their_text(spark):
+    page = "<body><h1>T</h1><p>text</p></body>"
+    rows = [("http://copies.org/%d" % k, page + f"<!-- {k} -->") for k in range(9)]
+    rows += [("http://mixed.org/%d" % k, page) for k in range(9)]
+    rows += [("http://mixed.org/o%d" % k, f"<body><h1>T</h1><p>other {k}</p><div>Footline</div></body>") for k in range(3)]
+    rows += [("http://many.org/%d" % k, f"<body><h1>T</h1><p>other {k}</p></body>") for k in range(6)]
+    rows += [("http://many.org/t%d" % k, "<body><h1>T</h1></body>") for k in range(2)]
+    pages = spark.createDataFrame(rows, "url string, html string").repartition(5)
+    found = {r.url: r.text for r in w.extract(pages, host_of(F.col("url"))).collect()}
+    assert all(found[url] == "T\n\ntext" for url, html in rows if html.startswith(page))
+    assert all(found["http://mixed.org/o%d" % k] == f"T\n\nother {k}\n\nFootline" for k in range(3))
+    # a title of six different pages is fixed, but not all that a page has
+    assert all(found["http://many.org/%d" % k] == f"other {k}" for k in range(6))
+    assert all(found["http://many.org/t%d" % k] == "T" for k in range(2))
