@@ -11,6 +11,8 @@ Shards have about ``shard`` documents by a hash of the document, whatever the si
 task holds more than a bounded number of short rows (no texts), a source with a third of all rows is
 spread over all shards, and a lost shard is packed again to the same bins.
 
+``with_clusters`` names the clusters: near duplicates at five words and a similarity of 0.8 or more.
+
 Defined results: a null length counts as 0; documents of length 0 get a piece of length 0; a null source or
 cluster conflicts with nothing; rows that share an id are packed each on its own, and ``copy`` numbers rows
 that are equal in id, length, source and cluster; null ids are packed too. An empty table gives no rows.
@@ -26,9 +28,13 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.llm.neardup import Banding, near_duplicates
+from tabwright.sources.durable import materialise
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHARD = 4096
+NEAR = Banding(percent=80, agree=0.65)
 
 
 def best_fit(items: list[tuple[int, object, object]], capacity: int) -> list[int]:
@@ -111,5 +117,19 @@ def copy_key(text: Column) -> Column:
     return F.when(F.length(words) > 0, F.md5(words))
 
 
+def with_clusters(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """A stored table (id, n_words, source, cluster); near duplicates have one cluster, named by the smallest id.
+
+    Texts with one ``copy_key`` have one cluster, also in rows without an id; those without words have none.
+    """
+    own = materialise(docs.select(F.col(f"`{id}`").alias("id"), n_words(F.col(f"`{text}`")).alias("n_words"),
+                                  F.col(f"`{source}`").alias("source"), copy_key(F.col(f"`{text}`")).alias("key")))
+    found = near_duplicates(docs, id, text, NEAR).select(F.col(f"`{id}`").alias("id"), "n_shingles", "component_id") \
+        .where("id IS NOT NULL AND n_shingles > 0").groupBy("id").agg(F.min("component_id").alias("component"))
+    named = own.where("key IS NOT NULL").join(found, "id").groupBy("key").agg(F.min("component").cast("string").alias("component"))
+    cluster = F.coalesce(F.col("component"), F.col("key"))
+    return materialise(own.join(named, "key", "left").select(F.col("id").alias(id), "n_words", F.col("source").alias(source), cluster.alias("cluster")))
+
+
 def n_words(text: Column) -> Column:
     return F.size(F.regexp_extract_all(text, F.lit(r"[^ \t-\r]+"), F.lit(0)))

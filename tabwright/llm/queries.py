@@ -29,7 +29,7 @@ KEY = "a key for tests; real ones come from the caller"
 
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_parquet_table(spark, folder, "documents").select("doc_id", "text", "source")
-    return packing.pack(docs, packing.n_words(F.col("text")), F.col("source"), packing.copy_key(F.col("text")))
+    return packing.pack(packing.with_clusters(docs), F.col("n_words"), F.col("source"), F.col("cluster"))
 
 
 def op2_redirect_rules(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.llm.packing import best_fit, copy_key, n_words, pack
+from tabwright.llm.packing import best_fit, copy_key, n_words, pack, with_clusters
+from tabwright.llm.queries import QUERIES
 
 
 def brute(items, capacity):
@@ -85,3 +86,25 @@ def test_copy_key(spark):
     keys = [r[0] for r in spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "i int, t string").orderBy("i")
             .select(copy_key(F.col("t"))).collect()]
     assert keys[0] == keys[1] != keys[2] and keys[3:] == [None] * 3
+
+
+def test_near_duplicates_share_no_bin(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    clusters = {r.doc_id: r.cluster for r in with_clusters(docs).collect()}
+    near = [(255, 278), (255, 773), (255, 830), (255, 991), (2, 56), (709, 944)]
+    assert all(clusters[a] == clusters[b] for a, b in near) and len(set(clusters.values())) > 500
+    bins = {}
+    for r in QUERIES["op1_best_fit_packing"](spark, "/root/testdata/sf0.01").collect():
+        bins.setdefault((r.shard, r.bin), []).append(clusters[r.doc_id])
+    for own in bins.values():
+        own = [c for c in own if c is not None]
+        assert len(own) == len(set(own))
+
+
+def test_clusters_of_odd_rows(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(None, text), (4, text.upper()), (4, text), (7, text.replace("w59", "x")), (8, " "), (None, "other"), (9, None)]
+    table = with_clusters(spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string"))
+    found = sorted(((r.doc_id, r.cluster) for r in table.collect()), key=str)
+    assert [c for k, c in found if k in (4, 7)] == ["4"] * 3 and [c for k, c in found if k in (8, 9)] == [None] * 2
+    assert len(found) == 7 and sum(c == "4" for k, c in found if k is None) == 1
