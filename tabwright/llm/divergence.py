@@ -3,8 +3,9 @@
 References are learnt from all texts of a language that pass the base rules: the share of each class of characters, and the
 share of each word that makes up at least ``common`` of the language (at most ``1 / common`` words, by
 definition). A text is judged by the Jensen-Shannon distance between its own shares and these. Short
-texts have shares that say little, so each comparison has a least number of words; and a language with
-few words in the corpus has no reference, so its texts pass. Base rules (too few words, too much of
+texts have shares that say little, so each comparison has a least number of words. A language with few
+words in the corpus has no reference of its own: its texts are judged by the classes of characters of the whole corpus,
+with letters of all cases and scripts taken together, as what a language writes with is no fault. Base rules (too few words, too much of
 the text inside repeated word runs) hold for every text.
 
 Defined results: a null text is an empty one; empty texts have no words and fail the base rules; a
@@ -14,6 +15,7 @@ null language is a language of its own; repeated rows are judged alike; an empty
 from __future__ import annotations
 
 import sys
+import unicodedata
 from dataclasses import dataclass
 from functools import partial
 
@@ -47,6 +49,13 @@ def _class_table() -> np.ndarray:
 
 
 CLASS_OF = _class_table()
+LETTERS = [CLASSES.index(c) for c in ("lower", "upper", "letter")]
+
+
+class References(dict):
+    """{lang: reference}; ``fallback`` has the class shares of the whole corpus, or None if no text passes the base rules."""
+
+    fallback: np.ndarray | None = None
 
 
 @dataclass(frozen=True)
@@ -70,6 +79,19 @@ def char_classes(text: bytes) -> np.ndarray:
     return np.bincount(CLASS_OF[np.minimum(points, 0x250)], minlength=len(CLASSES))
 
 
+def letters_as_one(classes: np.ndarray, text: bytes | None = None) -> np.ndarray:
+    """Histogram with all letters in one class, those of the text that no class of letters has included."""
+    folded = classes.astype(float)
+    if text is not None and folded[CLASSES.index("other")]:
+        # vowel signs belong to the letters before them
+        beyond = sum(unicodedata.category(c)[0] in "LM" for c in text.decode("utf-8", "replace") if CLASS_OF[min(ord(c), 0x250)] == CLASSES.index("other"))
+        folded[CLASSES.index("other")] -= beyond
+        folded[LETTERS[0]] += beyond
+    folded[LETTERS[0]] = folded[LETTERS].sum()
+    folded[LETTERS[1:]] = 0
+    return folded
+
+
 def js_distance(p: np.ndarray, q: np.ndarray) -> float:
     """Square root of the Jensen-Shannon divergence, base 2, of two histograms that each add up to 1."""
     m = (p + q) / 2
@@ -131,7 +153,7 @@ def _histograms(limits: Limits, batches):
                 yield pa.RecordBatch.from_arrays([own, word, cls, pa.array(n)], names=["lang", "word", "class", "n"])
 
 
-def language_references(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits = Limits()) -> dict:
+def language_references(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits = Limits()) -> References:
     """{lang: (class shares, hashes of its common words in order, shares of these and of the rest)}.
 
     Counts cover every text. What reaches the driver is bounded: ten classes and at most
@@ -151,7 +173,13 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang",
         table = docs.sparkSession.createDataFrame([*totals.items()], "own string, total long")
         rows = rows.join(F.broadcast(table), F.col("lang").eqNullSafe(F.col("own"))) \
             .where(F.col("word").isNull() | (F.col("n") >= F.col("total") * limits.common))
-    references = {}
+    references = References()
+    whole = counted.where("class IS NOT NULL").groupBy("class").agg(F.sum("n").alias("n")).collect()
+    if sum(r["n"] for r in whole):
+        classes = np.zeros(len(CLASSES))
+        for r in whole:
+            classes[r["class"]] = r["n"]
+        references.fallback = letters_as_one(classes) / classes.sum()
     found = rows.select("lang", "word", "class", "n").toArrow().to_pylist() if totals else []
     drop_copy(counted)
     for name, total in totals.items():
@@ -172,8 +200,11 @@ VERDICT = {
 }
 
 
-def judge_text(text: bytes, reference: tuple | None, limits: Limits) -> tuple:
-    """The values of ``VERDICT`` for one text; a distance that is not judged is None."""
+def judge_text(text: bytes, reference: tuple | None, limits: Limits, fallback: np.ndarray | None = None) -> tuple:
+    """The values of ``VERDICT`` for one text; a distance that is not judged is None.
+
+    ``fallback`` takes the place of the class shares of a language without a reference.
+    """
     words = word_hashes(text)
     n = len(words)
     chars = len(text.decode("utf-8", "replace")) - sum(map(text.count, (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")))
@@ -183,6 +214,9 @@ def judge_text(text: bytes, reference: tuple | None, limits: Limits) -> tuple:
     if reference and n >= limits.class_words:
         classes = char_classes(text)
         by_class = js_distance(classes / classes.sum(), reference[0])
+    elif fallback is not None and n >= limits.class_words:
+        classes = letters_as_one(char_classes(text), text)
+        by_class = js_distance(classes / classes.sum(), fallback)
     if reference and n >= limits.word_words and len(reference[1]):
         place = np.minimum(np.searchsorted(reference[1], words), len(reference[1]) - 1)
         place = np.where(reference[1][place] == words, place, len(reference[1]))
@@ -194,11 +228,12 @@ def judge_text(text: bytes, reference: tuple | None, limits: Limits) -> tuple:
 
 def quality_verdict(references: dict, text: Column, lang: Column, limits: Limits = Limits()) -> Column:
     """A struct column with the fields of ``VERDICT``."""
+    fallback = getattr(references, "fallback", None)
     kinds = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}
 
     @F.arrow_udf(", ".join(f"{k} {v}" for k, v in VERDICT.items()))
     def judge(texts: pa.Array, langs: pa.Array) -> pa.Array:
-        rows = [judge_text(t, references.get(own), limits) for t, own in zip(_bytes(texts), langs.to_pylist())]
+        rows = [judge_text(t, references.get(own), limits, fallback) for t, own in zip(_bytes(texts), langs.to_pylist())]
         columns = zip(*rows) if rows else [[]] * len(VERDICT)
         return pa.StructArray.from_arrays(
             [pa.array(list(c), kinds[k]) for c, k in zip(columns, VERDICT.values())], names=list(VERDICT))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import numpy as np
@@ -88,3 +89,21 @@ def test_odd_tables(spark):
     found, references = judged(spark, rows, "doc_id long, text string, lang string, kept int")
     assert references == {} and len(found) == 3
     assert judged(spark, [])[0] == []
+
+
+def test_rare_languages_are_judged(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang").collect()
+    found, references = judged(spark, [tuple(r) for r in docs])
+    by_id, langs = {r.doc_id: r for r in found}, {r.doc_id: r.lang for r in docs}
+    assert not {"es", "fr"} & set(references)
+    assert all(by_id[k].class_distance is not None and not by_id[k].kept for k in (14, 17, 47, 48))
+    rare = [r for r in found if langs[r.doc_id] in ("es", "fr") and r.n_words >= 30]
+    assert all(r.class_distance is not None for r in rare)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
+    assert all(r.kept for r in rare if labels.get(r.doc_id) == 1 and not r.base_failed)
+    # a mislabelled or rare code is no free pass, and a script of its own no fault
+    rng = random.Random(5)
+    greek = " ".join("".join(chr(0x3b1 + rng.randrange(24)) for _ in range(6)) + ("." if k % 9 == 8 else "") for k in range(90))
+    more = [(9000, " ".join(f"word{k} &&&***###" for k in range(60)), "zz"), (9001, greek, "el")]
+    found, _ = judged(spark, [tuple(r) for r in docs] + more)
+    assert {r.doc_id: r.kept for r in found if r.doc_id >= 9000} == {9000: False, 9001: True}
