@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,26 +125,28 @@ def merge_smoking(table: DataFrame, rates: DataFrame, seed: int = 7) -> DataFram
     return op.prob_impute(table.drop("smoke"), rates, on, [KEY], seed)
 
 
-def trainable(recipe: Recipe, df: DataFrame) -> tuple[DataFrame, list[str]]:
-    """The frame for a recipe and the columns it must not learn from.
+def trainable(recipe: Recipe, df: DataFrame) -> tuple[Model, list[str]]:
+    """What fills a recipe's gaps, learned on the frame, and the columns that the recipe must not learn from.
 
-    In the second branch these are the unfilled originals of the filled columns. Its other columns may
-    still have gaps, so their rows are left out, and a column without any value is not used.
+    Every row is trained on and scored: what the clean tables left missing is filled by the mean of a
+    numeric column or of an encoded one, and by the mode of others. In the second branch the unfilled originals of the filled
+    columns are not used, and nowhere a column without any value.
     """
-    if recipe.branch != "spark":
-        return df, []
-    empty = [r["col_name"] for r in op.missing_profile(df, ["smoke"]).collect() if r["pct_missing"] > 0.1]
-    return df, [*FILLED, *empty]
+    drop = [*FILLED] if recipe.branch == "spark" else []
+    inputs = [c for c in df.columns if c not in (LABEL, KEY, *drop)]
+    empty = [r["col_name"] for r in op.missing_profile(df, inputs).collect() if r["n_missing"] == r["n_rows"]]
+    modes = {*CATEGORICAL, *(c for c, how in FILLED.items() if how == "mode"), "smoke"}
+    return op.Impute({c: "mode" if c in modes else "mean" for c in inputs if c not in empty}).fit(df), [*drop, *empty]
 
 
 def evaluate(recipe: Recipe, df: DataFrame) -> DataFrame:
-    frame, drop = trainable(recipe, df)
-    return op.train_and_evaluate(frame, recipe, LABEL, [KEY], "skip", drop)[1]
+    fills, drop = trainable(recipe, df)
+    return op.train_and_evaluate(fills.transform(df), recipe, LABEL, [KEY], drop=drop)[1]
 
 
 def test_chosen(recipe: Recipe, train: DataFrame, test: DataFrame) -> DataFrame:
-    frame, drop = trainable(recipe, train)
-    return op.final_test(frame, test, recipe, LABEL, [KEY], "skip", drop)
+    fills, drop = trainable(recipe, train)
+    return op.final_test(fills.transform(train), fills.transform(test), recipe, LABEL, [KEY], drop=drop)
 
 
 TRAIN_TABLES = {"sklearn": (TRAIN, TEST), "scrape": (MERGED, MERGED_TEST), "spark": (SPARK_TRAIN, SPARK_TEST)}

@@ -164,3 +164,26 @@ def test_run_end_to_end(spark, raw, tmp_path):
     stored = read_metrics(spark, metrics)
     assert stored.select("model").distinct().count() == len(small)
     spark.sql("DROP DATABASE hearttest CASCADE")
+
+
+def test_every_row_is_trained_on_and_scored(spark, monkeypatch):
+    rows = [(f"k{n}", float(n % 2), float(n % 2) if n % 10 else None, None if n % 3 else 1.0, None) for n in range(60)]
+    df = spark.createDataFrame(rows, "patient_key string, target double, age double, smoke double, sex double")
+    seen = {}
+
+    def kept(name):
+        def stage(*args, handle_invalid="error", drop=None):
+            frames = [a for a in args if hasattr(a, "columns")]
+            skip = [heart.LABEL, heart.KEY, *drop]
+            seen[name] = [op.feature_matrix(f.drop(*[c for c in drop if c in f.columns]), heart.LABEL, [heart.KEY], handle_invalid).count()
+                          for f in frames], [c for c in frames[0].columns if c not in skip]
+            return None, None
+        return stage
+
+    monkeypatch.setattr(heart.op, "train_and_evaluate", kept("evaluate"))
+    monkeypatch.setattr(heart.op, "final_test", kept("final"))
+    for name in ("lr_spark", "Logistic_sklearn"):
+        heart.evaluate(op.RECIPES[name], df)
+        heart.test_chosen(op.RECIPES[name], df, df.limit(31))
+        # smoke has values, so it is used however few they are; sex has none
+        assert seen == {"evaluate": ([60], ["age", "smoke"]), "final": ([60, 31], ["age", "smoke"])}
