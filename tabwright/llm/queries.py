@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import contamination, divergence, packing, paragraphs, pseudonyms, quotes, subwords, urls, wrappers
+from tabwright.llm import contamination, divergence, packing, paragraphs, pseudonyms, quotes, subwords, urls, whitening, wrappers
 from tabwright.llm.neardup import near_duplicates
 from tabwright.sources import read_parquet_table
 
@@ -77,9 +77,19 @@ def op9_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read_parquet_table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op11_qd_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows, model = whitening.whiten(read_parquet_table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    long = rows.select("vec_id", "whitened.deviation", F.posexplode("whitened.values").alias("at", "whitened"))
+    explained = F.array(*[F.lit(e) for e in (model.explained if model else [])]).cast("array<double>")
+    return long.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"), "deviation",
+        "whitened", F.get(explained, F.col("at")).alias("explained"), F.lit(model.error if model else 0.0).alias("identity_error"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_redirect_rules, op3_wrapper_extraction, op4_feistel_pseudonyms, op5_subword_classifier,
     op6_quotation_linking, op7_paragraph_minhash, op8_pigeonhole_decontamination, op9_minhash_neardup, op10_distribution_rules,
+    op11_qd_whitening,
 )}
 
 ORACLES = {
