@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import contamination, divergence, packing, paragraphs, pseudonyms, quotes, subwords, urls, whitening, wrappers
+from tabwright.llm import bpe, contamination, divergence, packing, paragraphs, pseudonyms, quotes, subwords, urls, whitening, wrappers
 from tabwright.llm.neardup import near_duplicates
 from tabwright.sources import read_parquet_table
 
@@ -86,10 +86,22 @@ def op11_qd_whitening(spark: SparkSession, folder: str) -> DataFrame:
         "whitened", F.get(explained, F.col("at")).alias("explained"), F.lit(model.error if model else 0.0).alias("identity_error"))
 
 
+def op12_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers  # only this query needs the vocabulary files
+
+    source = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = read_parquet_table(spark, folder, "documents").select("doc_id", "text")
+    tokens = bpe.decode(bpe.encode(docs, source).drop("text"), source)
+    return tokens.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_redirect_rules, op3_wrapper_extraction, op4_feistel_pseudonyms, op5_subword_classifier,
     op6_quotation_linking, op7_paragraph_minhash, op8_pigeonhole_decontamination, op9_minhash_neardup, op10_distribution_rules,
-    op11_qd_whitening,
+    op11_qd_whitening, op12_bpe_round_trip,
 )}
 
 ORACLES = {
