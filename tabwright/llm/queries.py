@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import bpe, contamination, divergence, packing, paragraphs, pseudonyms, quotes, subwords, urls, whitening, wrappers
+from tabwright.llm import (
+    bpe, contamination, divergence, negatives, packing, paragraphs, pseudonyms, quotes, subwords, urls, whitening, wrappers,
+)
 from tabwright.llm.neardup import near_duplicates
 from tabwright.sources import read_parquet_table
 
@@ -98,10 +100,16 @@ def op12_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op13_cover_tree_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_parquet_table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows, F.col("id") % 100 == 0, label=label)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_redirect_rules, op3_wrapper_extraction, op4_feistel_pseudonyms, op5_subword_classifier,
     op6_quotation_linking, op7_paragraph_minhash, op8_pigeonhole_decontamination, op9_minhash_neardup, op10_distribution_rules,
-    op11_qd_whitening, op12_bpe_round_trip,
+    op11_qd_whitening, op12_bpe_round_trip, op13_cover_tree_negatives,
 )}
 
 ORACLES = {

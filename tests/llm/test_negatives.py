@@ -1,0 +1,128 @@
+"""Hard negatives against a plain search over all pairs, cover trees against their bounds, odd rows."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tabwright.llm import negatives
+from tabwright.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, label int, embedding array<double>"
+COLUMNS = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+
+
+def brute(rows, is_anchor, times=256):
+    """``rows``: distinct (id, label, vector)."""
+    whole = [(i, y, [int(np.floor(times * c)) for c in v]) for i, y, v in rows]
+    out = []
+    for a in whole:
+        if not is_anchor(a[0]):
+            continue
+        scored = sorted((-sum(p * q for p, q in zip(a[2], b[2])), b[0], b[1]) for b in whole if b is not a)
+        for s, p, _ in [x for x in scored if x[2] == a[1]][:5]:
+            window = [x for x in scored if x[2] != a[1] and 80 * -s <= 100 * -x[0] <= 100 * -s][:5]
+            out += [(a[0], p, r + 1, x[1], -s, -x[0]) for r, x in enumerate(window)]
+    return sorted(out)
+
+
+def mined(spark, rows, every=10, partitions=3, **options):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(partitions)
+    return sorted(tuple(r[c] for c in COLUMNS) for r in negatives.hard_negatives(df, F.col("id") % every == 0, **options).collect())
+
+
+def points(n, width=6, seed=1, labels=4):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(5, width))
+    return [(i, int(rng.integers(0, labels)), [float(x) for x in centres[i % 5] * rng.uniform(0.2, 2) + rng.normal(size=width) * 0.1]) for i in range(n)]
+
+
+def test_query_equals_all_pairs(spark, small):
+    rows = [(r.vec_id, (r.label + 1) % 10 if r.vec_id % 7 == 0 else r.label, [float(np.float32(x)) for x in r.embedding])
+            for r in spark.read.parquet(f"{small}/embeddings.parquet").collect()]
+    assert sorted(tuple(r[c] for c in COLUMNS) for r in QUERIES["op13_cover_tree_negatives"](spark, small).collect()) \
+        == brute(rows, lambda i: i % 100 == 0)
+
+
+def test_many_blocks_pivots_and_batches(spark, monkeypatch):
+    for name, value in (("PIVOT_ROWS", 60), ("LEAF", 4), ("FAN", 3), ("BATCH", 20), ("SAMPLE", 100)):
+        monkeypatch.setattr(negatives, name, value)
+    rows = points(700)
+    assert mined(spark, rows) == brute(rows, lambda i: i % 10 == 0)
+
+
+def test_ties_copies_and_hot_labels(spark, monkeypatch):
+    monkeypatch.setattr(negatives, "LEAF", 8)
+    rng = np.random.default_rng(4)
+    rows = [(i, 0 if i % 3 else int(rng.integers(1, 4)), [float(x) for x in (rng.integers(-1, 2, 3) if i % 2 else [1, 1, 0])]) for i in range(400)]
+    got = mined(spark, rows, partitions=7)
+    assert got == brute(rows, lambda i: i % 10 == 0) and len(got) > 100
+    assert mined(spark, rows + rows[:200], partitions=2) == got  # equal rows are one
+
+
+def test_rows_that_share_an_id(spark):
+    rows = [(i // 2, i % 2, v) for i, _, v in points(60)]
+    assert mined(spark, rows) == brute(rows, lambda i: i % 10 == 0)
+
+
+def test_large_numbers_are_exact(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, i % 2, [float(x) for x in rng.integers(2**18, 2**18 + 40, 5)]) for i in range(80)]
+    got = mined(spark, rows)
+    assert got == brute(rows, lambda i: i % 10 == 0) and max(r[4] for r in got) > 1 << 53
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    good = points(40)
+    odd = [(None, 1, [0.0] * 6), (50, None, [0.0] * 6), (60, 1, None), (70, 1, [nan] + [0.0] * 5), (80, 1, [inf] + [0.0] * 5),
+           (90, 1, [None] + [0.0] * 5), (100, 1, []), (110, 1, [1.0, 2.0]), (120, 1, [1e18] * 6)]
+    assert mined(spark, good + odd) == brute(good, lambda i: i % 10 == 0)
+    zero = [(i, i % 2, [0.0, 0.0]) for i in range(30)]
+    assert mined(spark, zero) == brute(zero, lambda i: i % 10 == 0)
+    against = [(0, 0, [1.0]), (1, 0, [-1.0]), (2, 1, [-1.0])]  # a negative positive has an empty window
+    assert mined(spark, against) == []
+    assert mined(spark, [(0, 0, [1.0]), (2, 1, [1.0])]) == [] and mined(spark, []) == [] and mined(spark, [(1, 1, [1.0]), (2, 2, [1.0])]) == []
+
+
+def test_other_columns_do_not_matter(spark):
+    df = spark.createDataFrame([(i, y, v, "x", 7) for i, y, v in points(40)], SCHEMA + ", pivot string, rank int")
+    assert negatives.hard_negatives(df, F.col("id") % 10 == 0).columns == COLUMNS
+
+
+@pytest.mark.parametrize("kind", ["clusters", "copies", "one"])
+def test_cover_tree(kind):
+    rng = np.random.default_rng(2)
+    x = {"clusters": rng.integers(0, 4, (600, 1)) * 400 + rng.integers(-30, 30, (600, 5)), "copies": np.tile([[3, 4, 5]], (700, 1)),
+         "one": np.array([[1, 2]])}[kind].astype(np.int64)
+    tree = negatives.CoverTree(x, float((x.astype(float) ** 2).sum(axis=1).max()))
+    leaves = [m for m in tree.leaves if m is not None]
+    assert sorted(np.concatenate(leaves).tolist()) == list(range(len(x)))
+    anchors = rng.integers(-500, 500, (20, x.shape[1])).astype(np.int64)
+    least, greatest = tree.bounds(anchors)
+
+    def members(node):
+        return tree.leaves[node] if tree.leaves[node] is not None else np.concatenate([members(c) for c in tree.children[node]])
+
+    for node in range(len(tree.centres)):
+        scores = anchors @ x[members(node)].T
+        assert (scores.min(axis=1) >= least[:, node]).all() and (scores.max(axis=1) <= greatest[:, node]).all()
+        assert tree.leaves[node] is not None or tree.centres[tree.children[node][0]] in [tree.centres[node]] or \
+            tree.centres[node] in [tree.centres[c] for c in tree.children[node]]
+
+
+def test_nodes_outside_the_windows_are_skipped(monkeypatch):
+    x = np.array([[1000 * (i // 200) + i % 7, i % 11] for i in range(2000)], np.int64)
+    tree = negatives.CoverTree(x, float((x.astype(float) ** 2).sum(axis=1).max()))
+    one = np.zeros(1, np.int64)
+    request = negatives.Request(one, one, one, np.array([[1000, 0]]), np.array([[2_000_000]]), np.array([[2_003_000]]), one[:, None], False, 5)
+    found = negatives.Found(request)
+    seen = []
+    exact = negatives.products
+    monkeypatch.setattr(negatives, "products", lambda a, b: seen.append(len(b)) or exact(a, b))
+    negatives.descend(tree, np.arange(2000), np.ones(2000, np.int64), request, np.array([0]), found)
+    scores = x @ [1000, 0]
+    want = sorted((-s, i) for i, s in enumerate(scores) if 2_000_000 <= s <= 2_003_000)[:5]
+    assert [(-s, i) for s, i in zip(found.scores[0, 0].tolist(), found.ids[0, 0].tolist())] == want
+    assert sum(seen) <= 600
