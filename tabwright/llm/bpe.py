@@ -10,7 +10,7 @@ in a window that doubles until its first token is the left side's own token ther
 side's. A token sequence is the encoding of its bytes exactly if each two neighbours in it are, and the pairs at the rim of
 such a window stood in one of the sides, so the result is that of the whole piece.
 
-Rows without such a run take one pass: no shuffle, nothing stored. Rows with one are stored with a random key first.
+Rows without such a piece take one pass: no shuffle, nothing stored. Rows with one are stored with a random key first.
 
 Defined results: a null or empty text has no tokens and decodes to an empty text. Texts of any length are encoded whole.
 Repeated rows and rows without an id give the same as others; an empty table gives no rows; other columns are kept, and new names get underscores where they clash.
@@ -26,7 +26,8 @@ import json
 import re
 import sys
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +36,15 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.tokens import free_name
+from tabwright.llm.tokens import INSIDE, free_name
 from tabwright.sources.durable import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-LEAF = 4096  # most bytes of a leaf, and characters of a run that is encoded in one go
-KNOWN = 1 << 17  # parts whose tokens a task remembers
+LEAF = 4096  # most bytes of a leaf
+SHORT = 100  # most bytes of what is merged pair by pair, and most characters of what is remembered
+TOGETHER = 1 << 16  # parts that are looked up, and pieces that are merged, at a time
+KNOWN = 1 << 19  # parts, and pieces, whose tokens a task remembers
 SLICE = 1 << 20  # characters of a text that are cut into parts at a time
 WINDOW = 8  # tokens on either side of a join to begin with
 
@@ -50,7 +53,6 @@ BLANKS = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x202
 BLANK = "".join(map(chr, BLANKS))
 PARTS = re.compile(f"[{BLANK}]*[^{BLANK}]+|[{BLANK}]+")
 PLACE = re.compile(f"[^{BLANK}](?=[{BLANK}])")
-LONG_RUN = f"[^{BLANK}]{{{LEAF - 1}}}|[{BLANK}]{{{LEAF - 1}}}"
 # Fixed value: the pattern of byte-level BPE.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 
@@ -74,10 +76,14 @@ class Vocabulary:
 
         self.bytes_of = {i: spelled(t) for t, i in ids.items()}
         self.id_of_byte = [ids[c] for c, _ in sorted(byte_of.items(), key=lambda x: x[1])]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, pair in enumerate(file["model"]["merges"]):
-            left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[ids[left], ids[right]] = rank, ids[left + right]
+        pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in file["model"]["merges"]]
+        self.ranks = {(ids[left], ids[right]): rank for rank, (left, right) in enumerate(pairs)}
+        self.made = [ids[left + right] for left, right in pairs]  # the token of each rank
+        self.none = len(pairs)
+        self._id_of_byte, self._made = np.array(self.id_of_byte, np.int32), np.array(self.made, np.int32)
+        coded = np.array([(a << 32) | b for a, b in self.ranks], np.int64)
+        self._rank_of_pair = np.argsort(coded)
+        self._pairs = coded[self._rank_of_pair]
         self.special = {t["content"]: t["id"] for t in file.get("added_tokens") or []}
         self.bytes_of |= {i: spelled(t) for t, i in self.special.items()}
         longest_first = sorted(self.special, key=len, reverse=True)
@@ -85,36 +91,102 @@ class Vocabulary:
 
     def merged(self, data: bytes) -> list[int]:
         """Tokens of one piece: the pair of lowest rank merges, the leftmost first, until none is left."""
+        return self._merged_long(data) if len(data) > SHORT else self._merged_short(data)
+
+    def merged_all(self, pieces: list[bytes]) -> list[bytes]:
+        """32-bit tokens of many short pieces: one merge in each of them at a time."""
+        out: list[bytes] = [b""] * len(pieces)
+        by_length = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
+        for at in range(0, len(pieces), TOGETHER):
+            some = by_length[at: at + TOGETHER]
+            for i, ids in self._merged_together([pieces[i] for i in some]):
+                out[some[i]] = ids
+        return out
+
+    def _merged_together(self, pieces: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        sizes = np.array([len(p) for p in pieces])
+        width = max(int(sizes.max()), 2)
+        filled = np.arange(width) < sizes[:, None]
+        ids = np.full((len(pieces), width), -1, np.int32)
+        ids[filled] = self._id_of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        ranks = self._rank_array(ids[:, :-1], ids[:, 1:])
+        row, columns = np.arange(len(pieces)), np.arange(width)
+        while len(row):
+            at = ranks.argmin(axis=1)
+            best = ranks[np.arange(len(row)), at]
+            going = best < self.none
+            for k in np.flatnonzero(~going).tolist():
+                yield int(row[k]), ids[k, :sizes[k]].tobytes()
+            row, at, best, ids, ranks, sizes = row[going], at[going], best[going], ids[going], ranks[going], sizes[going] - 1
+            every = np.arange(len(row))
+            ids[every, at] = self._made[best]
+            # columns behind the pair move up by one; the last one is empty from now on
+            source = np.minimum(columns + (columns > at[:, None]), width - 1)
+            ids = np.take_along_axis(ids, source, axis=1)
+            ids[:, -1] = -1
+            ranks = np.take_along_axis(ranks, np.minimum(columns[:-1] + (columns[:-1] >= at[:, None]), width - 2), axis=1)
+            ranks[:, -1] = self.none
+            after = np.minimum(at + 1, width - 1)
+            right = at < width - 1
+            ranks[every[right], at[right]] = self._rank_array(ids[every, at], ids[every, after])[right]
+            left = at > 0
+            ranks[every[left], at[left] - 1] = self._rank_array(ids[every, np.maximum(at - 1, 0)], ids[every, at])[left]
+
+    def _rank_array(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        wanted = (left.astype(np.int64) << 32) | (right.astype(np.int64) & 0xFFFFFFFF)
+        at = np.minimum(np.searchsorted(self._pairs, wanted), len(self._pairs) - 1)
+        return np.where(self._pairs[at] == wanted, self._rank_of_pair[at], self.none)
+
+    def _merged_short(self, data: bytes) -> list[int]:
+        ids = [self.id_of_byte[b] for b in data]
+        rank_of, none = self.ranks.get, self.none
+        ranks = [rank_of(pair, none) for pair in zip(ids, ids[1:])]
+        while ranks:
+            rank = min(ranks)
+            if rank == none:
+                break
+            i = ranks.index(rank)
+            ids[i] = self.made[rank]
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = rank_of((ids[i - 1], ids[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank_of((ids[i], ids[i + 1]), none)
+        return ids
+
+    def _merged_long(self, data: bytes) -> list[int]:
+        """The same with the pairs in a heap."""
         ids = [self.id_of_byte[b] for b in data]
         n = len(ids)
         after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        find = self.merges.get
-        waiting = [(found[0], i, found[1]) for i in range(n - 1) if (found := find((ids[i], ids[i + 1])))]
+        find = self.ranks.get
+        waiting = [(rank, i) for i in range(n - 1) if (rank := find((ids[i], ids[i + 1]))) is not None]
         heapq.heapify(waiting)
         while waiting:
-            rank, i, new = heapq.heappop(waiting)
+            rank, i = heapq.heappop(waiting)
             j = after[i] if alive[i] else n
-            if j >= n or find((ids[i], ids[j])) != (rank, new):
+            if j >= n or find((ids[i], ids[j])) != rank:
                 continue
-            ids[i], alive[j] = new, False
+            ids[i], alive[j] = self.made[rank], False
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if found := find((new, ids[k])):
-                    heapq.heappush(waiting, (found[0], i, found[1]))
+                if (rank := find((ids[i], ids[k]))) is not None:
+                    heapq.heappush(waiting, (rank, i))
             h = before[i]
-            if h >= 0 and (found := find((ids[h], new))):
-                heapq.heappush(waiting, (found[0], h, found[1]))
+            if h >= 0 and (rank := find((ids[h], ids[i]))) is not None:
+                heapq.heappush(waiting, (rank, h))
         return [t for t, kept in zip(ids, alive) if kept]
 
-    def pieces(self, part: str) -> Iterator[bytes | int]:
-        """Bytes of the pieces of a part, and ids of the special tokens in it."""
-        at = 0
-        for special in self.specials.finditer(part) if self.specials else ():
-            yield from _split(part[at:special.start()])
-            yield self.special[special[0]]
+    def pieces(self, part: str) -> list[str | int]:
+        """The pieces of a part, and ids of the special tokens in it."""
+        if self.specials is None or not self.specials.search(part):
+            return _split(part)
+        out, at = [], 0
+        for special in self.specials.finditer(part):
+            out += [*_split(part[at:special.start()]), self.special[special[0]]]
             at = special.end()
-        yield from _split(part[at:])
+        return out + _split(part[at:])
 
     def spelled(self, tokens: list[int]) -> bytes:
         return b"".join([self.bytes_of.get(t, b"") for t in tokens])
@@ -137,12 +209,15 @@ class Vocabulary:
         return leaves[0] if leaves else []
 
 
-def _split(text: str) -> Iterator[bytes]:
-    shown = text
-    if not text.isascii():  # what is unassigned here may be a letter in the tables of ``regex``
-        shown = "".join(["\uffff" if unicodedata.category(c) == "Cn" else c for c in text])
-    for piece in PIECES.finditer(shown):
-        yield text[piece.start():piece.end()].encode()
+def _split(text: str) -> list[str]:
+    """Pieces of a text by the pattern."""
+    if text.isascii():
+        return PIECES.findall(text)
+    # what is unassigned here may be a letter in the tables of ``regex``
+    newer = {ord(c): 0xFFFF for c in set(text) if unicodedata.category(c) == "Cn"}
+    if not newer:
+        return PIECES.findall(text)
+    return [text[piece.start():piece.end()] for piece in PIECES.finditer(text.translate(newer))]
 
 
 def halves(data: bytes, most: int = LEAF) -> list[bytes]:
@@ -165,40 +240,101 @@ def parts(text: str) -> Iterator[list[str]]:
 
 
 class Known(dict):
-    """Part to the 32-bit ids of its tokens, computed when first asked for."""
+    """Part to the 32-bit ids of its tokens; the pieces of parts are remembered too."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
+        self.pieces: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
-        tokens: list[int] = []
-        for piece in self.vocabulary.pieces(part):
-            if isinstance(piece, int):
-                tokens.append(piece)
-            else:
-                tokens += self.vocabulary.tree([self.vocabulary.merged(x) for x in halves(piece)])
-        ids = np.array(tokens, np.int32).tobytes()
-        if len(part) <= LEAF:
-            if len(self) >= KNOWN:
-                self.clear()
+        ids = b"".join([array("i", [piece]).tobytes() if isinstance(piece, int) else self.pieces.get(piece) or self._of_piece(piece)
+                        for piece in self.vocabulary.pieces(part)])
+        if len(part) <= SHORT:
             self[part] = ids
         return ids
 
+    def _of_piece(self, piece: str) -> bytes:
+        data = piece.encode()
+        ids = array("i", self.vocabulary.tree([self.vocabulary.merged(x) for x in halves(data)])).tobytes()
+        if len(data) <= SHORT:
+            self.pieces[piece] = ids
+        return ids
 
-def _lists(rows: list[bytes]) -> pa.Array:
+    def learn(self, some: set[str]) -> None:
+        """Encode the parts that are new, together. What was known before may be forgotten."""
+        if len(self) + len(some) > KNOWN:
+            self.clear()
+        if len(self.pieces) > KNOWN:
+            self.pieces.clear()
+        # parts that begin with a blank and end with something else stay apart when they stand in a row
+        new = [p for p in some if p not in self and 1 < len(p) <= SHORT and p[0] in BLANK and p[-1] not in BLANK]
+        text = "".join(new)
+        if not new or self.vocabulary.specials is not None and self.vocabulary.specials.search(text):
+            return
+        pieces = _split(text)
+        fresh = [p for p in set(pieces) if p not in self.pieces]
+        self.pieces.update(zip(fresh, self.vocabulary.merged_all([p.encode() for p in fresh])))
+        ids = list(map(self.pieces.__getitem__, pieces))
+        ends = np.searchsorted(np.cumsum([len(p) for p in pieces]), np.cumsum([len(p) for p in new])) + 1
+        at = 0
+        for part, end in zip(new, ends.tolist()):
+            self[part] = b"".join(ids[at:end])
+            at = end
+
+
+def encoded_texts(texts: Iterable[str | None], known: Known) -> list[bytes | None]:
+    """32-bit ids of the tokens of each text; None for a text with a long piece."""
+    out: list[list[bytes] | None] = []
+    waiting: list[tuple[int, list[str]]] = []
+
+    def settle() -> None:
+        known.learn({p for _, some in waiting for p in some})
+        for i, some in waiting:
+            out[i].append(b"".join(map(known.__getitem__, some)))
+        waiting.clear()
+
+    held = 0
+    for text in texts:
+        if text and has_long_piece(text):
+            out.append(None)
+            continue
+        out.append([])
+        for some in parts(text or ""):
+            waiting.append((len(out) - 1, some))
+            held += len(some)
+            if held >= TOGETHER:
+                settle()
+                held = 0
+    settle()
+    return [None if ids is None else b"".join(ids) for ids in out]
+
+
+def has_long_piece(text: str) -> bool:
+    """True if a piece is beyond ``LEAF`` bytes. Few texts have a run of that many bytes at all."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    if len(data) <= LEAF:
+        return False
+    inside = INSIDE[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    if np.diff(np.r_[-1, edges, len(data) - 1]).max() < LEAF - 1:  # a piece may hold one blank before its run
+        return False
+    return any(len(piece.encode()) > LEAF for some in parts(text) for part in some for piece in _split(part))
+
+
+def _lists(rows: list[bytes | None]) -> pa.Array:
     """32-bit ids as an Arrow column of lists."""
-    ends = np.cumsum([0, *[len(r) // 4 for r in rows]]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+    there = [r or b"" for r in rows]
+    ends = np.cumsum([0, *[len(r) // 4 for r in there]]).astype(np.int32)
+    missing = pa.array(np.array([r is None for r in rows], bool))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(there), np.int32)), mask=missing)
 
 
 def encoded(text: Column, vocabulary) -> Column:
-    """array<int>: the tokens of a text, by a broadcast tokenizer file, in one task."""
+    """array<int>: the tokens of a text without long pieces, by a broadcast tokenizer file; null for other texts."""
     @F.arrow_udf("array<int>")
     def encode_texts(texts: pa.Array) -> pa.Array:
-        known = Known(Vocabulary(vocabulary.value))
-        get = known.__getitem__
-        return _lists([b"".join([i for some in parts(t.as_py() or "") for i in map(get, some)]) for t in texts])
+        return _lists(encoded_texts((t.as_py() for t in texts), Known(Vocabulary(vocabulary.value))))
 
     return encode_texts.asNondeterministic()(text)
 
@@ -208,8 +344,14 @@ def decoded(ids: Column, vocabulary) -> Column:
     @F.arrow_udf("string")
     def decode_ids(lists: pa.Array) -> pa.Array:
         bytes_of = Vocabulary(vocabulary.value).bytes_of
-        return pa.array([b"".join([bytes_of.get(i, b"") for i in row or ()]).decode("utf-8", "replace")
-                         for row in lists.to_pylist()], pa.string())
+        table = [bytes_of.get(i, b"") for i in range(max(bytes_of) + 2)]  # the last one is of no token
+
+        def text(row: pa.ListScalar) -> str:
+            tokens = np.zeros(0, np.int64) if row.values is None else row.values.fill_null(-1).to_numpy(zero_copy_only=False)
+            known = np.where((tokens >= 0) & (tokens < len(table)), tokens, -1)
+            return b"".join(map(table.__getitem__, known.tolist())).decode("utf-8", "replace")
+
+        return pa.array([text(row) for row in lists], pa.string())
 
     return decode_ids.asNondeterministic()(ids)
 
@@ -235,9 +377,9 @@ def _leaves(long: DataFrame, key: str, text: str, vocabulary) -> DataFrame:
                             ready.append(known[part])
                             continue
                         for piece in words.pieces(part):
+                            piece = piece if isinstance(piece, int) else piece.encode()
                             if isinstance(piece, int) or len(piece) <= LEAF:
-                                tokens = [piece] if isinstance(piece, int) else words.merged(piece)
-                                ready.append(np.array(tokens, np.int32).tobytes())
+                                ready.append(array("i", [piece] if isinstance(piece, int) else words.merged(piece)).tobytes())
                                 continue
                             close()
                             rows += [(row, n, i, leaf, False) for i, leaf in enumerate(halves(piece))]
@@ -279,14 +421,22 @@ def _tree_encoded(long: DataFrame, key: str, text: str, vocabulary) -> DataFrame
     return done.groupBy("key").applyInArrow(concatenate, "key string, ids array<int>")
 
 
+def is_long(text: Column) -> Column:
+    """``has_long_piece`` of a column."""
+    @F.arrow_udf("boolean")
+    def longest(texts: pa.Array) -> pa.Array:
+        return pa.array([has_long_piece(t.as_py() or "") for t in texts], pa.bool_())
+
+    return longest(text)
+
+
 def encode(df: DataFrame, source: str, text: str = "text", into: str = "ids") -> DataFrame:
     """``df`` with ``into``: the token ids of its whole texts. ``source`` is the JSON of a tokenizer file."""
     vocabulary = df.sparkSession.sparkContext.broadcast(source)
     into, key = free_name(df, into), free_name(df, "key")
     value = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    has_run = (F.length(value) >= LEAF - 1) & value.rlike(LONG_RUN)
-    plain = df.where(~has_run).withColumn(into, encoded(value, vocabulary))
-    long = materialise(df.where(has_run).withColumn(key, F.expr("uuid()")))
+    plain = df.withColumn(into, encoded(value, vocabulary)).where(F.col(f"`{into}`").isNotNull())
+    long = materialise(df.where(is_long(value)).withColumn(key, F.expr("uuid()")))
     if long.isEmpty():
         return plain
     ids = _tree_encoded(long, key, text, vocabulary).withColumnsRenamed({"key": f"{key}_", "ids": into})

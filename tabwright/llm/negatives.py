@@ -45,7 +45,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PIVOTS = 1024  # most pivots
 PIVOT_ROWS = 4096  # rows wanted for each, as long as there are fewer
 SAMPLE = 16_384  # rows that pivots are chosen from
-LEAF = 128  # rows of a leaf
+LEAF = 256  # rows of a leaf
 FAN = 8  # children of a node
 BATCH = 50_000  # anchors that are broadcast at a time
 SLICE = 2048  # anchors whose bounds are computed at a time
@@ -76,41 +76,46 @@ class Request:
     k: int  # rows wanted in each window
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a b', exact for whole numbers whose squared lengths are below 2**55."""
-    longest = [float((x.astype(np.float64) ** 2).sum(axis=-1).max(initial=0)) for x in (a, b)]
-    if longest[0] * longest[1] < float(EXACT) ** 2 / 2:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
-
-
 class CoverTree:
-    """Rows of one block. ``square`` is the squared length of every augmented row."""
+    """Rows of one block, in order of leaves. ``square`` is the squared length of every augmented row."""
 
-    def __init__(self, rows: np.ndarray, square: float):
-        self.rows, self.square = rows, square
+    def __init__(self, rows: np.ndarray, square: float, ids: np.ndarray, labels: np.ndarray):
+        self.square = square
         self._points = rows.astype(np.float64)
         self._extra = np.sqrt(np.maximum(square - (self._points ** 2).sum(axis=1), 0))
         self.slack = 1e-7 * np.sqrt(square) + 1e-9  # more than the error of a distance
-        self.centres: list[int] = []
+        centres: list[int] = []
         self.radii: list[float] = []
         self.children: list[list[int]] = []
-        self.leaves: list[np.ndarray | None] = []
+        self.leaves: list[slice | None] = []
+        order, done = [], 0
         everything = np.arange(len(rows))
         waiting = [(everything, 0, self._apart(0, everything), -1)]
         while waiting:
             members, centre, apart, parent = waiting.pop()
-            node = len(self.centres)
-            self.centres.append(centre)
+            node = len(centres)
+            centres.append(centre)
             self.radii.append(float(apart.max()) + self.slack)
             self.children.append([])
             self.leaves.append(None)
             if parent >= 0:
                 self.children[parent].append(node)
             if len(members) <= LEAF or apart.max() <= self.slack:
-                self.leaves[node] = members
+                order.append(members)
+                self.leaves[node] = slice(done, done + len(members))
+                done += len(members)
             else:
                 waiting += [(*part, node) for part in self._cover(members, centre, apart)]
+        self.centres = self._points[centres]
+        order = np.concatenate(order)
+        self.rows, self.ids, self.labels, self._points = rows[order], ids[order], labels[order], self._points[order]
+
+    def scores(self, own: np.ndarray, leaf: slice) -> np.ndarray:
+        """Exact products of an anchor with the rows of a leaf."""
+        as_double = own.astype(np.float64)
+        if float(as_double @ as_double) * self.square < float(EXACT) ** 2 / 2:
+            return self._points[leaf] @ as_double
+        return self.rows[leaf] @ own
 
     def _apart(self, centre: int, members: np.ndarray) -> np.ndarray:
         near = self._points[members] @ self._points[centre] + self._extra[members] * self._extra[centre]
@@ -133,7 +138,7 @@ class CoverTree:
     def bounds(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(least, greatest) score that each anchor can have with the rows of each node."""
         own = (anchors.astype(np.float64) ** 2).sum(axis=1)[:, None] + self.square
-        apart = np.sqrt(np.maximum(own - 2 * (anchors.astype(np.float64) @ self._points[self.centres].T), 0))
+        apart = np.sqrt(np.maximum(own - 2 * (anchors.astype(np.float64) @ self.centres.T), 0))
         radii = np.array(self.radii)
         error = 1e-9 * own + 1
         greatest = (own - np.maximum(apart - radii - self.slack, 0) ** 2) / 2 + error
@@ -151,6 +156,10 @@ class Found:
 
     def add(self, anchor: int, scores: np.ndarray, ids: np.ndarray) -> None:
         request = self.request
+        near = (scores >= self.need[anchor].min()) & (scores <= request.high[anchor].max())
+        if not near.any():
+            return
+        scores, ids = scores[near].astype(np.int64), ids[near]
         for w in range(request.low.shape[1]):
             fits = (scores >= self.need[anchor, w]) & (scores <= request.high[anchor, w])
             if not fits.any():
@@ -170,37 +179,35 @@ class Found:
                 [pa.array(a), pa.array(w), pa.array(self.scores[a, w, k]), pa.array(self.ids[a, w, k])], ["anchor", "window", "score", "id"])
 
 
-def descend(tree: CoverTree, ids: np.ndarray, labels: np.ndarray, request: Request, anchors: np.ndarray, found: Found) -> None:
+def descend(tree: CoverTree, request: Request, anchors: np.ndarray, found: Found) -> None:
     """Search the rows of a tree for some anchors of a request, best nodes first."""
     for start in range(0, len(anchors), SLICE):
         some = anchors[start: start + SLICE]
         least, greatest = tree.bounds(request.rows[some])
         for i, anchor in enumerate(some.tolist()):
-            _best_first(tree, ids, labels, request, anchor, least[i].tolist(), greatest[i].tolist(), found)
+            _best_first(tree, request, anchor, least[i].tolist(), greatest[i].tolist(), found)
 
 
-def _best_first(tree: CoverTree, ids: np.ndarray, labels: np.ndarray, request: Request, anchor: int,
-                least: list[float], greatest: list[float], found: Found) -> None:
-    need, high = found.need[anchor], request.high[anchor]
-    own = request.rows[anchor]
+def _best_first(tree: CoverTree, request: Request, anchor: int, least: list[float], greatest: list[float], found: Found) -> None:
+    need, high, own = found.need[anchor], request.high[anchor], request.rows[anchor]
     wanted = [(float(n), float(h)) for n, h in zip(need.tolist(), high.tolist()) if n <= h]
     waiting = [(-greatest[0], 0)]
     while waiting:
         top, node = heapq.heappop(waiting)
         if not any(-top >= n and least[node] <= h for n, h in wanted):
             continue  # outside all windows
-        members = tree.leaves[node]
-        if members is None:
+        leaf = tree.leaves[node]
+        if leaf is None:
             for child in tree.children[node]:
                 heapq.heappush(waiting, (-greatest[child], child))
             continue
-        fits = (labels[members] == request.labels[anchor]) == request.same
+        scores = tree.scores(own, leaf)
+        fits = (scores >= min(n for n, _ in wanted)) & ((tree.labels[leaf] == request.labels[anchor]) == request.same)
+        at = np.flatnonzero(fits)
         if request.same:  # an anchor is not its own positive
-            for at in np.flatnonzero(fits & (ids[members] == request.ids[anchor])):
-                fits[at] = not np.array_equal(tree.rows[members[at]], own)
-        members = members[fits]
-        if len(members):
-            found.add(anchor, products(own[None, :], tree.rows[members])[0], ids[members])
+            at = at[[tree.ids[leaf][k] != request.ids[anchor] or not np.array_equal(tree.rows[leaf][k], own) for k in at.tolist()]]
+        if len(at):
+            found.add(anchor, scores[at], tree.ids[leaf][at])
             wanted = [(float(n), float(h)) for n, h in zip(need.tolist(), high.tolist()) if n <= h]
 
 
@@ -216,7 +223,7 @@ def _search(index: DataFrame, request, square: float, width: int, home: bool) ->
                 own = pivots == pivot
                 anchors = np.flatnonzero(wanted.pivots == pivot) if home else np.arange(len(wanted.ids))
                 if len(anchors):
-                    descend(CoverTree(rows[own], square), ids[own], labels[own], wanted, anchors, found)
+                    descend(CoverTree(rows[own], square, ids[own], labels[own]), wanted, anchors, found)
         yield from found.rows()
 
     parts = index.select("id", "label", "pivot", "v").mapInArrow(task, "anchor long, window long, score long, id long")
@@ -274,8 +281,8 @@ def build_index(rows: DataFrame, width: int, n: int, square: float) -> tuple[Dat
 def _reached(index: DataFrame, request: Request, pivots: np.ndarray, radii: np.ndarray, square: float) -> DataFrame:
     """The index without the pivots that cannot hold a row for any window."""
     tree = object.__new__(CoverTree)
-    tree.square, tree.slack, tree._points = square, 1e-7 * np.sqrt(square) + 1e-9, pivots.astype(np.float64)
-    tree.centres, tree.radii = list(range(len(pivots))), (radii + tree.slack).tolist()
+    tree.square, tree.slack, tree.centres = square, 1e-7 * np.sqrt(square) + 1e-9, pivots.astype(np.float64)
+    tree.radii = (radii + tree.slack).tolist()
     used = np.zeros(len(pivots), bool)
     need = np.maximum(request.low, request.floor)
     for start in range(0, len(request.ids), SLICE):

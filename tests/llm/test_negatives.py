@@ -92,36 +92,36 @@ def test_other_columns_do_not_matter(spark):
 
 
 @pytest.mark.parametrize("kind", ["clusters", "copies", "one"])
-def test_cover_tree(kind):
+def test_cover_tree(kind, monkeypatch):
     rng = np.random.default_rng(2)
     x = {"clusters": rng.integers(0, 4, (600, 1)) * 400 + rng.integers(-30, 30, (600, 5)), "copies": np.tile([[3, 4, 5]], (700, 1)),
          "one": np.array([[1, 2]])}[kind].astype(np.int64)
-    tree = negatives.CoverTree(x, float((x.astype(float) ** 2).sum(axis=1).max()))
-    leaves = [m for m in tree.leaves if m is not None]
-    assert sorted(np.concatenate(leaves).tolist()) == list(range(len(x)))
+    monkeypatch.setattr(negatives, "LEAF", 32)
+    tree = negatives.CoverTree(x, float((x.astype(float) ** 2).sum(axis=1).max()), np.arange(len(x)), np.zeros(len(x)))
+    assert sorted(tree.ids.tolist()) == list(range(len(x))) and (x[tree.ids] == tree.rows).all()
+    assert sum(m.stop - m.start for m in tree.leaves if m) == len(x)
     anchors = rng.integers(-500, 500, (20, x.shape[1])).astype(np.int64)
     least, greatest = tree.bounds(anchors)
 
     def members(node):
-        return tree.leaves[node] if tree.leaves[node] is not None else np.concatenate([members(c) for c in tree.children[node]])
+        return tree.rows[tree.leaves[node]] if tree.leaves[node] else np.concatenate([members(c) for c in tree.children[node]])
 
     for node in range(len(tree.centres)):
-        scores = anchors @ x[members(node)].T
+        scores = anchors @ members(node).T
         assert (scores.min(axis=1) >= least[:, node]).all() and (scores.max(axis=1) <= greatest[:, node]).all()
-        assert tree.leaves[node] is not None or tree.centres[tree.children[node][0]] in [tree.centres[node]] or \
-            tree.centres[node] in [tree.centres[c] for c in tree.children[node]]
+        assert tree.leaves[node] or tree.centres[node].tolist() in tree.centres[tree.children[node]].tolist()
 
 
 def test_nodes_outside_the_windows_are_skipped(monkeypatch):
     x = np.array([[1000 * (i // 200) + i % 7, i % 11] for i in range(2000)], np.int64)
-    tree = negatives.CoverTree(x, float((x.astype(float) ** 2).sum(axis=1).max()))
+    tree = negatives.CoverTree(x, float((x.astype(float) ** 2).sum(axis=1).max()), np.arange(2000), np.ones(2000, np.int64))
     one = np.zeros(1, np.int64)
     request = negatives.Request(one, one, one, np.array([[1000, 0]]), np.array([[2_000_000]]), np.array([[2_003_000]]), one[:, None], False, 5)
     found = negatives.Found(request)
     seen = []
-    exact = negatives.products
-    monkeypatch.setattr(negatives, "products", lambda a, b: seen.append(len(b)) or exact(a, b))
-    negatives.descend(tree, np.arange(2000), np.ones(2000, np.int64), request, np.array([0]), found)
+    exact = negatives.CoverTree.scores
+    monkeypatch.setattr(negatives.CoverTree, "scores", lambda self, own, leaf: seen.append(leaf.stop - leaf.start) or exact(self, own, leaf))
+    negatives.descend(tree, request, np.array([0]), found)
     scores = x @ [1000, 0]
     want = sorted((-s, i) for i, s in enumerate(scores) if 2_000_000 <= s <= 2_003_000)[:5]
     assert [(-s, i) for s, i in zip(found.scores[0, 0].tolist(), found.ids[0, 0].tolist())] == want
