@@ -116,7 +116,13 @@ ORACLES = {
         SELECT c_mktsegment, o_orderstatus, n_orders, mean_price, n_customers FROM buyers JOIN (
             SELECT c_mktsegment, o_orderstatus, count(*) AS n_orders, round(avg(o_totalprice), 4) AS mean_price
             FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2) USING (c_mktsegment)""",
-    "csv_round_trip": "SELECT * FROM customer",
+    "csv_round_trip": "SELECT * FROM documents",
+    "csv_bad_records": """
+        SELECT CASE WHEN c_custkey % 11 = 0 THEN 'short' WHEN c_custkey % 13 = 0 THEN 'no number'
+                    WHEN c_custkey % 17 = 0 THEN 'long' ELSE 'whole' END AS kind,
+            count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS sum_keys,
+            CAST(sum(CASE WHEN c_custkey % 11 <> 0 AND c_custkey % 13 <> 0 THEN c_nationkey END) AS BIGINT) AS sum_nations
+        FROM customer GROUP BY 1""",
     "project_rename": """
         SELECT l_orderkey AS orderkey, l_linenumber AS line, l_quantity AS quantity, l_returnflag AS flag
         FROM lineitem""",

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwright import operators as op
 from tabwright.functions import average_rates, clamp, hash01, list_slice, number_in, to_double
@@ -58,10 +59,27 @@ def multi_table_step(spark, folder):
 
 
 def csv_round_trip(spark, folder):
-    customers = _read(spark, folder, "customer")
+    documents = _read(spark, folder, "documents")  # texts with line feeds, quotes and outer blanks
     path = scratch_folder(spark)
-    export_csv(customers, path)
-    return read_csv(spark, path, customers.schema)
+    export_csv(documents, path)
+    return read_csv(spark, path, documents.schema)
+
+
+def csv_bad_records(spark, folder):
+    """Customers whose lines were damaged: every 11th lacks a field, every 13th has a word for a number, every 17th a comma too many."""
+    key, name = F.col("c_custkey").cast("string"), F.col("c_name")
+    line = F.when(F.col("c_custkey") % 11 == 0, F.concat_ws(",", key, name)) \
+        .when(F.col("c_custkey") % 13 == 0, F.concat_ws(",", key, name, F.lit("many"))) \
+        .when(F.col("c_custkey") % 17 == 0, F.concat_ws(",", key, name, F.col("c_nationkey"), F.lit(""))) \
+        .otherwise(F.concat_ws(",", key, name, F.col("c_nationkey")))
+    path = scratch_folder(spark)
+    _read(spark, folder, "customer").select(line).write.text(path)
+    schema = T.StructType.fromDDL("c_custkey bigint, c_name string, c_nationkey bigint")
+    rows = read_csv(spark, path, schema, header=False, corrupt="bad")
+    kind = F.when(F.col("bad").isNull(), "whole").when(F.col("c_custkey") % 11 == 0, "short").when(F.col("c_custkey") % 13 == 0, "no number") \
+        .otherwise("long")
+    return rows.groupBy(kind.alias("kind")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("sum_keys"), F.sum("c_nationkey").alias("sum_nations"))
 
 
 # --- projection, filter, cleaning -------------------------------------------------------------
@@ -446,6 +464,7 @@ def final_test(spark, folder):
 
 QUERIES = {
     "table_scan": table_scan, "multi_table_step": multi_table_step, "csv_round_trip": csv_round_trip,
+    "csv_bad_records": csv_bad_records,
     "project_rename": project_rename, "require_not_null": require_not_null, "cast_numeric": cast_numeric,
     "invalidate_range": invalidate_range, "drop_sparse_columns": drop_sparse_columns, "sigma_trim": sigma_trim,
     "missing_profile": missing_profile, "numeric_profile": numeric_profile, "skew_profile": skew_profile,
