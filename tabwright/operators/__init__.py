@@ -7,6 +7,8 @@ from tabwright.operators.encode import TargetEncode
 from tabwright.operators.extract import by_class, class_items, list_items, list_tail, page_lists, table_rows
 from tabwright.operators.impute import Impute
 from tabwright.operators.reference import band_lookup, key_grid, lookup, prob_impute, rate_grid
+from tabwright.operators.kernel import NystroemFeatures, NystroemModel
+from tabwright.operators.ovr import MOST_LABELS, OneAgainstRest, OneAgainstRestModel
 from tabwright.operators.metrics import (
     best_model, binary_metrics, compare_models, fold_accuracy, mean_fold_accuracy, metrics_long, roc_auc, route, stack,
     weighted_metrics,
@@ -19,19 +21,19 @@ from tabwright.operators.split import (
 )
 from tabwright.operators.train import (
     FOREST_GRID, LOGISTIC_GRID, RECIPES, FourierFeatures, Recipe, cross_validate, final_test, fit_recipe,
-    param_grid, train_and_evaluate,
+    forest, held_out_predictions, logistic, param_grid, predict, svm, train_and_evaluate,
 )
 from tabwright.operators.transform import LogAbs, ZScoreLog, feature_matrix, log1p_columns, log_abs_columns
 from tabwright.operators.trim import SigmaTrim
 
 __all__ = [
-    "DropSparse", "DuplicateKeys", "FOREST_GRID", "FourierFeatures", "Impute", "LOGISTIC_GRID", "LogAbs", "RECIPES",
-    "Recipe", "SigmaTrim", "TargetEncode", "ZScoreLog", "add_null", "band_lookup", "best_model",
+    "DropSparse", "DuplicateKeys", "FOREST_GRID", "FourierFeatures", "Impute", "LOGISTIC_GRID", "LogAbs", "MOST_LABELS",
+    "NystroemFeatures", "NystroemModel", "OneAgainstRest", "OneAgainstRestModel", "RECIPES", "Recipe", "SigmaTrim", "TargetEncode", "ZScoreLog", "add_null", "band_lookup", "best_model",
     "binary_metrics", "by_class", "cardinality_profile", "cast_numeric", "class_items", "column_modes", "compare_models",
     "cross_validate", "drop_columns", "exact_split", "exact_test_flag", "feature_matrix", "final_test",
-    "fit_recipe", "fold_accuracy", "hash_folds", "hash_split", "invalidate", "key_grid", "list_items",
-    "list_tail", "log1p_columns", "log_abs_columns", "lookup", "mean_fold_accuracy", "metrics_long",
-    "missing_profile", "numeric_profile", "page_lists", "param_grid", "prob_impute", "rate_grid", "rename",
+    "fit_recipe", "fold_accuracy", "forest", "hash_folds", "hash_split", "held_out_predictions", "invalidate", "key_grid", "list_items",
+    "list_tail", "log1p_columns", "log_abs_columns", "logistic", "lookup", "mean_fold_accuracy", "metrics_long",
+    "missing_profile", "numeric_profile", "page_lists", "param_grid", "predict", "prob_impute", "rate_grid", "rename",
     "require", "roc_auc", "route", "row_count", "select_at", "skew_profile", "stack", "stratified_folds",
-    "table_rows", "train_and_evaluate", "value_groups", "weighted_metrics",
+    "svm", "table_rows", "train_and_evaluate", "value_groups", "weighted_metrics",
 ]

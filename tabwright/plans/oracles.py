@@ -11,6 +11,15 @@ def _hash01(seed: int, key: str) -> str:
     return f"(('0x' || substr({_md5(seed, key)}, 1, 8))::bigint / 4294967296.0::double)"
 
 
+def _held_out(prediction: str) -> str:
+    """Predictions of the fifth with the smallest keyed hashes, by the rule behind the label."""
+    return f"""
+        WITH r AS (
+          SELECT o_orderkey, substr(o_orderpriority, 1, 1)::int AS p, o_orderstatus = 'O' AS is_open,
+                 row_number() OVER (ORDER BY {_md5(42, "o_orderkey")}) <= ceil(0.2 * count(*) OVER ()) AS is_test FROM orders)
+        SELECT o_orderkey, {prediction} AS prediction FROM r WHERE is_test"""
+
+
 GAPPY = """gappy AS (
   SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity >= 5 THEN l_quantity END AS l_quantity,
          l_extendedprice, CASE WHEN l_discount >= 0.005 THEN l_discount END AS l_discount, l_returnflag
@@ -267,6 +276,10 @@ ORACLES = {
         SELECT p_partkey AS page_id, 0 AS idx, 'name' AS key, p_name AS value FROM part
         UNION ALL SELECT p_partkey, 1, 'R&D brand', p_brand FROM part
         UNION ALL SELECT p_partkey, 2, 'size', p_size::varchar FROM part""",
+    "predict_ovr": _held_out("CASE WHEN p = 1 THEN 'now' WHEN p IN (2, 3) THEN 'soon' ELSE 'late' END"),
+    "predict_lr": _held_out("(p IN (1, 2))::int::double"),
+    "predict_rf": _held_out("(p IN (1, 2) AND is_open)::int::double"),
+    "predict_svm": _held_out("((p IN (1, 2)) <> is_open)::int::double"),
     "exact_split": f"""
         SELECT o_orderkey, o_totalprice,
                (row_number() OVER (ORDER BY {_md5(42, "o_orderkey")}) <= ceil(0.2 * count(*) OVER ()))::int AS is_test

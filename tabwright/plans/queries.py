@@ -462,9 +462,45 @@ def final_test(spark, folder):
     return op.final_test(train, test, op.RECIPES["Logistic_sklearn"], "target", ["o_orderkey"])
 
 
+def _discrete_orders(spark, folder, label: Column) -> DataFrame:
+    """Orders with a flag for each priority and for open ones, and a label that these decide."""
+    digit = F.substring("o_orderpriority", 1, 1).cast("int")
+    flags = [_flag(digit == k).cast("double").alias(f"p{k}") for k in range(1, 6)]
+    open_ = _flag(F.col("o_orderstatus") == "O").cast("double").alias("open")
+    orders = _read(spark, folder, "orders", "o_orderkey", *flags, open_, (F.col("o_totalprice") / 1e6).alias("price"))
+    return orders.withColumn("label", label)
+
+
+def predict_ovr(spark, folder):
+    """Three labels that priorities decide, one against the rest, on the held-out fifth."""
+    label = F.when(F.col("p1") == 1, "now").when((F.col("p2") == 1) | (F.col("p3") == 1), "soon").otherwise("late")
+    return op.held_out_predictions(
+        _discrete_orders(spark, folder, label), lambda rows: op.OneAgainstRest("label", c=100.0), "label", ["o_orderkey"])
+
+
+def predict_lr(spark, folder):
+    label = ((F.col("p1") == 1) | (F.col("p2") == 1)).cast("double")
+    return op.held_out_predictions(
+        _discrete_orders(spark, folder, label), lambda rows: op.logistic("label", rows, 100.0), "label", ["o_orderkey"])
+
+
+def predict_rf(spark, folder):
+    label = (((F.col("p1") == 1) | (F.col("p2") == 1)) & (F.col("open") == 1)).cast("double")
+    return op.held_out_predictions(
+        _discrete_orders(spark, folder, label), lambda rows: op.forest("label", rows, trees=30, depth=8), "label", ["o_orderkey"])
+
+
+def predict_svm(spark, folder):
+    """A label that no line separates: urgent or open, but not both."""
+    label = (((F.col("p1") == 1) | (F.col("p2") == 1)) != (F.col("open") == 1)).cast("double")
+    return op.held_out_predictions(
+        _discrete_orders(spark, folder, label).drop("price"), lambda rows: op.svm("label", rows, 10.0), "label", ["o_orderkey"])
+
+
 QUERIES = {
     "table_scan": table_scan, "multi_table_step": multi_table_step, "csv_round_trip": csv_round_trip,
-    "csv_bad_records": csv_bad_records,
+    "csv_bad_records": csv_bad_records, "predict_ovr": predict_ovr, "predict_lr": predict_lr, "predict_rf": predict_rf,
+    "predict_svm": predict_svm,
     "project_rename": project_rename, "require_not_null": require_not_null, "cast_numeric": cast_numeric,
     "invalidate_range": invalidate_range, "drop_sparse_columns": drop_sparse_columns, "sigma_trim": sigma_trim,
     "missing_profile": missing_profile, "numeric_profile": numeric_profile, "skew_profile": skew_profile,
