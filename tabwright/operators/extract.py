@@ -84,6 +84,102 @@ def _flat(visible: Column, html: Column, raw: Column, levels: list[str]) -> Colu
     return ok & ~F.exists(raw, lambda item: F.exists(item, lambda t: F.coalesce(t, F.lit("")).rlike(strange)))
 
 
+OPEN = "array<struct<name:string,at:int,kept:boolean>>"
+SPANS = "array<struct<at:int,until:int>>"
+MOST_TAGS = 5000  # of a page that is folded natively; the fold copies its state at every tag
+DOCTYPE = r"(?is)<!doctype[^<>]*+>"
+# elements whose text may hold tags that are none, if it does, and script or style that is not closed
+TEXT_ONLY = r"(?is)<(title|textarea|xmp|iframe|noembed|noframes)[\s/>][^<]*<(?!/\1[\s/>])|</?(?:script|style|plaintext)[\s/>]"
+ONE_TAG = rf"(?is)</?[a-z][^\s/>]*+{PLAIN_REST}>"
+
+
+def _class_of(tag: Column) -> Column:
+    return F.concat(*[F.regexp_extract(tag, CLASS, k) for k in (1, 2, 3)])
+
+
+def _plain_class(tag: Column) -> Column:
+    """No class is given twice or holds a character reference."""
+    return ~(_class_of(tag).contains("&") | F.regexp_replace(tag, CLASS, "").rlike(r"(?i)[\s/]class[\s=/>]"))
+
+
+def _classes_hold(cls: Column, name: str) -> Column:
+    return (cls == name) | F.array_contains(F.split(F.trim(cls), r"\s+"), name)
+
+
+def _element_spans(tags: Column) -> Column:
+    """(at, until) of the kept elements in order: the places of the tag that opens each and of the one that ends it.
+
+    One fold over the tags with the stack of open elements. A closing tag ends the nearest open element of its
+    name and all inside it; one that closes nothing is skipped; what is open at the end of the page ends there.
+    """
+    def step(state: Column, tag: Column) -> Column:
+        open_, done, at = state["open"], state["done"], state["at"]
+        own = F.struct(tag["name"].alias("name"), at.alias("at"), tag["kept"].alias("kept"))
+        back = F.array_position(F.reverse(F.transform(open_, lambda o: o["name"])), tag["name"]).cast("int")
+        left = F.size(open_) - back
+        ended = F.transform(F.filter(F.slice(open_, left + 1, back), lambda o: o["kept"]),
+                            lambda o: F.struct(o["at"].alias("at"), at.alias("until")))
+        closes = (tag["kind"] == "close") & (back > 0)
+        alone = F.when((tag["kind"] == "alone") & tag["kept"], F.array(F.struct(at.alias("at"), at.alias("until"))))
+        return F.struct(
+            F.when(tag["kind"] == "open", F.concat(open_, F.array(own))).when(closes, F.slice(open_, 1, left)).otherwise(open_).cast(OPEN).alias("open"),
+            F.when(closes, F.concat(done, ended)).when(alone.isNotNull(), F.concat(done, alone)).otherwise(done).cast(SPANS).alias("done"),
+            (at + 1).alias("at"))
+
+    def finish(state: Column) -> Column:
+        rest = F.transform(F.filter(state["open"], lambda o: o["kept"]), lambda o: F.struct(o["at"].alias("at"), state["at"].alias("until")))
+        return F.array_sort(F.concat(state["done"], rest).cast(SPANS))
+
+    start = F.struct(F.array().cast(OPEN).alias("open"), F.array().cast(SPANS).alias("done"), F.lit(0).alias("at"))
+    return F.aggregate(tags, start, step, finish)
+
+
+def _nested_native(
+    pages: DataFrame, tag: str, cls: str, inner: str | None, within: str | None,
+) -> DataFrame:
+    """``pages`` (page_id, html) with ``flat``, true where the fold gives what the element tree gives, and ``raw``, its texts."""
+    known = "|".join(ref[1:] for ref in REFERENCES)
+    df = pages.withColumn("visible", F.regexp_replace(_visible(F.col("html")), DOCTYPE, ""))
+    df = df.withColumn("markup", F.regexp_extract_all("visible", F.lit(ONE_TAG), 0))
+    ok = ~F.regexp_replace("html", rf"{HIDDEN}|{PLAIN_TAG}", "").rlike("<[a-zA-Z/!?]") & (F.size("markup") <= MOST_TAGS)
+    ok = ok & ~F.col("visible").rlike(TEXT_ONLY)
+    ok = ok & F.forall("markup", lambda t: (~F.lower(t).contains("class") | _plain_class(t)) & ~t.rlike(r"""=[^\s"'>]*/>$"""))
+    df = df.withColumn("flat", F.coalesce(ok, F.lit(False)))
+    void = "|".join(sorted(VOID))
+
+    def told(t: Column) -> Column:
+        name = F.lower(F.regexp_extract(t, r"(?s)^</?([a-zA-Z][^\s/>]*)", 1))
+        alone = t.endswith("/>") | t.rlike(rf"(?i)^<(?:{void})[\s/>]")
+        kind = F.when(t.startswith("</"), "close").when(alone, "alone").otherwise("open")
+        own = F.when(F.lower(t).contains("class"), _class_of(t)).otherwise("")
+        kept = (kind != "close") & ((name == tag) | (_classes_hold(own, within) if within else F.lit(False)))
+        return F.struct(name.alias("name"), kind.alias("kind"), own.alias("cls"), kept.alias("kept"))
+
+    df = df.withColumn("tags", F.when(F.col("flat"), F.transform("markup", told)))
+    df = df.withColumn("spans", _element_spans(F.col("tags")))
+    df = df.withColumn("elements", F.transform("spans", lambda e: F.struct(
+        e["at"].alias("at"), e["until"].alias("until"), F.get("tags", e["at"])["name"].alias("name"), F.get("tags", e["at"])["cls"].alias("cls"))))
+    mine = F.filter("elements", lambda e: e["name"] == tag)
+    if within:
+        box = F.get(F.filter("elements", lambda e: _classes_hold(e["cls"], within)), F.lit(0))
+        df = df.withColumn("box", box)
+        mine = F.filter("elements", lambda e: (e["name"] == tag) & (e["at"] > F.col("box.at")) & (e["at"] < F.col("box.until")))
+    picked = F.filter(mine, lambda e: _classes_hold(e["cls"], cls))
+    df = df.withColumn("picked", picked)
+    if inner is not None:
+        same = F.filter("elements", lambda x: (x["name"] == tag) & (F.get(F.split(F.trim(x["cls"]), r"\s+"), F.lit(0)) == inner))
+        # a column that a lambda uses is named outside of it too, or it would be computed again for each element
+        below = F.flatten(F.transform("picked", lambda e: F.filter("same", lambda x: (x["at"] > e["at"]) & (x["at"] < e["until"]))))
+        df = df.withColumn("same", same).withColumn("picked", F.when(F.size("same") > 0, below))
+    df = df.withColumn("chunks", F.when(F.col("flat"), F.split("visible", ONE_TAG)))
+    cut = F.transform("picked", lambda e: F.slice("chunks", e["at"] + 2, e["until"] - e["at"]))
+    df = df.withColumn("cut", F.when(F.size("chunks") > 0, cut))
+    strange = F.exists("cut", lambda c: F.exists(c, lambda t: t.rlike(rf"&(?!(?:{known}))[A-Za-z#]")))
+    texts = F.transform("cut", lambda c: F.array_join(F.transform(c, _decoded), ""))
+    return df.select("page_id", "html", (F.col("flat") & ~F.coalesce(strange, F.lit(False))).alias("flat"),
+                     F.transform(F.filter(texts, lambda t: t != ""), lambda t: F.array(t)).alias("raw"))
+
+
 # --- tree side -------------------------------------------------------------------------------
 
 class _Elements(HTMLParser):
@@ -243,30 +339,32 @@ def by_class(
     """(page_id, texts): non-empty texts of the elements ``tag`` that have the class ``cls``.
 
     ``cls`` is one class or the whole attribute. ``inner`` takes, instead of each element, the same
-    tag below it whose first class is ``inner``: always a nesting, so always the helper's work, as
-    is ``within``, which looks only inside the first element of that class.
+    tag below it whose first class is ``inner``; ``within`` looks only inside the first element of that class. Both need
+    the nesting of elements, which a native fold over the page's tags finds; only pages whose tags are odd
+    themselves, or more than ``MOST_TAGS``, go to the helper.
     """
-    def class_of(e: Column) -> Column:
-        return F.concat(*[F.regexp_extract(e, CLASS, k) for k in (1, 2, 3)])
-
     def native(visible: Column) -> Column:
         whole = F.regexp_extract_all(visible, F.lit(rf"(?is)<{tag}{REST}.*?</{tag}\s*>"), 0)
-        mine = F.filter(whole, lambda e: (class_of(e) == cls) | F.array_contains(F.split(F.trim(class_of(e)), r"\s+"), cls))
+        mine = F.filter(whole, lambda e: _classes_hold(_class_of(e), cls))
         return F.filter(F.transform(mine, lambda e: F.array(_stripped(e))), lambda item: item[0] != "")
 
     def plain_classes(visible: Column) -> Column:
-        """No class is given twice or holds a character reference."""
         opened = F.regexp_extract_all(visible, F.lit(rf"(?is)<{tag}{REST}"), 0)
-        return ~F.exists(opened, lambda e: class_of(e).contains("&") | F.regexp_replace(e, CLASS, "").rlike(r"(?i)[\s/]class[\s=/>]"))
+        return F.forall(opened, _plain_class)
 
-    use_tree = tree_only or inner is not None or within is not None
-    if use_tree:  # a page without these words has no such element: it need not be parsed
+    def tree(text: str) -> list[list[str | None]]:
+        return _tree_class(text, tag, cls, inner, within)
+
+    nested = inner is not None or within is not None
+    if nested or tree_only:  # a page without these words has no such element: it need not be looked at
         told = [F.col(html).contains(word) | F.col(html).contains("&") for word in {*cls.split(), inner or "", within or ""} if word]
         pages = pages.withColumn(html, F.when(reduce(and_, told, F.lit(True)), F.col(html)).otherwise(F.when(F.col(html).isNotNull(), "")))
-    found = _items(
-        pages, html, key, [tag], None if use_tree else native,
-        lambda text: _tree_class(text, tag, cls, inner, within), plain_classes,
-    )
+    if nested and not tree_only and tag not in ("script", "style"):
+        df = _nested_native(pages.select(F.col(key).alias("page_id"), F.col(html).alias("html")), tag, cls, inner, within)
+        df = df.select("page_id", "raw", "flat", _tree_udf(tree)(F.when(~F.col("flat"), F.col("html"))).alias("tree"))
+        found = df.select("page_id", F.when(F.col("flat"), F.col("raw")).otherwise(F.col("tree")).alias("found"))
+    else:
+        found = _items(pages, html, key, [tag], None if nested or tree_only else native, tree, plain_classes)
     return found.select("page_id", F.flatten("found").alias("texts"))
 
 

@@ -7,10 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions import average_rates, hash01, nan_to_null, scale_by_ratio
-from tabwright.sources.durable import SMALL_ROWS, pin_small
+from tabwright.sources.durable import SMALL_ROWS, materialise, pin_small
 
-NESTED_BANDS = 64  # most bands that every row is compared with
-CELLS = 4096  # groups of neighbouring bands, where the bands are too many to broadcast
 
 
 def lookup(
@@ -42,63 +40,79 @@ def band_lookup(
 ) -> DataFrame:
     """Left join on ``lo <= value < hi``; a NULL ``hi`` is open. Bands that overlap are a ValueError.
 
-    A missing value (NULL or NaN) is in no band.
+    A missing value (NULL or NaN) is in no band, and a band that holds nothing (``hi <= lo``) has no rows.
 
-    Up to ``NESTED_BANDS`` bands are broadcast and compared with every row. More are cut into cells that hold
-    about equally many of them, so that a row meets only the bands of its cell. That is an equi-join:
-    broadcast up to ``small_rows`` bands, beyond that a shuffle whose hot cells adaptive execution splits.
+    Of up to ``small_rows`` bands, a binary search in their sorted starts finds the one a value can be in, and its
+    columns come from a broadcast by its place. More bands are merged with the rows along the line of values.
     """
     edges = {c: F.col(c).cast("double") for c in ("lo", "hi")}
-    side, rows = pin_small(bands.withColumns(edges), small_rows)
-    if _overlap(side):
-        raise ValueError("the bands overlap, so a row could match several")
+    held = bands.withColumns(edges).where(F.col("hi").isNull() | (F.col("lo") < F.col("hi")))
+    side, rows = pin_small(held, small_rows)
+    if rows is None:
+        return _merged_bands(df, side, value)
+    by_start = sorted(rows, key=lambda r: (r["lo"] is not None, r["lo"] if r["lo"] is not None else 0.0))
+    by_start = [r for r in by_start if r["lo"] is not None]
+    for one, after in zip(by_start, by_start[1:]):
+        if one["hi"] is None or one["hi"] > after["lo"]:
+            raise ValueError("the bands overlap, so a row could match several")
+    starts = [r["lo"] for r in by_start]
+    place = {start: float(i) for i, start in enumerate(starts)}
     side = side.withColumnsRenamed({"lo": "__lo", "hi": "__hi"})
-    x = nan_to_null(F.col(value).cast("double"))
-    inside = (x >= F.col("__lo")) & (F.col("__hi").isNull() | (x < F.col("__hi")))
-    if rows is not None and len(rows) <= NESTED_BANDS:
-        return df.join(F.broadcast(side), inside, "left").drop("__lo", "__hi")
-
-    starts = side.approxQuantile("__lo", [i / CELLS for i in range(1, CELLS)], 0.2 / CELLS)
-    cuts = [float("-inf"), *sorted(set(starts)), float("inf")]
-
-    def with_cell(frame: DataFrame, at: Column, name: str) -> DataFrame:
-        placed = frame.withColumn("__point", F.coalesce(at, F.lit(float("inf"))))
-        cell = Bucketizer(splits=cuts, inputCol="__point", outputCol=name)
-        return cell.transform(placed).withColumn(name, F.col(name).cast("int")).drop("__point")
-
-    pieces = with_cell(with_cell(side, F.col("__lo"), "__first"), F.col("__hi"), "__last").withColumn(
-        "__cell", F.explode(F.sequence("__first", "__last"))
-    ).drop("__first", "__last")
-    few = None
-    if rows is not None:
-        pieces, few = pin_small(pieces, small_rows + CELLS)
-    # rows without a value match nothing: spread out, they do not meet in the open band's cell
-    nowhere = -1 - F.pmod(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in df.columns]), F.lit(CELLS)).cast("int")
-    keyed = with_cell(df, x, "__at").withColumn("__at", F.when(x.isNull(), nowhere).otherwise(F.col("__at")))
-    same_cell = F.col("__at") == F.col("__cell")
-    joined = keyed.join(pieces if few is None else F.broadcast(pieces), same_cell & inside, "left")
-    return joined.drop("__lo", "__hi", "__cell", "__at")
+    side = side.join(
+        F.broadcast(df.sparkSession.createDataFrame(list(place.items()) or [(0.0, 0.0)], "__start double, __band double")),
+        F.col("__lo") == F.col("__start")).drop("__start")
+    x = nan_to_null(F.col(f"`{value}`").cast("double"))
+    if starts:
+        # below the first start is -1; the search is over [-inf, first), [first, second), ...
+        ends = [float("-inf"), *[s for s in starts if abs(s) < float("inf")], float("inf")]
+        ends = ends if len(ends) > 2 else [float("-inf"), 0.0, float("inf")]
+        found = Bucketizer(splits=ends, inputCol="__point", outputCol="__bucket")
+        shift = 0.0 if starts[0] == float("-inf") else 1.0
+        placed = found.transform(df.withColumn("__point", F.coalesce(x, F.lit(0.0)))).withColumn(
+            "__at", F.when(x.isNotNull(), F.col("__bucket") - shift if len(starts) > 1 or shift else F.lit(0.0))).drop("__point", "__bucket")
+    else:
+        placed = df.withColumn("__at", F.lit(None).cast("double"))
+    joined = placed.join(F.broadcast(side), F.col("__at") == F.col("__band"), "left")
+    inside = F.col("__hi").isNull() | (x < F.col("__hi"))
+    kept = [c for c in side.columns if c not in ("__lo", "__hi", "__band")]
+    return joined.withColumns({c: F.when(inside, F.col(f"`{c}`")) for c in kept}).drop("__lo", "__hi", "__band", "__at")
 
 
-def _overlap(bands: DataFrame) -> bool:
-    """True if any band starts before the one before it ends; NULL ends are open, empty bands hold nothing.
+def _merged_bands(df: DataFrame, bands: DataFrame, value: str) -> DataFrame:
+    """``band_lookup`` for any number of bands: rows and starts of bands in one order, cut into ranges.
 
-    Bands are compared with their neighbours inside ranges of starts, and the ranges by their ends.
+    In a range, a row's band is the last one that started before it; where none did, the last one of the ranges before.
+    Equal values may fall into many ranges, so a common value is no hot spot. The order is stored once, because ranges
+    cut anew would differ.
     """
-    real = bands.select("lo", F.coalesce("hi", F.lit(float("inf"))).alias("hi")).where("lo < hi")
-    placed = real.repartitionByRange("lo").withColumn("__range", F.spark_partition_id())
-    order = Window.partitionBy("__range").orderBy("lo", "hi")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    told = placed.withColumn("__upto", F.max("hi").over(before))
-    ranges = told.groupBy("__range").agg(
-        F.count_if(F.col("lo") < F.col("__upto")).alias("bad"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-    ).orderBy("__range").collect()  # one row per range
-    ends = [float("-inf")]
-    for r in ranges:
-        if r["bad"] or r["lo"] < ends[-1]:
-            return True
-        ends.append(max(ends[-1], r["hi"]))
-    return False
+    x = nan_to_null(F.col(f"`{value}`").cast("double"))
+    own, others = [f"`{c}`" for c in df.columns], [c for c in bands.columns if c not in ("lo", "hi")]
+    band = F.struct("lo", "hi", *[f"`{c}`" for c in others])
+    row = F.struct(*own)
+    nothing = {"band": F.lit(None).cast(bands.select(band.alias("b")).schema["b"].dataType),
+               "row": F.lit(None).cast(df.select(row.alias("r")).schema["r"].dataType)}
+    starts = bands.select(F.col("lo").alias("point"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("salt"), band.alias("band"),
+                          nothing["row"].alias("row")).where(F.col("point").isNotNull())
+    values = df.select(x.alias("point"), F.lit(1).alias("kind"), F.xxhash64(*[F.col(c).cast("string") for c in own]).alias("salt"),
+                       nothing["band"].alias("band"), row.alias("row"))
+    line = starts.unionByName(values).repartitionByRange("point", "kind", "salt").withColumn("range", F.spark_partition_id())
+    line = materialise(line)
+
+    along = Window.partitionBy("range").orderBy("point", "kind", "salt")
+    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = Window.partitionBy(F.lit(0)).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    last = line.groupBy("range").agg(F.max_by("band", "point").alias("last"))
+    carried = last.select("range", F.last("last", ignorenulls=True).over(ranges).alias("carried"))
+    told = line.join(F.broadcast(carried), "range")
+    before = told.withColumn("before", F.lag("band").over(Window.partitionBy("range", "kind").orderBy("point")))
+    clash = (F.col("before.hi").isNull() & F.col("before").isNotNull()) | (F.col("before.hi") > F.col("point")) | (
+        F.col("before").isNull() & F.col("carried").isNotNull() & (F.col("carried.hi").isNull() | (F.col("carried.hi") > F.col("point"))))
+    if not before.where((F.col("kind") == 0) & clash).isEmpty():
+        raise ValueError("the bands overlap, so a row could match several")
+    found = told.withColumn("near", F.coalesce(F.last("band", ignorenulls=True).over(upto), F.col("carried"))).where("kind = 1")
+    inside = F.col("point").isNotNull() & (F.col("near.hi").isNull() | (F.col("point") < F.col("near.hi")))
+    return found.select(
+        *[F.col("row")[c].alias(c) for c in df.columns], *[F.when(inside, F.col("near")[c]).alias(c) for c in others])
 
 
 def key_grid(spark: SparkSession, ages: int = 76) -> DataFrame:

@@ -268,6 +268,7 @@ ORACLES = {
               lambda x: replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&amp;', '&')) AS t FROM pages),
         full_ AS (SELECT page_id, list_filter(t, lambda x: x <> '') AS t FROM t)
         SELECT page_id, (generate_subscripts(t, 1) - 1)::int AS idx, unnest(t) AS txt FROM full_""",
+    "html_nested_class": "SELECT p_partkey AS page_id, 0 AS idx, p_name AS txt FROM part",
     "html_list_tail": f"""
         WITH {ITEMS}
         SELECT page_id, array_to_string(items[-4:], '|') AS tail, array_to_string(items[2:3], '|') AS middle,

@@ -318,6 +318,18 @@ def html_by_class(spark, folder):
     return op.class_items(_read(spark, folder, "pages", "page_id", "html"), "div", "ad")
 
 
+def html_nested_class(spark, folder):
+    """Names of parts from nested cards, some of whose closing tags are left out or stand alone."""
+    name, kind = F.col("p_name"), F.col("p_type")
+    card = F.concat(F.lit('<div class="card hot"><div class="name first"><b>'), name, F.lit("</b></div><div class=kind>"), kind, F.lit("</div></div>"))
+    odd = F.concat(F.lit('<div class="card"></i><p><div class="name">'), name, F.lit('</p></div></div><br><div class="note">'), kind, F.lit("</div>"))
+    page = F.concat(
+        F.lit('<!doctype html><title>parts &copy;</title><div class="card"><div class="name">outside</div></div><div class="shelf">'),
+        F.when(F.col("p_partkey") % 7 == 0, odd).otherwise(card), F.lit('</div><div class="card"><div class="name">after</div></div>'))
+    pages = _read(spark, folder, "part", F.col("p_partkey").alias("page_id"), page.alias("html"))
+    return op.class_items(pages, "div", "card", inner="name", within="shelf")
+
+
 def html_list_tail(spark, folder):
     lists = op.page_lists(_read(spark, folder, "pages", "page_id", "html"))
     return lists.select("page_id", *[
@@ -511,6 +523,7 @@ QUERIES = {
     "clean_table": clean_table, "split_features": split_features,
     "lookup_join": lookup_join, "prob_impute": prob_impute, "band_lookup": band_lookup, "rate_grid": rate_grid,
     "html_items": html_items, "html_first_list": html_first_list, "html_by_class": html_by_class,
+    "html_nested_class": html_nested_class,
     "html_list_tail": html_list_tail, "html_table_rows": html_table_rows,
     "exact_split": exact_split, "hash_split": hash_split, "stratified_folds": stratified_folds,
     "binary_metrics": binary_metrics, "weighted_metrics": weighted_metrics, "roc_auc": roc_auc,

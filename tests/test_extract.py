@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from patients import SCHOOL_PAGE
 from tabwright import operators as op
+from tabwright.operators import extract
 from tabwright.plans.rates import school_rates
 from tabwright.sources import read_parquet_table
 
@@ -81,6 +84,30 @@ def test_both_ways_agree_on_whole_pages(spark, small, run):
     assert sorted(run(df).collect()) == sorted(run(df, tree_only=True).collect())
 
 
+def odd_pages(n, seed=8):
+    rng = random.Random(seed)
+    some = ['<div class="box">', '<div class="row a">', '<div class="cell">', "<div class='cell x'>", "<div>", "</div>", "</div>", "</div>",
+            "<b>", "</b>", "<p class=box>", "</p>", "<br>", '<div class="cell"/>', "</br>", "text", " one ", "&amp;", "a&lt;b", "<!-- <div> -->",
+            '<span class="row">', "</span>", '<img class="cell" src=x>', "<script>var x='<div>'</script>", "<DIV CLASS=cell>", "</Div >"]
+    rare = ["&eacute;", '<div class="a" class="cell">', "<div title='</div>'>", "<title>a<b>c</title>", "<a href=x/>", "<", "<!-- open", "&#65;", '<div class="r&amp;w">']
+    return ["".join(rng.choice(rare if rng.random() < 0.02 else some) for _ in range(rng.randint(0, 40))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("options", [
+    {"cls": "row", "inner": "cell"}, {"cls": "cell", "within": "box"}, {"cls": "row a", "inner": "cell", "within": "box"}, {"cls": "box", "inner": "box"},
+])
+def test_nested_classes_equal_the_tree_on_odd_pages(spark, options):
+    df = pages(spark, *odd_pages(400)).repartition(4)
+    native = op.class_items(df, "div", **options).collect()
+    assert sorted(native) == sorted(op.class_items(df, "div", tree_only=True, **options).collect()) and len(native) > 10
+
+
+def test_most_odd_pages_need_no_parser(spark):
+    df = pages(spark, *odd_pages(400), "<title>t &copy;</title><div class=box><div class=cell>x</div></div> &copy; " + "<i>" * 3000)
+    told = extract._nested_native(df, "div", "cell", None, "box").select("page_id", "flat").collect()
+    assert sum(r.flat for r in told) > 200 and {r.page_id: r.flat for r in told}[400]
+
+
 def test_missing_page_gives_no_rows(spark):
     df = spark.createDataFrame([(1, None)], "page_id int, html string")
     assert op.list_items(df).count() == 0 and op.table_rows(df).count() == 0
