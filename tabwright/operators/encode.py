@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.operators.profile import typed_value, value_groups, value_kind
+from tabwright.operators.skew import spread_left_join
 from tabwright.sources.durable import SMALL_ROWS, pin_small
 
 LITERAL_ROWS = 64  # most categories written into the plan as a literal map
@@ -20,7 +21,7 @@ class TargetEncode(Estimator):
     A missing value counts as a category but gets no encoding. One partial aggregation gives the means
     of all columns. A column with up to ``literal_rows`` categories is encoded by a literal map, one with
     up to ``small_rows`` by a broadcast join; beyond that its means stay a table and the join is a
-    shuffle whose hot keys adaptive execution splits.
+    shuffle from which heavy categories are taken out.
     """
 
     def __init__(
@@ -83,6 +84,9 @@ class TargetEncodeModel(Model):
             else:
                 table, small = self.joined[c]
                 side = table.select(F.col("value").alias(f"{c}__value"), F.col("label_mean").alias(f"{c}__mean"))
-                df = df.join(F.broadcast(side) if small else side, value == F.col(f"{c}__value"), "left")
+                if small:
+                    df = df.join(F.broadcast(side), value == F.col(f"{c}__value"), "left")
+                else:
+                    df = spread_left_join(df, side, {f"{c}__value": value})
                 means[c] = F.col(f"{c}__mean")
         return df.select(*kept, *[means[c].alias(f"{c}_target") for c in encoded])

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions import average_rates, hash01, nan_to_null, scale_by_ratio
+from tabwright.operators.skew import spread_left_join
 from tabwright.sources.durable import SMALL_ROWS, materialise, pin_small
 
 
@@ -17,7 +21,8 @@ def lookup(
     """Left join to a reference table: ``on`` maps each of its key columns to an expression of ``df``.
 
     Its keys must be unique (else ValueError) and are not part of the result; a row without a match
-    gets NULL. The reference table is broadcast if it has at most ``small_rows`` rows.
+    gets NULL. The reference table is broadcast if it has at most ``small_rows`` rows; beyond that heavy keys
+    are taken out of the shuffle, see ``spread_left_join``.
     """
     side, rows = pin_small(rates, small_rows)
     if rows is not None:
@@ -27,11 +32,11 @@ def lookup(
     if repeated:
         raise ValueError(f"the reference table repeats a key of {list(on)}")
     side = side.withColumnsRenamed({k: f"__key_{k}" for k in on})
-    condition = None
-    for k, expression in on.items():
-        equal = expression == F.col(f"__key_{k}")
-        condition = equal if condition is None else condition & equal
-    joined = df.join(F.broadcast(side) if rows is not None else side, condition, "left")
+    renamed = {f"__key_{k}": expression for k, expression in on.items()}
+    if rows is None:
+        joined = spread_left_join(df, side, renamed)
+    else:
+        joined = df.join(F.broadcast(side), reduce(and_, [e == F.col(k) for k, e in renamed.items()]), "left")
     return joined.drop(*[f"__key_{k}" for k in on])
 
 

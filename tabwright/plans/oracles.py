@@ -229,6 +229,10 @@ ORACLES = {
           FROM aged WHERE months <= 75 GROUP BY 1, 2)
         SELECT l_orderkey, l_linenumber, months, aged.sex, smoke_rate
         FROM aged LEFT JOIN rates ON aged.sex = rates.sex AND least(months, 75) = age""",
+    "lookup_skewed": """
+        WITH l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_linenumber = 7 THEN NULL
+                   ELSE l_partkey END AS part FROM lineitem)
+        SELECT l.*, p_name, p_size FROM l LEFT JOIN part ON part = p_partkey AND p_size <> 13""",
     "prob_impute": f"""
         WITH {PRIORITY_RATES}
         SELECT o_orderkey, orders.o_orderpriority,

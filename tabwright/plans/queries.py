@@ -261,6 +261,14 @@ def lookup_join(spark, folder):
     return op.lookup(lines, rates, on)
 
 
+def lookup_skewed(spark, folder):
+    """Parts of lines, a third of which name the same part, in a table beyond the broadcast limit."""
+    part = F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(F.col("l_partkey"))
+    lines = _read(spark, folder, "lineitem", "l_orderkey", "l_linenumber", part.cast("bigint").alias("part"))
+    names = _read(spark, folder, "part", F.col("p_partkey").alias("key"), "p_name", "p_size").where("p_size <> 13")
+    return op.lookup(lines, names, {"key": F.col("part")}, small_rows=100)
+
+
 def prob_impute(spark, folder):
     orders = _read(spark, folder, "orders", "o_orderkey", "o_orderpriority")
     on = {"o_orderpriority": F.col("o_orderpriority")}
@@ -521,7 +529,7 @@ QUERIES = {
     "log_abs": log_abs_query, "zscore_log": zscore_log, "log1p_columns": log1p_columns,
     "target_encode": target_encode, "text_slice": text_slice_query, "feature_matrix": feature_matrix,
     "clean_table": clean_table, "split_features": split_features,
-    "lookup_join": lookup_join, "prob_impute": prob_impute, "band_lookup": band_lookup, "rate_grid": rate_grid,
+    "lookup_join": lookup_join, "lookup_skewed": lookup_skewed, "prob_impute": prob_impute, "band_lookup": band_lookup, "rate_grid": rate_grid,
     "html_items": html_items, "html_first_list": html_first_list, "html_by_class": html_by_class,
     "html_nested_class": html_nested_class,
     "html_list_tail": html_list_tail, "html_table_rows": html_table_rows,
