@@ -16,6 +16,8 @@ from tabwright.operators.metrics import (
 from tabwright.operators.profile import (
     cardinality_profile, column_modes, missing_profile, numeric_profile, row_count, skew_profile, value_groups,
 )
+from tabwright.operators.sketch import distinct_sketches, error_bound, merged_distinct, store_sketches
+from tabwright.operators.skew import heavy_keys, spread_left_join
 from tabwright.operators.split import (
     DuplicateKeys, exact_split, exact_test_flag, hash_folds, hash_split, stratified_folds,
 )
@@ -30,10 +32,10 @@ __all__ = [
     "DropSparse", "DuplicateKeys", "FOREST_GRID", "FourierFeatures", "Impute", "LOGISTIC_GRID", "LogAbs", "MOST_LABELS",
     "NystroemFeatures", "NystroemModel", "OneAgainstRest", "OneAgainstRestModel", "RECIPES", "Recipe", "SigmaTrim", "TargetEncode", "ZScoreLog", "add_null", "band_lookup", "best_model",
     "binary_metrics", "by_class", "cardinality_profile", "cast_numeric", "class_items", "column_modes", "compare_models",
-    "cross_validate", "drop_columns", "exact_split", "exact_test_flag", "feature_matrix", "final_test",
-    "fit_recipe", "fold_accuracy", "forest", "hash_folds", "hash_split", "held_out_predictions", "invalidate", "key_grid", "list_items",
-    "list_tail", "log1p_columns", "log_abs_columns", "logistic", "lookup", "mean_fold_accuracy", "metrics_long",
+    "cross_validate", "distinct_sketches", "drop_columns", "error_bound", "exact_split", "exact_test_flag", "feature_matrix", "final_test",
+    "fit_recipe", "fold_accuracy", "forest", "hash_folds", "hash_split", "heavy_keys", "held_out_predictions", "invalidate", "key_grid", "list_items",
+    "list_tail", "log1p_columns", "log_abs_columns", "logistic", "lookup", "mean_fold_accuracy", "merged_distinct", "metrics_long",
     "missing_profile", "numeric_profile", "page_lists", "param_grid", "predict", "prob_impute", "rate_grid", "rename",
-    "require", "roc_auc", "route", "row_count", "select_at", "skew_profile", "stack", "stratified_folds",
+    "require", "roc_auc", "route", "row_count", "select_at", "skew_profile", "spread_left_join", "stack", "store_sketches", "stratified_folds",
     "svm", "table_rows", "train_and_evaluate", "value_groups", "weighted_metrics",
 ]

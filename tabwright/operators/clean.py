@@ -44,7 +44,7 @@ def cast_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def invalidate(df: DataFrame, rules: dict[str, tuple[float | None, float | None]]) -> DataFrame:
     """Set values below the first or above the second bound of their column's rule to NULL."""
     return df.withColumns({
-        c: F.when(~outside(F.col(c), below, above), F.col(c)) for c, (below, above) in rules.items()
+        c: F.when(~outside(F.col(f"`{c}`"), below, above), F.col(f"`{c}`")) for c, (below, above) in rules.items()
     })
 
 

@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tabwright.functions import nan_to_null
-
-MOST_RANGES = 4096  # ranges that scores are cut into before they are ranked
-RANGE_ROWS = 1_000_000  # rows wanted per range
+from tabwright.sources.durable import materialise
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -87,25 +84,20 @@ def weighted_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row (auc): exact area under the ROC curve, tied scores sharing their rank.
 
-    Scores are cut into ranges of about equally many rows by a quantile sketch. Rows are reduced to
-    one per distinct score, and the running count of negatives is a window inside each range plus the
-    total of the ranges below it, so no task ever ranks all scores.
+    The rows are read once and reduced to one per distinct score, which are stored in ranges of scores. The number of
+    negatives below a score is a sum inside its range plus the totals of the ranges before, so no task ranks all
+    scores. Infinite scores rank as such. Without positives or without negatives the area is NULL.
     """
     scored = df.select(
-        nan_to_null(F.col(score).cast("double")).alias("score"), (F.col(label) == 1).alias("hit")
+        nan_to_null(F.col(f"`{score}`").cast("double")).alias("score"), (F.col(f"`{label}`") == 1).alias("hit")
     ).filter(F.col("score").isNotNull() & F.col("hit").isNotNull())
-    ranges = min(MOST_RANGES, 8 + scored.count() // RANGE_ROWS)
-    inner = scored.approxQuantile("score", [i / ranges for i in range(1, ranges)], 0.2 / ranges)
-    splits = [float("-inf"), *sorted(set(inner)), float("inf")]
-    if len(splits) < 3:
-        splits.insert(1, 0.0)
-    per_score = scored.groupBy("score").agg(
+    per_score = scored.groupBy((F.col("score") + 0.0).alias("score")).agg(
         F.count_if("hit").alias("pos"), F.count_if(~F.col("hit")).alias("neg"),
     )
-    ranged = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(per_score)
+    ranged = materialise(per_score.repartitionByRange("score").withColumn("range", F.spark_partition_id()))
 
     totals = ranged.groupBy("range").agg(F.sum("neg").alias("range_neg"), F.sum("pos").alias("range_pos"))
-    everywhere = Window.partitionBy(F.lit(0))  # over at most MOST_RANGES rows
+    everywhere = Window.partitionBy(F.lit(0))  # one row per range
     before = everywhere.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     below = totals.select(
         "range", F.coalesce(F.sum("range_neg").over(before), F.lit(0)).alias("below"),

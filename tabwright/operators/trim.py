@@ -52,7 +52,7 @@ class SigmaTrimModel(Model):
     def _transform(self, df: DataFrame) -> DataFrame:
         def within(c: str) -> Column:
             lo, hi = (F.lit(b).cast("double") for b in self.bounds[c])
-            return (F.col(c) >= lo) & (F.col(c) <= hi)  # NaN is above every bound
+            return (F.col(f"`{c}`") >= lo) & (F.col(f"`{c}`") <= hi)  # NaN is above every bound
         for c in self.bounds:
             df = df.filter(within(c))
         return df

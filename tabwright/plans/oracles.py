@@ -171,6 +171,11 @@ ORACLES = {
         f"SELECT '{c}' AS col_name, count(DISTINCT {c}) AS n_values,"
         f" count(DISTINCT {c}) + max(({c} IS NULL)::int) AS n_categories FROM d"
         for c in ("l_quantity", "l_discount", "l_linenumber", "l_returnflag")),
+    "cardinality_sketch": f"""
+        WITH {GAPPY}, d AS (SELECT g.*, l_partkey FROM gappy g JOIN lineitem USING (l_orderkey, l_linenumber))
+        """ + " UNION ALL ".join(
+        f"SELECT '{c}' AS col_name, count(*) AS n, count(DISTINCT {c}) AS n_values, true AS within_bound FROM d"
+        for c in ("l_orderkey", "l_partkey", "l_extendedprice", "l_discount")),
     "impute_mean": f"""
         WITH {GAPPY} SELECT * REPLACE ({_guarded_mean("l_quantity")} AS l_quantity,
                                        {_guarded_mean("l_discount")} AS l_discount) FROM gappy""",

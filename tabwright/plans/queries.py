@@ -142,6 +142,20 @@ def cardinality_profile(spark, folder):
     return op.cardinality_profile(df, ["l_quantity", "l_discount", "l_linenumber", "l_returnflag"])
 
 
+def cardinality_sketch(spark, folder):
+    """Distinct values from sketches stored by ship year, the last year added later, and whether they keep their bound."""
+    cols = ["l_orderkey", "l_partkey", "l_extendedprice", "l_discount"]
+    lines = _gappy_lineitem(spark, folder).join(_read(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", F.year("l_shipdate").alias("year")),
+                                                ["l_orderkey", "l_linenumber"])
+    path = scratch_folder(spark)
+    op.store_sketches(op.distinct_sketches(lines.where("year < 1998"), F.col("year"), cols), path)
+    op.store_sketches(op.distinct_sketches(lines.where("year >= 1998"), F.col("year"), cols), path)
+    estimate = op.merged_distinct(spark.read.parquet(path))
+    exact = op.cardinality_profile(lines, cols)
+    apart = F.abs(F.col("n_distinct") - F.col("n_values")) / F.col("n_values")
+    return estimate.join(exact, "col_name").select("col_name", "n", "n_values", (apart <= op.error_bound()).alias("within_bound"))
+
+
 # --- imputation -------------------------------------------------------------------------------
 
 def impute_mean(spark, folder):
@@ -524,7 +538,7 @@ QUERIES = {
     "project_rename": project_rename, "require_not_null": require_not_null, "cast_numeric": cast_numeric,
     "invalidate_range": invalidate_range, "drop_sparse_columns": drop_sparse_columns, "sigma_trim": sigma_trim,
     "missing_profile": missing_profile, "numeric_profile": numeric_profile, "skew_profile": skew_profile,
-    "cardinality_profile": cardinality_profile,
+    "cardinality_profile": cardinality_profile, "cardinality_sketch": cardinality_sketch,
     "impute_mean": impute_mean, "impute_mode": impute_mode, "invalidate_impute": invalidate_impute,
     "log_abs": log_abs_query, "zscore_log": zscore_log, "log1p_columns": log1p_columns,
     "target_encode": target_encode, "text_slice": text_slice_query, "feature_matrix": feature_matrix,

@@ -400,11 +400,30 @@ def test_metrics_equal_spark_ml(spark):
     assert op.roc_auc(df, "label", "score").first()["auc"] == pytest.approx(auc)
 
 
-def test_auc_over_many_ranges(spark, monkeypatch):
-    from tabwright.operators import metrics
+def test_auc_over_many_ranges(spark):
     expected = op.roc_auc(judged(spark), "label", "score").first()["auc"]
-    monkeypatch.setattr(metrics, "RANGE_ROWS", 10)
-    assert op.roc_auc(judged(spark), "label", "score").first()["auc"] == pytest.approx(expected, rel=1e-12)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        assert op.roc_auc(judged(spark), "label", "score").first()["auc"] == pytest.approx(expected, rel=1e-12)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_auc_of_infinite_scores(spark):
+    df = spark.createDataFrame([(1, math.inf), (1, 0.5), (0, -math.inf), (0, 0.5), (1, -0.0), (0, 0.0), (0, math.nan), (None, 1.0)], "`a.b` int, score double")
+    scores = [(1, math.inf), (1, 0.5), (0, -math.inf), (0, 0.5), (1, 0.0), (0, 0.0)]
+    pairs = [(p > n) + (p == n) / 2 for y, p in scores if y for z, n in scores if not z]
+    assert op.roc_auc(df, "a.b", "score").first()["auc"] == pytest.approx(sum(pairs) / len(pairs))
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([(1.0,), (50.0,), (2.0,), (None,)], "`a.b` double")
+    out = op.invalidate(df, {"a.b": (None, 10.0)})
+    assert sorted(str(r[0]) for r in out.collect()) == ["1.0", "2.0", "None", "None"]
+    assert op.SigmaTrim(["a.b"], 1.0).fit(df).transform(df).count() == 2
 
 
 def test_auc_extremes(spark):

@@ -109,3 +109,75 @@ def test_discard_removes_the_copies(spark):
     assert glob.glob(folder)
     durable.discard(spark)
     assert not glob.glob(folder)
+
+
+def test_outputs_of_a_step_appear_together(spark, tmp_path):
+    store = sources.FolderTables(spark, str(tmp_path / "t"))
+    assert store.version() == 0 and store.tables() == {}
+    store.write({"a": spark.range(3), "b": spark.range(5)})
+    broken = spark.range(9).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception):  # the second output fails when the first one is complete
+        sources.run_step(store, ["a", "b"], lambda a, b: {"a": b, "b": broken})
+    assert store.version() == 1 and store.read("a").count() == 3 and store.read("b").count() == 5
+    seen = store.read("a")
+    sources.run_step(store, ["a", "b"], lambda a, b: {"a": b, "b": a, "c": a})
+    assert (store.read("a").count(), store.read("b").count(), store.read("c").count()) == (5, 3, 3)
+    assert seen.count() == 3 and store.read("a", version=1).count() == 3  # a reader's files stay
+    store.drop(["c", "never"])
+    store.drop(["never"])
+    assert store.version() == 3 and set(store.tables()) == {"a", "b"}
+    with pytest.raises(ValueError):
+        store.read("c")
+
+
+def test_a_failure_before_the_manifest_changes_nothing(spark, tmp_path, monkeypatch):
+    store = sources.FolderTables(spark, str(tmp_path / "t"))
+    store.write({"a": spark.range(3), "b": spark.range(5)})
+    with monkeypatch.context() as m:
+        m.setattr(sources.FolderTables, "_create", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            store.write({"a": spark.range(30), "b": spark.range(50)})
+    assert store.read("a").count() == 3 and store.read("b").count() == 5
+
+
+def test_writers_do_not_undo_each_other(spark, tmp_path, monkeypatch):
+    store, other = (sources.FolderTables(spark, str(tmp_path / "t")) for _ in range(2))
+    store.write({"a": spark.range(3)})
+    create, calls = sources.FolderTables._create, []
+
+    def late(self, path, text):  # another writer is faster once
+        if not calls:
+            calls.append(1)
+            other.write({"b": spark.range(4)})
+        return create(self, path, text)
+
+    monkeypatch.setattr(sources.FolderTables, "_create", late)
+    store.write({"c": spark.range(5)})
+    assert set(store.tables()) == {"a", "b", "c"} and store.version() == 3
+
+
+def test_vacuum_keeps_what_the_last_versions_name(spark, tmp_path):
+    store = sources.FolderTables(spark, str(tmp_path / "t"))
+    for n in (1, 2, 3, 4):
+        store.write({"a": spark.range(n)} | ({"b": spark.range(7)} if n == 1 else {}))
+    store.vacuum(keep=2)
+    assert store.read("a").count() == 4 and store.read("a", version=3).count() == 3 and store.read("b").count() == 7
+    assert len(list((tmp_path / "t" / "a").iterdir())) == 2 and store._versions() and min(store._versions()) == 3
+    store.write({"a": spark.range(5)})
+    assert store.read("a").count() == 5
+
+
+def test_sketches_of_parts_merge(spark, tmp_path):
+    from tabwright import operators as op
+    df = spark.range(60_000).selectExpr("id % 4 AS part", "id % 20011 AS v", "CAST(IF(id % 2 = 0, NULL, id % 7) AS double) AS `w.x`", "double('NaN') AS z")
+    path = str(tmp_path / "s")
+    op.store_sketches(op.distinct_sketches(df.where("part < 3"), F.col("part"), ["v", "w.x", "z"]), path)
+    op.store_sketches(op.distinct_sketches(df.where("part = 3"), F.col("part"), ["v", "w.x", "z"]), path)
+    got = {r.col_name: r for r in op.merged_distinct(spark.read.parquet(path)).collect()}
+    assert abs(got["v"].n_distinct / 20011 - 1) <= op.error_bound() and got["v"].n == 60_000
+    assert got["w.x"].n_distinct == 7 and got["z"].n_distinct == 0
+    op.store_sketches(op.distinct_sketches(df.where("part = 3 AND v < 5"), F.col("part"), ["v", "w.x", "z"]), path)  # a part anew
+    assert {r.part: r.n for r in spark.read.parquet(path).where("col_name = 'v'").collect()}[3] < 10
+    assert op.merged_distinct(spark.read.parquet(path), ["part"]).count() == 12
+    coarse = op.distinct_sketches(df, F.lit(0), ["v"], precision=10).unionByName(op.distinct_sketches(df, F.lit(1), ["v"]))
+    assert abs(op.merged_distinct(coarse).first()["n_distinct"] / 20011 - 1) <= op.error_bound(10)
