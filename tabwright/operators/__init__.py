@@ -22,20 +22,20 @@ from tabwright.operators.split import (
     DuplicateKeys, exact_split, exact_test_flag, hash_folds, hash_split, stratified_folds,
 )
 from tabwright.operators.train import (
-    FOREST_GRID, LOGISTIC_GRID, RECIPES, FourierFeatures, Recipe, cross_validate, final_test, fit_recipe,
-    forest, held_out_predictions, logistic, param_grid, predict, svm, train_and_evaluate,
+    FOREST_GRID, LOGISTIC_GRID, RECIPES, FourierFeatures, Prepared, Recipe, cross_validate, evaluate_prepared, final_predictions, final_test,
+    fit_prepared, fit_recipe, forest, held_out_predictions, logistic, param_grid, predict, prepare, svm, train_and_evaluate,
 )
 from tabwright.operators.transform import LogAbs, ZScoreLog, feature_matrix, log1p_columns, log_abs_columns
 from tabwright.operators.trim import SigmaTrim
 
 __all__ = [
     "DropSparse", "DuplicateKeys", "FOREST_GRID", "FourierFeatures", "Impute", "LOGISTIC_GRID", "LogAbs", "MOST_LABELS",
-    "NystroemFeatures", "NystroemModel", "OneAgainstRest", "OneAgainstRestModel", "RECIPES", "Recipe", "SigmaTrim", "TargetEncode", "ZScoreLog", "add_null", "band_lookup", "best_model",
+    "NystroemFeatures", "NystroemModel", "OneAgainstRest", "OneAgainstRestModel", "Prepared", "RECIPES", "Recipe", "SigmaTrim", "TargetEncode", "ZScoreLog", "add_null", "band_lookup", "best_model",
     "binary_metrics", "by_class", "cardinality_profile", "cast_numeric", "class_items", "column_modes", "compare_models",
-    "cross_validate", "distinct_sketches", "drop_columns", "error_bound", "exact_split", "exact_test_flag", "feature_matrix", "final_test",
+    "cross_validate", "distinct_sketches", "drop_columns", "error_bound", "evaluate_prepared", "exact_split", "exact_test_flag", "feature_matrix", "final_predictions", "final_test", "fit_prepared",
     "fit_recipe", "fold_accuracy", "forest", "hash_folds", "hash_split", "heavy_keys", "held_out_predictions", "invalidate", "key_grid", "list_items",
     "list_tail", "log1p_columns", "log_abs_columns", "logistic", "lookup", "mean_fold_accuracy", "merged_distinct", "metrics_long",
-    "missing_profile", "numeric_profile", "page_lists", "param_grid", "predict", "prob_impute", "rate_grid", "rename",
+    "missing_profile", "numeric_profile", "page_lists", "param_grid", "predict", "prepare", "prob_impute", "rate_grid", "rename",
     "require", "roc_auc", "route", "row_count", "select_at", "skew_profile", "spread_left_join", "stack", "store_sketches", "stratified_folds",
     "svm", "table_rows", "train_and_evaluate", "value_groups", "weighted_metrics",
 ]

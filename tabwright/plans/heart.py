@@ -8,6 +8,7 @@ a table.
 from __future__ import annotations
 
 from dataclasses import replace
+from itertools import groupby
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame
@@ -144,6 +145,18 @@ def evaluate(recipe: Recipe, df: DataFrame) -> DataFrame:
     return op.train_and_evaluate(fills.transform(df), recipe, LABEL, [KEY], drop=drop)[1]
 
 
+def evaluate_branch(recipes: list[Recipe], df: DataFrame) -> list[DataFrame]:
+    """Metrics of several recipes of one branch, which share one stored copy of its rows as far as they split them alike."""
+    fills, drop = trainable(recipes[0], df)
+    filled, out = fills.transform(df), []
+    for _, alike in groupby(recipes, key=lambda r: (r.score, r.folds, r.seed)):
+        alike = list(alike)
+        rows = op.prepare(filled, alike[0], LABEL, [KEY], drop=drop)
+        out += [op.evaluate_prepared(rows, recipe)[1] for recipe in alike]
+        rows.drop()
+    return out
+
+
 def test_chosen(recipe: Recipe, train: DataFrame, test: DataFrame) -> DataFrame:
     fills, drop = trainable(recipe, train)
     return op.final_test(fills.transform(train), fills.transform(test), recipe, LABEL, [KEY], drop=drop)
@@ -184,8 +197,10 @@ def run(
     run_step(tables, [CLEAN, RATES], third_branch)
     run_step(tables, SPARK_CLEAN, second_branch)
 
-    for name, recipe in recipes.items():
-        write_metrics(evaluate(recipe, tables.read(TRAIN_TABLES[recipe.branch][0])), metrics_path)
+    for branch in dict.fromkeys(r.branch for r in recipes.values()):
+        own = [r for r in recipes.values() if r.branch == branch]
+        for metrics in evaluate_branch(own, tables.read(TRAIN_TABLES[branch][0])):
+            write_metrics(metrics, metrics_path)
 
     spark = tables.spark
     write_best(op.best_model(read_metrics(spark, metrics_path, names), names), best_path)

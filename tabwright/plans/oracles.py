@@ -287,6 +287,10 @@ ORACLES = {
         UNION ALL SELECT p_partkey, 1, 'R&D brand', p_brand FROM part
         UNION ALL SELECT p_partkey, 2, 'size', p_size::varchar FROM part""",
     "predict_ovr": _held_out("CASE WHEN p = 1 THEN 'now' WHEN p IN (2, 3) THEN 'soon' ELSE 'late' END"),
+    "predict_final": _held_out("(p IN (1, 2))::int::double"),
+    "predict_lr_grid": f"""
+        SELECT o_orderkey, (substr(o_orderpriority, 1, 1) IN ('1', '2'))::int::double AS prediction
+        FROM orders WHERE {_hash01(43, "o_orderkey")} >= 0.8""",
     "predict_lr": _held_out("(p IN (1, 2))::int::double"),
     "predict_rf": _held_out("(p IN (1, 2) AND is_open)::int::double"),
     "predict_svm": _held_out("((p IN (1, 2)) <> is_open)::int::double"),

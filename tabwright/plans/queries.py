@@ -531,10 +531,25 @@ def predict_svm(spark, folder):
         _discrete_orders(spark, folder, label).drop("price"), lambda rows: op.svm("label", rows, 10.0), "label", ["o_orderkey"])
 
 
+def predict_lr_grid(spark, folder):
+    """The grid's best setting over keyed folds, on the rows that the keyed split holds back."""
+    label = ((F.col("p1") == 1) | (F.col("p2") == 1)).cast("double")
+    rows = op.prepare(_discrete_orders(spark, folder, label), op.RECIPES["lr_spark"], "label", ["o_orderkey"])
+    model, _ = op.fit_prepared(rows, op.RECIPES["lr_spark"])
+    return op.predict(model, rows.held, ["o_orderkey"])
+
+
+def predict_final(spark, folder):
+    """The last test: a recipe fitted on all training rows predicts the test rows."""
+    label = ((F.col("p1") == 1) | (F.col("p2") == 1)).cast("double")
+    train, test = op.exact_split(_discrete_orders(spark, folder, label), ["o_orderkey"])
+    return op.final_predictions(train, test, op.RECIPES["Logistic_sklearn"], "label", ["o_orderkey"]).drop("label")
+
+
 QUERIES = {
     "table_scan": table_scan, "multi_table_step": multi_table_step, "csv_round_trip": csv_round_trip,
     "csv_bad_records": csv_bad_records, "predict_ovr": predict_ovr, "predict_lr": predict_lr, "predict_rf": predict_rf,
-    "predict_svm": predict_svm,
+    "predict_svm": predict_svm, "predict_lr_grid": predict_lr_grid, "predict_final": predict_final,
     "project_rename": project_rename, "require_not_null": require_not_null, "cast_numeric": cast_numeric,
     "invalidate_range": invalidate_range, "drop_sparse_columns": drop_sparse_columns, "sigma_trim": sigma_trim,
     "missing_profile": missing_profile, "numeric_profile": numeric_profile, "skew_profile": skew_profile,

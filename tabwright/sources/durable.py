@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SMALL_ROWS = 10_000  # most rows that may be pinned in the driver and broadcast
+SMALL_BYTES = 16 << 20  # and the most bytes of them
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -60,13 +65,25 @@ def discard(spark: SparkSession) -> None:
     _delete(spark, _own_folder(spark))
 
 
-def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, list[dict] | None]:
-    """(frame, rows): a local copy and its rows if it has at most ``max_rows``, else (a table, None).
+def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> tuple[DataFrame, list[dict] | None]:
+    """(frame, rows): a local copy and its rows if it has at most ``max_rows`` and ``max_bytes``, else (a table, None).
 
-    The first ``max_rows + 1`` rows are all that ever reaches the driver. Either way the plan that
-    made the frame is not run again by whoever uses the result.
+    No more than ``max_rows + 1`` rows are looked at for this. Where their size is not plain from the types, they are stored
+    and measured before they reach the driver. Either way the plan that made the frame is not run again by whoever
+    uses the result.
     """
-    local = df.limit(max_rows + 1).toArrow()
-    if local.num_rows <= max_rows:
-        return df.sparkSession.createDataFrame(local, df.schema), local.to_pylist()
-    return materialise(df), None
+    few = df.limit(max_rows + 1)
+    loose = [f.name for f in df.schema if not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType))]
+    if not loose:
+        local = few.toArrow()
+        if local.num_rows <= max_rows and local.nbytes <= max_bytes:
+            return df.sparkSession.createDataFrame(local, df.schema), local.to_pylist()
+        return materialise(df), None
+    stored = materialise(few)
+    length = reduce(add, [F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{c}`")))), F.lit(0)) for c in loose])
+    told = stored.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(length), F.lit(0)).alias("bytes")).first()
+    local = stored.toArrow() if told["rows"] <= max_rows and told["bytes"] <= max_bytes else None
+    drop_copy(stored)
+    if local is None:
+        return materialise(df), None
+    return df.sparkSession.createDataFrame(local, df.schema), local.to_pylist()

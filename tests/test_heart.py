@@ -155,7 +155,7 @@ def test_run_end_to_end(spark, raw, tmp_path):
     small = {"rf_spark": {"grid": {"numTrees": [5], "maxDepth": [3]}, "folds": 2},
              "lr_spark": {"grid": {"regParam": [0.01, 0.1]}, "folds": 2},
              "Logistic_sklearn": {"folds": 2}, "Logistic_scrape": {"folds": 2},
-             "SVM_scrape": {"folds": 2, "params": {"components": 8}}}
+             "SVM_scrape": {"folds": 2, "params": {"landmarks": 8}}}
     pages = tuple(page(spark, h) for h in (BANDS_PAGE, LISTS_PAGE, SCHOOL_PAGE))
     metrics, best = str(tmp_path / "metrics"), str(tmp_path / "best")
     result = heart.run(tables, raw, pages, metrics, best, models=list(small), settings=small)

@@ -100,3 +100,23 @@ def test_held_out_rows_are_the_exact_fifth(spark):
     df = frame(spark, x, y.tolist()).drop("features")
     out = op.held_out_predictions(df, lambda n: op.OneAgainstRest("y"), "y", ["id"])
     assert out.columns == ["id", "prediction"] and out.count() == 10
+
+
+def test_recipes_of_a_branch_share_one_copy(spark, monkeypatch):
+    x, y = blobs(200, 2)
+    df = frame(spark, x, y.tolist()).drop("features").withColumnRenamed("y", "label")
+    from tabwright.operators import train
+    written = []
+    store = train.materialise
+    monkeypatch.setattr(train, "materialise", lambda *a, **o: written.append(store(*a, **o)) or written[-1])
+    rows = op.prepare(df, op.RECIPES["Logistic_sklearn"], "label", ["id"])
+    assert rows.held.count() == 40 and rows.train.count() == 160 and sorted(rows.sizes) == [-1, 0, 1, 2, 3, 4]
+    first = op.evaluate_prepared(rows, op.RECIPES["Logistic_sklearn"])[1]
+    second = op.evaluate_prepared(rows, op.RECIPES["SVM_sklearn"])[1]
+    assert len(written) == 1
+    rows.drop()
+    assert {r.model for r in first.collect()} == {"Logistic_sklearn"} and second.count() == 4  # the scores outlive the copy
+    with pytest.raises(Exception):
+        rows.train.count()
+    alone = op.train_and_evaluate(df, op.RECIPES["Logistic_sklearn"], "label", ["id"])[1]
+    assert sorted(map(tuple, alone.collect())) == sorted(map(tuple, first.collect()))

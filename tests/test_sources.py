@@ -102,6 +102,14 @@ def test_pin_small(spark):
     assert none is None and stored.count() == 6 and stored.inputFiles()
 
 
+def test_pin_small_counts_bytes(spark):
+    wide = spark.range(4).select("id", F.repeat(F.lit("x"), 1000).alias("t"))
+    assert durable.pin_small(wide, 5, 10_000)[1] is not None and durable.pin_small(wide, 5, 3000)[1] is None
+    assert durable.pin_small(wide, 3)[1] is None
+    local, rows = durable.pin_small(spark.createDataFrame([(None, None), ("a", {"k": 1})], "s string, m map<string,int>"))
+    assert len(rows) == 2 and local.count() == 2
+
+
 def test_discard_removes_the_copies(spark):
     import glob
     durable.materialise(spark.range(3))
