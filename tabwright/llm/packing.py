@@ -22,14 +22,17 @@ from __future__ import annotations
 
 import sys
 from bisect import bisect_left, insort
+from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.neardup import Banding, near_duplicates
-from tabwright.sources.durable import materialise
+from tabwright.llm.neardup import Banding, _full_sets as full_sets, bounded, hash_family, linked_components, minima
+from tabwright.llm.tokens import shingle_hashes, word_hashes
+from tabwright.sources.durable import drop_copy, materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -117,18 +120,49 @@ def copy_key(text: Column) -> Column:
     return F.when(F.length(words) > 0, F.md5(words))
 
 
+def text_facts(text: Column, plan: Banding) -> Column:
+    """struct(n_words, n_shingles, digest of the shingle set, minima) from one pass over a text."""
+    a, b = hash_family(plan.bands * plan.rows)
+
+    @F.arrow_udf("n_words long, n_shingles long, digest binary, minima binary")
+    def facts(texts: pa.Array) -> pa.Array:
+        words, sizes, digests, signatures = [], [], [], []
+        for value in texts.cast(pa.binary()).to_pylist():
+            hashes = word_hashes(value or b"", lower=True)
+            own = np.unique(shingle_hashes(hashes, plan.shingle))
+            words.append(len(hashes))
+            sizes.append(len(own))
+            digests.append(blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
+            signatures.append(minima(own, a, b).tobytes() if len(own) else None)
+        return pa.StructArray.from_arrays(
+            [pa.array(words, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
+            names=["n_words", "n_shingles", "digest", "minima"])
+
+    return facts.asNondeterministic()(text.cast("string"))
+
+
 def with_clusters(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """A stored table (id, n_words, source, cluster); near duplicates have one cluster, named by the smallest id.
 
-    Texts with one ``copy_key`` have one cluster, also in rows without an id; those without words have none.
+    Texts with equal shingle sets have one cluster, also in rows without an id; those without words have none.
     """
-    own = materialise(docs.select(F.col(f"`{id}`").alias("id"), n_words(F.col(f"`{text}`")).alias("n_words"),
-                                  F.col(f"`{source}`").alias("source"), copy_key(F.col(f"`{text}`")).alias("key")))
-    found = near_duplicates(docs, id, text, NEAR).select(F.col(f"`{id}`").alias("id"), "n_shingles", "component_id") \
-        .where("id IS NOT NULL AND n_shingles > 0").groupBy("id").agg(F.min("component_id").alias("component"))
-    named = own.where("key IS NOT NULL").join(found, "id").groupBy("key").agg(F.min("component").cast("string").alias("component"))
-    cluster = F.coalesce(F.col("component"), F.col("key"))
-    return materialise(own.join(named, "key", "left").select(F.col("id").alias(id), "n_words", F.col("source").alias(source), cluster.alias("cluster")))
+    named = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{source}`").alias("source"))
+    own = materialise(named.select("id", "source", text_facts(F.col("text"), NEAR).alias("f")).select("id", "source", "f.*"))
+    nodes = materialise(own.where("id IS NOT NULL AND digest IS NOT NULL").groupBy("digest", "n_shingles", "minima")
+                        .agg(F.min("id").alias("node")))
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return named.join(bounded(wanted), "id", "left_semi").select("id", full_sets(F.col("text"), NEAR).alias("items"))
+
+    labels = linked_components(nodes, sets_of, NEAR)
+    clusters = nodes.select("digest", "node").join(labels, "node", "left") \
+        .select("digest", F.coalesce("component", "node").cast("string").alias("component"))
+    cluster = F.coalesce(F.col("component"), F.hex("digest"))
+    out = materialise(own.join(clusters, "digest", "left").select(
+        F.col("id").alias(id), "n_words", F.col("source").alias(source), cluster.alias("cluster")))
+    drop_copy(own)
+    drop_copy(nodes)
+    return out
 
 
 def n_words(text: Column) -> Column:
