@@ -81,6 +81,10 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 BLANKS = re.compile(r"\s+")
 
 
+DEEPEST = 300  # levels of elements inside each other
+FAR = 1000  # open siblings of that kind among which a closing tag finds its own
+
+
 class Element:
     __slots__ = ("tag", "words", "inside")
 
@@ -104,9 +108,15 @@ def _class_words(attributes: str) -> frozenset[str]:
 
 
 def read_page(html: str) -> Element:
-    """The element tree of a page: elements and texts, without comments and raw-text elements."""
+    """The element tree of a page: elements and texts, without comments and raw-text elements.
+
+    What opens below ``DEEPEST`` levels becomes a sibling, as browsers do beyond a depth of their own; an empty
+    element marks where a block of this kind ends. One that is left out keeps what it holds.
+    """
     root = Element("", frozenset())
     open_, at = [root], 0
+    deep: list[str] = []  # tags of the elements that are open as siblings only
+    mark = 0  # those from here on are inside the last element that is open as such
     while match := TOKEN.match(html, at):
         at = match.end()
         closing, tag, attributes, text = match.groups()
@@ -116,6 +126,17 @@ def read_page(html: str) -> Element:
             continue
         elif closing:
             tag = tag.lower()
+            rim = len(open_) > DEEPEST + 1  # inside an element of the last level, which is left out
+            near = deep[max(mark if rim else 0, len(deep) - FAR):] if deep else deep
+            if rim and tag == open_[-1].tag and tag not in near:
+                del open_[-1]
+                continue
+            if tag in near:
+                while deep.pop() != tag:
+                    pass
+                if tag in BLOCKS:
+                    open_[-1].inside.append(Element(tag, frozenset()))
+                continue
             for k in range(len(open_) - 1, 0, -1):
                 if open_[k].tag == tag:
                     del open_[k:]
@@ -135,6 +156,11 @@ def read_page(html: str) -> Element:
                 continue
             element = Element(tag, _class_words(attributes))
             open_[-1].inside.append(element)
+            if len(open_) > DEEPEST and tag not in VOID and not attributes.rstrip().endswith("/") and (
+                    len(open_) > DEEPEST + 1 or not _left_out(tag, element.words, False)):
+                deep.append(tag)
+                continue
+            mark = len(deep)
             if tag not in VOID and not attributes.rstrip().endswith("/"):
                 open_.append(element)
             elif tag not in VOID and tag not in BLOCKS:

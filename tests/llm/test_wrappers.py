@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import re
+
 from html import unescape
 
+import pytest
 from pyspark.sql import functions as F
 
+from tabwright.llm import wrappers
 from tabwright.llm import wrappers as w
 from tabwright.llm.urls import host_of
 
@@ -88,3 +91,24 @@ def test_copies_of_a_page_keep_their_text(spark):
     # a title of six different pages is fixed, but not all that a page has
     assert all(found["http://many.org/%d" % k] == f"other {k}" for k in range(6))
     assert all(found["http://many.org/t%d" % k] == "T" for k in range(2))
+
+
+@pytest.mark.parametrize("tag", ["div", "b", "nav", "ul"])
+@pytest.mark.parametrize("closed", [True, False])
+def test_very_deep_pages(spark, tag, closed):
+    n = 100_000
+    deep = f"<{tag}>" * n + "inner words" + (f"</{tag}>" * n if closed else "")
+    rows = [(0, f"<html><body><article><p>before</p>{deep}<p>after</p></article></body></html>"), (1, "<html><body><article><p>plain</p></article></body></html>")]
+    df = spark.createDataFrame(rows, "page_id int, html string")
+    got = {r.page_id: r.text for r in wrappers.extract(df, F.lit("h")).collect()}
+    assert got[1] == "plain" and got[0].startswith("before")
+    if closed:
+        assert got[0].endswith("after") and ("inner words" in got[0]) == (tag != "nav")
+
+
+def test_deep_pages_read_like_shallow_ones():
+    inner = "<p>one</p><nav>menu <b>x</b></nav><div>two <b>bold</b> words</div>three<div class='advert'>buy</div><p>four"
+    rules = {"main": None, "named": False, "out": [], "fixed": []}
+    for depth in (5, 290, 298, 299, 300, 301, 400, 2000):
+        html = "<div>" * depth + inner + "</div>" * depth + "<p>end</p>"
+        assert wrappers.page_text(html, rules) == "one\n\ntwo bold words\n\nthree\n\nfour\n\nend", depth
