@@ -126,6 +126,7 @@ ORACLES = {
             SELECT c_mktsegment, o_orderstatus, count(*) AS n_orders, round(avg(o_totalprice), 4) AS mean_price
             FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2) USING (c_mktsegment)""",
     "csv_round_trip": "SELECT * FROM documents",
+    "add_null": "SELECT c_custkey, c_name, NULL::INTEGER AS smoke, NULL::DOUBLE AS rate FROM customer",
     "csv_bad_records": """
         SELECT CASE WHEN c_custkey % 11 = 0 THEN 'short' WHEN c_custkey % 13 = 0 THEN 'no number'
                     WHEN c_custkey % 17 = 0 THEN 'long' ELSE 'whole' END AS kind,

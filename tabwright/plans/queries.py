@@ -89,6 +89,12 @@ def project_rename(spark, folder):
     return op.drop_columns(op.rename(df, {"qty": "quantity"}), ["status"])
 
 
+def add_null(spark, folder):
+    """Customers with an empty column for a rate that is looked up later."""
+    customers = _read(spark, folder, "customer", "c_custkey", "c_name")
+    return op.add_null(op.add_null(customers, "smoke"), "rate", "double")
+
+
 def _gappy_lineitem(spark, folder) -> DataFrame:
     """Quantities below 5 and discounts of 0 taken as missing."""
     df = _read(spark, folder, "lineitem", "l_orderkey", "l_linenumber", *MEASURES, "l_returnflag")
@@ -550,7 +556,7 @@ QUERIES = {
     "table_scan": table_scan, "multi_table_step": multi_table_step, "csv_round_trip": csv_round_trip,
     "csv_bad_records": csv_bad_records, "predict_ovr": predict_ovr, "predict_lr": predict_lr, "predict_rf": predict_rf,
     "predict_svm": predict_svm, "predict_lr_grid": predict_lr_grid, "predict_final": predict_final,
-    "project_rename": project_rename, "require_not_null": require_not_null, "cast_numeric": cast_numeric,
+    "project_rename": project_rename, "add_null": add_null, "require_not_null": require_not_null, "cast_numeric": cast_numeric,
     "invalidate_range": invalidate_range, "drop_sparse_columns": drop_sparse_columns, "sigma_trim": sigma_trim,
     "missing_profile": missing_profile, "numeric_profile": numeric_profile, "skew_profile": skew_profile,
     "cardinality_profile": cardinality_profile, "cardinality_sketch": cardinality_sketch,
