@@ -8,9 +8,10 @@ item's place and k words to either side. Words are runs of letters, digits and u
 The items are the query set: they are read in blocks of at most ``BLOCK_CHARS`` characters, each of which
 is scanned against all documents, so no benchmark is too large for a task.
 
-Defined results: null and empty texts hit nothing; items with fewer than ``min_words`` words, among them
-null ones, are too short to tell and hit nothing; repeated rows are judged alike; rows without an id
-are judged by their text; empty tables give no hits.
+Defined results: null and empty texts hit nothing, nor do items without a word, among them null ones; items with
+fewer than ``min_words`` words are looked for word for word, without an edit; very long texts are searched whole, and
+of several places of an item the closest one counts, the first of equally close ones; repeated rows are judged alike;
+rows without an id are judged by their text; empty tables give no hits.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ WORD = re.compile(r"\w+")
 
 @dataclass(frozen=True)
 class Budget:
-    """``rate``: word edits allowed per word of an item; ``min_words``: of an item that is looked for."""
+    """``rate``: word edits allowed per word of an item; ``min_words``: of an item that may differ at all."""
 
     rate: float = 0.2
     min_words: int = 8
@@ -88,9 +89,9 @@ class Finder:
         pieces: dict[str, list[tuple[int, int, int]]] = {}
         for number, text in enumerate(items):
             words = words_of(text or "")
-            if len(words) < budget.min_words:
+            if not words:
                 continue
-            edits = int(budget.rate * len(words))
+            edits = int(budget.rate * len(words)) if len(words) >= budget.min_words else 0
             self.patterns[number] = Pattern(words), edits
             for at, piece in cut_pieces(words, edits + 1):
                 pieces.setdefault(f" {' '.join(piece)} ", []).append((number, at, len(piece)))
