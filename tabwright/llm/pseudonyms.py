@@ -10,8 +10,9 @@ kind                  taken if                                        permuted
 ====================  ==============================================  ===================================
 payment card          13 to 19 digits with a right Luhn digit         all but the first and the Luhn digit,
                                                                       which is computed anew
-phone                 ten digits grouped 3-3-4, or +1 and these       the ten digits
-phone, with "+"       8 to 15 digits in groups                        all but the first two digits
+phone                 ten digits grouped 3-3-4, or +1 and ten         the ten digits; area and exchange
+                      digits in any groups                            in use (200 to 999) stay in use
+phone, other "+"      8 to 15 digits in groups                        all but the first two digits
 social security no.   3-2-4 digits, an area, group, serial in use     within the numbers in use
 IPv4 address          four numbers up to 255                          all 32 bits
 date                  y-m-d, d.m.y, m/d/y (d/m/y if no such month),   the day, within 1900-01-01
@@ -22,7 +23,9 @@ e-mail                a name and a domain                             letters an
 Only DataFrame functions are used. The key is part of the plan: keep plans with a real key private.
 
 Defined results: a null text stays null and an empty one empty; text without such values is unchanged;
-values that fail their check are left as they are.
+values that fail their check are left as they are; very long texts are searched whole; where values could overlap, the one
+that starts first is taken, of several kinds the first of e-mail, IPv4, date, social security number, card and phone;
+repeated rows get the same text; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -152,12 +155,28 @@ def _card(value: Column, key: str) -> Column:
     return _let(_only(value, "0-9"), changed)
 
 
+def _ten_digits(digits: Column, key: str) -> Column:
+    """Area, exchange and line, permuted among the numbers whose area and exchange are in use, or not, as these are."""
+    def permuted(digits: Column) -> Column:
+        area, exchange, line = (F.substr(digits, F.lit(at), F.lit(n)).cast("long") for at, n in ((1, 3), (4, 3), (7, 4)))
+        # in use from 200 on
+        (low, areas), (least, exchanges) = ((F.when(part < 200, 0).otherwise(200), F.when(part < 200, 200).otherwise(800))
+                                            for part in (area, exchange))
+        new = feistel(((area - low) * exchanges + exchange - least) * 10_000 + line, areas * 100, exchanges * 100, key,
+                      F.concat_ws(".", F.lit("phone"), areas.cast("string"), exchanges.cast("string")))
+        return _let(new, lambda new: F.concat(
+            F.lpad((_div(new, exchanges * 10_000) + low).cast("string"), 3, "0"),
+            F.lpad((_div(new, 10_000) % exchanges + least).cast("string"), 3, "0"), F.lpad((new % 10_000).cast("string"), 4, "0")))
+    return _let(digits, permuted)
+
+
 def _phone(value: Column, key: str) -> Column:
+    """By its digits, so that equal numbers are linked however they are grouped."""
     def changed(digits: Column) -> Column:
         n = F.length(digits)
-        american = value.rlike(f"^(?:{NANP})$")
-        skip = F.when(american, n - 10).otherwise(2)
-        new = F.concat(F.substr(digits, F.lit(1), skip), _digit_string(F.substr(digits, skip + 1, n - skip), key, "phone"))
+        american = (n == 10) & ~value.startswith("+") | (n == 11) & digits.startswith("1")
+        new = F.when(american, F.concat(F.substr(digits, F.lit(1), n - 10), _ten_digits(F.substr(digits, n - 9, F.lit(10)), key))) \
+            .otherwise(F.concat(F.substring(digits, 1, 2), _digit_string(F.substr(digits, F.lit(3), n - 2), key, "phone")))
         return F.when(american | n.between(8, 15), _written_over(value, "0-9", new)).otherwise(value)
     return _let(_only(value, "0-9"), changed)
 

@@ -32,6 +32,14 @@ def digits(text, kind, back=False):
     return str(feistel(int(text), 10 ** (n - n // 2), 10 ** (n // 2), f"{kind}{n}", back)).zfill(n)
 
 
+def american(ten, back=False):
+    area, exchange, line = int(ten[:3]), int(ten[3:6]), int(ten[6:])
+    (low, areas), (least, exchanges) = ((200, 800) if part >= 200 else (0, 200) for part in (area, exchange))
+    new = feistel(((area - low) * exchanges + exchange - least) * 10_000 + line, areas * 100, exchanges * 100,
+                  f"phone.{areas}.{exchanges}", back)
+    return f"{new // 10_000 // exchanges + low:03}{new // 10_000 % exchanges + least:03}{new % 10_000:04}"
+
+
 def luhn(body):
     total = sum(sum(divmod(int(c) * (2 - k % 2), 10)) for k, c in enumerate(reversed(body)))
     return str(-total % 10)
@@ -49,7 +57,7 @@ def test_digits_equal_plain_feistel_and_go_back(spark):
         body = old[0] + digits(old[1:-1], "card")
         assert got == body + luhn(body)
         assert got[0] + digits(got[1:-1], "card", back=True) == old[:-1]
-    assert replaced(spark, ["+1 (988) 555-2485"])[0].translate(str.maketrans("", "", "+() -")) == "1" + digits("9885552485", "phone")
+    assert replaced(spark, ["+1 (988) 555-2485"])[0].translate(str.maketrans("", "", "+() -")) == "1" + american("9885552485")
     assert replaced(spark, ["10.20.30.40"])[0] == ".".join(
         str(b) for b in feistel(0x0A141E28, 65536, 65536, "ipv4").to_bytes(4, "big"))
     day = feistel((date(2020, 2, 29) - date(1900, 1, 1)).days, 250, 300, "date")
@@ -96,3 +104,21 @@ def test_many_values_in_a_long_text(spark):
     text = "x 4041894974608795\n" * 20_000
     new = replaced(spark, [text, "4041894974608795"])
     assert new[0] == text.replace("4041894974608795", new[1])
+
+
+@pytest.mark.parametrize("ten", ["4155552671", "0155552671", "4151552671", "0990000000", "9999999999", "2002000000"])
+def test_a_phone_number_has_one_pseudonym_in_all_layouts(spark, ten):
+    a, b, c = ten[:3], ten[3:6], ten[6:]
+    layouts = [f"+1 {a}-{b}-{c}", f"+1{ten}", f"+1 {ten}", f"+1 ({a}) {b}-{c}", f"+1-{a}-{b}-{c}", f"+1.{a}.{b}.{c}", f"+1 {a} {b} {c}",
+               f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}"]
+    got = replaced(spark, layouts)
+    assert [re.sub(r"\d", "9", x) for x in got] == [re.sub(r"\d", "9", x) for x in layouts]
+    assert {re.sub(r"\D", "", x)[-10:] for x in got} == {american(ten)}
+    assert american(american(ten), back=True) == ten
+    assert [x >= "200" for x in (a, b)] == [x >= "200" for x in (american(ten)[:3], american(ten)[3:6])]
+
+
+def test_other_countries_keep_two_digits(spark):
+    got = replaced(spark, ["+33 6 12 34 56 78", "+33612345678", "+1 234 567", "+1234567890123456"])
+    assert re.sub(r"\D", "", got[0]) == re.sub(r"\D", "", got[1]) == "33" + digits("612345678", "phone")
+    assert got[2:] == ["+1 234 567", "+1234567890123456"]
