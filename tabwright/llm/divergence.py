@@ -3,13 +3,16 @@
 References are learnt from all texts of a language that pass the base rules: the share of each class of characters, and the
 share of each word that makes up at least ``common`` of the language (at most ``1 / common`` words, by
 definition). A text is judged by the Jensen-Shannon distance between its own shares and these. Short
-texts have shares that say little, so each comparison has a least number of words. A language with few
-words in the corpus has no reference of its own: its texts are judged by the classes of characters of the whole corpus,
-with letters of all cases and scripts taken together, as what a language writes with is no fault. Base rules (too few words, too much of
-the text inside repeated word runs) hold for every text.
+texts have shares that say little, so each comparison has a least number of words. So have languages of few words: the
+distance to a language of n words has the weight w = n / (n + ``trust_words``). The rest of the weight has the distance to the
+classes of characters of the whole corpus, with letters of all cases and scripts taken together, as what a language writes
+with is no fault; words have no such other reference, so their distance counts w times. The formula is the same at every size. Base rules
+(too few words, too much of the text inside repeated word runs) hold for every text.
 
 Defined results: a null text is an empty one; empty texts have no words and fail the base rules; a
-null language is a language of its own; repeated rows are judged alike; an empty table gives no rows.
+null language is a language of its own; very long texts are counted whole; a distance equal to its limit keeps the text, and
+a word that makes up just ``common`` of its language is common; repeated rows are judged alike; an empty table gives no rows; of more
+than ``MOST_LANGUAGES`` languages, more than there are, those with fewest words have no reference of their own, the same as weight 0.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "blank", "line", "stop", "mark", "symbol", "letter", "other")
-MOST_LANGUAGES = 10_000  # with a reference; a language column with more is refused, not cut
+MOST_LANGUAGES = 10_000  # with a reference of their own
 
 
 def _class_table() -> np.ndarray:
@@ -53,14 +56,15 @@ LETTERS = [CLASSES.index(c) for c in ("lower", "upper", "letter")]
 
 
 class References(dict):
-    """{lang: reference}; ``fallback`` has the class shares of the whole corpus, or None if no text passes the base rules."""
+    """{lang: reference}; ``fallback`` has the class shares of the whole corpus, None if no text passes the base rules."""
 
     fallback: np.ndarray | None = None
 
 
 @dataclass(frozen=True)
 class Limits:
-    """``*_distance``: largest Jensen-Shannon distance (0 to 1) kept; ``*_words``: fewest words judged."""
+    """``*_distance``: largest Jensen-Shannon distance (0 to 1) kept; ``min_``, ``class_`` and ``word_words``: fewest words of a text judged;
+    ``trust_words``: of a language whose own reference and the corpus have equal weights."""
 
     min_words: int = 20
     max_repeat_share: float = 0.3
@@ -70,13 +74,16 @@ class Limits:
     word_distance: float = 0.3
     word_words: int = 100
     common: float = 1 / 200
-    language_words: int = 10_000
+    trust_words: int = 5_000
+
+
+def code_points(text: bytes) -> np.ndarray:
+    return np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
 
 
 def char_classes(text: bytes) -> np.ndarray:
     """How many characters of each class."""
-    points = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-    return np.bincount(CLASS_OF[np.minimum(points, 0x250)], minlength=len(CLASSES))
+    return np.bincount(CLASS_OF[np.minimum(code_points(text), 0x250)], minlength=len(CLASSES))
 
 
 def letters_as_one(classes: np.ndarray, text: bytes | None = None) -> np.ndarray:
@@ -84,7 +91,9 @@ def letters_as_one(classes: np.ndarray, text: bytes | None = None) -> np.ndarray
     folded = classes.astype(float)
     if text is not None and folded[CLASSES.index("other")]:
         # vowel signs belong to the letters before them
-        beyond = sum(unicodedata.category(c)[0] in "LM" for c in text.decode("utf-8", "replace") if CLASS_OF[min(ord(c), 0x250)] == CLASSES.index("other"))
+        points = code_points(text)
+        odd, counts = np.unique(points[CLASS_OF[np.minimum(points, 0x250)] == CLASSES.index("other")], return_counts=True)
+        beyond = sum(n for c, n in zip(odd.tolist(), counts.tolist()) if unicodedata.category(chr(c))[0] in "LM")
         folded[CLASSES.index("other")] -= beyond
         folded[LETTERS[0]] += beyond
     folded[LETTERS[0]] = folded[LETTERS].sum()
@@ -154,25 +163,20 @@ def _histograms(limits: Limits, batches):
 
 
 def language_references(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits = Limits()) -> References:
-    """{lang: (class shares, hashes of its common words in order, shares of these and of the rest)}.
+    """{lang: (class shares, hashes of its common words in order, shares of these and of the rest, weight)}.
 
     Counts cover every text. What reaches the driver is bounded: ten classes and at most
-    ``1 / limits.common`` words for each language with a reference.
+    ``1 / limits.common`` words for each of at most ``MOST_LANGUAGES`` languages.
     """
     counted = docs.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang")) \
         .mapInArrow(partial(_histograms, limits), "lang string, word long, class int, n long") \
         .groupBy("lang", "word", "class").agg(F.sum("n").alias("n"))
     counted = materialise(counted)
     totals = {r["lang"]: r["n"] for r in counted.where("word IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
-              .where(F.col("n") >= limits.language_words).limit(MOST_LANGUAGES + 1).collect()}
-    if len(totals) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages have a reference")
-    least = min(totals.values(), default=0) * limits.common
-    rows = counted.where(F.col("word").isNull() | (F.col("n") >= least))
-    if totals:
-        table = docs.sparkSession.createDataFrame([*totals.items()], "own string, total long")
-        rows = rows.join(F.broadcast(table), F.col("lang").eqNullSafe(F.col("own"))) \
-            .where(F.col("word").isNull() | (F.col("n") >= F.col("total") * limits.common))
+              .orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
+    table = docs.sparkSession.createDataFrame([*totals.items()], "own string, total long")
+    rows = counted.join(F.broadcast(table), F.col("lang").eqNullSafe(F.col("own"))) \
+        .where(F.col("word").isNull() | (F.col("n") >= F.col("total") * limits.common))
     references = References()
     whole = counted.where("class IS NOT NULL").groupBy("class").agg(F.sum("n").alias("n")).collect()
     if sum(r["n"] for r in whole):
@@ -180,17 +184,19 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang",
         for r in whole:
             classes[r["class"]] = r["n"]
         references.fallback = letters_as_one(classes) / classes.sum()
-    found = rows.select("lang", "word", "class", "n").toArrow().to_pylist() if totals else []
+    found: dict[str | None, list[dict]] = {}
+    for r in rows.select("lang", "word", "class", "n").toArrow().to_pylist() if totals else []:
+        found.setdefault(r["lang"], []).append(r)
     drop_copy(counted)
     for name, total in totals.items():
         classes = np.zeros(len(CLASSES))
-        for r in (r for r in found if r["lang"] == name and r["word"] is None):
+        for r in (r for r in found[name] if r["word"] is None):
             classes[r["class"]] = r["n"]
-        common = [(r["word"] % (1 << 64), r["n"] / total) for r in found if r["lang"] == name and r["word"] is not None]
+        common = [(r["word"] % (1 << 64), r["n"] / total) for r in found[name] if r["word"] is not None]
         common.sort()
         shares = np.array([share for _, share in common])
         references[name] = (classes / max(classes.sum(), 1), np.array([word for word, _ in common], np.uint64),
-                            np.append(shares, max(0.0, 1 - shares.sum())))
+                            np.append(shares, max(0.0, 1 - shares.sum())), total / (total + limits.trust_words))
     return references
 
 
@@ -203,7 +209,7 @@ VERDICT = {
 def judge_text(text: bytes, reference: tuple | None, limits: Limits, fallback: np.ndarray | None = None) -> tuple:
     """The values of ``VERDICT`` for one text; a distance that is not judged is None.
 
-    ``fallback`` takes the place of the class shares of a language without a reference.
+    ``fallback``, the class shares of the corpus, has the weight that the language's own reference leaves.
     """
     words = word_hashes(text)
     n = len(words)
@@ -211,16 +217,16 @@ def judge_text(text: bytes, reference: tuple | None, limits: Limits, fallback: n
     repeats = repeated_words(words, limits.window)
     failed = base_failed(words, repeats, limits)
     by_class = by_word = None
-    if reference and n >= limits.class_words:
+    weight = reference[3] if reference else 0.0
+    if n >= limits.class_words and (reference or fallback is not None):
         classes = char_classes(text)
-        by_class = js_distance(classes / classes.sum(), reference[0])
-    elif fallback is not None and n >= limits.class_words:
-        classes = letters_as_one(char_classes(text), text)
-        by_class = js_distance(classes / classes.sum(), fallback)
+        by_class = weight * js_distance(classes / classes.sum(), reference[0]) if reference else 0.0
+        if fallback is not None:
+            by_class += (1 - weight) * js_distance(letters_as_one(classes, text) / classes.sum(), fallback)
     if reference and n >= limits.word_words and len(reference[1]):
         place = np.minimum(np.searchsorted(reference[1], words), len(reference[1]) - 1)
         place = np.where(reference[1][place] == words, place, len(reference[1]))
-        by_word = js_distance(np.bincount(place, minlength=len(reference[1]) + 1) / n, reference[2])
+        by_word = weight * js_distance(np.bincount(place, minlength=len(reference[1]) + 1) / n, reference[2])
     far = (by_class or 0) > limits.class_distance or (by_word or 0) > limits.word_distance
     return (n, chars, sum(text.count(c) for c in SYMBOLS.encode()), repeated_lines(text), repeats,
             by_class, by_word, failed, not failed and not far)
