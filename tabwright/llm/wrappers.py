@@ -11,9 +11,9 @@ alternatives. It carries how much text and linked text each of its elements held
 From the wrapper come the rules of its host: the main element is the one that a tag or class names as such,
 or else the one under which most unlinked slot text gathers; menus, headers, footers, sidebars, notices,
 adverts, forms and comments are left out by tag or class, as are lists that are links on nearly all
-pages, and, where the whole body is the main element, texts that are fixed on all of at least ``FIXED_PAGES`` different
-pages: copies of a page count as one, so a text keeps digests of as many pages that have it. A page that says nothing
-but fixed texts keeps them.
+pages. Texts that are fixed on all of at least ``FIXED_PAGES`` different pages (copies of a page count as one, so a text
+keeps digests of as many pages that have it) say nothing of where the main text is, but headings do; inside the main element
+everything stays, however many pages say the same.
 
 Each task aligns its own pages before anything is shuffled. Partial wrappers of a host meet in
 ``SALTS`` groups first and then in one, so a host with a third of all pages is a few small rows there.
@@ -72,7 +72,8 @@ LEFT_OUT_WORDS = set(
     "login search comment comments reply replies respond disqus copyright".split())
 NEVER_WORDS = set("ad ads advert adverts advertisement advertising sponsored promo related comment comments reply replies respond".split())
 MAIN_TAGS = {"article", "main"}
-WHOLE_TAGS = MAIN_TAGS | set("html body h1 h2 h3 h4 h5 h6".split())  # left out by the plainest words only
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+WHOLE_TAGS = MAIN_TAGS | HEADINGS | {"html", "body"}  # left out by the plainest words only
 MAIN_WORDS = set("article content main post entry story body text".split())
 
 TOKEN = re.compile(
@@ -293,11 +294,12 @@ def pattern(node: dict) -> str:
 
 
 def host_rules(wrapper: dict) -> dict:
-    """{"main": path of the main element or null, "out": paths of other elements that are left out, "fixed": texts}."""
-    named, gathered, out, fixed = [], [], [], []
+    """{"main": path of the main element or null, "named": whether by tag or class, "out": paths of other elements left out}."""
+    named, gathered, out = [], [], []
 
-    def walk(node: dict, path: str, signature: str) -> int:
+    def walk(node: dict, path: str, signature: str, heading: bool = False) -> int:
         tag, *words = signature.split(".")
+        heading = heading or tag in HEADINGS
         if path and _left_out(tag, set(words), _wrapper_holds_main(node)):
             return 0
         if tag in ("ul", "ol", "dl", "table") and node["text"] and node["linked"] > LINKED * node["text"]:
@@ -306,12 +308,10 @@ def host_rules(wrapper: dict) -> dict:
         own = 0
         for name, inner in node["inside"].items():
             if name == SLOT:
-                if inner["value"] is not None and len(inner["pages"]) >= FIXED_PAGES:
-                    fixed.append(inner["value"])
-                else:
+                if heading or inner["value"] is None or len(inner["pages"]) < FIXED_PAGES:
                     own += inner["text"] - inner["linked"]
             else:
-                own += walk(inner, f"{path}/{name}", name)
+                own += walk(inner, f"{path}/{name}", name, heading)
         if tag in MAIN_TAGS or (tag in ("div", "section", "td") and set(words) & MAIN_WORDS):
             named.append((tag in MAIN_TAGS, own, path))
         if tag in ("div", "section", "td", "body", "center", ""):
@@ -328,7 +328,7 @@ def host_rules(wrapper: dict) -> dict:
     elif total:
         # the deepest element that still gathers nearly all of the text
         main = [max((p for own, p in gathered if own >= 0.7 * total), key=lambda p: p.count("/"), default="")]
-    return {"main": main[0] if main else None, "named": bool(named), "out": sorted(out), "fixed": sorted(set(fixed))}
+    return {"main": main[0] if main else None, "named": bool(named), "out": sorted(out)}
 
 
 # --- extraction ---------------------------------------------------------------------------------
@@ -339,14 +339,12 @@ def page_text(html: str | None, rules: dict) -> str:
         return ""
     blocks: list[str] = []
     line: list[str] = []
-    # an element of its own holds nothing but main text; only a whole body is rid of what all pages say
-    whole = not rules["named"] and rules["main"] in (None, "", "/html", "/body", "/html/body")
-    out, fixed = set(rules["out"]), set(rules["fixed"]) if whole else set()
+    out = set(rules["out"])
 
     def flush():
         text = BLANKS.sub(" ", "".join(line)).strip()
         line.clear()
-        if text and not (fixed and _fixed_value(text) in fixed):
+        if text:
             blocks.append(text)
 
     def walk(element: Element, path: str, within: bool) -> None:
@@ -376,11 +374,6 @@ def page_text(html: str | None, rules: dict) -> str:
         # a page that lacks its host's main element: all that is not left out
         walk(page, "", True)
         flush()
-    if not blocks and fixed:
-        # a page that says nothing else
-        fixed.clear()
-        walk(page, "", True)
-        flush()
     return "\n\n".join(blocks)
 
 
@@ -435,7 +428,7 @@ def main_text(pages: pa.Array, rules: pa.Array) -> pa.Array:
     texts = []
     for html, rule in zip(pages.to_pylist(), rules.to_pylist()):
         if rule not in known:
-            known[rule] = json.loads(rule or '{"main": null, "named": false, "out": [], "fixed": []}')
+            known[rule] = json.loads(rule or '{"main": null, "named": false, "out": []}')
         texts.append(page_text(html, known[rule]))
     return pa.array(texts, pa.string())
 

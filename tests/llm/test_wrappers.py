@@ -88,8 +88,8 @@ def test_copies_of_a_page_keep_their_text(spark):
     found = {r.url: r.text for r in w.extract(pages, host_of(F.col("url"))).collect()}
     assert all(found[url] == "T\n\ntext" for url, html in rows if html.startswith(page))
     assert all(found["http://mixed.org/o%d" % k] == f"T\n\nother {k}\n\nFootline" for k in range(3))
-    # a title of six different pages is fixed, but not all that a page has
-    assert all(found["http://many.org/%d" % k] == f"other {k}" for k in range(6))
+    # a title of many different pages is theirs
+    assert all(found["http://many.org/%d" % k] == f"T\n\nother {k}" for k in range(6))
     assert all(found["http://many.org/t%d" % k] == "T" for k in range(2))
 
 
@@ -108,7 +108,22 @@ def test_very_deep_pages(spark, tag, closed):
 
 def test_deep_pages_read_like_shallow_ones():
     inner = "<p>one</p><nav>menu <b>x</b></nav><div>two <b>bold</b> words</div>three<div class='advert'>buy</div><p>four"
-    rules = {"main": None, "named": False, "out": [], "fixed": []}
+    rules = {"main": None, "named": False, "out": []}
     for depth in (5, 290, 298, 299, 300, 301, 400, 2000):
         html = "<div>" * depth + inner + "</div>" * depth + "<p>end</p>"
         assert wrappers.page_text(html, rules) == "one\n\ntwo bold words\n\nthree\n\nfour\n\nend", depth
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 5, 6, 40])
+@pytest.mark.parametrize("form", [
+    "<body><h1>Weather</h1><p>own words {0}</p></body>",
+    "<body><p>Weather</p><p>own words {0}</p></body>",
+    "<body><div class=a><h1>Weather</h1></div><div class=b><p>own words {0}</p></div></body>",
+    "<body><div class=x><h2>Weather</h2><p>own words {0}</p></div></body>",
+])
+def test_no_number_of_pages_drops_a_title(n, form):
+    pages = [form.format(k) for k in range(n)]
+    wrapper = w.fold(w.read_page(pages[0]))
+    for html in pages[1:]:
+        wrapper = w.align(wrapper, w.fold(w.read_page(html)))
+    assert [w.page_text(html, w.host_rules(wrapper)) for html in pages] == [f"Weather\n\nown words {k}" for k in range(n)]
