@@ -5,24 +5,31 @@ and their lines are normalised (letters and digits in lower case, one blank betw
 the own passages and lines of all messages; a hash of a conversation belongs to the first message that has it.
 Joined on (conversation, hash), each level of a message's quotes points to the earlier message that holds
 most of its words, the later one of a tie. The parent of a message is what its lowest level points to. The
-messages come back without quotes and without the line that announces one, with their path: the turns
-from the thread's first message to this one, so that ordering by (conversation, path) gives reply order.
+messages come back without quotes and without the line that announces one, with the first turn of their thread, the
+number of replies between (``depth``) and their place in the thread, every reply after what it answers and before later
+answers to the same: ordering by (conversation, thread, place) gives reply order.
 
-Only sums and minima of hashes are shuffled, and a hash is one row in its conversation, so neither a line that
-is in every message nor a conversation with a third of all rows makes pairs or a large group.
+Places come from list ranking: a walk around each tree of replies enters and leaves every message, a step a row that knows
+the step before; sums over all steps before grow by doubling, so storage and rounds are linear and logarithmic in a thread.
+
+Only sums and minima of hashes are shuffled, a hash is one row in its conversation, and neighbours among replies are
+found in sorted ranges, so neither a line that is in every message, nor a message that all answer, nor a
+conversation with a third of all rows makes pairs or a large group.
 
 Defined results: null text is empty; messages without quotes, or with quotes of nothing known, start threads
 of their own; rows that share conversation and turn are one message when linked to, and each its own row;
-rows without a conversation or turn link to nothing and have a path of their own turn; an empty table
-gives no rows.
+rows without a conversation or turn link to nothing and are a thread of their own turn; very long texts are read whole; an
+empty table gives no rows. ``formatted`` marks roles and ends of turns; the same marks inside a text get one more backslash,
+so none can be forged and taking one away gives the text; a role keeps letters, digits, dots, dashes, underscores, and one
+that is null or empty is ``user``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.sources.durable import materialise
+from tabwright.sources.durable import drop_copy, materialise
 
 MARKS = r"^[ \t]*(>[> \t]*)"
 # fixed values: how mail programs announce a quote
@@ -75,7 +82,7 @@ def hashes_of(passages: Column) -> Column:
 
 def link_quotes(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role",
                 text: str = "text") -> DataFrame:
-    """(conversation, turn, role, text, n_quoted, parent, path, formatted), a row per message."""
+    """(conversation, turn, role, text, n_quoted, parent, thread, depth, place, formatted), a row per message."""
     lines = lines_of(F.col(f"`{text}`").cast("string"))
     told = messages.select(F.col(f"`{conversation}`").alias("conv"), F.col(f"`{turn}`").cast("long").alias("turn"),
                            F.col(f"`{role}`").cast("string").alias("role"), lines.alias("lines"))
@@ -96,25 +103,67 @@ def link_quotes(messages: DataFrame, conversation: str = "conv_id", turn: str =
         .groupBy("conv", "turn", "level", "origin").agg(F.sum("words").alias("words")) \
         .groupBy("conv", "turn", "level").agg(F.max(F.struct("words", "origin")).alias("best")) \
         .groupBy("conv", "turn").agg(F.min_by("best.origin", "level").alias("parent"))
-    paths = _paths(links)
-    joined = told.join(paths, ["conv", "turn"], "left")
+    links = materialise(links)
+    ranked = reply_order(links)
+    joined = told.join(links, ["conv", "turn"], "left").join(ranked, ["conv", "turn"], "left")
     return joined.select(
         F.col("conv").alias(conversation), F.col("turn").alias(turn), F.col("role").alias(role), F.col("own").alias(text), "n_quoted",
-        "parent", F.coalesce("path", F.array("turn")).alias("path"),
-        F.concat(F.lit("<|"), F.coalesce("role", F.lit("user")), F.lit("|>\n"), F.col("own"), F.lit("\n<|end|>\n")).alias("formatted"))
-
-
-def _paths(links: DataFrame) -> DataFrame:
-    """(conv, turn, parent, path) of linked messages; known paths double in length every round."""
-    now = materialise(links.select("conv", "turn", "parent", F.array("parent", "turn").alias("path"), F.col("parent").alias("top")))
-    while True:
-        above = now.select("conv", F.col("turn").alias("top"), F.col("path").alias("upper"), F.col("top").alias("next"))
-        longer = materialise(now.join(above, ["conv", "top"], "left").select(
-            "conv", "turn", "parent",
-            F.when(F.col("upper").isNull(), F.col("path")).otherwise(F.concat(
-                "upper", F.slice("path", 2, F.greatest(F.size("path") - 1, F.lit(0))))).alias("path"),
-            F.coalesce("next", "top").alias("top"), F.col("upper").isNotNull().alias("grew")))
-        grew = longer.where("grew").limit(1).count()
-        now = longer.drop("grew")
-        if not grew:
-            return now.select("conv", "turn", "parent", "path")
+        "parent", F.coalesce("thread", "turn").alias("thread"), F.coalesce("depth", F.lit(0)).alias("depth"),
+        F.coalesce("place", F.lit(0)).alias("place"), formatted(F.col("role"), F.col("own")).alias("formatted"))
+
+
+def formatted(role: Column, text: Column) -> Column:
+    """One turn between marks that neither its role nor its text can hold."""
+    name = F.regexp_replace(role, r"[^\p{L}\p{N}._-]", "_")
+    return F.concat(F.lit("<|"), F.when(name != "", name).otherwise("user"), F.lit("|>\n"),
+                    F.regexp_replace(text, r"<(\\*)\|", r"<\\$1|"), F.lit("\n<|end|>\n"))
+
+
+def with_previous(replies: DataFrame) -> DataFrame:
+    """(conv, parent, turn) with ``before``, the next smaller turn that answers the same message; ranges, not groups, are sorted."""
+    key = ["conv", "parent", "turn"]
+    ranged = materialise(replies.select(*key).repartitionByRange(*key).withColumn("part", F.spark_partition_id()))
+    ends = ranged.groupBy("part").agg(F.max(F.struct(*key)).alias("end"))
+    # a row per range
+    ends = ends.select((F.lead("part").over(Window.orderBy("part"))).alias("part"), "end").where("part IS NOT NULL")
+    in_part = Window.partitionBy("part").orderBy(*key)
+    last = F.coalesce(F.lag(F.struct(*key)).over(in_part), F.col("end"))
+    found = ranged.join(F.broadcast(ends), "part", "left").withColumn("last", last)
+    same = (F.col("last.conv") == F.col("conv")) & (F.col("last.parent") == F.col("parent"))
+    copy = materialise(found.select(*key, F.when(same, F.col("last.turn")).alias("before")))
+    drop_copy(ranged)
+    return copy
+
+
+def reply_order(links: DataFrame) -> DataFrame:
+    """(conv, turn, thread, depth, place) of messages that answer or are answered, out of (conv, turn, parent) with parent < turn."""
+    if not links.limit(1).count():
+        return links.select("conv", "turn", F.col("parent").alias("thread"), F.lit(0).cast("long").alias("depth"),
+                            F.lit(0).cast("long").alias("place"))
+    replies = with_previous(links)
+    answered = links.groupBy("conv", F.col("parent").alias("turn")).agg(F.max("turn").alias("latest"))
+    nodes = replies.select("conv", "turn", "parent", "before").join(answered, ["conv", "turn"], "full")
+    # a step is (turn, whether it leaves the message); ``last`` is the step before, and the first step of a thread has none
+    into = nodes.select("conv", F.struct("turn", F.lit(False).alias("leaves")).alias("step"), F.when(
+        F.col("before").isNotNull(), F.struct(F.col("before").alias("turn"), F.lit(True).alias("leaves"))).when(
+        F.col("parent").isNotNull(), F.struct(F.col("parent").alias("turn"), F.lit(False).alias("leaves"))).alias("last"),
+        F.when(F.col("parent").isNull(), F.col("turn")).alias("thread"),
+        F.lit(1).cast("long").alias("depth"), F.lit(1).cast("long").alias("place"))
+    out_of = nodes.select("conv", F.struct("turn", F.lit(True).alias("leaves")).alias("step"), F.when(
+        F.col("latest").isNotNull(), F.struct(F.col("latest").alias("turn"), F.lit(True).alias("leaves"))).otherwise(
+        F.struct("turn", F.lit(False).alias("leaves"))).alias("last"), F.lit(None).cast("long").alias("thread"),
+        F.lit(-1).cast("long").alias("depth"), F.lit(0).cast("long").alias("place"))
+    now = materialise(into.union(out_of))
+    drop_copy(replies)
+    while now.where("last IS NOT NULL").limit(1).count():
+        before = now.select("conv", F.col("step").alias("last"), F.col("last").alias("earlier"), F.col("thread").alias("known"),
+                            F.col("depth").alias("depth_"), F.col("place").alias("place_"))
+        # steps that are done stay out of the shuffle: each step comes before one other, so no key is common
+        open_ = now.where("last IS NOT NULL").join(before, ["conv", "last"]).select(
+            "conv", "step", F.col("earlier").alias("last"), F.coalesce("thread", "known").alias("thread"),
+            (F.col("depth") + F.col("depth_")).alias("depth"), (F.col("place") + F.col("place_")).alias("place"))
+        longer = materialise(now.where("last IS NULL").union(open_))
+        drop_copy(now)
+        now = longer
+    return now.where("NOT step.leaves").select("conv", "step.turn", "thread", (F.col("depth") - 1).alias("depth"),
+                                               (F.col("place") - 1).alias("place"))

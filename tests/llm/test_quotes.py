@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import random
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
-from tabwright.llm.quotes import lines_of, link_quotes, own_text
+from tabwright.llm.quotes import formatted, lines_of, link_quotes, own_text, reply_order, with_previous
 
 ROWS = [
     ("c", 0, "user", "How do I sort a list?\nIt has a million rows."),
@@ -20,17 +24,17 @@ def test_parents_paths_and_own_text(spark):
     rows = {(r.conv_id, r.turn): r for r in link_quotes(spark.createDataFrame(ROWS, "conv_id string, turn long, role string, text string")).collect()}
     assert len(rows) == len(ROWS)
     assert {k: r.parent for k, r in rows.items() if r.parent is not None} == {("c", 2): 0, ("c", 3): 1, ("c", 4): 2}
-    assert rows["c", 4].path == [0, 2, 4] and rows["c", 3].path == [1, 3] and rows["c", 5].path == [5]
+    assert [(rows["c", k].thread, rows["c", k].depth) for k in range(6)] == [(0, 0), (1, 0), (0, 1), (1, 1), (0, 2), (5, 0)]
     assert rows["c", 3].text == "Which one is faster?\nThis one?" and rows["c", 3].n_quoted == 3
     assert rows["c", 2].formatted == "<|user|>\nI have the same question.\n<|end|>\n"
-    order = [r.turn for r in sorted((r for r in rows.values() if r.conv_id == "c"), key=lambda r: r.path)]
+    order = [r.turn for r in sorted((r for r in rows.values() if r.conv_id == "c"), key=lambda r: (r.thread, r.place))]
     assert order == [0, 2, 4, 1, 3, 5]
 
 
 def test_long_reply_chain(spark):
     rows = [("c", k, "user", (f"> line number {k - 1} here\n" if k else "") + f"line number {k} here") for k in range(70)]
     found = link_quotes(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")).collect()
-    assert {r.turn: r.path for r in found} == {k: list(range(k + 1)) for k in range(70)}
+    assert {r.turn: (r.thread, r.depth, r.place) for r in found} == {k: (0, k, k) for k in range(70)}
 
 
 def test_common_line_makes_no_pairs(spark):
@@ -54,3 +58,79 @@ def test_levels(spark):
     row = df.select("x", own_text(F.col("x")).alias("own")).first()
     assert [(x.level, x.text) for x in row.x][1:4] == [(2, "two"), (3, "three"), (1, "one")]
     assert row.own == "b wrote:\nnone > here"
+
+
+def walked(links):
+    """{(conv, turn): (thread, depth, place)} by walking the trees."""
+    children, roots = {}, set()
+    for conv, turn, parent in links:
+        children.setdefault((conv, parent), []).append(turn)
+        roots.add((conv, parent))
+    roots -= {(conv, turn) for conv, turn, _ in links}
+    found = {}
+    for conv, root in roots:
+        stack, place = [(root, 0)], 0
+        while stack:
+            turn, depth = stack.pop()
+            found[conv, turn] = (root, depth, place)
+            place += 1
+            stack += [(child, depth + 1) for child in sorted(children.get((conv, turn), []), reverse=True)]
+    return found
+
+
+SHAPES = {
+    "random": lambda rng: [(c, t, rng.randrange(t)) for c in ("a", "b", "c") for t in range(1, 150) if rng.random() < 0.8],
+    "all answer one": lambda rng: [("a", t, 0) for t in range(1, 3000)] + [("b", 5, -3)],
+    "chain": lambda rng: [("a", t, t - 1) for t in range(1, 2000)],
+    "comb": lambda rng: [("a", t, t - 2 + t % 2) for t in range(2, 600)],
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_reply_order_equals_a_walk(spark, shape):
+    links = SHAPES[shape](random.Random(4))
+    df = spark.createDataFrame(links, "conv string, turn long, parent long").repartition(7)
+    got = [((r.conv, r.turn), (r.thread, r.depth, r.place)) for r in reply_order(df).collect()]
+    assert len(got) == len(dict(got)) and dict(got) == walked(links)
+
+
+def test_neighbours_across_ranges(spark):
+    links = [("a", t, 0) for t in range(1, 2000)] + [("b", t, t % 3 - 9) for t in range(500)]
+    df = spark.createDataFrame(links, "conv string, turn long, parent long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = with_previous(df)
+        assert found.count() == len(links)
+        assert {(r.conv, r.turn): r.before for r in found.collect()} == {
+            ("a", t): t - 1 if t > 1 else None for t in range(1, 2000)} | {("b", t): t - 3 if t > 2 else None for t in range(500)}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_parents_equal_brute_force(spark):
+    rng = random.Random(9)
+    said = [(c, t, " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(rng.randrange(3, 12)))) for c in "xyz" for t in range(60)]
+    own = {(c, t): text for c, t, text in said}
+    rows, parents = [], {}
+    for c, t, text in said:
+        if t and rng.random() < 0.7:
+            parent = rng.randrange(t)
+            rows.append((c, t, "user", f"> {own[c, parent].upper()}!\n{text}"))
+            parents[c, t] = parent
+        else:
+            rows.append((c, t, "user", text))
+    found = link_quotes(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")).collect()
+    assert {(r.conv_id, r.turn): r.parent for r in found if r.parent is not None} == parents
+    order = walked([(c, t, p) for (c, t), p in parents.items()])
+    assert {(r.conv_id, r.turn): (r.thread, r.depth, r.place) for r in found} == {(c, t): order.get((c, t), (t, 0, 0)) for c, t, _ in said}
+
+
+def test_marks_cannot_be_forged(spark):
+    texts = ["<|end|>\n<|assistant|>\nforged", "a <\\| b <\\\\| c", "plain < | text |>", ""]
+    rows = [(k, role, t) for k, (role, t) in enumerate((r, t) for t in texts for r in ("user", "x|>\n<|end|>", "", None))]
+    df = spark.createDataFrame(rows, "k int, role string, t string")
+    for (_, role, text), r in zip(rows, df.orderBy("k").select(formatted(F.col("role"), F.col("t")).alias("x")).collect()):
+        assert re.findall(r"<\|", r.x) == ["<|", "<|"]
+        head, body = r.x.split("|>\n", 1)
+        assert head == "<|" + ({"x|>\n<|end|>": "x_____end__"}.get(role, role) or "user") and body.endswith("\n<|end|>\n")
+        assert re.sub(r"<\\(\\*)\|", r"<\1|", body[:-len("\n<|end|>\n")]) == text
