@@ -27,6 +27,12 @@ def _read(spark: SparkSession, folder: str, name: str, *cols: str | Column) -> D
     return df.select(*cols) if cols else df
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """The rows dealt to all tasks: a table of few bytes is few splits, however much work its rows are."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
+
+
 def _rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
@@ -354,7 +360,7 @@ def html_nested_class(spark, folder):
     page = F.concat(
         F.lit('<!doctype html><title>parts &copy;</title><div class="card"><div class="name">outside</div></div><div class="shelf">'),
         F.when(F.col("p_partkey") % 7 == 0, odd).otherwise(card), F.lit('</div><div class="card"><div class="name">after</div></div>'))
-    pages = _read(spark, folder, "part", F.col("p_partkey").alias("page_id"), page.alias("html"))
+    pages = _spread(_read(spark, folder, "part", "p_partkey", "p_name", "p_type")).select(F.col("p_partkey").alias("page_id"), page.alias("html"))
     return op.class_items(pages, "div", "card", inner="name", within="shelf")
 
 

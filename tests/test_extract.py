@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from patients import SCHOOL_PAGE
 from tabwright import operators as op
 from tabwright.operators import extract
+from tabwright.plans.queries import QUERIES
 from tabwright.plans.rates import school_rates
 from tabwright.sources import read_parquet_table
 
@@ -108,6 +109,12 @@ def test_most_odd_pages_need_no_parser(spark):
     assert sum(r.flat for r in told) > 200 and {r.page_id: r.flat for r in told}[400]
 
 
+@pytest.mark.parametrize("name", ["html_nested_class"])
+def test_pages_written_from_a_table_of_one_split_are_read_by_all_tasks(spark, small, name):
+    assert read_parquet_table(spark, small, "part").rdd.getNumPartitions() == 1
+    assert QUERIES[name](spark, small).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
 def test_missing_page_gives_no_rows(spark):
     df = spark.createDataFrame([(1, None)], "page_id int, html string")
     assert op.list_items(df).count() == 0 and op.table_rows(df).count() == 0
