@@ -383,7 +383,7 @@ def html_table_rows(spark, folder):
         row("name", F.col("p_name"), "x"), row("R&amp;D <b>brand</b>", F.col("p_brand")),
         row("size", F.col("p_size").cast("string"), "mm"), F.lit("</TABLE>"),
     )
-    pages = _read(spark, folder, "part", F.col("p_partkey").alias("page_id"), html.alias("html"))
+    pages = _spread(_read(spark, folder, "part", "p_partkey", "p_name", "p_brand", "p_size")).select(F.col("p_partkey").alias("page_id"), html.alias("html"))
     return op.table_rows(pages, 1)
 
 

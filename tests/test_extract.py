@@ -109,7 +109,7 @@ def test_most_odd_pages_need_no_parser(spark):
     assert sum(r.flat for r in told) > 200 and {r.page_id: r.flat for r in told}[400]
 
 
-@pytest.mark.parametrize("name", ["html_nested_class"])
+@pytest.mark.parametrize("name", ["html_nested_class", "html_table_rows"])
 def test_pages_written_from_a_table_of_one_split_are_read_by_all_tasks(spark, small, name):
     assert read_parquet_table(spark, small, "part").rdd.getNumPartitions() == 1
     assert QUERIES[name](spark, small).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
