@@ -13,14 +13,17 @@ word for every 45, so some 24 words in a row are unchanged and at least one key
   ``min_words`` words and their sets of five-word shingles an exact Jaccard similarity of ``percent`` or more.
   A chain that fails is tried again in pieces without a gap.
 * A key that comes again within a text is joined with the place before it, and checked the same way, in the same task.
+* A key of three or more places is then looked at again, at every place of it: two places meet unless the later one is removed already and
+  both are in one component. Their words, ``CONTEXT`` on either side, are compared in blocks of at most two times ``BLOCK`` places inside tasks: first
+  by the equal words around the key, of which every similar pair has a key with ``GRAM + BAND - 1``, then as above. Only links come out.
 * Verified spans that overlap in a text are one passage; passages are the nodes and verified pairs the links of components. Every span
   that has an earlier equal is removed; ``first_`` is the document of the component's first passage, which stays.
 
 A task holds a text and at most ``MASS`` bytes of chains (or one chain): a hub that many texts share is dealt to many tasks. Words are
 told by 32 bits of their hash in checks, texts by 64 bits, keys by 64 bits.
 
-Open: texts whose every shared key has a hub that is earlier, and none of them similar, are not compared with each other. That takes a
-passage all of whose runs of 13 words are, in pieces of under 51 words, in earlier texts too.
+So two texts are compared also if all runs of 13 words of their passage stand, in pieces of under 51 words, in earlier texts. The
+pairs of places of a short piece that very many texts share, and nothing around it, grow with the square of these texts.
 
 Defined results: null and empty texts, and those under ``min_words`` words, have no passages; rows without an id are not looked at;
 rows that share an id are texts of their own, whose spans are all told under that id; a row that is there twice is a copy of itself and told once;
@@ -38,6 +41,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tabwright.llm.components import connected_components
 from tabwright.llm.neardup import bounded
@@ -54,6 +58,8 @@ SHIFT = 8  # most words by which a chain may leave its diagonal at one gap
 MARGIN = 64  # words before and after a chain that travel with it
 CHANGED = 20  # words that must follow a changed one for a span to go on across it
 MASS = 1 << 20  # bytes of chains that one task holds beside a hub's text
+CONTEXT = 128  # words before and after a key that travel with it to the blocks
+BLOCK = 1024  # places of a key in one half of a block
 HUBS = 100_000  # most hubs (20 bytes each) in a broadcast; beyond it only those of heavy keys are
 
 
@@ -159,7 +165,7 @@ def _texts(column: pa.Array):
 
 
 def _profiles(plan: Passages, batches):
-    """(id, digest, n, twice, keys, places): the first place of each key; ``twice`` if a key comes again."""
+    """(id, digest, n, twice, keys, places): every place of each key, in their order; ``twice`` if a key comes again."""
     for batch in batches:
         numbers, digests, sizes, twice, keys, places = [], [], [], [], [], []
         for number, text in enumerate(_texts(batch.column("text"))):
@@ -167,13 +173,13 @@ def _profiles(plan: Passages, batches):
             if len(words) < plan.min_words:
                 continue
             place, key = keys_of(words)
-            key, first = np.unique(key, return_index=True)
+            order = np.argsort(key, kind="stable")
             numbers.append(number)
             digests.append(text_digest(words))
             sizes.append(len(words))
-            twice.append(len(key) < len(place))
-            keys.append(key.view(np.int64))
-            places.append(place[first].astype(np.int32))
+            twice.append(len(np.unique(key)) < len(place))
+            keys.append(key[order].view(np.int64))
+            places.append(place[order].astype(np.int32))
         if numbers:
             ends = pa.array(np.cumsum([0, *map(len, keys)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([
@@ -257,13 +263,21 @@ def merged_spans(spans: DataFrame) -> DataFrame:
         F.min_by("first", F.struct("start", "stop", "first")).alias("first")).drop("run")
 
 
-def _candidates(firsts: DataFrame) -> DataFrame:
-    """(digest, met): for each text its keys' (place, hub, place in the hub), as far as another text is the hub."""
-    seeds = firsts.select("id", "digest", F.explode(F.arrays_zip("keys", "places")).alias("k")) \
-        .select("id", "digest", F.col("k.keys").alias("key"), F.col("k.places").alias("place"))
-    met = materialise(seeds.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
+def _shared(firsts: DataFrame) -> DataFrame:
+    """Stored (id, digest, key, place, is_first) of the keys that have several texts or more than two places; is_first in its text."""
+    listed = firsts.select("id", "digest", F.posexplode(F.arrays_zip("keys", "places")).alias("at", "k"), "keys")
+    seeds = listed.select("id", "digest", F.col("k.keys").alias("key"), F.col("k.places").alias("place"),
+                          ((F.col("at") == 0) | (F.get("keys", F.col("at") - 1) != F.col("k.keys"))).alias("is_first"))
+    met = materialise(seeds.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_first").alias("texts"))
+                      .where("texts > 1 OR n > 2").select("key"))
     shared = materialise(seeds.join(bounded(met), "key", "left_semi"))
     drop_copy(met)
+    return shared
+
+
+def _candidates(shared: DataFrame) -> DataFrame:
+    """(digest, met): for each text its keys' (place, hub, place in the hub), as far as another text is the hub."""
+    shared = shared.where("is_first")
     hubs = materialise(shared.groupBy("key").agg(F.min(F.struct("id", "digest", "place")).alias("hub"))
                        .select("key", F.col("hub.digest").alias("y"), F.col("hub.place").alias("q")))
     if hubs.count() <= HUBS:
@@ -271,15 +285,198 @@ def _candidates(firsts: DataFrame) -> DataFrame:
     else:
         joined = spread_left_join(shared.withColumnRenamed("key", "of"), hubs, {"key": F.col("of")})
     lists = materialise(joined.where("digest <> y").groupBy("digest").agg(F.collect_list(F.struct("place", "y", "q")).alias("met")))
-    drop_copy(shared)
     drop_copy(hubs)
     return lists
 
 
+def _named(links: DataFrame) -> DataFrame:
+    """Stored (digest, start, stop, node, component): the sides of the links, the passage and the component that each is in."""
+    sides = links.select(F.col("x").alias("digest"), "start", "stop").union(links.select("y", "y_start", "y_stop")).distinct()
+    runs = materialise(_with_run(sides, "digest").select("digest", "start", "stop", F.xxhash64("digest", "run").alias("node")))
+    x = runs.select(F.col("digest").alias("x"), "start", "stop", F.col("node").alias("a"))
+    y = runs.select(F.col("digest").alias("y"), F.col("start").alias("y_start"), F.col("stop").alias("y_stop"), F.col("node").alias("b"))
+    pairs = links.join(bounded(x), ["x", "start", "stop"]).join(bounded(y), ["y", "y_start", "y_stop"])
+    labels = connected_components(pairs.select("a", "b"))
+    named = materialise(runs.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    drop_copy(runs)
+    return named
+
+
+def _open_places(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """Stored (id, digest, key, place, cls, told): the places of keys of which two may still have to meet.
+
+    ``cls`` is the component of the passage around the place, ``told`` if a span around it has an earlier equal.
+    """
+    named = _named(links)
+    own = named.groupBy("digest", "node", "component").agg(F.min("start").alias("at"), F.max("stop").alias("stop"))
+    gone = _with_run(links.select(F.col("x").alias("digest"), "start", "stop").distinct(), "digest") \
+        .groupBy("digest", "run").agg(F.min("start").alias("at"), F.max("stop").alias("gone"))
+    marks = own.select("digest", "at", F.struct("stop", "component").alias("own")).unionByName(gone.drop("run"), allowMissingColumns=True)
+    line = Window.partitionBy("digest").orderBy("at", F.col("key").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("at") + GRAM
+    placed = materialise(
+        shared.select("id", "digest", "key", F.col("place").alias("at")).unionByName(marks, allowMissingColumns=True)
+        .withColumns({c: F.last(c, ignorenulls=True).over(line) for c in ("own", "gone")}).where("key IS NOT NULL")
+        .select("id", "digest", "key", F.col("at").alias("place"), F.when(F.col("own.stop") >= end, F.col("own.component")).alias("cls"),
+                F.coalesce(F.col("gone") >= end, F.lit(False)).alias("told")))
+    drop_copy(named)
+    first = F.min(F.struct("id", "digest", "place", "told")).alias("first")
+    keys = placed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.count("cls").alias("in_one"), F.min("cls").alias("lo"), F.max("cls").alias("hi"),
+        F.count_if(~F.col("told")).alias("left"), first)
+    some = materialise(keys.where("n > 2 AND (in_one < n OR lo <> hi OR left > IF(first.told, 0, 1))").select("key"))
+    found = materialise(placed.join(bounded(some), "key"))
+    drop_copy(placed)
+    drop_copy(some)
+    return found
+
+
+def _contexts(plan: Passages, kind: pa.DataType, batches):
+    """(id, digest, key, place, cls, told, at, words): each open place with the words around it."""
+    def batch_of(rows):
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = ["id", "digest", "key", "place", "cls", "told", "at", "words"]
+    types = [kind, pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
+    for batch in batches:
+        rows = []
+        ids, wanted, met = batch.column("id"), batch.column("digest").to_pylist(), batch.column("met")
+        for k, text in enumerate(_texts(batch.column("text"))):
+            words = word_hashes(text, lower=True)
+            if len(words) < plan.min_words or text_digest(words) != wanted[k]:
+                continue
+            short = (words >> np.uint64(32)).astype(np.uint32)
+            for m in met[k]:
+                m = m.as_py()
+                at = max(0, m["place"] - CONTEXT)
+                rows.append((ids[k].as_py(), wanted[k], m["key"], m["place"], m["cls"], m["told"], at,
+                             short[at: m["place"] + GRAM + CONTEXT].tobytes()))
+                if len(rows) >= 4 * BLOCK:
+                    yield batch_of(rows)
+                    rows = []
+        if rows:
+            yield batch_of(rows)
+
+
+def _alike(equal: np.ndarray) -> np.ndarray:
+    """For each row, how far ``_extent`` goes on."""
+    score = np.cumsum(np.where(equal, 1, -CHANGED).astype(np.int32), axis=1)
+    best = score.argmax(axis=1)
+    return np.where(score[np.arange(len(score)), best] > 0, best + 1, 0)
+
+
+def _block_links(plan: Passages, batches):
+    """Verified spans of the places of one key, each with the earlier ones that it has to meet."""
+    for batch in batches:
+        rows = []
+        for lo, hi, places in zip(batch.column("lo").to_pylist(), batch.column("hi").to_pylist(), batch.column("places")):
+            rows += _block(places.as_py(), lo != hi, plan)
+        if rows:
+            yield _batch(rows, CHAIN.split(", at")[0])
+
+
+def _block(places: list[dict], halves: bool, plan: Passages) -> list[tuple]:
+    """``places`` in their order; with ``halves`` only those of different parts meet."""
+    m, near = len(places), BAND - 1
+    words = [np.frombuffer(r["words"], np.uint32) for r in places]
+    keys = [r["place"] - r["at"] for r in places]  # where the key is in its words
+    # words before the key, from it outwards, and after it; what is outside of a text equals nothing
+    before, after = (np.repeat(-1 - np.arange(m, dtype=np.int64)[:, None], CONTEXT, axis=1) for _ in range(2))
+    for i, (w, k) in enumerate(zip(words, keys)):
+        before[i, :k] = w[:k][::-1]
+        after[i, :len(w) - k - GRAM] = w[k + GRAM:]
+    part = np.array([r["part"] for r in places])
+    told = [r["told"] for r in places]
+    label = {c: k for k, c in enumerate({r["cls"] for r in places} - {None})}
+    root = np.array([m + label[r["cls"]] if r["cls"] is not None else i for i, r in enumerate(places)])
+    runs: list[np.ndarray | None] = [None] * m
+    table = None
+    links = []
+
+    def runs_of(i: int) -> np.ndarray:
+        if runs[i] is None:
+            runs[i] = run_hashes(words[i].astype(np.uint64), GRAM)
+        return runs[i]
+
+    for i in range(1, m):
+        open_ = root[:i] != root[i] if told[i] else np.ones(i, bool)
+        if halves:
+            open_ &= part[:i] != part[i]
+        js = np.flatnonzero(open_)
+        if not len(js):
+            continue
+        equal = before[js, :near] == before[i, :near], after[js, :near] == after[i, :near]
+        js = js[sum(np.where(e.all(axis=1), near, e.argmin(axis=1)) for e in equal) >= near]
+        if not len(js):
+            continue
+        long = _alike(before[js] == before[i]) + _alike(after[js] == after[i]) + GRAM >= plan.min_words
+        if not long.all():  # then only another run of words off the key's diagonal may help
+            if table is None:
+                owner = np.concatenate([np.full(len(runs_of(k)), k) for k in range(m)])
+                lean = np.concatenate([np.arange(len(runs_of(k))) - keys[k] for k in range(m)])
+                table = np.concatenate([runs_of(k) for k in range(m)])
+                order = np.argsort(table, kind="stable")
+                table, owner, lean = table[order], owner[order], lean[order]
+            own = runs_of(i)
+            start, stop = np.searchsorted(table, own), np.searchsorted(table, own, "right")
+            sizes = stop - start
+            at = np.repeat(start - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            off = np.zeros(m, bool)
+            off[owner[at][lean[at] != np.repeat(np.arange(len(own)) - keys[i], sizes)]] = True
+            js = js[long | off[js]]
+        for j in js.tolist():
+            if told[i] and root[i] == root[j]:
+                continue
+            x, y = places[i], places[j]
+            _, p, q = np.intersect1d(runs_of(i), runs_of(j), return_indices=True)
+            p, q = np.append(p, keys[i]), np.append(q, keys[j])
+            if x["digest"] == y["digest"]:
+                other = p + x["at"] != q + y["at"]
+                p, q = p[other], q[other]
+            order, edges = chains(p, np.zeros(len(p), np.int64), q)
+            for a, b in zip(edges, edges[1:]):
+                for span in verified(words[i], words[j], 0, p[order[a:b]], q[order[a:b]], plan):
+                    if x["digest"] == y["digest"] and span[0] + x["at"] <= span[2] + y["at"]:
+                        continue
+                    links.append((x["digest"], y["digest"], span[0] + x["at"], span[1] + x["at"], span[2] + y["at"], span[3] + y["at"]))
+                    if span[0] <= keys[i] and keys[i] + GRAM <= span[1] and span[2] <= keys[j] and keys[j] + GRAM <= span[3]:
+                        told[i] = True
+                        root[root == root[j]] = root[i]
+    return links
+
+
+def _other_links(own: DataFrame, shared: DataFrame, links: DataFrame, plan: Passages) -> DataFrame:
+    """Stored links between the places of keys that the hubs leave open."""
+    kind = own.schema["id"].dataType
+    open_ = _open_places(shared, links)
+    todo = materialise(open_.groupBy("id", "digest").agg(F.collect_list(F.struct("key", "place", "cls", "told")).alias("met")))
+    drop_copy(open_)
+    some = own.join(bounded(todo.select("id").distinct()), "id", "left_semi")
+    around = materialise(some.join(todo, "id").select("id", "text", "digest", "met").mapInArrow(
+        partial(_contexts, plan, to_arrow_type(kind)), f"id {kind.simpleString()}, digest long, key long, place int, cls long, told boolean, at int, words binary"))
+    drop_copy(todo)
+    # removed places of a key with the same words around them, in one component: what the first of them meets, all meet
+    alike = ["key", "cls", "told", F.col("place") - F.col("at"), F.when(F.col("told"), F.xxhash64("words")).otherwise(F.xxhash64("digest", "place")), F.md5("words")]
+    kept = materialise(around.groupBy(*alike).agg(F.min(F.struct("id", "digest", "place", "at")).alias("f"), F.first("words").alias("words"))
+                       .select("key", "cls", "told", "f.*", "words"))
+    sizes = kept.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = kept.join(bounded(sizes), "key").withColumn("part", F.pmod(F.xxhash64("digest", "place"), parts).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    blocks = dealt.groupBy("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi")).agg(
+        F.array_sort(F.collect_list(F.struct("id", "digest", "place", "part", "cls", "told", "at", "words"))).alias("places"))
+    found = materialise(blocks.select("lo", "hi", "places").mapInArrow(partial(_block_links, plan), CHAIN.split(", at")[0]))
+    drop_copy(around)
+    drop_copy(kept)
+    return found
+
+
 def _links(own: DataFrame, firsts: DataFrame, plan: Passages) -> DataFrame:
     """Stored, verified (x, start, stop, y, y_start, y_stop): words of text x that text y has at an earlier place."""
     names = firsts.select("id", "digest").distinct()
-    lists = _candidates(firsts)
+    shared = _shared(firsts)
+    lists = _candidates(shared)
     empty = F.array().cast("array<struct<place:int,y:long,q:int>>")
     todo = materialise(firsts.select("id", "digest", "twice").distinct().join(lists, "digest", "left").where("twice OR met IS NOT NULL")
                        .select("id", "digest", F.coalesce("met", empty).alias("met")))
@@ -299,25 +496,23 @@ def _links(own: DataFrame, firsts: DataFrame, plan: Passages) -> DataFrame:
     links = materialise(spans.union(found.where("words IS NULL").select(*columns)).distinct())
     drop_copy(found)
     drop_copy(groups)
-    return links
+    others = _other_links(own, shared, links, plan)
+    drop_copy(shared)
+    every = materialise(links.union(others).distinct())
+    drop_copy(links)
+    drop_copy(others)
+    return every
 
 
 def _told(links: DataFrame, names: DataFrame) -> DataFrame:
     """(digest, id, start, stop, first): each repeated span with the document of its component's first passage."""
-    sides = links.select(F.col("x").alias("digest"), "start", "stop").union(links.select("y", "y_start", "y_stop")).distinct()
-    runs = materialise(_with_run(sides, "digest").join(names, "digest")
-                       .select("digest", "id", "start", "stop", F.xxhash64("digest", "run").alias("node")))
-    x = runs.select(F.col("digest").alias("x"), "start", "stop", F.col("node").alias("a"))
-    y = runs.select(F.col("digest").alias("y"), F.col("start").alias("y_start"), F.col("stop").alias("y_stop"), F.col("node").alias("b"))
-    pairs = links.join(bounded(x), ["x", "start", "stop"]).join(bounded(y), ["y", "y_start", "y_stop"])
-    labels = connected_components(pairs.select("a", "b"))
-    named = materialise(runs.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    stored = _named(links)
+    named = stored.join(names, "digest")
     firsts = named.groupBy("component").agg(F.min(F.struct("id", "start")).alias("first")).select("component", F.col("first.id").alias("first"))
     ends = links.select(F.col("x").alias("digest"), "start", "stop").distinct()
     told = materialise(named.join(ends, ["digest", "start", "stop"], "left_semi").join(bounded(firsts), "component")
                        .select("digest", "id", "start", "stop", "first"))
-    drop_copy(runs)
-    drop_copy(named)
+    drop_copy(stored)
     return told
 
 

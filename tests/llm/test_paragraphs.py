@@ -210,3 +210,35 @@ def test_a_hub_of_many_texts_in_proportion(spark):
     phrase = " ".join(f"h{k}" for k in range(30))
     rows = [(k, f"{prose(rng, 3)} {phrase} {prose(rng, 3)}") for k in range(3000)]
     assert all_repeated(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect() == []
+
+
+def test_passages_whose_keys_all_stand_in_earlier_texts_too(spark, monkeypatch):
+    """Earlier texts hold the passage in pieces under 51 words, so no later text finds it by the first text of a key."""
+    monkeypatch.setattr(paragraphs, "BLOCK", 2)  # several blocks to a key
+    rng = random.Random(11)
+
+    def fill(n):
+        return [f"f{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows = []
+    for k in range(5):
+        passage = [f"p{k}x{rng.randrange(10**6)}" for _ in range(60)]
+        near, longer = list(passage), passage[:30] + ["put", "in"] + passage[30:]
+        near[30] = "changed"
+        pieces = [passage[:36], passage[24:], near[:36], near[24:], near[:36], longer[:36], longer[24:]]
+        later = [passage, near, longer, passage]
+        for i, words in enumerate(pieces + later):
+            rows.append((100 * k + i, " ".join(fill(40) + words + fill(40))))
+    spans = all_repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {(r.doc_id, r.first_doc_id): (r.start, r.stop) for r in spans}
+    assert got == {(100 * k + i, 100 * k + 7): (40, 102 if i == 9 else 100) for k in range(5) for i in (8, 9, 10)}
+
+
+def test_a_later_place_of_a_key_in_a_text_is_compared_too(spark):
+    rng = random.Random(12)
+    passage = [f"p{rng.randrange(10**6)}" for _ in range(60)]
+    fill = [f"f{rng.randrange(10**9)}" for _ in range(200)]
+    first = fill[:40] + passage[:36] + fill[40:80] + passage[24:] + fill[80:90] + passage + fill[90:100]
+    rows = [(1, " ".join(first)), (2, " ".join(fill[100:120] + passage + fill[120:140]))]
+    spans = all_repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.start, r.stop, r.first_doc_id) for r in spans] == [(2, 20, 80, 1)]
