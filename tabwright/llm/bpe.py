@@ -43,7 +43,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LEAF = 4096  # most bytes of a leaf
 SHORT = 100  # most bytes of what is merged pair by pair, and most characters of what is remembered
-TOGETHER = 1 << 16  # parts that are looked up, and pieces that are merged, at a time
+TOGETHER = 1 << 16  # parts that are looked up at a time
+MERGED = 1 << 13  # pieces that are merged at a time, up to ``SHORT`` columns in each of several arrays
 KNOWN = 1 << 19  # parts, and pieces, whose tokens a task remembers
 SLICE = 1 << 20  # characters of a text that are cut into parts at a time
 WINDOW = 8  # tokens on either side of a join to begin with
@@ -97,8 +98,8 @@ class Vocabulary:
         """32-bit tokens of many short pieces: one merge in each of them at a time."""
         out: list[bytes] = [b""] * len(pieces)
         by_length = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
-        for at in range(0, len(pieces), TOGETHER):
-            some = by_length[at: at + TOGETHER]
+        for at in range(0, len(pieces), MERGED):
+            some = by_length[at: at + MERGED]
             for i, ids in self._merged_together([pieces[i] for i in some]):
                 out[some[i]] = ids
         return out
@@ -285,7 +286,7 @@ class Known(dict):
 
 def encoded_texts(texts: Iterable[str | None], known: Known) -> list[bytes | None]:
     """32-bit ids of the tokens of each text; None for a text with a long piece."""
-    out: list[list[bytes] | None] = []
+    out: list[list[bytes] | bytes | None] = []
     waiting: list[tuple[int, list[str]]] = []
 
     def settle() -> None:
@@ -307,7 +308,9 @@ def encoded_texts(texts: Iterable[str | None], known: Known) -> list[bytes | Non
                 settle()
                 held = 0
     settle()
-    return [None if ids is None else b"".join(ids) for ids in out]
+    for i, ids in enumerate(out):  # one text at a time, so that its tokens are held once
+        out[i] = None if ids is None else b"".join(ids)
+    return out
 
 
 def has_long_piece(text: str) -> bool:

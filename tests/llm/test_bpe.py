@@ -120,3 +120,13 @@ def test_query_equals_the_library(spark, small):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
             len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
             hashlib.sha256(LIBRARY.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+
+
+def test_pieces_are_merged_in_bounded_arrays(monkeypatch):
+    source = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    vocabulary, sizes = bpe.Vocabulary(source), []
+    together = vocabulary._merged_together
+    monkeypatch.setattr(vocabulary, "_merged_together", lambda pieces: sizes.append(len(pieces)) or together(pieces))
+    pieces = [b"w%d" % i for i in range(20_000)]
+    assert vocabulary.merged_all(pieces)[::999] == [np.array(vocabulary.merged(p), np.int32).tobytes() for p in pieces[::999]]
+    assert max(sizes) <= 1 << 13
