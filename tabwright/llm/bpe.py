@@ -43,9 +43,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LEAF = 4096  # most bytes of a leaf
 SHORT = 100  # most bytes of what is merged pair by pair, and most characters of what is remembered
-TOGETHER = 1 << 16  # parts that are looked up at a time
+TOGETHER = 1 << 17  # parts that are looked up at a time
 MERGED = 1 << 13  # pieces that are merged at a time, up to ``SHORT`` columns in each of several arrays
-KNOWN = 1 << 19  # parts, and pieces, whose tokens a task remembers
+KNOWN = 1 << 18  # pieces whose tokens a task remembers
+TEXTS = 512  # texts that are encoded, and rows that are decoded, before they are packed
 SLICE = 1 << 20  # characters of a text that are cut into parts at a time
 WINDOW = 8  # tokens on either side of a join to begin with
 
@@ -241,7 +242,10 @@ def parts(text: str) -> Iterator[list[str]]:
 
 
 class Known(dict):
-    """Part to the 32-bit ids of its tokens; the pieces of parts are remembered too."""
+    """Part to the 32-bit ids of its tokens, for the parts that are looked up now; pieces are remembered longer.
+
+    Most parts are one piece, so a part that equals a remembered piece needs no work.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
@@ -252,6 +256,8 @@ class Known(dict):
         ids = b"".join([array("i", [piece]).tobytes() if isinstance(piece, int) else self.pieces.get(piece) or self._of_piece(piece)
                         for piece in self.vocabulary.pieces(part)])
         if len(part) <= SHORT:
+            if len(self) >= KNOWN:
+                self.clear()
             self[part] = ids
         return ids
 
@@ -259,15 +265,17 @@ class Known(dict):
         data = piece.encode()
         ids = array("i", self.vocabulary.tree([self.vocabulary.merged(x) for x in halves(data)])).tobytes()
         if len(data) <= SHORT:
+            if len(self.pieces) >= KNOWN:
+                self.pieces.clear()
             self.pieces[piece] = ids
         return ids
 
     def learn(self, some: set[str]) -> None:
-        """Encode the parts that are new, together. What was known before may be forgotten."""
-        if len(self) + len(some) > KNOWN:
-            self.clear()
-        if len(self.pieces) > KNOWN:
+        """Encode these parts together. Other parts are forgotten, pieces only when there are too many."""
+        self.clear()
+        if len(self.pieces) + len(some) > KNOWN:
             self.pieces.clear()
+        self.update({p: self.pieces[p] for p in some if p in self.pieces})
         # parts that begin with a blank and end with something else stay apart when they stand in a row
         new = [p for p in some if p not in self and 1 < len(p) <= SHORT and p[0] in BLANK and p[-1] not in BLANK]
         text = "".join(new)
@@ -325,19 +333,23 @@ def has_long_piece(text: str) -> bool:
     return any(len(piece.encode()) > LEAF for some in parts(text) for part in some for piece in _split(part))
 
 
-def _lists(rows: list[bytes | None]) -> pa.Array:
+def _lists(rows: Iterable[bytes | None]) -> pa.Array:
     """32-bit ids as an Arrow column of lists."""
-    there = [r or b"" for r in rows]
-    ends = np.cumsum([0, *[len(r) // 4 for r in there]]).astype(np.int32)
-    missing = pa.array(np.array([r is None for r in rows], bool))
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(there), np.int32)), mask=missing)
+    data, ends, missing = bytearray(), [0], []
+    for row in rows:
+        data += row or b""
+        ends.append(len(data) // 4)
+        missing.append(row is None)
+    return pa.ListArray.from_arrays(
+        pa.array(ends, pa.int32()), pa.array(np.frombuffer(data, np.int32)), mask=pa.array(missing, pa.bool_()))
 
 
 def encoded(text: Column, vocabulary) -> Column:
     """array<int>: the tokens of a text without long pieces, by a broadcast tokenizer file; null for other texts."""
     @F.arrow_udf("array<int>")
     def encode_texts(texts: pa.Array) -> pa.Array:
-        return _lists(encoded_texts((t.as_py() for t in texts), Known(Vocabulary(vocabulary.value))))
+        known = Known(Vocabulary(vocabulary.value))
+        return _lists(ids for at in range(0, len(texts), TEXTS) for ids in encoded_texts((t.as_py() for t in texts[at: at + TEXTS]), known))
 
     return encode_texts.asNondeterministic()(text)
 
@@ -354,7 +366,8 @@ def decoded(ids: Column, vocabulary) -> Column:
             known = np.where((tokens >= 0) & (tokens < len(table)), tokens, -1)
             return b"".join(map(table.__getitem__, known.tolist())).decode("utf-8", "replace")
 
-        return pa.array([text(row) for row in lists], pa.string())
+        return pa.concat_arrays([
+            pa.array([], pa.string()), *[pa.array([text(row) for row in lists[at: at + TEXTS]], pa.string()) for at in range(0, len(lists), TEXTS)]])
 
     return decode_ids.asNondeterministic()(ids)
 

@@ -130,3 +130,24 @@ def test_pieces_are_merged_in_bounded_arrays(monkeypatch):
     pieces = [b"w%d" % i for i in range(20_000)]
     assert vocabulary.merged_all(pieces)[::999] == [np.array(vocabulary.merged(p), np.int32).tobytes() for p in pieces[::999]]
     assert max(sizes) <= 1 << 13
+
+
+def test_a_part_that_is_a_piece_is_remembered_once(monkeypatch):
+    known = bpe.Known(VOCABULARY)
+    texts = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}," for i in range(k, k + 50)) for k in range(0, 600, 50)] + odd_texts(300)
+    for slow in (False, True):
+        if slow:
+            monkeypatch.setattr(bpe, "TOGETHER", 1)
+            monkeypatch.setattr(bpe, "KNOWN", 40)  # pieces are forgotten, and learnt again
+        ids = bpe.encoded_texts(texts, known)
+        assert [np.frombuffer(x, np.int32).tolist() for x in ids] == [library(t) for t in texts]
+    known.learn({" alpha", " beta,"})
+    known.learn({" alpha"})
+    assert list(known) == [" alpha"] and " beta" in known.pieces and " beta," not in known.pieces
+
+
+def test_rows_are_packed_in_order(monkeypatch):
+    monkeypatch.setattr(bpe, "TEXTS", 2)
+    rows = [b"\1\0\0\0", None, b"", b"\2\0\0\0\3\0\0\0"]
+    assert bpe._lists(iter(rows)).to_pylist() == [[1], None, [], [2, 3]]
+    assert bpe._lists([]).to_pylist() == []
