@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -49,11 +49,14 @@ class NystroemModel(Model):
     def _transform(self, df: DataFrame) -> DataFrame:
         points, weights, gamma = self.points, self.weights, self.gamma
 
-        @F.pandas_udf("array<double>")
-        def mapped(rows: pd.Series) -> pd.Series:
-            if rows.empty:
-                return pd.Series([], dtype=object)
-            return pd.Series(list(rbf(np.stack(rows.to_numpy()), points, gamma) @ weights))
+        @F.arrow_udf("array<double>")
+        def mapped(rows: pa.Array) -> pa.Array:
+            if rows.null_count:
+                raise ValueError("a row without features")
+            x = rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), points.shape[1])
+            out = rbf(x, points, gamma) @ weights
+            ends = np.arange(len(rows) + 1, dtype=np.int32) * weights.shape[1]
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out.ravel(), pa.float64()))
 
         return df.withColumn(self.output, array_to_vector(mapped(vector_to_array(self.input))))
 

@@ -120,3 +120,34 @@ def test_recipes_of_a_branch_share_one_copy(spark, monkeypatch):
         rows.train.count()
     alone = op.train_and_evaluate(df, op.RECIPES["Logistic_sklearn"], "label", ["id"])[1]
     assert sorted(map(tuple, alone.collect())) == sorted(map(tuple, first.collect()))
+
+
+def test_fits_that_keep_much_run_alone_on_smaller_parts(spark, monkeypatch):
+    import threading
+    from tabwright.operators import train
+    x, y = blobs(300, 2)
+    df = frame(spark, x, y.tolist()).select("id", F.col("y").cast("double").alias("y"), "features", (F.col("id") % 3).cast("int").alias("fold")).coalesce(1)
+    lock, running, most, parts = threading.Lock(), [], [], []
+
+    class Watched(train.LogisticRegression):
+        def fit(self, rows, params=None):
+            with lock:
+                running.append(1)
+                most.append(len(running))
+                parts.append(rows.rdd.getNumPartitions())
+            try:
+                return super().fit(rows, params)
+            finally:
+                with lock:
+                    running.pop()
+
+    def validated(kept):
+        most.clear(), parts.clear()
+        evaluator = train.MulticlassClassificationEvaluator(labelCol="y", metricName="accuracy")
+        return train.cross_validate(df, Watched(labelCol="y"), evaluator, None, [0, 1, 2], kept=kept)[1]
+
+    small = validated(1000)
+    assert set(parts) == {1}
+    monkeypatch.setattr(train, "SIDE_BY_SIDE", 999)
+    monkeypatch.setattr(train, "BLOCK", 250)
+    assert abs(validated(1000) - small) < 1e-6 and max(most) == 1 and set(parts) == {4}
