@@ -13,6 +13,8 @@ word for every 45, so some 24 words in a row are unchanged and at least one key
   ``min_words`` words and their sets of five-word shingles an exact Jaccard similarity of ``percent`` or more.
   A chain that fails is tried again in pieces without a gap.
 * A key that comes again within a text is joined with the place before it, and checked the same way, in the same task.
+  Where its places overlap at the same distance (a run of one word, or of a few in turn), the two first and the two last of them go on:
+  two such stretches agree on most words where they begin or end together, and what is inside one repeats its own first turn.
 * A key of three or more places is then looked at again, at every place of it: two places meet unless the later one is removed already and
   both are in one component. Their words, ``CONTEXT`` on either side, are compared in blocks of at most two times ``BLOCK`` places inside tasks: first
   by the equal words around the key, of which every similar pair has a key with ``GRAM + BAND - 1``, then as above. Only links come out.
@@ -101,6 +103,15 @@ def keys_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return places, runs[places]
 
 
+def outer_places(places: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the sorted (key, place) are not inside a stretch of overlapping places at the same distance: all but its two first and last."""
+    step = np.where(keys[1:] == keys[:-1], np.diff(places), GRAM)
+    same = (step[1:] == step[:-1]) & (step[1:] < GRAM)  # of each place but the first and last: that it has one before and one after it
+    inner = np.zeros(len(places), bool)
+    inner[2:-2] = same[:-2] & same[1:-1] & same[2:]
+    return ~inner
+
+
 def text_digest(words: np.ndarray) -> int:
     place = np.arange(len(words), dtype=np.uint64)
     return int(mixed(mixed(words + place * ODD[30]).sum(dtype=np.uint64, keepdims=True)).view(np.int64)[0])
@@ -165,7 +176,7 @@ def _texts(column: pa.Array):
 
 
 def _profiles(plan: Passages, batches):
-    """(id, digest, n, twice, keys, places): every place of each key, in their order; ``twice`` if a key comes again."""
+    """(id, digest, n, twice, keys, places): the outer places of each key, in their order; ``twice`` if a key comes again."""
     for batch in batches:
         numbers, digests, sizes, twice, keys, places = [], [], [], [], [], []
         for number, text in enumerate(_texts(batch.column("text"))):
@@ -178,8 +189,10 @@ def _profiles(plan: Passages, batches):
             digests.append(text_digest(words))
             sizes.append(len(words))
             twice.append(len(np.unique(key)) < len(place))
-            keys.append(key[order].view(np.int64))
-            places.append(place[order].astype(np.int32))
+            place, key = place[order], key[order]
+            outer = outer_places(place, key)
+            keys.append(key[outer].view(np.int64))
+            places.append(place[outer].astype(np.int32))
         if numbers:
             ends = pa.array(np.cumsum([0, *map(len, keys)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([
@@ -190,6 +203,7 @@ def _profiles(plan: Passages, batches):
 
 
 CHAIN = "x long, y long, start int, stop int, y_start int, y_stop int, at int, p binary, q binary, words binary"
+SPAN = CHAIN.split(", at")[0]
 
 
 def _chain_rows(plan: Passages, batches):
@@ -239,7 +253,7 @@ def _spans(plan: Passages, batches):
                 for span in verified(np.frombuffer(own["words"], np.uint32), short, own["at"], p, q, plan):
                     rows.append((own["x"], hub, *span))
         if rows:
-            yield _batch(rows, CHAIN.split(", at")[0])
+            yield _batch(rows, SPAN)
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -367,13 +381,19 @@ def _alike(equal: np.ndarray) -> np.ndarray:
 
 
 def _block_links(plan: Passages, batches):
-    """Verified spans of the places of one key, each with the earlier ones that it has to meet."""
+    """Verified spans of the places of one key, each with the earlier ones that it has to meet; a block is the rows in a row of one (key, lo, hi)."""
+    block, places, links = None, [], []
     for batch in batches:
-        rows = []
-        for lo, hi, places in zip(batch.column("lo").to_pylist(), batch.column("hi").to_pylist(), batch.column("places")):
-            rows += _block(places.as_py(), lo != hi, plan)
-        if rows:
-            yield _batch(rows, CHAIN.split(", at")[0])
+        for row in batch.to_pylist():
+            if (own := (row["key"], row["lo"], row["hi"])) != block:
+                links += _block(places, block and block[1] != block[2], plan)
+                block, places = own, []
+            places.append(row)
+        if links:
+            yield _batch(links, SPAN)
+            links = []
+    if links := _block(places, block and block[1] != block[2], plan):
+        yield _batch(links, SPAN)
 
 
 def _block(places: list[dict], halves: bool, plan: Passages) -> list[tuple]:
@@ -464,9 +484,11 @@ def _other_links(own: DataFrame, shared: DataFrame, links: DataFrame, plan: Pass
     parts = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = kept.join(bounded(sizes), "key").withColumn("part", F.pmod(F.xxhash64("digest", "place"), parts).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    blocks = dealt.groupBy("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi")).agg(
-        F.array_sort(F.collect_list(F.struct("id", "digest", "place", "part", "cls", "told", "at", "words"))).alias("places"))
-    found = materialise(blocks.select("lo", "hi", "places").mapInArrow(partial(_block_links, plan), CHAIN.split(", at")[0]))
+    block = "key", "lo", "hi"
+    rows = dealt.select("key", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"),
+                        "id", "digest", "place", "part", "cls", "told", "at", "words")
+    blocks = rows.repartition(*block).sortWithinPartitions(*block, "id", "digest", "place")
+    found = materialise(blocks.mapInArrow(partial(_block_links, plan), SPAN))
     drop_copy(around)
     drop_copy(kept)
     return found
@@ -492,7 +514,7 @@ def _links(own: DataFrame, firsts: DataFrame, plan: Passages) -> DataFrame:
                          .withColumnRenamed("y", "digest").join(names, "digest").select("id", "digest", "chains"))
     hubs = own.join(bounded(groups.select("id").distinct()), "id", "left_semi")
     columns = ["x", "y", "start", "stop", "y_start", "y_stop"]
-    spans = hubs.join(groups, "id").select("text", "digest", "chains").mapInArrow(partial(_spans, plan), CHAIN.split(", at")[0])
+    spans = hubs.join(groups, "id").select("text", "digest", "chains").mapInArrow(partial(_spans, plan), SPAN)
     links = materialise(spans.union(found.where("words IS NULL").select(*columns)).distinct())
     drop_copy(found)
     drop_copy(groups)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from tabwright.llm import paragraphs
 from tabwright.llm.paragraphs import BAND, GRAM, Passages, all_repeated, keys_of, remove_passages, similar, without
@@ -242,3 +243,35 @@ def test_a_later_place_of_a_key_in_a_text_is_compared_too(spark):
     rows = [(1, " ".join(first)), (2, " ".join(fill[100:120] + passage + fill[120:140]))]
     spans = all_repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert [(r.doc_id, r.start, r.stop, r.first_doc_id) for r in spans] == [(2, 20, 80, 1)]
+
+
+def test_a_run_of_one_word_has_few_places():
+    """Before, each of its places met each place of the other texts' runs."""
+    texts = ["x " * 20 + "the " * 2000 + "y " * 20, "a b c " * 500, " ".join(f"w{k}" for k in range(60))]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(texts)], names=["id", "text"])
+    listed = next(paragraphs._profiles(PLAN, [batch]))
+    for text, twice, keys, places in zip(texts, *(listed.column(c).to_pylist() for c in ("twice", "keys", "places"))):
+        place, key = keys_of(word_hashes(text.encode()))
+        every = {}
+        for p, k in zip(place.tolist(), key.view(np.int64).tolist()):
+            every.setdefault(k, []).append(p)
+        kept = {}
+        for p, k in zip(places, keys):
+            kept.setdefault(k, []).append(p)
+        assert kept == {k: p if len(p) < 5 else p[:2] + p[-2:] for k, p in every.items()} and twice == (len(place) > len(every))
+    far = np.array([1, 21, 41, 61, 81, 101, 103, 106, 110, 115])  # apart, or at no constant distance: each one counts
+    assert paragraphs.outer_places(far, np.zeros(10, np.uint64)).all()
+
+
+def test_a_block_may_reach_over_batches():
+    rng = np.random.default_rng(19)
+    passage = rng.integers(0, 1 << 31, 60, dtype=np.uint32)
+    rows = []
+    for key in range(3):
+        for digest in range(4):
+            words = np.r_[rng.integers(0, 1 << 31, 30, dtype=np.uint32), passage + np.uint32(key), rng.integers(0, 1 << 31, 30, dtype=np.uint32)]
+            rows.append(dict(key=key, lo=0, hi=0, id=digest, digest=digest, place=50, part=0, cls=None, told=False, at=0, words=words.tobytes()))
+    table = pa.Table.from_pylist(rows)
+    links = [r for b in paragraphs._block_links(PLAN, table.to_batches(max_chunksize=3)) for r in b.to_pylist()]
+    assert {(r["x"], r["start"], r["stop"]) for r in links} == {(k, 30, 90) for k in (1, 2, 3)} and len(links) == 3 * 3
+    assert list(paragraphs._block_links(PLAN, [])) == []
