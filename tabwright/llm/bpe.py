@@ -344,12 +344,32 @@ def _lists(rows: Iterable[bytes | None]) -> pa.Array:
         pa.array(ends, pa.int32()), pa.array(np.frombuffer(data, np.int32)), mask=pa.array(missing, pa.bool_()))
 
 
+def token_lists(batches: Iterable[pa.Array], known: Known) -> Iterator[pa.Array]:
+    """The tokens of texts, at most ``TEXTS`` at a time, however long the batches are; null for a text with a long piece."""
+    for texts in batches:
+        for at in range(0, len(texts), TEXTS):
+            yield _lists(encoded_texts((t.as_py() for t in texts[at: at + TEXTS]), known))
+
+
+def spelled_texts(batches: Iterable[pa.Array], bytes_of: dict[int, bytes]) -> Iterator[pa.Array]:
+    """The texts of lists of tokens, at most ``TEXTS`` at a time."""
+    table = [bytes_of.get(i, b"") for i in range(max(bytes_of) + 2)]  # the last one is of no token
+
+    def text(row: pa.ListScalar) -> str:
+        tokens = np.zeros(0, np.int64) if row.values is None else row.values.fill_null(-1).to_numpy(zero_copy_only=False)
+        known = np.where((tokens >= 0) & (tokens < len(table)), tokens, -1)
+        return b"".join(map(table.__getitem__, known.tolist())).decode("utf-8", "replace")
+
+    for lists in batches:
+        for at in range(0, len(lists), TEXTS):
+            yield pa.array([text(row) for row in lists[at: at + TEXTS]], pa.string())
+
+
 def encoded(text: Column, vocabulary) -> Column:
     """array<int>: the tokens of a text without long pieces, by a broadcast tokenizer file; null for other texts."""
     @F.arrow_udf("array<int>")
-    def encode_texts(texts: pa.Array) -> pa.Array:
-        known = Known(Vocabulary(vocabulary.value))
-        return _lists(ids for at in range(0, len(texts), TEXTS) for ids in encoded_texts((t.as_py() for t in texts[at: at + TEXTS]), known))
+    def encode_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from token_lists(batches, Known(Vocabulary(vocabulary.value)))
 
     return encode_texts.asNondeterministic()(text)
 
@@ -357,17 +377,8 @@ def encoded(text: Column, vocabulary) -> Column:
 def decoded(ids: Column, vocabulary) -> Column:
     """The text that tokens stand for."""
     @F.arrow_udf("string")
-    def decode_ids(lists: pa.Array) -> pa.Array:
-        bytes_of = Vocabulary(vocabulary.value).bytes_of
-        table = [bytes_of.get(i, b"") for i in range(max(bytes_of) + 2)]  # the last one is of no token
-
-        def text(row: pa.ListScalar) -> str:
-            tokens = np.zeros(0, np.int64) if row.values is None else row.values.fill_null(-1).to_numpy(zero_copy_only=False)
-            known = np.where((tokens >= 0) & (tokens < len(table)), tokens, -1)
-            return b"".join(map(table.__getitem__, known.tolist())).decode("utf-8", "replace")
-
-        return pa.concat_arrays([
-            pa.array([], pa.string()), *[pa.array([text(row) for row in lists[at: at + TEXTS]], pa.string()) for at in range(0, len(lists), TEXTS)]])
+    def decode_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from spelled_texts(batches, Vocabulary(vocabulary.value).bytes_of)
 
     return decode_ids.asNondeterministic()(ids)
 

@@ -6,6 +6,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,3 +152,15 @@ def test_rows_are_packed_in_order(monkeypatch):
     rows = [b"\1\0\0\0", None, b"", b"\2\0\0\0\3\0\0\0"]
     assert bpe._lists(iter(rows)).to_pylist() == [[1], None, [], [2, 3]]
     assert bpe._lists([]).to_pylist() == []
+
+
+def test_results_leave_a_task_some_texts_at_a_time():
+    """Before, the tokens and the texts of a whole batch were held until its end."""
+    texts = odd_texts(3 * bpe.TEXTS // 2) + [None, "y" * 5000]
+    lists = list(bpe.token_lists(iter([pa.array(texts), pa.array([], pa.string()), pa.array(texts[:3])]), bpe.Known(VOCABULARY)))
+    assert [len(x) for x in lists] == [bpe.TEXTS, bpe.TEXTS // 2 + 2, 3]
+    ids = pa.concat_arrays(lists).to_pylist()
+    assert ids == [None if t and len(t) == 5000 else library(t or "") for t in texts + texts[:3]]
+    back = list(bpe.spelled_texts(iter([pa.concat_arrays(lists)]), VOCABULARY.bytes_of))
+    assert max(map(len, back)) <= bpe.TEXTS and pa.concat_arrays(back).to_pylist() == [
+        LIBRARY.decode(i or [], skip_special_tokens=False) for i in ids]
