@@ -122,41 +122,58 @@ def _extent(x: np.ndarray, y: np.ndarray) -> int:
     n = min(len(x), len(y))
     if not n:
         return 0
-    score = np.cumsum(np.where(x[:n] == y[:n], 1, -CHANGED))
-    best = int(np.argmax(score))
-    return best + 1 if score[best] > 0 else 0
+    score = best = top = at = 0
+    for k in [*np.flatnonzero(x[:n] != y[:n]).tolist(), n]:
+        score += k - at
+        if score > top:
+            best, top = k, score
+        score, at = score - CHANGED, k + 1
+        if score + n - at <= top:
+            break
+    return best
 
 
 def similar(x: np.ndarray, y: np.ndarray, plan: Passages) -> bool:
     if len(x) == len(y) and (x == y).all():
         return True
-    x, y = (np.unique(shingle_hashes(z.astype(np.uint64), plan.shingle)) for z in (x, y))
+    return alike_sets(*(shingle_hashes(z.astype(np.uint64), plan.shingle) for z in (x, y)), plan)
+
+
+def alike_sets(x: np.ndarray, y: np.ndarray, plan: Passages) -> bool:
+    x, y = np.unique(x), np.unique(y)
     if min(len(x), len(y)) * 100 < max(len(x), len(y)) * plan.percent:
         return False
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both * 100 >= (len(x) + len(y) - both) * plan.percent
 
 
-def _grown(x, y, at, first, last, plan):
-    """The verified span around the keys from ``first`` to ``last``, each a (place, place in y); else None. x starts at ``at``."""
+def _grown(x, y, at, first, last, plan, shingles):
+    """The verified span around the keys from ``first`` to ``last``, each a (place, place in y); else None. x starts at ``at``.
+
+    ``shingles`` are those of x and of y at each place, if they are known.
+    """
     (p, q), (p_end, q_end) = first, (last[0] + GRAM, last[1] + GRAM)
     before = _extent(x[max(0, p - at - MARGIN): p - at][::-1], y[max(0, q - MARGIN): q][::-1])
     after = _extent(x[p_end - at: p_end - at + MARGIN], y[q_end: q_end + MARGIN])
     span = p - before, p_end + after, q - before, q_end + after
     if min(span[1] - span[0], span[3] - span[2]) < plan.min_words:
         return None
-    return span if similar(x[span[0] - at: span[1] - at], y[span[2]: span[3]], plan) else None
+    if not shingles:
+        return span if similar(x[span[0] - at: span[1] - at], y[span[2]: span[3]], plan) else None
+    less = plan.shingle - 1
+    return span if alike_sets(shingles[0][span[0] - at: span[1] - at - less], shingles[1][span[2]: span[3] - less], plan) else None
 
 
-def verified(x: np.ndarray, y: np.ndarray, at: int, p: np.ndarray, q: np.ndarray, plan: Passages) -> list[tuple]:
+def verified(x: np.ndarray, y: np.ndarray, at: int, p: np.ndarray, q: np.ndarray, plan: Passages, shingles: tuple | None = None) -> list[tuple]:
     """Spans (start, stop, start in y, stop in y) that a chain of shared keys proves; x holds the words from ``at`` on."""
     ends = (int(p[0]), int(q[0])), (int(p[-1]), int(q[-1]))
-    whole = _grown(x, y, at, *ends, plan)
+    whole = _grown(x, y, at, *ends, plan, shingles)
     if whole or len(p) == 1:
         return [whole] if whole else []
-    cuts = np.flatnonzero((np.diff(p) > BAND) | (np.diff(p) != np.diff(q))) + 1
+    step = p[1:] - p[:-1]
+    cuts = np.flatnonzero((step > BAND) | (step != q[1:] - q[:-1])) + 1
     edges = [0, *cuts.tolist(), len(p)]
-    pieces = [_grown(x, y, at, (int(p[i]), int(q[i])), (int(p[j - 1]), int(q[j - 1])), plan) for i, j in zip(edges, edges[1:])]
+    pieces = [_grown(x, y, at, (int(p[i]), int(q[i])), (int(p[j - 1]), int(q[j - 1])), plan, shingles) for i, j in zip(edges, edges[1:])]
     return [span for span in pieces if span]
 
 
@@ -164,9 +181,9 @@ def chains(p: np.ndarray, y: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.
     """The order of shared keys by text, diagonal and place, and the first of each chain with at last their number."""
     order = np.lexsort((p, y))
     p, y, q = p[order], y[order], q[order]
-    lean = p - q
-    far = (np.diff(y) != 0) | (np.diff(p) > GAP) | (np.abs(np.diff(lean)) > SHIFT) | (np.diff(q) < 0)
-    return order, np.r_[0, np.flatnonzero(far) + 1, len(p)] if len(p) else np.zeros(1, np.int64)
+    step, other = p[1:] - p[:-1], q[1:] - q[:-1]
+    far = (y[1:] != y[:-1]) | (step > GAP) | (np.abs(step - other) > SHIFT) | (other < 0)
+    return order, np.concatenate([[0], np.flatnonzero(far) + 1, [len(p)]]) if len(p) else np.zeros(1, np.int64)
 
 
 def _texts(column: pa.Array):
@@ -396,6 +413,49 @@ def _block_links(plan: Passages, batches):
         yield _batch(links, SPAN)
 
 
+def _ranges(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The numbers from each start to its stop, one range after the other."""
+    sizes = stop - start
+    return np.repeat(start - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+class _SharedShingles:
+    """Shingles that several of some word lists have, and the fewest different ones that ``min_words`` words of a list have."""
+
+    def __init__(self, words: list[np.ndarray], plan: Passages):
+        m, size = len(words), plan.min_words - plan.shingle + 1
+        owner = np.repeat(np.arange(m), [len(w) for w in words])
+        hashes = shingle_hashes(np.concatenate(words).astype(np.uint64), plan.shingle)
+        whole = owner[plan.shingle - 1:] == owner[:len(hashes)]
+        hashes, owner = hashes[whole], owner[:len(hashes)][whole]
+        n = len(hashes)
+        order = np.argsort(hashes, kind="stable")
+        by_hash, by_owner = hashes[order], owner[order]
+        new = np.r_[True, by_hash[1:] != by_hash[:-1]]
+        first = new | np.r_[True, by_owner[1:] != by_owner[:-1]]  # in its list
+        again = np.flatnonzero(~first)
+        # a shingle counts for the windows that begin after its place before, at most ``size`` back, and up to itself
+        at = np.arange(n)
+        opens = np.maximum(np.searchsorted(owner, owner), at - size + 1)
+        opens[order[again]] = np.maximum(opens[order[again]], order[again - 1] + 1)
+        different = np.cumsum(np.bincount(opens, minlength=n + 1) - np.bincount(at + 1))
+        starts = np.flatnonzero(owner[size - 1:] == owner[:max(0, n - size + 1)])
+        self.fewest = np.full(m, n + 1)
+        np.minimum.at(self.fewest, owner[starts], different[starts])
+        number, lists = np.cumsum(new)[first] - 1, by_owner[first]
+        several = np.bincount(number)[number] > 1
+        number, self.lists = number[several], lists[several]
+        start, stop = np.searchsorted(number, number), np.searchsorted(number, number, "right")
+        mine = np.argsort(self.lists, kind="stable")
+        self.start, self.stop = start[mine], stop[mine]
+        self.edges = np.searchsorted(self.lists[mine], np.arange(m + 1))
+
+    def common(self, i: int) -> np.ndarray:
+        """For each list, how many different shingles it has in common with list ``i``."""
+        own = slice(self.edges[i], self.edges[i + 1])
+        return np.bincount(self.lists[_ranges(self.start[own], self.stop[own])], minlength=len(self.fewest))
+
+
 def _block(places: list[dict], halves: bool, plan: Passages) -> list[tuple]:
     """``places`` in their order; with ``halves`` only those of different parts meet."""
     m, near = len(places), BAND - 1
@@ -410,15 +470,26 @@ def _block(places: list[dict], halves: bool, plan: Passages) -> list[tuple]:
     told = [r["told"] for r in places]
     label = {c: k for k, c in enumerate({r["cls"] for r in places} - {None})}
     root = np.array([m + label[r["cls"]] if r["cls"] is not None else i for i, r in enumerate(places)])
-    runs: list[np.ndarray | None] = [None] * m
-    table = None
+    runs: dict[int, tuple] = {}
+    every: dict[int, np.ndarray] = {}
+    shared = None
     links = []
 
-    def runs_of(i: int) -> np.ndarray:
-        if runs[i] is None:
-            runs[i] = run_hashes(words[i].astype(np.uint64), GRAM)
+    def runs_of(i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Different runs of a place's words, and the first and last place of each, counted from the key."""
+        if i not in runs:
+            found = run_hashes(words[i].astype(np.uint64), GRAM)
+            order = np.argsort(found, kind="stable")
+            found = found[order]
+            edges = np.flatnonzero(np.r_[True, found[1:] != found[:-1], True])
+            runs[i] = found[edges[:-1]], order[edges[:-1]] - keys[i], order[edges[1:] - 1] - keys[i]
         return runs[i]
 
+    def shingles_of(i: int) -> np.ndarray:
+        if i not in every:
+            every[i] = shingle_hashes(words[i].astype(np.uint64), plan.shingle)
+        return every[i]
+
     for i in range(1, m):
         open_ = root[:i] != root[i] if told[i] else np.ones(i, bool)
         if halves:
@@ -430,33 +501,31 @@ def _block(places: list[dict], halves: bool, plan: Passages) -> list[tuple]:
         js = js[sum(np.where(e.all(axis=1), near, e.argmin(axis=1)) for e in equal) >= near]
         if not len(js):
             continue
+        if plan.shingle <= GRAM:  # a span has at least the fewest shingles of its side, and most of them are on both
+            if shared is None:
+                shared = _SharedShingles(words, plan)
+            js = js[shared.common(i)[js] * 100 >= np.maximum(shared.fewest[js], shared.fewest[i]) * plan.percent]
+            if not len(js):
+                continue
         long = _alike(before[js] == before[i]) + _alike(after[js] == after[i]) + GRAM >= plan.min_words
-        if not long.all():  # then only another run of words off the key's diagonal may help
-            if table is None:
-                owner = np.concatenate([np.full(len(runs_of(k)), k) for k in range(m)])
-                lean = np.concatenate([np.arange(len(runs_of(k))) - keys[k] for k in range(m)])
-                table = np.concatenate([runs_of(k) for k in range(m)])
-                order = np.argsort(table, kind="stable")
-                table, owner, lean = table[order], owner[order], lean[order]
-            own = runs_of(i)
-            start, stop = np.searchsorted(table, own), np.searchsorted(table, own, "right")
-            sizes = stop - start
-            at = np.repeat(start - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-            off = np.zeros(m, bool)
-            off[owner[at][lean[at] != np.repeat(np.arange(len(own)) - keys[i], sizes)]] = True
-            js = js[long | off[js]]
-        for j in js.tolist():
+        for j, on_diagonal in zip(js.tolist(), long.tolist()):
             if told[i] and root[i] == root[j]:
                 continue
             x, y = places[i], places[j]
-            _, p, q = np.intersect1d(runs_of(i), runs_of(j), return_indices=True)
-            p, q = np.append(p, keys[i]), np.append(q, keys[j])
+            (a, p, p_last), (b, q, q_last) = runs_of(i), runs_of(j)
+            _, in_a, in_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+            p, q = p[in_a], q[in_b]
+            # then only another run of words off the key's diagonal may help
+            if not on_diagonal and (p == q_last[in_b]).all() and (q == p_last[in_a]).all():
+                continue
+            p, q = np.append(p, 0) + keys[i], np.append(q, 0) + keys[j]
             if x["digest"] == y["digest"]:
                 other = p + x["at"] != q + y["at"]
                 p, q = p[other], q[other]
+            both = (shingles_of(i), shingles_of(j)) if plan.shingle <= GRAM else None
             order, edges = chains(p, np.zeros(len(p), np.int64), q)
             for a, b in zip(edges, edges[1:]):
-                for span in verified(words[i], words[j], 0, p[order[a:b]], q[order[a:b]], plan):
+                for span in verified(words[i], words[j], 0, p[order[a:b]], q[order[a:b]], plan, both):
                     if x["digest"] == y["digest"] and span[0] + x["at"] <= span[2] + y["at"]:
                         continue
                     links.append((x["digest"], y["digest"], span[0] + x["at"], span[1] + x["at"], span[2] + y["at"], span[3] + y["at"]))
