@@ -504,7 +504,8 @@ def _block(places: list[dict], halves: bool, plan: Passages) -> list[tuple]:
         if plan.shingle <= GRAM:  # a span has at least the fewest shingles of its side, and most of them are on both
             if shared is None:
                 shared = _SharedShingles(words, plan)
-            js = js[shared.common(i)[js] * 100 >= np.maximum(shared.fewest[js], shared.fewest[i]) * plan.percent]
+            both, x, y = shared.common(i)[js], shared.fewest[i], shared.fewest[js]
+            js = js[(both * 100 >= np.maximum(x, y) * plan.percent) & (both * (100 + plan.percent) >= (x + y) * plan.percent)]
             if not len(js):
                 continue
         long = _alike(before[js] == before[i]) + _alike(after[js] == after[i]) + GRAM >= plan.min_words
@@ -513,7 +514,9 @@ def _block(places: list[dict], halves: bool, plan: Passages) -> list[tuple]:
                 continue
             x, y = places[i], places[j]
             (a, p, p_last), (b, q, q_last) = runs_of(i), runs_of(j)
-            _, in_a, in_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+            in_a = np.searchsorted(a[:-1], b)
+            in_b = np.flatnonzero(a[in_a] == b)
+            in_a = in_a[in_b]
             p, q = p[in_a], q[in_b]
             # then only another run of words off the key's diagonal may help
             if not on_diagonal and (p == q_last[in_b]).all() and (q == p_last[in_a]).all():
