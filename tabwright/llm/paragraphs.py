@@ -35,6 +35,7 @@ words of any length and texts of any length are taken whole; a text that repeats
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left
 from dataclasses import dataclass
 from functools import partial
 
@@ -117,13 +118,10 @@ def text_digest(words: np.ndarray) -> int:
     return int(mixed(mixed(words + place * ODD[30]).sum(dtype=np.uint64, keepdims=True)).view(np.int64)[0])
 
 
-def _extent(x: np.ndarray, y: np.ndarray) -> int:
-    """How far two texts go on alike; a changed word counts as ``CHANGED`` equal ones."""
-    n = min(len(x), len(y))
-    if not n:
-        return 0
+def _extent(wrong: list[int], n: int) -> int:
+    """How far ``n`` words go on alike, if those at ``wrong`` are changed; a changed word counts as ``CHANGED`` equal ones."""
     score = best = top = at = 0
-    for k in [*np.flatnonzero(x[:n] != y[:n]).tolist(), n]:
+    for k in [*wrong, n]:
         score += k - at
         if score > top:
             best, top = k, score
@@ -140,21 +138,23 @@ def similar(x: np.ndarray, y: np.ndarray, plan: Passages) -> bool:
 
 
 def alike_sets(x: np.ndarray, y: np.ndarray, plan: Passages) -> bool:
-    x, y = np.unique(x), np.unique(y)
+    x, y = set(x.tolist()), set(y.tolist())
     if min(len(x), len(y)) * 100 < max(len(x), len(y)) * plan.percent:
         return False
-    both = len(np.intersect1d(x, y, assume_unique=True))
+    both = len(x & y)
     return both * 100 >= (len(x) + len(y) - both) * plan.percent
 
 
-def _grown(x, y, at, first, last, plan, shingles):
+def _grown(x, y, at, first, last, plan, shingles, changed):
     """The verified span around the keys from ``first`` to ``last``, each a (place, place in y); else None. x starts at ``at``.
 
-    ``shingles`` are those of x and of y at each place, if they are known.
+    ``shingles`` are those of x and of y at each place, if they are known; ``changed`` remembers the changed words of a diagonal.
     """
     (p, q), (p_end, q_end) = first, (last[0] + GRAM, last[1] + GRAM)
-    before = _extent(x[max(0, p - at - MARGIN): p - at][::-1], y[max(0, q - MARGIN): q][::-1])
-    after = _extent(x[p_end - at: p_end - at + MARGIN], y[q_end: q_end + MARGIN])
+    wrong, n = changed(p - q), min(p - at, q, MARGIN)
+    before = _extent([p - 1 - k for k in reversed(wrong[bisect_left(wrong, p - n): bisect_left(wrong, p)])], n)
+    wrong, n = changed(p_end - q_end), min(at + len(x) - p_end, len(y) - q_end, MARGIN)
+    after = _extent([k - p_end for k in wrong[bisect_left(wrong, p_end): bisect_left(wrong, p_end + n)]], n)
     span = p - before, p_end + after, q - before, q_end + after
     if min(span[1] - span[0], span[3] - span[2]) < plan.min_words:
         return None
@@ -166,14 +166,26 @@ def _grown(x, y, at, first, last, plan, shingles):
 
 def verified(x: np.ndarray, y: np.ndarray, at: int, p: np.ndarray, q: np.ndarray, plan: Passages, shingles: tuple | None = None) -> list[tuple]:
     """Spans (start, stop, start in y, stop in y) that a chain of shared keys proves; x holds the words from ``at`` on."""
+    found: dict[int, list[int]] = {}
+    lean = p - q
+
+    def changed(on: int) -> list[int]:
+        """Places in x of the words around the chain's keys on a diagonal that are others in y."""
+        if on not in found:
+            mine = p[lean == on]
+            low = max(at, on, int(mine[0]) - MARGIN)
+            high = min(at + len(x), on + len(y), int(mine[-1]) + GRAM + MARGIN)
+            found[on] = (np.flatnonzero(x[low - at: high - at] != y[low - on: high - on]) + low).tolist()
+        return found[on]
+
     ends = (int(p[0]), int(q[0])), (int(p[-1]), int(q[-1]))
-    whole = _grown(x, y, at, *ends, plan, shingles)
-    if whole or len(p) == 1:
+    whole = _grown(x, y, at, *ends, plan, shingles, changed)
+    cuts = np.flatnonzero((p[1:] - p[:-1] > BAND) | (lean[1:] != lean[:-1])) + 1
+    if whole or not len(cuts):
         return [whole] if whole else []
-    step = p[1:] - p[:-1]
-    cuts = np.flatnonzero((step > BAND) | (step != q[1:] - q[:-1])) + 1
     edges = [0, *cuts.tolist(), len(p)]
-    pieces = [_grown(x, y, at, (int(p[i]), int(q[i])), (int(p[j - 1]), int(q[j - 1])), plan, shingles) for i, j in zip(edges, edges[1:])]
+    starts, stops = (list(zip(p[e].tolist(), q[e].tolist())) for e in (edges[:-1], [e - 1 for e in edges[1:]]))
+    pieces = [_grown(x, y, at, first, last, plan, shingles, changed) for first, last in zip(starts, stops)]
     return [span for span in pieces if span]
 
 
@@ -419,15 +431,22 @@ def _ranges(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     return np.repeat(start - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
 
 
+def _in_each(hashed, words: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes of the runs of ``size`` words inside each of some lists of as many words or more, whose each is, and where each list's begin."""
+    sizes = np.array([len(w) for w in words])
+    owner = np.repeat(np.arange(len(words)), sizes)
+    hashes = hashed(np.concatenate(words).astype(np.uint64))
+    whole = owner[size - 1:] == owner[:len(hashes)]
+    return hashes[whole], owner[:len(hashes)][whole], np.cumsum([0, *(sizes - size + 1)])
+
+
 class _SharedShingles:
     """Shingles that several of some word lists have, and the fewest different ones that ``min_words`` words of a list have."""
 
     def __init__(self, words: list[np.ndarray], plan: Passages):
         m, size = len(words), plan.min_words - plan.shingle + 1
-        owner = np.repeat(np.arange(m), [len(w) for w in words])
-        hashes = shingle_hashes(np.concatenate(words).astype(np.uint64), plan.shingle)
-        whole = owner[plan.shingle - 1:] == owner[:len(hashes)]
-        hashes, owner = hashes[whole], owner[:len(hashes)][whole]
+        hashes, owner, self.ends = _in_each(partial(shingle_hashes, size=plan.shingle), words, plan.shingle)
+        self.hashes = hashes
         n = len(hashes)
         order = np.argsort(hashes, kind="stable")
         by_hash, by_owner = hashes[order], owner[order]
@@ -436,7 +455,7 @@ class _SharedShingles:
         again = np.flatnonzero(~first)
         # a shingle counts for the windows that begin after its place before, at most ``size`` back, and up to itself
         at = np.arange(n)
-        opens = np.maximum(np.searchsorted(owner, owner), at - size + 1)
+        opens = np.maximum(self.ends[owner], at - size + 1)
         opens[order[again]] = np.maximum(opens[order[again]], order[again - 1] + 1)
         different = np.cumsum(np.bincount(opens, minlength=n + 1) - np.bincount(at + 1))
         starts = np.flatnonzero(owner[size - 1:] == owner[:max(0, n - size + 1)])
@@ -445,10 +464,10 @@ class _SharedShingles:
         number, lists = np.cumsum(new)[first] - 1, by_owner[first]
         several = np.bincount(number)[number] > 1
         number, self.lists = number[several], lists[several]
-        start, stop = np.searchsorted(number, number), np.searchsorted(number, number, "right")
         mine = np.argsort(self.lists, kind="stable")
-        self.start, self.stop = start[mine], stop[mine]
-        self.edges = np.searchsorted(self.lists[mine], np.arange(m + 1))
+        stop = np.cumsum(np.bincount(number))
+        self.start, self.stop = np.r_[0, stop][number[mine]], stop[number[mine]]
+        self.edges = np.cumsum(np.r_[0, np.bincount(self.lists, minlength=m)])
 
     def common(self, i: int) -> np.ndarray:
         """For each list, how many different shingles it has in common with list ``i``."""
@@ -471,25 +490,22 @@ def _block(places: list[dict], halves: bool, plan: Passages) -> list[tuple]:
     label = {c: k for k, c in enumerate({r["cls"] for r in places} - {None})}
     root = np.array([m + label[r["cls"]] if r["cls"] is not None else i for i, r in enumerate(places)])
     runs: dict[int, tuple] = {}
-    every: dict[int, np.ndarray] = {}
-    shared = None
+    shared = every = None
     links = []
 
     def runs_of(i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Different runs of a place's words, and the first and last place of each, counted from the key."""
+        nonlocal every
+        if every is None:
+            every, _, ends = _in_each(partial(run_hashes, size=GRAM), words, GRAM)
+            every = np.split(every, ends[1:-1])
         if i not in runs:
-            found = run_hashes(words[i].astype(np.uint64), GRAM)
-            order = np.argsort(found, kind="stable")
-            found = found[order]
-            edges = np.flatnonzero(np.r_[True, found[1:] != found[:-1], True])
+            order = np.argsort(every[i], kind="stable")
+            found = every[i][order]
+            edges = np.concatenate([[0], np.flatnonzero(found[1:] != found[:-1]) + 1, [len(found)]])
             runs[i] = found[edges[:-1]], order[edges[:-1]] - keys[i], order[edges[1:] - 1] - keys[i]
         return runs[i]
 
-    def shingles_of(i: int) -> np.ndarray:
-        if i not in every:
-            every[i] = shingle_hashes(words[i].astype(np.uint64), plan.shingle)
-        return every[i]
-
     for i in range(1, m):
         open_ = root[:i] != root[i] if told[i] else np.ones(i, bool)
         if halves:
@@ -521,11 +537,11 @@ def _block(places: list[dict], halves: bool, plan: Passages) -> list[tuple]:
             # then only another run of words off the key's diagonal may help
             if not on_diagonal and (p == q_last[in_b]).all() and (q == p_last[in_a]).all():
                 continue
-            p, q = np.append(p, 0) + keys[i], np.append(q, 0) + keys[j]
+            p, q = np.concatenate([p, [0]]) + keys[i], np.concatenate([q, [0]]) + keys[j]
             if x["digest"] == y["digest"]:
                 other = p + x["at"] != q + y["at"]
                 p, q = p[other], q[other]
-            both = (shingles_of(i), shingles_of(j)) if plan.shingle <= GRAM else None
+            both = shared and (shared.hashes[shared.ends[i]: shared.ends[i + 1]], shared.hashes[shared.ends[j]: shared.ends[j + 1]])
             order, edges = chains(p, np.zeros(len(p), np.int64), q)
             for a, b in zip(edges, edges[1:]):
                 for span in verified(words[i], words[j], 0, p[order[a:b]], q[order[a:b]], plan, both):
