@@ -118,16 +118,19 @@ def text_digest(words: np.ndarray) -> int:
     return int(mixed(mixed(words + place * ODD[30]).sum(dtype=np.uint64, keepdims=True)).view(np.int64)[0])
 
 
-def _extent(wrong: list[int], n: int) -> int:
-    """How far ``n`` words go on alike, if those at ``wrong`` are changed; a changed word counts as ``CHANGED`` equal ones."""
+def _extent(wrong: list[int], place: int, way: int, n: int) -> int:
+    """How far at most ``n`` words from ``place`` on, or before it, go on alike but for those at ``wrong``; a changed word counts as ``CHANGED`` equal ones."""
     score = best = top = at = 0
-    for k in [*wrong, n]:
+    i = bisect_left(wrong, place) - (way < 0)
+    while score + n - at > top:
+        k = n
+        if 0 <= i < len(wrong):
+            k = min(n, wrong[i] - place if way > 0 else place - 1 - wrong[i])
         score += k - at
         if score > top:
             best, top = k, score
         score, at = score - CHANGED, k + 1
-        if score + n - at <= top:
-            break
+        i += way
     return best
 
 
@@ -151,10 +154,11 @@ def _grown(x, y, at, first, last, plan, shingles, changed):
     ``shingles`` are those of x and of y at each place, if they are known; ``changed`` remembers the changed words of a diagonal.
     """
     (p, q), (p_end, q_end) = first, (last[0] + GRAM, last[1] + GRAM)
-    wrong, n = changed(p - q), min(p - at, q, MARGIN)
-    before = _extent([p - 1 - k for k in reversed(wrong[bisect_left(wrong, p - n): bisect_left(wrong, p)])], n)
-    wrong, n = changed(p_end - q_end), min(at + len(x) - p_end, len(y) - q_end, MARGIN)
-    after = _extent([k - p_end for k in wrong[bisect_left(wrong, p_end): bisect_left(wrong, p_end + n)]], n)
+    wrong = changed(p - q)
+    before = _extent(wrong, p, -1, min(p - at, q, MARGIN))
+    if p_end - q_end != p - q:
+        wrong = changed(p_end - q_end)
+    after = _extent(wrong, p_end, 1, min(at + len(x) - p_end, len(y) - q_end, MARGIN))
     span = p - before, p_end + after, q - before, q_end + after
     if min(span[1] - span[0], span[3] - span[2]) < plan.min_words:
         return None
