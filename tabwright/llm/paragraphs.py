@@ -179,7 +179,7 @@ def verified(x: np.ndarray, y: np.ndarray, at: int, p: np.ndarray, q: np.ndarray
             mine = p[lean == on]
             low = max(at, on, int(mine[0]) - MARGIN)
             high = min(at + len(x), on + len(y), int(mine[-1]) + GRAM + MARGIN)
-            found[on] = (np.flatnonzero(x[low - at: high - at] != y[low - on: high - on]) + low).tolist()
+            found[on] = ((x[low - at: high - at] != y[low - on: high - on]).nonzero()[0] + low).tolist()
         return found[on]
 
     ends = (int(p[0]), int(q[0])), (int(p[-1]), int(q[-1]))
@@ -388,17 +388,16 @@ def _contexts(plan: Passages, kind: pa.DataType, batches):
     types = [kind, pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
     for batch in batches:
         rows = []
-        ids, wanted, met = batch.column("id"), batch.column("digest").to_pylist(), batch.column("met")
+        ids, wanted, met = batch.column("id").to_pylist(), batch.column("digest").to_pylist(), batch.column("met")
+        ends, fields = met.offsets.to_pylist(), [met.values.field(c).to_pylist() for c in ("key", "place", "cls", "told")]
         for k, text in enumerate(_texts(batch.column("text"))):
             words = word_hashes(text, lower=True)
             if len(words) < plan.min_words or text_digest(words) != wanted[k]:
                 continue
             short = (words >> np.uint64(32)).astype(np.uint32)
-            for m in met[k]:
-                m = m.as_py()
-                at = max(0, m["place"] - CONTEXT)
-                rows.append((ids[k].as_py(), wanted[k], m["key"], m["place"], m["cls"], m["told"], at,
-                             short[at: m["place"] + GRAM + CONTEXT].tobytes()))
+            for key, place, cls, told in zip(*(f[ends[k]: ends[k + 1]] for f in fields)):
+                at = max(0, place - CONTEXT)
+                rows.append((ids[k], wanted[k], key, place, cls, told, at, short[at: place + GRAM + CONTEXT].tobytes()))
                 if len(rows) >= 4 * BLOCK:
                     yield batch_of(rows)
                     rows = []
@@ -504,10 +503,10 @@ def _block(places: list[dict], halves: bool, plan: Passages) -> list[tuple]:
             every, _, ends = _in_each(partial(run_hashes, size=GRAM), words, GRAM)
             every = np.split(every, ends[1:-1])
         if i not in runs:
-            order = np.argsort(every[i], kind="stable")
+            order = np.argsort(every[i])
             found = every[i][order]
-            edges = np.concatenate([[0], np.flatnonzero(found[1:] != found[:-1]) + 1, [len(found)]])
-            runs[i] = found[edges[:-1]], order[edges[:-1]] - keys[i], order[edges[1:] - 1] - keys[i]
+            new = np.concatenate([[0], (found[1:] != found[:-1]).nonzero()[0] + 1])
+            runs[i] = found[new], np.minimum.reduceat(order, new) - keys[i], np.maximum.reduceat(order, new) - keys[i]
         return runs[i]
 
     for i in range(1, m):
