@@ -17,7 +17,8 @@ word for every 45, so some 24 words in a row are unchanged and at least one key
   two such stretches agree on most words where they begin or end together, and what is inside one repeats its own first turn.
 * A key of three or more places is then looked at again, at every place of it: two places meet unless the later one is removed already and
   both are in one component. Their words, ``CONTEXT`` on either side, are compared in blocks of at most two times ``BLOCK`` places inside tasks: first
-  by the equal words around the key, of which every similar pair has a key with ``GRAM + BAND - 1``, then as above. Only links come out.
+  by the equal words around the key, of which every similar pair has a key with ``GRAM + BAND - 1``, then by the different shingles
+  that both have, of which a span needs most of the fewest in any ``min_words`` words, then as above. Only links come out.
 * Verified spans that overlap in a text are one passage; passages are the nodes and verified pairs the links of components. Every span
   that has an earlier equal is removed; ``first_`` is the document of the component's first passage, which stays.
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -275,3 +276,44 @@ def test_a_block_may_reach_over_batches():
     links = [r for b in paragraphs._block_links(PLAN, table.to_batches(max_chunksize=3)) for r in b.to_pylist()]
     assert {(r["x"], r["start"], r["stop"]) for r in links} == {(k, 30, 90) for k in (1, 2, 3)} and len(links) == 3 * 3
     assert list(paragraphs._block_links(PLAN, [])) == []
+
+
+def test_places_in_runs_of_one_word_need_little_memory():
+    """Before, each run of 13 words of a place met each equal one of all places: 4 million pairs a place here."""
+    rng = np.random.default_rng(21)
+    rows = []
+    for digest in range(400):
+        words = [rng.integers(0, 1 << 31, 9, dtype=np.uint32)]
+        for _ in range(4):
+            words += [np.full(45, 7, np.uint32), rng.integers(0, 1 << 31, 3, dtype=np.uint32)]
+        rows.append(dict(key=7, lo=0, hi=0, id=digest, digest=digest, place=57, part=0, cls=None, told=False, at=0, words=np.concatenate(words)[:57 + GRAM + paragraphs.CONTEXT].tobytes()))
+    tracemalloc.start()
+    links = paragraphs._block(rows, False, PLAN)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert links == [] and peak < 40 << 20
+
+
+def test_shared_shingles_equal_brute_force():
+    rng = np.random.default_rng(22)
+    lists = [rng.integers(0, 3, rng.integers(GRAM, 140)).astype(np.uint32) for _ in range(20)]
+    lists += [np.full(90, 1, np.uint32), np.tile(np.arange(31, dtype=np.uint32), 5), lists[0]]
+    found = paragraphs._SharedShingles(lists, PLAN)
+    sets = [shingles(x.tolist()) for x in lists]
+    for i, x in enumerate(lists):
+        assert found.common(i).tolist()[:i] == [len(sets[i] & s) for s in sets[:i]]
+        if len(x) >= PLAN.min_words:
+            assert found.fewest[i] == min(len(shingles(x[k: k + PLAN.min_words].tolist())) for k in range(len(x) - PLAN.min_words + 1))
+        else:
+            assert found.fewest[i] > sum(len(y) - 4 for y in lists)
+
+
+def test_a_span_goes_on_as_its_score_tells():
+    rng = random.Random(23)
+    for _ in range(500):
+        n = rng.randrange(65)
+        wrong = sorted(rng.sample(range(100, 100 + n), rng.randrange(min(n, 6) + 1))) if n else []
+        score = np.cumsum([-paragraphs.CHANGED if k in wrong else 1 for k in range(100, 100 + n)])
+        best = int(np.argmax(score)) + 1 if n and score.max() > 0 else 0
+        assert paragraphs._extent(wrong, 100, 1, n) == best
+        assert paragraphs._extent([199 - k for k in reversed(wrong)], 100, -1, n) == best
