@@ -64,6 +64,9 @@ CHANGED = 20  # words that must follow a changed one for a span to go on across
 MASS = 1 << 20  # bytes of chains that one task holds beside a hub's text
 CONTEXT = 128  # words before and after a key that travel with it to the blocks
 BLOCK = 1024  # places of a key in one half of a block
+OPEN = 4096  # about the pairs of places of a block that are looked at at a time
+LEAST, PAIRS = 16, 512  # fewest and most pairs that are compared at a time
+SPANS = 4096  # most spans that are extended at a time
 HUBS = 100_000  # most hubs (20 bytes each) in a broadcast; beyond it only those of heavy keys are
 
 
@@ -138,21 +141,20 @@ def _extent(wrong: list[int], place: int, way: int, n: int) -> int:
 def similar(x: np.ndarray, y: np.ndarray, plan: Passages) -> bool:
     if len(x) == len(y) and (x == y).all():
         return True
-    return alike_sets(*(shingle_hashes(z.astype(np.uint64), plan.shingle) for z in (x, y)), plan)
+    return alike_sets(*(set(shingle_hashes(z.astype(np.uint64), plan.shingle).tolist()) for z in (x, y)), plan)
 
 
-def alike_sets(x: np.ndarray, y: np.ndarray, plan: Passages) -> bool:
-    x, y = set(x.tolist()), set(y.tolist())
+def alike_sets(x: set, y: set, plan: Passages) -> bool:
     if min(len(x), len(y)) * 100 < max(len(x), len(y)) * plan.percent:
         return False
     both = len(x & y)
     return both * 100 >= (len(x) + len(y) - both) * plan.percent
 
 
-def _grown(x, y, at, first, last, plan, shingles, changed):
+def _grown(x, y, at, first, last, plan, changed):
     """The verified span around the keys from ``first`` to ``last``, each a (place, place in y); else None. x starts at ``at``.
 
-    ``shingles`` are those of x and of y at each place, if they are known; ``changed`` remembers the changed words of a diagonal.
+    ``changed`` remembers the changed words of a diagonal.
     """
     (p, q), (p_end, q_end) = first, (last[0] + GRAM, last[1] + GRAM)
     wrong = changed(p - q)
@@ -163,13 +165,10 @@ def _grown(x, y, at, first, last, plan, shingles, changed):
     span = p - before, p_end + after, q - before, q_end + after
     if min(span[1] - span[0], span[3] - span[2]) < plan.min_words:
         return None
-    if not shingles:
-        return span if similar(x[span[0] - at: span[1] - at], y[span[2]: span[3]], plan) else None
-    less = plan.shingle - 1
-    return span if alike_sets(shingles[0][span[0] - at: span[1] - at - less], shingles[1][span[2]: span[3] - less], plan) else None
+    return span if similar(x[span[0] - at: span[1] - at], y[span[2]: span[3]], plan) else None
 
 
-def verified(x: np.ndarray, y: np.ndarray, at: int, p: np.ndarray, q: np.ndarray, plan: Passages, shingles: tuple | None = None) -> list[tuple]:
+def verified(x: np.ndarray, y: np.ndarray, at: int, p: np.ndarray, q: np.ndarray, plan: Passages) -> list[tuple]:
     """Spans (start, stop, start in y, stop in y) that a chain of shared keys proves; x holds the words from ``at`` on."""
     found: dict[int, list[int]] = {}
     lean = p - q
@@ -184,13 +183,13 @@ def verified(x: np.ndarray, y: np.ndarray, at: int, p: np.ndarray, q: np.ndarray
         return found[on]
 
     ends = (int(p[0]), int(q[0])), (int(p[-1]), int(q[-1]))
-    whole = _grown(x, y, at, *ends, plan, shingles, changed)
+    whole = _grown(x, y, at, *ends, plan, changed)
     cuts = np.flatnonzero((p[1:] - p[:-1] > BAND) | (lean[1:] != lean[:-1])) + 1
     if whole or not len(cuts):
         return [whole] if whole else []
     edges = [0, *cuts.tolist(), len(p)]
     starts, stops = (list(zip(p[e].tolist(), q[e].tolist())) for e in (edges[:-1], [e - 1 for e in edges[1:]]))
-    pieces = [_grown(x, y, at, first, last, plan, shingles, changed) for first, last in zip(starts, stops)]
+    pieces = [_grown(x, y, at, first, last, plan, changed) for first, last in zip(starts, stops)]
     return [span for span in pieces if span]
 
 
@@ -413,6 +412,11 @@ def _alike(equal: np.ndarray) -> np.ndarray:
     return np.where(score[np.arange(len(score)), best] > 0, best + 1, 0)
 
 
+def _equal(rows: np.ndarray) -> np.ndarray:
+    """For each row, how many are equal before the first other one."""
+    return np.where(rows.all(axis=1), rows.shape[1], rows.argmin(axis=1))
+
+
 def _block_links(plan: Passages, batches):
     """Verified spans of the places of one key, each with the earlier ones that it has to meet; a block is the rows in a row of one (key, lo, hi)."""
     block, places, links = None, [], []
@@ -444,18 +448,42 @@ def _in_each(hashed, words: list[np.ndarray], size: int) -> tuple[np.ndarray, np
     return hashes[whole], owner[:len(hashes)][whole], np.cumsum([0, *(sizes - size + 1)])
 
 
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Which values are not the one before."""
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return new
+
+
+def _edges(owner: np.ndarray, m: int) -> np.ndarray:
+    """Where the first of each of m owners in order is, and at last their number."""
+    edges = np.zeros(m + 1, np.int64)
+    np.cumsum(np.bincount(owner, minlength=m), out=edges[1:])
+    return edges
+
+
+def _numbered(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the hashes by value, equal ones by place, and in this order the number of each different value."""
+    order = np.argsort(hashes)
+    found = hashes[order]
+    number = np.cumsum(_changes(found)) - 1
+    by_place = number * len(order) + order  # faster than a stable order from the start
+    by_place.sort()
+    return by_place % len(order), number
+
+
 class _SharedShingles:
     """Shingles that several of some word lists have, and the fewest different ones that ``min_words`` words of a list have."""
 
     def __init__(self, words: list[np.ndarray], plan: Passages):
         m, size = len(words), plan.min_words - plan.shingle + 1
         hashes, owner, self.ends = _in_each(partial(shingle_hashes, size=plan.shingle), words, plan.shingle)
-        self.hashes = hashes
         n = len(hashes)
-        order = np.argsort(hashes, kind="stable")
-        by_hash, by_owner = hashes[order], owner[order]
-        new = np.r_[True, by_hash[1:] != by_hash[:-1]]
-        first = new | np.r_[True, by_owner[1:] != by_owner[:-1]]  # in its list
+        order, ids = _numbered(hashes)
+        by_owner = owner[order]
+        self.number = np.empty(n, np.int64)
+        self.number[order] = ids
+        first = _changes(ids) | _changes(by_owner)  # in its list
         again = np.flatnonzero(~first)
         # a shingle counts for the windows that begin after its place before, at most ``size`` back, and up to itself
         at = np.arange(n)
@@ -465,96 +493,193 @@ class _SharedShingles:
         starts = np.flatnonzero(owner[size - 1:] == owner[:max(0, n - size + 1)])
         self.fewest = np.full(m, n + 1)
         np.minimum.at(self.fewest, owner[starts], different[starts])
-        number, lists = np.cumsum(new)[first] - 1, by_owner[first]
+        number, lists = ids[first], by_owner[first]
         several = np.bincount(number)[number] > 1
         number, self.lists = number[several], lists[several]
-        mine = np.argsort(self.lists, kind="stable")
+        mine = np.argsort(self.lists.astype(np.min_scalar_type(m)), kind="stable")
         stop = np.cumsum(np.bincount(number))
-        self.start, self.stop = np.r_[0, stop][number[mine]], stop[number[mine]]
-        self.edges = np.cumsum(np.r_[0, np.bincount(self.lists, minlength=m)])
+        self.start, self.stop = (stop - np.bincount(number))[number[mine]], mine  # of the lists before it that have a shingle
+        self.edges = _edges(self.lists, m)
 
     def common(self, i: int) -> np.ndarray:
-        """For each list, how many different shingles it has in common with list ``i``."""
-        own = slice(self.edges[i], self.edges[i + 1])
-        return np.bincount(self.lists[_ranges(self.start[own], self.stop[own])], minlength=len(self.fewest))
+        """For each list before list ``i``, how many different shingles it has in common with it; no number for the others."""
+        return self.counts(i, i + 1)[0]
+
+    def counts(self, low: int, high: int) -> np.ndarray:
+        """``common`` of each list from ``low`` to before ``high``."""
+        m, own = len(self.fewest), slice(self.edges[low], self.edges[high])
+        start, stop = self.start[own], self.stop[own]
+        row = np.repeat(np.arange(high - low), np.diff(self.edges[low: high + 1]))
+        met = np.repeat(row * m, stop - start) + self.lists[_ranges(start, stop)]
+        return np.bincount(met, minlength=(high - low) * m).reshape(high - low, m)
+
+    def alike(self, i: np.ndarray, j: np.ndarray, spans: np.ndarray, plan: Passages) -> np.ndarray:
+        """Which of the spans (start, stop, start in the other, its stop) of lists i and j have similar sets of shingles."""
+        most, less, sets = len(self.number), plan.shingle - 1, []
+        for k, start, stop in ((i, spans[:, 0], spans[:, 1]), (j, spans[:, 2], spans[:, 3])):
+            start, stop = self.ends[k] + start, self.ends[k] + stop - less
+            held = np.repeat(np.arange(len(k)) * most, stop - start) + self.number[_ranges(start, stop)]
+            held.sort()
+            sets.append(held[_changes(held)])
+        every = np.concatenate(sets)
+        every.sort()
+        both = np.bincount(every[1:][every[1:] == every[:-1]] // most, minlength=len(i))
+        return both * 100 >= (np.bincount(every // most, minlength=len(i)) - both) * plan.percent
+
+
+class _Around:
+    """The words around the places of a block, and what pairs (i, j) of them have in common; pairs come in order, as arrays."""
+
+    def __init__(self, places: list[dict], plan: Passages):
+        m = len(places)
+        self.plan, self.words = plan, [np.frombuffer(r["words"], np.uint32) for r in places]
+        self.digests, self.at, place = (np.array([r[c] for r in places], np.int64) for c in ("digest", "at", "place"))
+        self.keys = place - self.at  # where the key is in its words
+        self.sizes = np.array([len(w) for w in self.words])
+        self.starts, self.flat = np.cumsum(self.sizes) - self.sizes, np.concatenate(self.words)
+        # words before the key, from it outwards, and after it; what is outside of a text equals nothing
+        self.before, self.after = (np.repeat(-1 - np.arange(m, dtype=np.int64)[:, None], CONTEXT, axis=1) for _ in range(2))
+        for i, (w, k) in enumerate(zip(self.words, self.keys.tolist())):
+            self.before[i, :k] = w[:k][::-1]
+            self.after[i, :len(w) - k - GRAM] = w[k + GRAM:]
+        self.shared = self.runs = None
+
+    def near(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs have equal words around the key for another key at least."""
+        most = BAND - 1
+        return sum(_equal(words[i, :most] == words[j, :most]) for words in (self.before, self.after)) >= most
+
+    def bounded(self, low: int, high: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs have shingles enough in common: a span has at least the fewest of its side, and most of them are on both."""
+        if self.plan.shingle > GRAM:
+            return np.ones(len(i), bool)
+        self.shared = self.shared or _SharedShingles(self.words, self.plan)
+        both, x, y = self.shared.counts(low, high)[i - low, j], self.shared.fewest[i], self.shared.fewest[j]
+        return (both * 100 >= np.maximum(x, y) * self.plan.percent) & (both * (100 + self.plan.percent) >= (x + y) * self.plan.percent)
+
+    def met(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(k, p, p_last, q, q_last) of the different runs that both sides of pair k have: their first and last places, counted from the key."""
+        if self.runs is None:
+            hashes, owner, ends = _in_each(partial(run_hashes, size=GRAM), self.words, GRAM)
+            order, number = _numbered(hashes)
+            owner = owner[order]
+            new = _changes(number) | _changes(owner)
+            at = np.flatnonzero(new)
+            place = order - (ends[:-1] + self.keys)[owner]
+            first, last = place[at], place[np.append(at[1:], len(place)) - 1]
+            number, owner = number[at], owner[at]
+            kept = np.flatnonzero(np.bincount(number)[number] > 1)
+            kept = kept[np.argsort(owner[kept].astype(np.min_scalar_type(len(self.words))), kind="stable")]
+            edges = _edges(owner[kept], len(self.words))
+            self.runs = len(hashes), number[kept], owner[kept] * len(hashes) + number[kept], first[kept], last[kept], edges
+        most, number, sought, first, last, edges = self.runs
+        start, stop = edges[j], edges[j + 1]
+        k, b = np.repeat(np.arange(len(j)), stop - start), _ranges(start, stop)
+        wanted = i[k] * most + number[b]
+        a = np.searchsorted(sought, wanted)
+        same = np.flatnonzero(sought.take(a, mode="clip") == wanted)
+        a, b = a[same], b[same]
+        return k[same], first[a], last[a], first[b], last[b]
+
+    def extents(self, i: np.ndarray, j: np.ndarray, p: np.ndarray, q: np.ndarray, way: int) -> np.ndarray:
+        """``_extent`` from each place p of a list and q of another one on, or before them."""
+        if way < 0:
+            most = np.minimum(p, q)
+            p, q = p - 1, q - 1
+        else:
+            most = np.minimum(self.sizes[i] - p, self.sizes[j] - q)
+        step = np.arange(MARGIN)
+        x, y = (self.flat.take(at[:, None] + way * step, mode="clip") for at in (self.starts[i] + p, self.starts[j] + q))
+        return _alike((x == y) & (step < most[:, None]))
+
+    def spans(self, i: np.ndarray, j: np.ndarray) -> list[tuple]:
+        """(k, span) of the spans that the shared runs of each pair k prove, as ``verified`` does."""
+        long = _alike(self.before[i] == self.before[j]) + _alike(self.after[i] == self.after[j]) + GRAM >= self.plan.min_words
+        k, p, p_last, q, q_last = self.met(i, j)
+        # off the key's diagonal only another run of words may help
+        useful = long | (np.bincount(k[(p != q_last) | (q != p_last)], minlength=len(j)) > 0)
+        some, more = useful[k], np.flatnonzero(useful)
+        k = np.concatenate([k[some], more])
+        p, q = (np.concatenate([c[some], np.zeros(len(more), np.int64)]) for c in (p, q))
+        p, q = p + self.keys[i[k]], q + self.keys[j[k]]
+        other = (self.digests[i[k]] != self.digests[j[k]]) | (p + self.at[i[k]] != q + self.at[j[k]])
+        k, p, q = k[other], p[other], q[other]
+        order, edges = chains(p, k, q)
+        if len(edges) == 1:
+            return []
+        k, p, q = k[order], p[order], q[order]
+        cut = _changes(p - q)
+        cut[1:] |= p[1:] - p[:-1] > BAND
+        cut[edges[:-1]] = True
+        pieces = np.flatnonzero(cut)
+        chain = np.searchsorted(edges, pieces, side="right") - 1
+        several = np.bincount(chain)[chain] > 1
+        # of each chain the whole, and then its pieces if there are several
+        stops = np.append(pieces[1:], len(p))
+        first, last = np.concatenate([edges[:-1], pieces[several]]), np.concatenate([edges[1:], stops[several]]) - 1
+        chain = np.concatenate([np.arange(len(edges) - 1), chain[several]])
+        whole = np.arange(len(chain)) < len(edges) - 1
+        found = np.empty((len(first), 4), np.int64)
+        for at in range(0, len(first), SPANS):
+            a, b = first[at: at + SPANS], last[at: at + SPANS]
+            x, y = i[k[a]], j[k[a]]
+            before, after = self.extents(x, y, p[a], q[a], -1), self.extents(x, y, p[b] + GRAM, q[b] + GRAM, 1)
+            found[at: at + SPANS] = np.stack([p[a] - before, p[b] + GRAM + after, q[a] - before, q[b] + GRAM + after], axis=1)
+        some = np.flatnonzero((found[:, 1::2] - found[:, ::2]).min(axis=1) >= self.plan.min_words)
+        if not len(some):
+            return []
+        k = k[first[some]]
+        if self.shared:
+            proved = self.shared.alike(i[k], j[k], found[some], self.plan)
+        else:
+            proved = np.array([similar(self.words[i[n]][a:b], self.words[j[n]][c:d], self.plan) for n, (a, b, c, d) in zip(k.tolist(), found[some].tolist())])
+        some, k = some[proved], k[proved]
+        done = np.zeros(len(edges) - 1, bool)
+        done[chain[some[whole[some]]]] = True
+        left = whole[some] | ~done[chain[some]]
+        some, k = some[left], k[left]
+        order = np.argsort(chain[some], kind="stable")
+        return list(zip(k[order].tolist(), found[some[order]].tolist()))
 
 
 def _block(places: list[dict], halves: bool, plan: Passages) -> list[tuple]:
     """``places`` in their order; with ``halves`` only those of different parts meet."""
-    m, near = len(places), BAND - 1
-    words = [np.frombuffer(r["words"], np.uint32) for r in places]
-    keys = [r["place"] - r["at"] for r in places]  # where the key is in its words
-    # words before the key, from it outwards, and after it; what is outside of a text equals nothing
-    before, after = (np.repeat(-1 - np.arange(m, dtype=np.int64)[:, None], CONTEXT, axis=1) for _ in range(2))
-    for i, (w, k) in enumerate(zip(words, keys)):
-        before[i, :k] = w[:k][::-1]
-        after[i, :len(w) - k - GRAM] = w[k + GRAM:]
+    if len(places) < 2:
+        return []
+    m, around = len(places), _Around(places, plan)
     part = np.array([r["part"] for r in places])
-    told = [r["told"] for r in places]
+    told = np.array([r["told"] for r in places])
     label = {c: k for k, c in enumerate({r["cls"] for r in places} - {None})}
     root = np.array([m + label[r["cls"]] if r["cls"] is not None else i for i, r in enumerate(places)])
-    runs: dict[int, tuple] = {}
-    shared = every = None
-    links = []
-
-    def runs_of(i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Different runs of a place's words, and the first and last place of each, counted from the key."""
-        nonlocal every
-        if every is None:
-            every, _, ends = _in_each(partial(run_hashes, size=GRAM), words, GRAM)
-            every = np.split(every, ends[1:-1])
-        if i not in runs:
-            order = np.argsort(every[i])
-            found = every[i][order]
-            new = np.concatenate([[0], (found[1:] != found[:-1]).nonzero()[0] + 1])
-            runs[i] = found[new], np.minimum.reduceat(order, new) - keys[i], np.maximum.reduceat(order, new) - keys[i]
-        return runs[i]
-
-    for i in range(1, m):
-        open_ = root[:i] != root[i] if told[i] else np.ones(i, bool)
+    keys, links, low, size = around.keys.tolist(), [], 1, LEAST
+    while low < m:
+        high = min(m, low + max(1, OPEN // m))
+        i, j = np.arange(low, high).repeat(np.arange(low, high)), _ranges(np.zeros(high - low, np.int64), np.arange(low, high))
+        keep = ~told[i] | (root[i] != root[j])
         if halves:
-            open_ &= part[:i] != part[i]
-        js = np.flatnonzero(open_)
-        if not len(js):
-            continue
-        equal = before[js, :near] == before[i, :near], after[js, :near] == after[i, :near]
-        js = js[sum(np.where(e.all(axis=1), near, e.argmin(axis=1)) for e in equal) >= near]
-        if not len(js):
-            continue
-        if plan.shingle <= GRAM:  # a span has at least the fewest shingles of its side, and most of them are on both
-            if shared is None:
-                shared = _SharedShingles(words, plan)
-            both, x, y = shared.common(i)[js], shared.fewest[i], shared.fewest[js]
-            js = js[(both * 100 >= np.maximum(x, y) * plan.percent) & (both * (100 + plan.percent) >= (x + y) * plan.percent)]
-            if not len(js):
-                continue
-        long = _alike(before[js] == before[i]) + _alike(after[js] == after[i]) + GRAM >= plan.min_words
-        for j, on_diagonal in zip(js.tolist(), long.tolist()):
-            if told[i] and root[i] == root[j]:
-                continue
-            x, y = places[i], places[j]
-            (a, p, p_last), (b, q, q_last) = runs_of(i), runs_of(j)
-            in_a = np.searchsorted(a[:-1], b)
-            in_b = np.flatnonzero(a[in_a] == b)
-            in_a = in_a[in_b]
-            p, q = p[in_a], q[in_b]
-            # then only another run of words off the key's diagonal may help
-            if not on_diagonal and (p == q_last[in_b]).all() and (q == p_last[in_a]).all():
-                continue
-            p, q = np.concatenate([p, [0]]) + keys[i], np.concatenate([q, [0]]) + keys[j]
-            if x["digest"] == y["digest"]:
-                other = p + x["at"] != q + y["at"]
-                p, q = p[other], q[other]
-            both = shared and (shared.hashes[shared.ends[i]: shared.ends[i + 1]], shared.hashes[shared.ends[j]: shared.ends[j + 1]])
-            order, edges = chains(p, np.zeros(len(p), np.int64), q)
-            for a, b in zip(edges, edges[1:]):
-                for span in verified(words[i], words[j], 0, p[order[a:b]], q[order[a:b]], plan, both):
-                    if x["digest"] == y["digest"] and span[0] + x["at"] <= span[2] + y["at"]:
-                        continue
-                    links.append((x["digest"], y["digest"], span[0] + x["at"], span[1] + x["at"], span[2] + y["at"], span[3] + y["at"]))
-                    if span[0] <= keys[i] and keys[i] + GRAM <= span[1] and span[2] <= keys[j] and keys[j] + GRAM <= span[3]:
-                        told[i] = True
-                        root[root == root[j]] = root[i]
+            keep &= part[i] != part[j]
+        i, j = i[keep], j[keep]
+        for meet in (around.near, partial(around.bounded, low, high)):
+            if len(i):
+                keep = meet(i, j)
+                i, j = i[keep], j[keep]
+        low = high
+        while len(i):
+            these, others, pair = i[:size].tolist(), j[:size].tolist(), None
+            for k, span in around.spans(i[:size], j[:size]):
+                a, b = these[k], others[k]
+                if k != pair:
+                    pair, over = k, told[a] and root[a] == root[b]
+                x, y = places[a], places[b]
+                if over or x["digest"] == y["digest"] and span[0] + x["at"] <= span[2] + y["at"]:
+                    continue
+                links.append((x["digest"], y["digest"], span[0] + x["at"], span[1] + x["at"], span[2] + y["at"], span[3] + y["at"]))
+                if span[0] <= keys[a] and keys[a] + GRAM <= span[1] and span[2] <= keys[b] and keys[b] + GRAM <= span[3]:
+                    told[a] = True
+                    root[root == root[b]] = root[a]
+            left = ~told[i] | (root[i] != root[j])
+            # a pair that an earlier one makes needless is compared in vain if it comes with it
+            i, j, size = i[size:][left[size:]], j[size:][left[size:]], min(2 * size, PAIRS) if left[:size].mean() > 0.5 else LEAST
     return links
 
 

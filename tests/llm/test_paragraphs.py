@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import sys
 import tracemalloc
 
 import numpy as np
@@ -294,6 +295,79 @@ def test_places_in_runs_of_one_word_need_little_memory():
     assert links == [] and peak < 40 << 20
 
 
+def family(rng, texts: int, changes) -> list[dict]:
+    """Places of one key in texts that are copies of one another; ``changes`` are made to the words around it."""
+    base = rng.integers(0, 1 << 31, 300, dtype=np.uint32)
+    rows = []
+    for digest in range(texts):
+        before, key, after = changes(base[:130].copy()), base[130:154], changes(base[154:].copy())
+        words = np.concatenate([before, key, after])
+        place = len(before)
+        at = max(0, place - paragraphs.CONTEXT)
+        rows.append(dict(key=7, lo=0, hi=0, id=digest, digest=digest, place=place, part=0, cls=None, told=False, at=at,
+                         words=words[at: place + GRAM + paragraphs.CONTEXT].tobytes()))
+    return rows
+
+
+def test_spans_of_many_pairs_equal_those_of_each_pair():
+    rng = np.random.default_rng(24)
+
+    def changes(words):
+        for at in rng.integers(0, len(words), 3):
+            words[at] = rng.integers(0, 1 << 31)
+        if rng.random() < 0.5:  # a word lost, a word put in, a run of one word
+            at = rng.integers(0, len(words), 2)
+            words = np.insert(np.delete(words, at[0]), min(at[1], len(words) - 1), 9)
+        if rng.random() < 0.3:
+            words[20:20 + rng.integers(20, 70)] = 9
+        return words
+
+    rows = family(rng, 40, changes)
+    around = paragraphs._Around(rows, PLAN)
+    i, j = np.tril_indices(len(rows), -1)
+    assert around.bounded(1, len(rows), i[:780], j[:780]).any()
+    got = {}
+    for k, span in around.spans(i, j):
+        got.setdefault((int(i[k]), int(j[k])), []).append(tuple(span))
+    want = {}
+    lists = [np.frombuffer(r["words"], np.uint32) for r in rows]
+    runs = [{} for _ in rows]
+    for held, words in zip(runs, lists):
+        for at, h in enumerate(paragraphs.run_hashes(words.astype(np.uint64), GRAM).tolist()):
+            held.setdefault(h, at)
+    for a, b in zip(i.tolist(), j.tolist()):
+        both = [(at, runs[b][h]) for h, at in runs[a].items() if h in runs[b]] + [tuple(rows[k]["place"] - rows[k]["at"] for k in (a, b))]
+        p, q = np.array(both).T
+        order, edges = paragraphs.chains(p, np.zeros(len(p), np.int64), q)
+        found = [s for x, y in zip(edges, edges[1:]) for s in paragraphs.verified(lists[a], lists[b], 0, p[order[x:y]], q[order[x:y]], PLAN)]
+        if found:
+            want[a, b] = found
+        if found and (a, b) not in got:  # only on the key's diagonal, where too few words go on from the key
+            assert (p - q == p[-1] - q[-1]).all()
+            del want[a, b]
+    assert got == want and len(want) > 50
+
+
+def test_pairs_of_a_block_are_compared_in_arrays():
+    """Before, each pair took some hundred calls."""
+    rng = np.random.default_rng(25)
+
+    def changes(words):
+        words[rng.integers(0, 16)::16] = rng.integers(0, 1 << 31)
+        return words
+
+    rows, calls = family(rng, 80, changes), 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    links = paragraphs._block(rows, False, PLAN)
+    sys.setprofile(None)
+    assert calls < 80 * 79 // 2 * 3 and len(links) < 100
+
+
 def test_shared_shingles_equal_brute_force():
     rng = np.random.default_rng(22)
     lists = [rng.integers(0, 3, rng.integers(GRAM, 140)).astype(np.uint32) for _ in range(20)]
