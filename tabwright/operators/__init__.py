@@ -3,6 +3,7 @@
 from tabwright.operators.clean import (
     DropSparse, add_null, cast_numeric, drop_columns, invalidate, rename, require, select_at,
 )
+from tabwright.operators.counted import CountedForest
 from tabwright.operators.encode import TargetEncode
 from tabwright.operators.extract import by_class, class_items, list_items, list_tail, page_lists, table_rows
 from tabwright.operators.impute import Impute
@@ -29,7 +30,7 @@ from tabwright.operators.transform import LogAbs, ZScoreLog, feature_matrix, log
 from tabwright.operators.trim import SigmaTrim
 
 __all__ = [
-    "DropSparse", "DuplicateKeys", "FOREST_GRID", "FourierFeatures", "Impute", "LOGISTIC_GRID", "LogAbs", "MOST_LABELS",
+    "CountedForest", "DropSparse", "DuplicateKeys", "FOREST_GRID", "FourierFeatures", "Impute", "LOGISTIC_GRID", "LogAbs", "MOST_LABELS",
     "NystroemFeatures", "NystroemModel", "OneAgainstRest", "OneAgainstRestModel", "Prepared", "RECIPES", "Recipe", "SigmaTrim", "TargetEncode", "ZScoreLog", "add_null", "band_lookup", "best_model",
     "binary_metrics", "by_class", "cardinality_profile", "cast_numeric", "class_items", "column_modes", "compare_models",
     "cross_validate", "distinct_sketches", "drop_columns", "error_bound", "evaluate_prepared", "exact_split", "exact_test_flag", "feature_matrix", "final_predictions", "final_test", "fit_prepared",

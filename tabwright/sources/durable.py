@@ -52,17 +52,18 @@ def materialise(df: DataFrame, partition_by: str | None = None) -> DataFrame:
 
 def drop_copy(copy: DataFrame) -> None:
     """Delete what ``materialise`` wrote for this frame; it and frames made from it are unusable after."""
-    _delete(copy.sparkSession, copy.copy_path)
+    drop_folder(copy.sparkSession, copy.copy_path)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder, such as one of ``scratch_folder``."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def discard(spark: SparkSession) -> None:
     """Delete everything ``materialise`` wrote in this application; its frames are unusable after."""
-    _delete(spark, _own_folder(spark))
+    drop_folder(spark, _own_folder(spark))
 
 
 def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> tuple[DataFrame, list[dict] | None]:
