@@ -3,7 +3,8 @@
 Spark's forest cuts every feature into at most 32 bins before it grows a tree, and all that a tree asks of the rows is how many of each label
 are in which bins. It still visits each row once for every tree and level. Here the rows are counted by (bins, label) in one pass, and a task
 grows a tree from the counts: the drawn weight of ``n`` equal rows, each with a Poisson weight of mean 1, is one Poisson draw of mean ``n``. So the
-trees are drawn from the same distribution as Spark's, by other random numbers, which depend on the seed and the counts only and not on the file layout.
+trees are drawn from the same distribution as Spark's, by other random numbers, which depend on the seed and the counts only. The bins of a large
+table end at approximate quantiles, which may move a little with its file layout and from run to run, and the trees with them.
 """
 
 from __future__ import annotations

@@ -41,6 +41,7 @@ def test_as_good_as_spark_s_forest(spark):
 
 
 def test_the_same_trees_from_any_layout(spark):
+    """As long as the quantiles are exact, which they are here."""
     df = frame(spark, 500)
     found = [counted.CountedForest("label", trees=5).fit(rows).toDebugString.split("\n", 1)[1] for rows in (df, df.repartition(7, "d"))]
     assert found[0] == found[1]
